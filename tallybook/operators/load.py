@@ -87,6 +87,12 @@ def load_report(spark: SparkSession, report_path: str) -> DataFrame:
     return spark.read.schema(REPORT).parquet(report_path)
 
 
+def written(rows: DataFrame, path: str) -> DataFrame:
+    """The rows as a table of their own: no lineage to replay, and a size that Spark knows."""
+    rows.write.mode("errorifexists").parquet(path)
+    return rows.sparkSession.read.parquet(path)
+
+
 def full_refresh(rows: DataFrame, root: str, load_id: str, view: str, database: str | None = None,
                  min_rows: int = 0) -> DataFrame:
     """Replace a table's rows, so that loading the same run again makes no duplicates.
@@ -97,8 +103,7 @@ def full_refresh(rows: DataFrame, root: str, load_id: str, view: str, database:
     """
     spark = rows.sparkSession
     path = f"{root}/load_id={load_id}"
-    rows.write.mode("errorifexists").parquet(path)
-    loaded = spark.read.parquet(path)
+    loaded = written(rows, path)
     if min_rows and loaded.count() < min_rows:
         raise ValueError(f"{view}: fewer than {min_rows} rows loaded, the previous load stays")
     if database:

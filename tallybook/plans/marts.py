@@ -39,12 +39,14 @@ def fct_candidate_indiv_cont(src_candidates: DataFrame, cand_cmte_link: DataFram
 
 def candidate_totals_direct(src_candidates: DataFrame, cand_cmte_link: DataFrame,
                             src_indiv_contributions: DataFrame) -> DataFrame:
-    """The same totals with every contribution carried through the joins."""
+    """The same totals with every contribution carried through the joins.
+
+    Contributions come first, so each table they meet is one of known size.
+    """
     links = cand_cmte_link.where(F.col("cand_election_yr") == CYCLE).select("cand_id", "cmte_id")
-    joined = (src_candidates.where(F.col("cand_election_yr") == CYCLE)
-              .join(links, "cand_id")
-              .join(src_indiv_contributions.select("cmte_id", "transaction_amt"), "cmte_id"))
-    return _per_candidate_total(joined, "transaction_amt")
+    candidates = src_candidates.where(F.col("cand_election_yr") == CYCLE).select("cand_id", *CANDIDATE)
+    contributions = src_indiv_contributions.select("cmte_id", "transaction_amt")
+    return _per_candidate_total(contributions.join(links, "cmte_id").join(candidates, "cand_id"), "transaction_amt")
 
 
 def _per_candidate_total(rows: DataFrame, amount: str) -> DataFrame:

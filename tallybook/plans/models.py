@@ -5,7 +5,7 @@ from inspect import signature
 
 from pyspark.sql import DataFrame
 
-from tallybook.operators.load import full_refresh
+from tallybook.operators.load import full_refresh, written
 from tallybook.plans import cleaned, marts
 
 CLEANED: dict[str, Callable[..., DataFrame]] = {
@@ -19,6 +19,8 @@ MARTS: dict[str, Callable[..., DataFrame]] = {
         marts.fct_committee_operating_exp, marts.fct_categories_operating_exp, marts.fct_indiv_cont_by_state)
 }
 MODELS = CLEANED | MARTS
+# Cleaned tables that transactions are joined to.
+DIMENSIONS = ("src_candidates", "src_committees")
 
 
 def inputs(name: str) -> list[str]:
@@ -26,9 +28,10 @@ def inputs(name: str) -> list[str]:
     return list(signature(MODELS[name]).parameters)
 
 
-def raw_inputs(name: str) -> set[str]:
-    """The raw tables a model needs, its own and those of the models it reads."""
-    return set().union(*[raw_inputs(i) if i in MODELS else {i} for i in inputs(name)])
+def all_inputs(name: str) -> set[str]:
+    """Every raw table and model that a model reads, directly or not."""
+    direct = inputs(name)
+    return set(direct).union(*[all_inputs(i) for i in direct if i in MODELS])
 
 
 def model(name: str, tables: Mapping[str, DataFrame]) -> DataFrame:
@@ -36,6 +39,21 @@ def model(name: str, tables: Mapping[str, DataFrame]) -> DataFrame:
     return MODELS[name](*[tables[i] if i in tables else model(i, tables) for i in inputs(name)])
 
 
+def mart_from_raw(name: str, raw: Mapping[str, DataFrame], root: str) -> DataFrame:
+    """A mart in one plan over raw transactions, which are never written.
+
+    The candidates and committees it joins are written first. Spark then knows
+    how large they are and broadcasts the small ones; its estimate for a cleaned
+    table that is still a join is the product of its inputs, so it would shuffle
+    every transaction to meet them.
+    """
+    tables = dict(raw)
+    for dimension in DIMENSIONS:
+        if dimension in all_inputs(name):
+            tables[dimension] = written(model(dimension, raw), f"{root}/{dimension}")
+    return model(name, tables)
+
+
 def refresh_models(raw: Mapping[str, DataFrame], root: str, load_id: str,
                    database: str | None = None) -> dict[str, DataFrame]:
     """Write the cleaned tables, then define the marts as views over what was written.

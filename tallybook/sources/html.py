@@ -30,9 +30,9 @@ def html_table_rows(pages: DataFrame, key: str, html: str) -> DataFrame:
 
     def parse(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            found = [(page, i, cells) for page, text in zip(batch[key], batch[html]) if text is not None
-                     for i, cells in enumerate(first_table(text))]
-            yield pd.DataFrame(found, columns=schema.fieldNames())
+            for page, text in zip(batch[key], batch[html]):
+                if rows := first_table(text or ""):
+                    yield pd.DataFrame({key: [page] * len(rows), "row_no": range(len(rows)), "cells": rows})
 
     return pages.select(key, html).mapInPandas(parse, schema)
 

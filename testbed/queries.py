@@ -16,12 +16,12 @@ from tallybook.functions.codes import (
 from tallybook.functions.typing import cast_to_schema, strict
 from tallybook.operators.frames import drop_trailing_column, rename_positional
 from tallybook.operators.load import (
-    delimited_files, full_refresh, load_report, match_by_name, match_by_position, skip_bad_files,
+    delimited_files, full_refresh, load_report, match_by_name, match_by_position, skip_bad_files, written,
 )
 from tallybook.plans.jobs import ingest_bulk, ingest_code_table, load_bulk, load_code_table
 from tallybook.plans.marts import candidate_totals_direct
-from tallybook.plans.models import MODELS, model, raw_inputs, refresh_models
-from tallybook.schemas import BULK, COMPACT_DATE, SLASH_DATE, BulkFormat, columns
+from tallybook.plans.models import CLEANED, MARTS, all_inputs, mart_from_raw, model, refresh_models
+from tallybook.schemas import BULK, COMPACT_DATE, RAW, SLASH_DATE, BulkFormat, columns
 from tallybook.scratch import scratch_dir
 from tallybook.sources.delimited import (
     read_delimited, read_lenient, read_text_columns, read_with_dictionary, write_delimited,
@@ -344,17 +344,28 @@ def zip_codes(spark, sf_dir):
 # --- models ------------------------------------------------------------------------------------
 
 
-def from_raw(name: str) -> Query:
-    """A model built from the raw tables, cleaned tables included, in one plan."""
+def raw_for(spark: SparkSession, sf_dir: str, name: str) -> dict[str, DataFrame]:
+    return raw_tables(spark, sf_dir, all_inputs(name) & RAW.keys())
+
+
+def cleaned_table(name: str) -> Query:
+    def run(spark, sf_dir):
+        return shown(model(name, raw_for(spark, sf_dir, name)))
+    return run
+
+
+def mart(name: str) -> Query:
     def run(spark, sf_dir):
-        return shown(model(name, raw_tables(spark, sf_dir, raw_inputs(name))))
+        return shown(mart_from_raw(name, raw_for(spark, sf_dir, name), scratch_dir(spark, "dimensions")))
     return run
 
 
 def bridge_sum(spark, sf_dir):
-    tables = raw_tables(spark, sf_dir, raw_inputs("fct_candidate_indiv_cont"))
-    return shown(candidate_totals_direct(model("src_candidates", tables), tables["cand_cmte_link"],
-                                         model("src_indiv_contributions", tables)))
+    """The candidates' totals again, without summing before the joins."""
+    tables = raw_for(spark, sf_dir, "fct_candidate_indiv_cont")
+    candidates = written(model("src_candidates", tables), scratch_dir(spark, "dimensions"))
+    contributions = model("src_indiv_contributions", tables)
+    return shown(candidate_totals_direct(candidates, tables["cand_cmte_link"], contributions))
 
 
 QUERIES: dict[str, Query] = {
@@ -391,7 +402,8 @@ QUERIES: dict[str, Query] = {
     "null_to_other": null_to_other,
     "district_label": districts,
     "zip5": zip_codes,
-    **{name: from_raw(name) for name in MODELS},
+    **{name: cleaned_table(name) for name in CLEANED},
+    **{name: mart(name) for name in MARTS},
     "bridge_sum": bridge_sum,
     "refresh_models": refresh_all_models,
 }
