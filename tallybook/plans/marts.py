@@ -26,31 +26,31 @@ def fct_candidate_indiv_cont(src_candidates: DataFrame, cand_cmte_link: DataFram
                              src_indiv_contributions: DataFrame) -> DataFrame:
     """Contributions per candidate of the cycle, over the many-to-many committee links.
 
-    Contributions are summed per committee first and links per candidate next, so
-    a committee with very many contributions is reduced before any shuffle and no
-    contribution is repeated per linked candidate. Sums of sums are the same sums.
+    Contributions are summed before they meet the links: a committee with very
+    many of them is reduced before any shuffle, and none is repeated per linked
+    candidate. Sums of sums are the same sums. They are kept apart by entity type,
+    a handful of values, so that a join too large to broadcast shuffles both of
+    its sides by itself; adaptive execution can split a hot committee only then.
     """
-    per_committee = src_indiv_contributions.groupBy("cmte_id").agg(F.sum("transaction_amt").alias("amt"))
-    links = cand_cmte_link.where(F.col("cand_election_yr") == CYCLE).select("cand_id", "cmte_id")
-    per_candidate = links.join(per_committee, "cmte_id").groupBy("cand_id").agg(F.sum("amt").alias("amt"))
-    candidates = src_candidates.where(F.col("cand_election_yr") == CYCLE).select("cand_id", *CANDIDATE)
-    return _per_candidate_total(candidates.join(per_candidate, "cand_id"), "amt")
+    sums = src_indiv_contributions.groupBy("cmte_id", "entity_tp").agg(F.sum("transaction_amt").alias("amt"))
+    return _candidate_totals(sums.select("cmte_id", "amt"), "amt", cand_cmte_link, src_candidates)
 
 
 def candidate_totals_direct(src_candidates: DataFrame, cand_cmte_link: DataFrame,
                             src_indiv_contributions: DataFrame) -> DataFrame:
-    """The same totals with every contribution carried through the joins.
+    """The same totals with every contribution carried through the joins."""
+    contributions = src_indiv_contributions.select("cmte_id", "transaction_amt")
+    return _candidate_totals(contributions, "transaction_amt", cand_cmte_link, src_candidates)
+
 
-    Contributions come first, so each table they meet is one of known size.
+def _candidate_totals(amounts: DataFrame, amount: str, cand_cmte_link: DataFrame, src_candidates: DataFrame) -> DataFrame:
+    """Totals per candidate attributes, grouped by the raw office code that is put in words afterwards.
+
+    The amounts come first in the joins, so what they meet is each time one table of known size.
     """
     links = cand_cmte_link.where(F.col("cand_election_yr") == CYCLE).select("cand_id", "cmte_id")
     candidates = src_candidates.where(F.col("cand_election_yr") == CYCLE).select("cand_id", *CANDIDATE)
-    contributions = src_indiv_contributions.select("cmte_id", "transaction_amt")
-    return _per_candidate_total(contributions.join(links, "cmte_id").join(candidates, "cand_id"), "transaction_amt")
-
-
-def _per_candidate_total(rows: DataFrame, amount: str) -> DataFrame:
-    """Grouped by the raw office code; the office is put in words afterwards."""
+    rows = amounts.join(links, "cmte_id").join(candidates, "cand_id")
     totals = rows.groupBy(*CANDIDATE).agg(F.sum(amount).alias("total_contributions"))
     return totals.withColumn("cand_office", label(F.col("cand_office"), OFFICE))
 

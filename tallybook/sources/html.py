@@ -94,6 +94,10 @@ class _Tables(HTMLParser):
         if self.cell is not None and not self.muted:
             self.cell[0].append(data)
 
+    def close(self):
+        super().close()
+        self._end_cell()
+
     def _end_cell(self):
         if self.cell is not None:
             texts, rows, cols = self.cell
