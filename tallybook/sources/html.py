@@ -5,14 +5,18 @@ parallel. Only the parsing of one page at a time is Python; the rows go back to
 Spark as arrays of cell texts and are picked apart by position there.
 """
 
+import re
 from collections.abc import Iterator
-from html.parser import HTMLParser
+from html import unescape
+from itertools import islice
 
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+ROWS_PER_BATCH = 10_000
+
 
 def read_pages(spark: SparkSession, path: str) -> DataFrame:
     """Saved pages, one row per file."""
@@ -30,11 +34,13 @@ def html_table_rows(pages: DataFrame, key: str, html: str) -> DataFrame:
 
     def parse(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            for page, text in zip(batch[key], batch[html]):
-                if rows := first_table(text or ""):
-                    yield pd.DataFrame({key: [page] * len(rows), "row_no": range(len(rows)), "cells": rows})
+            rows = ((page, row_no, cells) for page, text in zip(batch[key], batch[html])
+                    for row_no, cells in enumerate(first_table(text)))
+            while part := list(islice(rows, ROWS_PER_BATCH)):
+                yield pd.DataFrame(part, columns=schema.fieldNames())
 
-    return pages.select(key, html).mapInPandas(parse, schema)
+    with_table = pages.select(key, html).where(F.col(html).rlike("(?i)<table"))
+    return with_table.mapInPandas(parse, schema)
 
 
 def html_code_table(pages: DataFrame, key: str, html: str, schema: T.StructType) -> DataFrame:
@@ -45,80 +51,58 @@ def html_code_table(pages: DataFrame, key: str, html: str, schema: T.StructType)
     return rows.select(key, *cells)
 
 
+# What matters in a page: text that is not shown, the tags of tables, line breaks, and any other tag.
+_TOKEN = re.compile(r"""
+      <!--.*?(?:-->|\Z)
+    | <(?P<hidden>script|style|title)\b.*?(?:</(?P=hidden)\s*>|\Z)
+    | <(?P<end>/?)(?P<tag>table|tr|td|th|br)\b(?P<attributes>(?:"[^"]*"|'[^']*'|[^'">])*)>
+    | </?[a-z][^>]*>
+    """, re.IGNORECASE | re.DOTALL | re.VERBOSE)
+# The largest spans that HTML knows.
+MAX_ROWSPAN, MAX_COLSPAN = 65534, 1000
+_SPAN = re.compile(r"""\b(rowspan|colspan)\s*=\s*["']?(\d+)""", re.IGNORECASE)
+
+
 def first_table(html: str) -> list[list[str]]:
-    """Cell texts of the first table that has any text; spans are filled in."""
-    parser = _Tables()
-    parser.feed(html)
-    parser.close()
-    for table in parser.tables:
-        rows = _fill_spans(table)
-        if any(any(row) for row in rows):
-            width = max(map(len, rows))
-            return [row + [""] * (width - len(row)) for row in rows if row]
-    return []
-
-
-class _Tables(HTMLParser):
-    """Collects [(text, rowspan, colspan)] rows; tables inside a cell count as its text."""
-
-    def __init__(self):
-        super().__init__()
-        self.tables, self.depth, self.cell, self.muted = [], 0, None, 0
-
-    def handle_starttag(self, tag, attrs):
-        if tag in ("script", "style"):
-            self.muted += 1
+    """Cell texts of the first table that has any text; spans are filled in.
+
+    End tags may be missing, and a table inside a cell counts as text of the cell.
+    """
+    rows, cell, depth, seen = [], None, 0, 0
+    for token in _TOKEN.finditer(html):
+        if cell:
+            cell["text"] += html[seen:token.start()]
+        seen, tag, opens = token.end(), (token["tag"] or "").lower(), not token["end"]
+        if tag == "br" and cell:
+            cell["text"] += " "
         elif tag == "table":
-            self.depth += 1
-            if self.depth == 1:
-                self.tables.append([])
-        elif self.depth == 1 and tag == "tr":
-            self._end_cell()
-            self.tables[-1].append([])
-        elif self.depth == 1 and tag in ("td", "th"):
-            self._end_cell()
-            spans = dict(attrs)
-            self.cell = ([], _span(spans.get("rowspan")), _span(spans.get("colspan")))
-        elif tag == "br":
-            self.handle_data(" ")
-
-    def handle_endtag(self, tag):
-        if tag in ("script", "style"):
-            self.muted = max(0, self.muted - 1)
-        elif self.depth == 1 and tag in ("td", "th", "tr", "table"):
-            self._end_cell()
-        if tag == "table":
-            self.depth = max(0, self.depth - 1)
-
-    def handle_data(self, data):
-        if self.cell is not None and not self.muted:
-            self.cell[0].append(data)
-
-    def close(self):
-        super().close()
-        self._end_cell()
-
-    def _end_cell(self):
-        if self.cell is not None:
-            texts, rows, cols = self.cell
-            if not self.tables[-1]:
-                self.tables[-1].append([])
-            self.tables[-1][-1].append((" ".join("".join(texts).split()), rows, cols))
-            self.cell = None
-
-
-def _span(value: str | None) -> int:
-    return max(1, int(value)) if value and value.isdigit() else 1
-
-
-def _fill_spans(table) -> list[list[str]]:
-    """Plain rows, with each spanning cell repeated in every place it covers."""
+            depth = max(0, depth + (1 if opens else -1))
+            if depth == opens:  # the outermost table begins or ends
+                if not opens and (grid := _grid(rows)):
+                    return grid
+                rows, cell = [], None
+        elif depth == 1 and tag in ("tr", "td", "th"):
+            cell = None
+            if opens and (tag == "tr" or not rows):
+                rows.append([])
+            if opens and tag != "tr":
+                spans = {name.lower(): int(n) for name, n in _SPAN.findall(token["attributes"])}
+                cell = {"text": "", "down": min(spans.get("rowspan", 1), MAX_ROWSPAN),
+                        "across": min(spans.get("colspan", 1), MAX_COLSPAN)}
+                rows[-1].append(cell)
+    if cell:
+        cell["text"] += html[seen:]
+    return _grid(rows)
+
+
+def _grid(table: list[list[dict]]) -> list[list[str]]:
+    """Rows of equal width, with each spanning cell repeated in every place it covers; none if all are blank."""
     rows, from_above = [], {}
     for cells in table:
         row, below = [], {}
 
         def put(text, more_rows):
-            if more_rows:
+            if more_rows > 0:
                 below[len(row)] = (text, more_rows)
             row.append(text)
 
@@ -128,10 +112,14 @@ def _fill_spans(table) -> list[list[str]]:
                 put(text, more_rows - 1)
 
         take_from_above()
-        for text, down, across in cells:
-            for _ in range(across):
-                put(text, down - 1)
+        for cell in cells:
+            for _ in range(cell["across"]):
+                put(" ".join(unescape(cell["text"]).split()), cell["down"] - 1)
             take_from_above()
         rows.append(row)
         from_above = below
-    return rows
+    while from_above:  # cells that span beyond the last row
+        rows.append([text for _, (text, _) in sorted(from_above.items())])
+        from_above = {i: (text, more_rows - 1) for i, (text, more_rows) in from_above.items() if more_rows > 1}
+    width = max(map(len, rows), default=0)
+    return [row + [""] * (width - len(row)) for row in rows if row] if any(map(any, rows)) else []

@@ -18,6 +18,8 @@ CODES = columns("code string, label string")
     ("<table><tr><td rowspan=2>a</td><td>b</td></tr><tr><td>c</td></tr></table>", [["a", "b"], ["a", "c"]]),
     ("<table><tr><td>a</td><td rowspan=3>b</td></tr><tr><td>c</td></tr><tr><td>d</td></tr></table>",
      [["a", "b"], ["c", "b"], ["d", "b"]]),
+    ("<table><tr><td>a</td><td rowspan='3'>b</td></tr></table>", [["a", "b"], ["b", ""], ["b", ""]]),
+    ("<table><tr><td title='1 > 0' colspan=0>a</td><td data-rowspan>b</table>", [["b"]]),
     ("<table><tr><td colspan=2>a</td><td>b</td></tr><tr><td>c</td></tr></table>", [["a", "a", "b"], ["c", "", ""]]),
     ("<table><tr><td rowspan=2 colspan=2>a</td><td>b</td></tr><tr><td>c</td></tr></table>",
      [["a", "a", "b"], ["a", "a", "c"]]),
