@@ -7,7 +7,6 @@ from pyspark.sql import types as T
 from tallybook.functions.typing import try_cast_to_schema, unconvertible
 from tallybook.schemas import as_text, columns
 from tallybook.sources.delimited import EXACT, QUOTED, UNQUOTED
-from tallybook.sources.staged import RUN_DATE
 
 FILE, MALFORMED = "_file", "_malformed"
 # Fixed value: a file is skipped when more than this share of its rows is bad.
@@ -38,26 +37,23 @@ def match_by_position(rows: DataFrame, target: T.StructType) -> DataFrame:
     return rows.select(*[F.col(old).alias(f.name) for old, f in zip(rows.columns, target)], *kept)
 
 
-def parquet_files(spark: SparkSession, root: str, run_date: str | None = None) -> DataFrame:
-    """Rows of staged Parquet with the file each came from."""
-    rows = spark.read.parquet(root).select("*", F.col("_metadata.file_path").alias(FILE))
-    return _only(rows, run_date)
+def parquet_files(spark: SparkSession, path: str) -> DataFrame:
+    """Rows of Parquet with the file each came from."""
+    return spark.read.parquet(path).select("*", F.col("_metadata.file_path").alias(FILE))
 
 
-def delimited_files(spark: SparkSession, root: str, schema: T.StructType, run_date: str | None = None,
-                    header: bool = True, quoted: bool = True) -> DataFrame:
+def delimited_files(spark: SparkSession, path: str, schema: T.StructType, header: bool = True,
+                    quoted: bool = True) -> DataFrame:
     """Rows of delimited text with the file each came from, and the line if its column count is wrong.
 
     Every line is split whole (columnPruning off), because Spark does not
     notice a wrong count in columns it was allowed to leave out.
     """
     fields = as_text(schema).add(MALFORMED, T.StringType())
-    if run_date:
-        fields = fields.add(RUN_DATE, T.DateType())
     reader = spark.read.schema(fields).option("columnPruning", False)
-    rows = reader.csv(root, header=header, columnNameOfCorruptRecord=MALFORMED,
+    rows = reader.csv(path, header=header, columnNameOfCorruptRecord=MALFORMED,
                       **(QUOTED if quoted else UNQUOTED), **EXACT)
-    return _only(rows.select("*", F.col("_metadata.file_path").alias(FILE)), run_date)
+    return rows.select("*", F.col("_metadata.file_path").alias(FILE))
 
 
 def skip_bad_files(rows: DataFrame, target: T.StructType, report_path: str, date_format: str | None = None,
@@ -113,12 +109,6 @@ def full_refresh(rows: DataFrame, root: str, load_id: str, view: str, database:
     return loaded
 
 
-def _only(rows: DataFrame, run_date: str | None) -> DataFrame:
-    if run_date is None:
-        return rows
-    return rows.where(F.col(RUN_DATE) == F.lit(run_date).cast("date")).drop(RUN_DATE)
-
-
 def _bad(rows: DataFrame, target: T.StructType, date_format: str | None) -> Column:
     bad = F.col(MALFORMED).isNotNull() if MALFORMED in rows.columns else F.lit(False)
     for field in target:

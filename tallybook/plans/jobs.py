@@ -9,7 +9,7 @@ from tallybook.operators.load import (
 from tallybook.schemas import BulkFormat
 from tallybook.sources.delimited import read_delimited, read_lenient
 from tallybook.sources.html import html_code_table
-from tallybook.sources.staged import stage_delimited, stage_parquet
+from tallybook.sources.staged import run_folder, stage_delimited, stage_parquet
 
 
 def ingest_bulk(spark: SparkSession, text: str, bulk: BulkFormat, root: str, run_date: str) -> None:
@@ -27,14 +27,14 @@ def ingest_code_table(pages: DataFrame, key: str, html: str, schema: T.StructTyp
 def load_bulk(spark: SparkSession, root: str, run_date: str, target: T.StructType, table: str, load_id: str,
               view: str, database: str | None = None) -> DataFrame:
     """One run's staged Parquet, by column name and within the tolerance, as the new rows of a raw table."""
-    rows = match_by_name(parquet_files(spark, root, run_date), target)
+    rows = match_by_name(parquet_files(spark, run_folder(root, run_date)), target)
     return _load(rows, target, table, load_id, view, database)
 
 
 def load_code_table(spark: SparkSession, root: str, run_date: str, target: T.StructType, table: str,
                     load_id: str, view: str, database: str | None = None) -> DataFrame:
     """One run's staged delimited text, by column position, as the new rows of a raw table."""
-    rows = match_by_position(delimited_files(spark, root, target, run_date), target)
+    rows = match_by_position(delimited_files(spark, run_folder(root, run_date), target), target)
     return _load(rows, target, table, load_id, view, database)
 
 

@@ -1,11 +1,12 @@
 """The landing area: one folder per dataset, one ``run_date=`` partition per run."""
 
+from datetime import date
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tallybook.schemas import as_text
-from tallybook.sources.delimited import EXACT, QUOTED
+from tallybook.sources.delimited import EXACT, QUOTED, read_text_columns
 
 RUN_DATE = "run_date"
 
@@ -19,23 +20,21 @@ def stage_delimited(rows: DataFrame, root: str, run_date: str) -> None:
     _dated(rows, run_date, header=True, **QUOTED, **EXACT).csv(root)
 
 
+def run_folder(root: str, run_date: str) -> str:
+    """Where one run's rows lie. Reading it lists no other run and takes no other run's columns."""
+    return f"{root.rstrip('/')}/{RUN_DATE}={date.fromisoformat(run_date)}"
+
+
 def read_staged_parquet(spark: SparkSession, root: str, run_date: str) -> DataFrame:
-    """One run's rows; other dates are pruned before any file is opened."""
-    return spark.read.parquet(root).where(_is(run_date)).drop(RUN_DATE)
+    return spark.read.parquet(run_folder(root, run_date))
 
 
 def read_staged_delimited(spark: SparkSession, root: str, run_date: str, schema: T.StructType) -> DataFrame:
     """One run's rows as text; the header line is skipped and columns count by position."""
-    dated = as_text(schema).add(RUN_DATE, T.DateType())
-    rows = spark.read.schema(dated).csv(root, header=True, **QUOTED, **EXACT)
-    return rows.where(_is(run_date)).drop(RUN_DATE)
-
-
-def _is(run_date: str):
-    return F.col(RUN_DATE) == F.lit(run_date).cast("date")
+    return read_text_columns(spark, run_folder(root, run_date), schema, header=True, quoted=True)
 
 
 def _dated(rows: DataFrame, run_date: str, **options):
-    dated = rows.withColumn(RUN_DATE, F.lit(run_date).cast("date"))
+    dated = rows.withColumn(RUN_DATE, F.lit(date.fromisoformat(run_date)))
     writer = dated.write.partitionBy(RUN_DATE).mode("overwrite")
     return writer.options(partitionOverwriteMode="dynamic", **options)

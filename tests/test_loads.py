@@ -103,7 +103,17 @@ def test_staging_a_date_again_replaces_only_that_date(spark, tmp_path):
         stage_parquet(spark.createDataFrame([(value,)], "v string"), root, run_date)
     assert rows_of(read_staged_parquet(spark, root, "2024-01-01")) == [("new",)]
     assert rows_of(read_staged_parquet(spark, root, "2024-01-02")) == [("other",)]
-    assert "PartitionFilters: [isnotnull(run_date" in plan_of(read_staged_parquet(spark, root, "2024-01-01"))
+    assert [f.split("/")[-2] for f in read_staged_parquet(spark, root, "2024-01-01").inputFiles()] == ["run_date=2024-01-01"]
+    with pytest.raises(ValueError):
+        read_staged_parquet(spark, root, "01/01/2024")
+
+
+def test_runs_may_differ_in_their_columns(spark, tmp_path):
+    root = f"{tmp_path}/staged"
+    stage_parquet(spark.createDataFrame([("a",)], "v string"), root, "2024-01-01")
+    stage_parquet(spark.createDataFrame([(1, "b")], "n int, w string"), root, "2024-01-02")
+    assert read_staged_parquet(spark, root, "2024-01-01").columns == ["v"]
+    assert read_staged_parquet(spark, root, "2024-01-02").columns == ["n", "w"]
 
 
 def test_staged_delimited_counts_columns_by_position(spark, tmp_path):
