@@ -7,6 +7,7 @@ from pyspark.sql import types as T
 from tallybook.functions.typing import try_cast_to_schema, unconvertible
 from tallybook.schemas import as_text, columns
 from tallybook.sources.delimited import EXACT, QUOTED, UNQUOTED
+from tallybook.sources.staged import PARQUET
 
 FILE, MALFORMED = "_file", "_malformed"
 # Fixed value: a file is skipped when more than this share of its rows is bad.
@@ -85,7 +86,7 @@ def load_report(spark: SparkSession, report_path: str) -> DataFrame:
 
 def written(rows: DataFrame, path: str) -> DataFrame:
     """The rows as a table of their own: no lineage to replay, and a size that Spark knows."""
-    rows.write.mode("errorifexists").parquet(path)
+    rows.write.mode("errorifexists").parquet(path, **PARQUET)
     return rows.sparkSession.read.parquet(path)
 
 

@@ -9,11 +9,13 @@ from pyspark.sql import types as T
 from tallybook.sources.delimited import EXACT, QUOTED, read_text_columns
 
 RUN_DATE = "run_date"
+# Fixed value: the compression of every Parquet file written; about a third smaller than the default, as fast.
+PARQUET = {"compression": "zstd"}
 
 
 def stage_parquet(rows: DataFrame, root: str, run_date: str) -> None:
     """Write one run's rows; staging the same date again replaces only that date."""
-    _dated(rows, run_date).parquet(root)
+    _dated(rows, run_date, **PARQUET).parquet(root)
 
 
 def stage_delimited(rows: DataFrame, root: str, run_date: str) -> None:

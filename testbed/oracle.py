@@ -232,8 +232,7 @@ ORACLE: dict[str, str] = {
     "scan_delimited_header": declared("committees"),
     "scan_lenient": declared(
         "operating_exp", TRANSACTION_AMT="CASE WHEN memo_cd IS NULL THEN transaction_amt END",
-        TRANSACTION_DT="CASE WHEN category_desc IS NOT NULL THEN transaction_dt END",
-        RPT_YR="CASE WHEN memo_cd IS NULL THEN rpt_yr END"),
+        TRANSACTION_DT="CASE WHEN category_desc IS NOT NULL THEN transaction_dt END"),
     "header_dictionary": declared("cand_cmte_link"),
     "html_table_extract": PAGE_CODES,
     "staged_scan": declared("independent_exp"),
@@ -241,7 +240,7 @@ ORACLE: dict[str, str] = {
     "parquet_round_trip": declared("committee_trans"),
     "delimited_round_trip": SUPPLIER_CODES,
     "full_refresh": declared("candidates"),
-    "load_by_name": """SELECT o_orderkey, CAST(NULL AS BIGINT) AS o_custkey, o_totalprice,
+    "load_by_name": """SELECT o_orderkey, CAST(NULL AS VARCHAR) AS o_orderpriority, o_totalprice,
         CAST(NULL AS VARCHAR) AS o_clerk FROM orders""",
     "load_by_position": "SELECT s_suppkey AS supplier, s_nationkey AS nation, s_name AS name FROM supplier",
     "load_skip_bad_files": LANDED_GOOD,

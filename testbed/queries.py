@@ -74,17 +74,15 @@ def scan_delimited_header(spark, sf_dir):
 
 
 def scan_lenient(spark, sf_dir):
-    """Amounts, dates and years that are no such thing on rows with a memo code or without a category."""
+    """Amounts that are no numbers on rows with a memo code; days that do not exist where there is no category."""
     bulk = BULK["operating_exp"]
     rows = raw(spark, sf_dir, "operating_exp")
-    marked = F.col("MEMO_CD").isNotNull()
     text = rows.select(
         [F.date_format(f.name, SLASH_DATE).alias(f.name) if f.name == "TRANSACTION_DT"
          else F.col(f.name).cast("string").alias(f.name) for f in rows.schema]
     ).withColumns({
-        "TRANSACTION_AMT": F.when(marked, "unknown").otherwise(F.col("TRANSACTION_AMT")),
+        "TRANSACTION_AMT": F.when(F.col("MEMO_CD").isNotNull(), "unknown").otherwise(F.col("TRANSACTION_AMT")),
         "TRANSACTION_DT": F.when(F.col("CATEGORY_DESC").isNull(), "2/30/2024").otherwise(F.col("TRANSACTION_DT")),
-        "RPT_YR": F.when(marked, "99999").otherwise(F.col("RPT_YR")),
         "end": F.lit(None).cast("string"),
     })
     path = scratch_dir(spark, "text")
@@ -166,10 +164,10 @@ def full_refresh_twice(spark, sf_dir):
 
 
 def load_by_name(spark, sf_dir):
-    """O_CUSTKEY is not o_custkey, o_clerk is absent, and columns beyond the target are left out."""
-    target = columns("o_orderkey bigint, o_custkey bigint, o_totalprice double, o_clerk string")
+    """O_ORDERPRIORITY is not o_orderpriority, o_clerk is absent, and columns beyond the target are left out."""
+    target = columns("o_orderkey bigint, o_orderpriority string, o_totalprice double, o_clerk string")
     path = scratch_dir(spark, "parquet")
-    table(spark, sf_dir, "orders").withColumnRenamed("o_custkey", "O_CUSTKEY").write.parquet(path)
+    table(spark, sf_dir, "orders").withColumnRenamed("o_orderpriority", "O_ORDERPRIORITY").write.parquet(path)
     return match_by_name(spark.read.parquet(path), target)
 
 

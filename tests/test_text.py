@@ -38,6 +38,13 @@ def test_lenient_read_turns_bad_values_null(spark, tmp_path):
         GOOD[0], ("C2", None, None, None, '""'), ("C4", "A", None, None, None)]
 
 
+def test_numbers_out_of_range(spark, tmp_path):
+    path, bulk = text_files(tmp_path, a=["99999|99999", "2024|x", "-1|12345678901"]), BulkFormat(columns("y smallint, n int"))
+    assert rows_of(read_lenient(spark, path, bulk)) == [(-1, None), (2024, None), (None, 99999)]
+    with pytest.raises(PySparkException):
+        read_delimited(spark, path, bulk).collect()
+
+
 def test_bulk_text_is_unquoted_so_quotes_do_not_hide_delimiters(spark, tmp_path):
     path = text_files(tmp_path, a=['C5|"q|r"'])
     assert rows_of(read_text_columns(spark, path, columns("a string, b string, c string"))) == [("C5", '"q', 'r"')]
