@@ -43,7 +43,8 @@ def candidate_totals_direct(src_candidates: DataFrame, cand_cmte_link: DataFrame
     return _candidate_totals(contributions, "transaction_amt", cand_cmte_link, src_candidates)
 
 
-def _candidate_totals(amounts: DataFrame, amount: str, cand_cmte_link: DataFrame, src_candidates: DataFrame) -> DataFrame:
+def _candidate_totals(amounts: DataFrame, amount: str, cand_cmte_link: DataFrame,
+                      src_candidates: DataFrame) -> DataFrame:
     """Totals per candidate attributes, grouped by the raw office code that is put in words afterwards.
 
     The amounts come first in the joins, so what they meet is each time one table of known size.

@@ -54,17 +54,19 @@ def mart_from_raw(name: str, raw: Mapping[str, DataFrame], root: str) -> DataFra
     return model(name, tables)
 
 
+def define_marts(tables: Mapping[str, DataFrame]) -> dict[str, DataFrame]:
+    """The marts as lazy views of the session over cleaned and raw tables, such as another session's refresh left."""
+    marts = {name: model(name, tables) for name in MARTS}
+    for name, rows in marts.items():
+        rows.createOrReplaceTempView(name)
+    return marts
+
+
 def refresh_models(raw: Mapping[str, DataFrame], root: str, load_id: str,
                    database: str | None = None) -> dict[str, DataFrame]:
-    """Write the cleaned tables, then define the marts as views over what was written.
+    """Write the cleaned tables, then define the marts over what was written.
 
-    With a database the cleaned tables' views are kept in the catalog; the marts
-    are views of the session.
+    With a database the cleaned tables' views are kept in the catalog.
     """
-    tables = dict(raw)
-    for name in CLEANED:
-        tables[name] = full_refresh(model(name, raw), f"{root}/{name}", load_id, name, database)
-    for name in MARTS:
-        tables[name] = model(name, tables)
-        tables[name].createOrReplaceTempView(name)
-    return {name: tables[name] for name in MODELS}
+    tables = {name: full_refresh(model(name, raw), f"{root}/{name}", load_id, name, database) for name in CLEANED}
+    return tables | define_marts({**raw, **tables})

@@ -107,7 +107,8 @@ def pages_with_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
     safe_url = F.replace("url", F.lit("&"), F.lit("&amp;"))
     tables = F.concat(
         F.lit("</article><p>Codes<table class=codes><thead><tr><th>Code</th><th>Description <br>of it</th></tr></thead>"
-              "<tbody><tr><td> P"), page, F.lit("</td><td>\n Page &quot;"), page, F.lit("&quot; | <a href='x'>"), safe_url,
+              "<tbody><tr><td> P"), page, F.lit("</td><td>\n Page &quot;"), page, F.lit("&quot; | <a href='x'>"),
+        safe_url,
         F.lit("</a>\n</td></tr><tr><td>Q"), page, F.lit("<td rowspan=2>shared &lt;"), page,
         F.lit("&gt;</tr><tr><td>R"), page, F.lit("</td></tr><tr><td>S"), page,
         F.lit("</td><td></td></tr></tbody></table><table><tr><th>a</th></tr><tr><td>other</td></tr></table>"))

@@ -49,7 +49,8 @@ def test_no_bad_file_and_empty_values_are_no_errors(spark, tmp_path):
     path = text_files(tmp_path / "in", a=["a|1|", "b||01312024", "|2|01312024"])
     report = f"{tmp_path}/report"
     assert len(rows_of(load(spark, path, report))) == 3
-    assert rows_of(load_report(spark, report).select("n_rows", "n_bad", "n_without_key", "skipped")) == [(3, 0, 1, False)]
+    counts = load_report(spark, report).select("n_rows", "n_bad", "n_without_key", "skipped")
+    assert rows_of(counts) == [(3, 0, 1, False)]
 
 
 def test_tolerance_can_be_set(spark, tmp_path):
@@ -82,11 +83,13 @@ def test_match_by_name_minds_the_case(spark):
 def test_parquet_values_that_do_not_convert_count_as_bad(spark, tmp_path):
     target = columns("id string, paid amount, absent int")
     good, bad = [(str(i), "1.5") for i in range(19)], [("bad", "n/a")]
-    spark.createDataFrame(good + bad, "id string, paid string").coalesce(1).write.parquet(f"{tmp_path}/t/run_date=2024-03-30")
-    spark.createDataFrame(bad * 20, "id string, paid string").coalesce(1).write.parquet(f"{tmp_path}/t/run_date=2024-03-31")
-    loaded = load_bulk(spark, f"{tmp_path}/t", "2024-03-30", target, f"{tmp_path}/to", "one", "test_parquet_load")
+    root, to = f"{tmp_path}/t", f"{tmp_path}/to"
+    for day, values in (("30", good + bad), ("31", bad * 20)):
+        file = spark.createDataFrame(values, "id string, paid string").coalesce(1)
+        file.write.parquet(f"{root}/run_date=2024-03-{day}")
+    loaded = load_bulk(spark, root, "2024-03-30", target, to, "one", "test_parquet_load")
     assert rows_of(loaded) == sorted((i, Decimal("1.50"), None) for i, _ in good)
-    assert rows_of(load_bulk(spark, f"{tmp_path}/t", "2024-03-31", target, f"{tmp_path}/to", "two", "test_parquet_load")) == []
+    assert rows_of(load_bulk(spark, root, "2024-03-31", target, to, "two", "test_parquet_load")) == []
     assert spark.table("test_parquet_load").count() == 0, "the last load replaces the rows before it"
 
 
@@ -103,7 +106,8 @@ def test_staging_a_date_again_replaces_only_that_date(spark, tmp_path):
         stage_parquet(spark.createDataFrame([(value,)], "v string"), root, run_date)
     assert rows_of(read_staged_parquet(spark, root, "2024-01-01")) == [("new",)]
     assert rows_of(read_staged_parquet(spark, root, "2024-01-02")) == [("other",)]
-    assert [f.split("/")[-2] for f in read_staged_parquet(spark, root, "2024-01-01").inputFiles()] == ["run_date=2024-01-01"]
+    read = read_staged_parquet(spark, root, "2024-01-01").inputFiles()
+    assert [file.split("/")[-2] for file in read] == ["run_date=2024-01-01"]
     with pytest.raises(ValueError):
         read_staged_parquet(spark, root, "01/01/2024")
 

@@ -12,7 +12,9 @@ from tallybook.functions.codes import (
 )
 from tallybook.operators.lookups import with_label
 from tallybook.plans.marts import candidate_totals_direct
-from tallybook.plans.models import CLEANED, MARTS, MODELS, all_inputs, inputs, mart_from_raw, model, refresh_models
+from tallybook.plans.models import (
+    CLEANED, MARTS, MODELS, all_inputs, define_marts, inputs, mart_from_raw, model, refresh_models,
+)
 from tallybook.schemas import RAW
 
 
@@ -161,6 +163,17 @@ def test_refresh_writes_tables_and_defines_views(spark, raw, tmp_path):
     assert all("load_id=two" in again[name].inputFiles()[0] for name in CLEANED)
 
 
+def test_marts_over_a_catalog(spark, raw, tmp_path):
+    refresh_models(raw, str(tmp_path), "one", database="default")
+    try:
+        kept = {name: spark.table(f"default.{name}") for name in CLEANED}
+        marts = define_marts({"cand_cmte_link": raw["cand_cmte_link"], **kept})
+        assert {name: rows_of(rows) for name, rows in marts.items()} == {name: rows_of(model(name, raw)) for name in MARTS}
+    finally:
+        for name in CLEANED:
+            spark.sql(f"DROP VIEW default.{name}")
+
+
 @pytest.mark.parametrize("name", list(MARTS))
 def test_marts_are_the_same_over_written_dimensions(raw, tmp_path, name):
     assert rows_of(mart_from_raw(name, raw, str(tmp_path))) == rows_of(model(name, raw))
