@@ -51,54 +51,68 @@ def html_code_table(pages: DataFrame, key: str, html: str, schema: T.StructType)
     return rows.select(key, *cells)
 
 
-# What matters in a page: text that is not shown, the tags of tables, line breaks, and any other tag.
+# What matters in a page: comments, text that is not shown, the tags of tables, line breaks, and any other tag.
 _TOKEN = re.compile(r"""
       <!--.*?(?:-->|\Z)
-    | <(?P<hidden>script|style|title)\b.*?(?:</(?P=hidden)\s*>|\Z)
-    | <(?P<end>/?)(?P<tag>table|tr|td|th|br)\b(?P<attributes>(?:"[^"]*"|'[^']*'|[^'">])*)>
-    | </?[a-z][^>]*>
+    | <(?P<unshown>script|style|title)\b.*?(?:</(?P=unshown)\s*>|\Z)
+    | <(?P<end>/?)(?P<tag>table|thead|tbody|tfoot|tr|td|th|br)\b(?P<attributes>(?:"[^"]*"|'[^']*'|[^'"<>])*)>
+    | </?[a-z][^<>]*>
     """, re.IGNORECASE | re.DOTALL | re.VERBOSE)
-# The largest spans that HTML knows.
+# The spaces that count as one, and the largest spans that HTML knows.
+_SPACES = re.compile(r"[\r\n]+|\s{2,}")
 MAX_ROWSPAN, MAX_COLSPAN = 65534, 1000
 _SPAN = re.compile(r"""\b(rowspan|colspan)\s*=\s*["']?(\d+)""", re.IGNORECASE)
 
 
 def first_table(html: str) -> list[list[str]]:
-    """Cell texts of the first table that has any text; spans are filled in.
+    """Cell texts of the first table that has any text, head first and foot last; spans are filled in.
 
     End tags may be missing, and a table inside a cell counts as text of the cell.
     """
-    rows, cell, depth, seen = [], None, 0, 0
+    parts, part, cell, depth, seen = _parts(), "tbody", None, 0, 0
     for token in _TOKEN.finditer(html):
         if cell:
-            cell["text"] += html[seen:token.start()]
+            cell["texts"].append(html[seen:token.start()])
         seen, tag, opens = token.end(), (token["tag"] or "").lower(), not token["end"]
         if tag == "br" and cell:
-            cell["text"] += " "
+            cell["texts"].append("\n")
         elif tag == "table":
             depth = max(0, depth + (1 if opens else -1))
             if depth == opens:  # the outermost table begins or ends
-                if not opens and (grid := _grid(rows)):
+                if not opens and (grid := _grid(parts)):
                     return grid
-                rows, cell = [], None
+                parts, part, cell = _parts(), "tbody", None
+        elif depth == 1 and tag in parts:
+            part, cell = tag if opens else "tbody", None
         elif depth == 1 and tag in ("tr", "td", "th"):
             cell = None
-            if opens and (tag == "tr" or not rows):
-                rows.append([])
+            if opens and (tag == "tr" or not parts[part]):
+                parts[part].append([])
             if opens and tag != "tr":
                 spans = {name.lower(): int(n) for name, n in _SPAN.findall(token["attributes"])}
-                cell = {"text": "", "down": min(spans.get("rowspan", 1), MAX_ROWSPAN),
+                cell = {"texts": [], "down": min(spans.get("rowspan", 1), MAX_ROWSPAN),
                         "across": min(spans.get("colspan", 1), MAX_COLSPAN)}
-                rows[-1].append(cell)
+                parts[part][-1].append(cell)
     if cell:
-        cell["text"] += html[seen:]
-    return _grid(rows)
+        cell["texts"].append(html[seen:])
+    return _grid(parts)
 
 
-def _grid(table: list[list[dict]]) -> list[list[str]]:
-    """Rows of equal width, with each spanning cell repeated in every place it covers; none if all are blank."""
+def _parts() -> dict[str, list[list[dict]]]:
+    return {"thead": [], "tbody": [], "tfoot": []}
+
+
+def _grid(parts: dict[str, list[list[dict]]]) -> list[list[str]]:
+    """The rows of all parts, of equal width; none if all are blank."""
+    rows = [row for part in parts.values() for row in _fill_spans(part) if row]
+    width = max(map(len, rows), default=0)
+    return [row + [""] * (width - len(row)) for row in rows] if any(map(any, rows)) else []
+
+
+def _fill_spans(part: list[list[dict]]) -> list[list[str]]:
+    """Rows of text, with each spanning cell repeated in every place it covers."""
     rows, from_above = [], {}
-    for cells in table:
+    for cells in part:
         row, below = [], {}
 
         def put(text, more_rows):
@@ -113,13 +127,13 @@ def _grid(table: list[list[dict]]) -> list[list[str]]:
 
         take_from_above()
         for cell in cells:
+            text = _SPACES.sub(" ", unescape("".join(cell["texts"])).strip())
             for _ in range(cell["across"]):
-                put(" ".join(unescape(cell["text"]).split()), cell["down"] - 1)
+                put(text, cell["down"] - 1)
             take_from_above()
         rows.append(row)
         from_above = below
     while from_above:  # cells that span beyond the last row
         rows.append([text for _, (text, _) in sorted(from_above.items())])
         from_above = {i: (text, more_rows - 1) for i, (text, more_rows) in from_above.items() if more_rows > 1}
-    width = max(map(len, rows), default=0)
-    return [row + [""] * (width - len(row)) for row in rows if row] if any(map(any, rows)) else []
+    return rows

@@ -1,5 +1,7 @@
 """Code tables in HTML pages."""
 
+import time
+
 import pytest
 
 from helpers import plan_of, rows_of
@@ -14,7 +16,7 @@ CODES = columns("code string, label string")
     ("", []),
     ("<table><tr><th>a<th>b<tr><td>1<td>2</table>", [["a", "b"], ["1", "2"]]),
     ("<table></table><table><tr><td> </td></tr></table><table><tr><td>x</td></tr></table>", [["x"]]),
-    ("<table><tr><td>&lt;b&gt; &amp;\n <i>c</i><br>d</td></tr></table>", [["<b> & c d"]]),
+    ("<table><tr><td>&lt;b&gt; &amp;\n<i>c</i><br>d</td></tr></table>", [["<b> & c d"]]),
     ("<table><tr><td rowspan=2>a</td><td>b</td></tr><tr><td>c</td></tr></table>", [["a", "b"], ["a", "c"]]),
     ("<table><tr><td>a</td><td rowspan=3>b</td></tr><tr><td>c</td></tr><tr><td>d</td></tr></table>",
      [["a", "b"], ["c", "b"], ["d", "b"]]),
@@ -28,11 +30,24 @@ CODES = columns("code string, label string")
     ("<!-- <table><tr><td>no</td></tr></table> --><TABLE><TR><TD>x</TD></TR></TABLE>", [["x"]]),
     ("<table><thead><tr><th>h</th></tr></thead><tbody><tr><td>x</td></tr></tbody></table>", [["h"], ["x"]]),
     ("<table><tr><td>never closed", [["never closed"]]),
+    ("<table><tfoot><tr><td>f</td></tr></tfoot><tr><td>b</td></tr><thead><tr><td>h</td></tr></thead></table>",
+     [["h"], ["b"], ["f"]]),
+    ("<table><thead><tr><th rowspan=2>h</th></tr></thead><tbody><tr><td>x</td></tr></tbody></table>",
+     [["h"], ["h"], ["x"]]),
+    ("<table><thead><th>a</th><th>b</th></thead><tr><td>1</td><td>2</td></tr></table>", [["a", "b"], ["1", "2"]]),
+    ("<table><tr><td>a\u00a0b\tc  d \n e</td></tr></table>", [["a\u00a0b\tc d e"]]),
 ])
 def test_first_table(html, rows):
     assert first_table(html) == rows
 
 
+@pytest.mark.parametrize("part", ["<a ", "<td '", '<td title="x>', "<table><tr><td>x", "<script>", "<!--", "<br", "< ", "\"'>"])
+def test_broken_pages_take_no_long_time(part):
+    started = time.perf_counter()
+    first_table("<table><tr><td>" + part * 50_000)
+    assert time.perf_counter() - started < 10
+
+
 def test_rows_and_columns_by_position(spark):
     pages = spark.createDataFrame(
         [(1, "<table><tr><th>Code</th><th>Text</th><th>More</th></tr><tr><td>007</td><td>x</td><td>y</td></tr></table>"),
