@@ -16,21 +16,27 @@ EXACT = {"ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
 
 
 def read_text_columns(spark: SparkSession, path: str, schema: T.StructType, header: bool = False,
-                      quoted: bool = False) -> DataFrame:
-    """All columns as text under the declared names, by position."""
+                      quoted: bool = False, mode: str = "PERMISSIVE") -> DataFrame:
+    """All columns as text under the declared names, by position.
+
+    A permissive read fills a short line with nulls and drops what a long one
+    has too much. With FAILFAST either fails the job; lines are then split
+    whole, because a wrong count does not show in columns left out.
+    """
     style = QUOTED if quoted else UNQUOTED
-    return spark.read.schema(as_text(schema)).csv(path, header=header, **style, **EXACT)
+    reader = spark.read.schema(as_text(schema)).option("columnPruning", mode != "FAILFAST")
+    return reader.csv(path, header=header, mode=mode, **style, **EXACT)
 
 
 def read_delimited(spark: SparkSession, path: str, bulk: BulkFormat, header: bool = False) -> DataFrame:
-    """A bulk file in its declared types; a value that does not fit fails the job."""
-    text = _bulk_text(spark, path, bulk, bulk.names, header)
+    """A bulk file in its declared types; a line or a value that does not fit fails the job."""
+    text = _bulk_text(spark, path, bulk, bulk.names, header, "FAILFAST")
     return cast_to_schema(text, bulk.schema, bulk.date_format)
 
 
 def read_lenient(spark: SparkSession, path: str, bulk: BulkFormat, header: bool = False) -> DataFrame:
     """A bulk file in its declared types; a value that does not fit turns null."""
-    text = _bulk_text(spark, path, bulk, bulk.names, header)
+    text = _bulk_text(spark, path, bulk, bulk.names, header, "PERMISSIVE")
     return try_cast_to_schema(text, bulk.schema, bulk.date_format)
 
 
@@ -40,7 +46,8 @@ def read_with_dictionary(spark: SparkSession, path: str, dictionary: str, bulk:
     missing = set(bulk.names) ^ set(names)
     if missing:
         raise ValueError(f"header file and declared columns differ in {sorted(missing)}")
-    return cast_to_schema(_bulk_text(spark, path, bulk, names, False), bulk.schema, bulk.date_format)
+    text = _bulk_text(spark, path, bulk, names, False, "FAILFAST")
+    return cast_to_schema(text, bulk.schema, bulk.date_format)
 
 
 def header_names(spark: SparkSession, path: str) -> list[str]:
@@ -52,11 +59,12 @@ def write_delimited(rows: DataFrame, path: str, header: bool = True, quoted: boo
     rows.write.csv(path, header=header, **style, **EXACT)
 
 
-def _bulk_text(spark: SparkSession, path: str, bulk: BulkFormat, names: list[str], header: bool) -> DataFrame:
+def _bulk_text(spark: SparkSession, path: str, bulk: BulkFormat, names: list[str], header: bool,
+               mode: str) -> DataFrame:
     """Text columns named in file order, without the column after a trailing delimiter."""
     width = len(names) + bulk.trailing_delimiter
     numbered = T.StructType([T.StructField(f"column_{i + 1}", T.StringType()) for i in range(width)])
-    rows = read_text_columns(spark, path, numbered, header)
+    rows = read_text_columns(spark, path, numbered, header, mode=mode)
     if bulk.trailing_delimiter:
         rows = drop_trailing_column(rows)
     return rename_positional(rows, names)

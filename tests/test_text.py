@@ -4,6 +4,7 @@ import datetime as dt
 from decimal import Decimal
 
 import pytest
+from py4j.protocol import Py4JJavaError
 from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -25,11 +26,15 @@ def test_trailing_delimiter_stray_quote_and_empty_fields(spark, tmp_path):
     assert rows_of(read_delimited(spark, path, TRAILING)) == GOOD
 
 
-@pytest.mark.parametrize("line", ["C2||13452024|1|x|", "C2||01012024|abc|x|"])
-def test_strict_read_fails_on_a_bad_value(spark, tmp_path, line):
-    path = text_files(tmp_path, a=[line])
-    with pytest.raises(PySparkException):
-        read_delimited(spark, path, TRAILING).collect()
+@pytest.mark.parametrize("line", [
+    "C2||13452024|1|x|", "C2||01012024|abc|x|", "C2|N|01012024|1", "C2|N|01012024|1|x||more"])
+def test_strict_read_fails_on_a_bad_line(spark, tmp_path, line):
+    rows = read_delimited(spark, text_files(tmp_path, a=[line]), TRAILING)
+    with pytest.raises((PySparkException, Py4JJavaError)):
+        rows.collect()
+    if line.count("|") != 5:
+        with pytest.raises((PySparkException, Py4JJavaError)):
+            rows.select("id").collect()
 
 
 def test_lenient_read_turns_bad_values_null(spark, tmp_path):
