@@ -96,7 +96,8 @@ def full_refresh(rows: DataFrame, root: str, load_id: str, view: str, database:
 
     The rows are written next to the previous load, counted, and only then does
     the view point to them: a load that fails leaves the previous rows in place.
-    With a database the view is kept in the catalog, otherwise in the session.
+    A load id names one attempt; trying again takes a new one. With a database the
+    view is kept in the catalog, otherwise in the session.
     """
     spark = rows.sparkSession
     path = f"{root}/load_id={load_id}"

@@ -1,12 +1,15 @@
 """The shape of the plans: what is read, what moves, and how a hot key is met."""
 
+import os
+
 import pytest
 from pyspark.sql import functions as F
 
 from helpers import plan_of, rows_of
+from tallybook.operators.load import delimited_files, match_by_position, skip_bad_files
 from tallybook.plans.marts import candidate_totals_direct
 from tallybook.plans.models import MARTS, mart_from_raw, model
-from tallybook.schemas import RAW
+from tallybook.schemas import RAW, columns
 from testbed.fixtures import raw_tables
 
 
@@ -96,6 +99,32 @@ def test_a_hot_committee_among_transactions_is_split(spark, landed, settings, tm
     assert "skew=true" in plan_of(result)
 
 
+def test_a_hot_code_is_split(spark, landed, settings, tmp_path):
+    tables = dict(landed, operating_exp=spread(spark, hot(landed["operating_exp"], RPT_TP="Q1"), f"{tmp_path}/hot"))
+    expected = rows_of(model("src_operating_exp", tables))
+    settings(**SPLIT)
+    result = model("src_operating_exp", tables)
+    assert rows_of(result) == expected
+    assert "skew=true" in plan_of(result)
+
+
+def test_a_hot_file_is_split_when_skipped_files_are_not_broadcast(spark, settings, tmp_path):
+    """Half of the rows are in one file; the list of skipped files is joined by a shuffle."""
+    os.makedirs(f"{tmp_path}/in")
+    for i in range(40):
+        with open(f"{tmp_path}/in/{i}.txt", "w", encoding="utf-8") as file:
+            file.writelines(f"{i}-{j}|{'x' if i % 4 == 3 else j}\n" for j in range(20_000 if i == 0 else 500))
+    target = columns("id string, n int")
+    settings(**SPLIT, files__maxPartitionBytes="16KB", files__openCostInBytes="1KB")
+    rows = match_by_position(delimited_files(spark, f"{tmp_path}/in", target, header=False, quoted=False), target)
+    loaded = skip_bad_files(rows, target, f"{tmp_path}/report")
+    assert loaded.count() == 20_000 + 29 * 500
+    kept = loaded.select("n")
+    assert kept.agg(F.sum("n")).first()[0] == sum(range(20_000)) + 29 * sum(range(500))
+    kept.collect()
+    assert "skew=true" in plan_of(kept)
+
+
 def test_a_hot_committee_among_links_is_split(spark, landed, settings, tmp_path):
     links = hot(landed["cand_cmte_link"], CMTE_ID="C1")
     for _ in range(4):
