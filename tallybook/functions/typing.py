@@ -6,6 +6,7 @@ from pyspark.sql import types as T
 
 
 def strict(text: Column, to: T.DataType, date_format: str | None = None) -> Column:
+    """The ANSI cast, which fails on a value that is not of the type."""
     if date_format and isinstance(to, T.DateType):
         return F.to_date(text, date_format)
     return text.cast(to)
@@ -22,11 +23,17 @@ def unconvertible(text: Column, to: T.DataType, date_format: str | None = None)
     return text.isNotNull() & lenient(text, to, date_format).isNull()
 
 
+def failing(text: Column, to: T.DataType, date_format: str | None = None) -> Column:
+    """What ``strict`` gives, also in a session whose casts turn bad values null."""
+    wrong = F.raise_error(F.concat(F.lit(f"not a {to.simpleString()}: "), text))
+    return F.when(unconvertible(text, to, date_format), wrong).otherwise(lenient(text, to, date_format))
+
+
 def cast_to_schema(rows: DataFrame, schema: T.StructType, date_format: str | None = None) -> DataFrame:
     """Every column in its declared type and order; a bad value fails the job."""
-    if str(rows.sparkSession.conf.get("spark.sql.ansi.enabled")).lower() != "true":
-        raise ValueError("a strict cast needs spark.sql.ansi.enabled, or bad values would turn null")
-    return rows.select([strict(F.col(f.name), f.dataType, date_format).alias(f.name) for f in schema])
+    ansi = str(rows.sparkSession.conf.get("spark.sql.ansi.enabled")).lower() == "true"
+    convert = strict if ansi else failing
+    return rows.select([convert(F.col(f.name), f.dataType, date_format).alias(f.name) for f in schema])
 
 
 def try_cast_to_schema(rows: DataFrame, schema: T.StructType, date_format: str | None = None) -> DataFrame:

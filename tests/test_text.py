@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from helpers import rows_of, text_files
-from tallybook.functions.typing import cast_to_schema, lenient, strict
+from tallybook.functions.typing import lenient, strict
 from tallybook.schemas import BULK, CODES, COMPACT_DATE, RAW, SLASH_DATE, BulkFormat, columns
 from tallybook.sources.delimited import (
     header_names, read_delimited, read_lenient, read_text_columns, read_with_dictionary, write_delimited,
@@ -101,12 +101,14 @@ def test_days_that_do_not_exist(spark, text, fmt):
         frame.select(strict(F.col("t"), T.DateType(), fmt)).collect()
 
 
-def test_strict_cast_refuses_a_session_that_would_hide_bad_values(spark):
-    frame = spark.createDataFrame([("abc",)], "n string")
+def test_strict_reads_also_fail_where_casts_would_hide_bad_values(spark, tmp_path):
+    bad = text_files(tmp_path / "bad", a=["C2||01012024|abc|x|"])
+    good = text_files(tmp_path / "good", a=["C1|N|01012024|12.5|x|", 'C3|A||7|he said "hi|'])
     spark.conf.set("spark.sql.ansi.enabled", "false")
     try:
-        with pytest.raises(ValueError, match="ansi"):
-            cast_to_schema(frame, columns("n int"))
+        assert rows_of(read_delimited(spark, good, TRAILING)) == GOOD
+        with pytest.raises((PySparkException, Py4JJavaError), match="abc"):
+            read_delimited(spark, bad, TRAILING).collect()
     finally:
         spark.conf.unset("spark.sql.ansi.enabled")
 
