@@ -1,6 +1,5 @@
 """Where jobs put the tables they write between steps."""
 
-import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
@@ -9,12 +8,10 @@ from pyspark.sql import SparkSession
 def scratch_dir(spark: SparkSession, label: str) -> str:
     """A fresh path under the shared folder named by ``spark.checkpoint.dir``.
 
-    Only a local session may do without that setting; it then gets a temporary
-    folder, which every task of a local session can see.
+    Without that setting it lies under the warehouse, which every session has
+    and all executors share.
     """
     shared = spark.conf.get("spark.checkpoint.dir", None)
     if not shared:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-        shared = tempfile.mkdtemp(prefix="tallybook-")
+        shared = f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_scratch"
     return f"{shared.rstrip('/')}/tallybook/{label}-{uuid.uuid4().hex}"
