@@ -4,17 +4,30 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallybook.llm import byte_bpe, packing, warc_segments
+from tallybook.llm import byte_bpe, packing, pii_crf, quality_fm, warc_segments
+from tallybook.llm.common import crc_fold
 from tallybook.scratch import scratch_dir
 
 MULTI_RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
 BPE_JSON = public_tokenizers.path("byte_bpe_50k.json")
 
+#: Documents scored at least this are accepted.
+ACCEPTED = 0.3
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op3_fm_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's quality by the factorisation machine."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    machine = quality_fm.fit(docs, table(spark, sf_dir, "labels"))
+    return quality_fm.score(docs, machine).select(
+        "doc_id", (crc_fold("doc_id", quality_fm.FOLDS) == 0).alias("held_out"), "score",
+        (F.col("score") >= ACCEPTED).cast("int").alias("predicted"))
+
+
 def op4_warc_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every page to WARC archives with revisits, and back."""
     archive = scratch_dir(spark, "warc")
@@ -37,7 +50,15 @@ def op9_power_of_two_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset")
 
 
-QUERIES = {f.__name__: f for f in (op4_warc_segments, op6_byte_bpe, op9_power_of_two_packing)}
+def op10_crf_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Personal data of every document by patterns and the field."""
+    field = pii_crf.train_table(pii_crf.labelled_table(spark))
+    return pii_crf.find(table(spark, sf_dir, "documents"), field).select(
+        "doc_id", "n_email", "n_ip", "n_card", "n_phone", F.sha2("base", 256).alias("base_sha256"), "spans")
+
+
+QUERIES = {f.__name__: f for f in (
+    op3_fm_quality, op4_warc_segments, op6_byte_bpe, op9_power_of_two_packing, op10_crf_pii)}
 
 ORACLE = {
     "op4_warc_segments": """
