@@ -4,7 +4,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallybook.llm import byte_bpe, packing, pii_crf, quality_fm, warc_segments
+from tallybook.llm import byte_bpe, hyperminhash, packing, pii_crf, quality_fm, warc_segments
 from tallybook.llm.common import crc_fold
 from tallybook.scratch import scratch_dir
 
@@ -43,6 +43,11 @@ def op6_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return byte_bpe.tokens_report(table(spark, sf_dir, "documents"), lambda: byte_bpe.tokenizer_of_ranks(path))
 
 
+def op7_hyperminhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Near-duplicate documents by shingles of three words, at a similarity of 0.85."""
+    return hyperminhash.near_duplicates(table(spark, sf_dir, "documents"), width=3, percent=85)
+
+
 def op9_power_of_two_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document in sequences of power-of-two lengths."""
     path = BPE_JSON
@@ -58,7 +63,7 @@ def op10_crf_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (
-    op3_fm_quality, op4_warc_segments, op6_byte_bpe, op9_power_of_two_packing, op10_crf_pii)}
+    op3_fm_quality, op4_warc_segments, op6_byte_bpe, op7_hyperminhash, op9_power_of_two_packing, op10_crf_pii)}
 
 ORACLE = {
     "op4_warc_segments": """
@@ -75,4 +80,31 @@ ORACLE = {
                CASE WHEN page_id <> keeper THEN keeper END AS refers_to,
                CAST(NULL AS VARCHAR) AS damage
         FROM k""",
+    "op7_hyperminhash": """
+        WITH RECURSIVE w AS (
+            SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+                       'abcdefghijklmnopqrstuvwxyz'), '[^\\x20\\x09-\\x0D]+') AS words
+            FROM documents),
+        s AS (
+            SELECT doc_id, list_distinct(CASE
+                WHEN len(words) >= 3 THEN list_transform(range(1, len(words) - 1),
+                                                         lambda i: array_to_string(words[i:i + 2], ' '))
+                WHEN len(words) > 0 THEN [array_to_string(words, ' ')] ELSE [] END) AS shingles
+            FROM w),
+        t AS (SELECT doc_id, len(shingles) AS n, unnest(shingles) AS shingle FROM s),
+        common AS (
+            SELECT x.doc_id AS a, y.doc_id AS b, any_value(x.n) AS n, any_value(y.n) AS m, count(*) AS c
+            FROM t x JOIN t y ON x.shingle = y.shingle AND x.doc_id < y.doc_id
+                AND 100 * least(x.n, y.n) >= 85 * greatest(x.n, y.n)
+            GROUP BY 1, 2),
+        links AS (SELECT a, b FROM common WHERE 100 * c >= 85 * (n + m - c)),
+        ends AS (SELECT a, b FROM links UNION ALL SELECT b, a FROM links),
+        reached(doc_id, other) AS (
+            SELECT a, b FROM ends
+            UNION SELECT r.doc_id, e.b FROM reached r JOIN ends e ON r.other = e.a),
+        least_of AS (SELECT doc_id, min(other) AS other FROM reached GROUP BY 1)
+        SELECT doc_id, CAST(len(shingles) AS BIGINT) AS n_shingles,
+               least(doc_id, coalesce(other, doc_id)) AS component_id,
+               doc_id = least(doc_id, coalesce(other, doc_id)) AS kept
+        FROM s LEFT JOIN least_of USING (doc_id)""",
 }
