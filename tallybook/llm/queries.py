@@ -4,7 +4,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallybook.llm import byte_bpe, hyperminhash, packing, pii_crf, quality_fm, warc_segments
+from tallybook.llm import byte_bpe, hyperminhash, packing, pii_crf, projection_forest, quality_fm, warc_segments
 from tallybook.llm.common import crc_fold
 from tallybook.scratch import scratch_dir
 
@@ -19,6 +19,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op2_projection_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Near-duplicate vectors within a label."""
+    return projection_forest.near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
 def op3_fm_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's quality by the factorisation machine."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -63,9 +68,28 @@ def op10_crf_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (
-    op3_fm_quality, op4_warc_segments, op6_byte_bpe, op7_hyperminhash, op9_power_of_two_packing, op10_crf_pii)}
+    op2_projection_forest, op3_fm_quality, op4_warc_segments, op6_byte_bpe, op7_hyperminhash, op9_power_of_two_packing, op10_crf_pii)}
 
 ORACLE = {
+    "op2_projection_forest": """
+        WITH RECURSIVE v AS (
+            SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS x,
+                   sqrt(list_sum(list_transform(CAST(embedding AS DOUBLE[]), lambda e: e * e))) AS size
+            FROM embeddings
+            WHERE label IS NOT NULL AND len(embedding) > 0 AND len(list_filter(embedding, lambda e: NOT coalesce(isfinite(e), false))) = 0),
+        links AS (
+            SELECT s.vec_id AS a, t.vec_id AS b
+            FROM v s JOIN v t ON s.label = t.label AND len(s.x) = len(t.x) AND s.vec_id <> t.vec_id
+            WHERE s.size > 0 AND t.size > 0 AND list_dot_product(s.x, t.x) / (s.size * t.size) >= 0.93),
+        reached(vec_id, other) AS (
+            SELECT a, b FROM links
+            UNION SELECT r.vec_id, l.b FROM reached r JOIN links l ON r.other = l.a),
+        least_of AS (SELECT vec_id, min(other) AS other FROM reached GROUP BY 1),
+        n AS (SELECT a AS vec_id, count(*) AS n_links FROM links GROUP BY 1)
+        SELECT vec_id, CAST(coalesce(n_links, 0) AS BIGINT) AS n_links,
+               least(vec_id, coalesce(other, vec_id)) AS component_id,
+               vec_id = least(vec_id, coalesce(other, vec_id)) AS kept
+        FROM embeddings LEFT JOIN n USING (vec_id) LEFT JOIN least_of USING (vec_id)""",
     "op4_warc_segments": """
         WITH p AS (
             SELECT page_id, octet_length(encode(coalesce(html, ''))) AS payload_bytes,
