@@ -4,7 +4,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallybook.llm import byte_bpe, hyperminhash, packing, pii_crf, projection_forest, quality_fm, warc_segments
+from tallybook.llm import byte_bpe, hyperminhash, kmeans_tree, packing, pii_crf, projection_forest, quality_fm, warc_segments
 from tallybook.llm.common import crc_fold
 from tallybook.scratch import scratch_dir
 
@@ -42,6 +42,11 @@ def op4_warc_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc_segments.with_revisits(rows, scratch_dir(spark, "warc-pages"))
 
 
+def op5_kmeans_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 20 nearest vectors found for every twentieth vector."""
+    return kmeans_tree.search(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0, k=20)
+
+
 def op6_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every text to ids and back to bytes."""
     path = MULTI_RANKS
@@ -68,7 +73,7 @@ def op10_crf_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (
-    op2_projection_forest, op3_fm_quality, op4_warc_segments, op6_byte_bpe, op7_hyperminhash, op9_power_of_two_packing, op10_crf_pii)}
+    op2_projection_forest, op3_fm_quality, op4_warc_segments, op5_kmeans_tree, op6_byte_bpe, op7_hyperminhash, op9_power_of_two_packing, op10_crf_pii)}
 
 ORACLE = {
     "op2_projection_forest": """
