@@ -4,7 +4,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallybook.llm import byte_bpe, hyperminhash, kmeans_tree, packing, pii_crf, projection_forest, quality_fm, warc_segments
+from tallybook.llm import byte_bpe, hyperminhash, kmeans_tree, packing, page_difference, pii_crf, projection_forest, quality_fm, warc_segments
 from tallybook.llm.common import crc_fold
 from tallybook.scratch import scratch_dir
 
@@ -19,6 +19,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_page_difference(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The main text of every page."""
+    return page_difference.main_text(table(spark, sf_dir, "pages")).select(
+        "page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
+
+
 def op2_projection_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Near-duplicate vectors within a label."""
     return projection_forest.near_duplicates(table(spark, sf_dir, "embeddings"))
@@ -73,7 +79,7 @@ def op10_crf_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (
-    op2_projection_forest, op3_fm_quality, op4_warc_segments, op5_kmeans_tree, op6_byte_bpe, op7_hyperminhash, op9_power_of_two_packing, op10_crf_pii)}
+    op1_page_difference, op2_projection_forest, op3_fm_quality, op4_warc_segments, op5_kmeans_tree, op6_byte_bpe, op7_hyperminhash, op9_power_of_two_packing, op10_crf_pii)}
 
 ORACLE = {
     "op2_projection_forest": """
