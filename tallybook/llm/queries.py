@@ -4,7 +4,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallybook.llm import byte_bpe, hyperminhash, kmeans_tree, packing, page_difference, pii_crf, projection_forest, quality_fm, warc_segments
+from tallybook.llm import byte_bpe, hyperminhash, katz, kmeans_tree, packing, page_difference, pii_crf, projection_forest, quality_fm, warc_segments
 from tallybook.llm.common import crc_fold
 from tallybook.scratch import scratch_dir
 
@@ -64,6 +64,11 @@ def op7_hyperminhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hyperminhash.near_duplicates(table(spark, sf_dir, "documents"), width=3, percent=85)
 
 
+def op8_katz_backoff(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's chance under the language model of the documents outside the held-out fold."""
+    return katz.train_and_score(table(spark, sf_dir, "documents"), scratch_dir(spark, "katz"))
+
+
 def op9_power_of_two_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document in sequences of power-of-two lengths."""
     path = BPE_JSON
@@ -79,7 +84,8 @@ def op10_crf_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (
-    op1_page_difference, op2_projection_forest, op3_fm_quality, op4_warc_segments, op5_kmeans_tree, op6_byte_bpe, op7_hyperminhash, op9_power_of_two_packing, op10_crf_pii)}
+    op1_page_difference, op2_projection_forest, op3_fm_quality, op4_warc_segments, op5_kmeans_tree, op6_byte_bpe, op7_hyperminhash, op8_katz_backoff,
+    op9_power_of_two_packing, op10_crf_pii)}
 
 ORACLE = {
     "op2_projection_forest": """
