@@ -6,18 +6,33 @@ from pyspark.sql import types as T
 
 
 def strict(text: Column, to: T.DataType, date_format: str | None = None) -> Column:
-    """The ANSI cast, which fails on a value that is not of the type."""
+    """The ANSI cast, which fails on a value that is not of the type; so does a decimal with too many digits."""
     if date_format and isinstance(to, T.DateType):
         return F.to_date(text, date_format)
+    if isinstance(to, T.DecimalType):
+        return F.when(_too_precise(text, to), _refused(text, to)).otherwise(text.cast(to))
     return text.cast(to)
 
 
 def lenient(text: Column, to: T.DataType, date_format: str | None = None) -> Column:
     if date_format and isinstance(to, T.DateType):
         return F.try_to_date(text, date_format)
+    if isinstance(to, T.DecimalType):
+        return F.when(~_too_precise(text, to), text.try_cast(to))
     return text.try_cast(to)
 
 
+def _too_precise(text: Column, to: T.DecimalType) -> Column:
+    """True for a number that the cast would round: other than zero digits beyond the scale."""
+    wide = text.try_cast(T.DecimalType(38, 38 - to.precision + to.scale))
+    digits = text.cast("string").rlike(rf"\.\d{{{to.scale}}}\d*[1-9]\d*\s*$")
+    return F.coalesce((wide != text.try_cast(to)) | (wide.isNotNull() & digits), F.lit(False))
+
+
+def _refused(text: Column, to: T.DataType) -> Column:
+    return F.raise_error(F.concat(F.lit(f"not a {to.simpleString()}: "), text.cast("string")))
+
+
 def unconvertible(text: Column, to: T.DataType, date_format: str | None = None) -> Column:
     """True where there is a value, but not one of the declared type."""
     return text.isNotNull() & lenient(text, to, date_format).isNull()
@@ -25,8 +40,7 @@ def unconvertible(text: Column, to: T.DataType, date_format: str | None = None)
 
 def failing(text: Column, to: T.DataType, date_format: str | None = None) -> Column:
     """What ``strict`` gives, also in a session whose casts turn bad values null."""
-    wrong = F.raise_error(F.concat(F.lit(f"not a {to.simpleString()}: "), text))
-    return F.when(unconvertible(text, to, date_format), wrong).otherwise(lenient(text, to, date_format))
+    return F.when(unconvertible(text, to, date_format), _refused(text, to)).otherwise(lenient(text, to, date_format))
 
 
 def cast_to_schema(rows: DataFrame, schema: T.StructType, date_format: str | None = None) -> DataFrame:

@@ -1,15 +1,20 @@
 """Loading staged files into raw tables: column matching, a tolerance for bad rows, full refresh."""
 
+from collections.abc import Sequence
+from concurrent.futures import ThreadPoolExecutor
+
+from py4j.protocol import Py4JJavaError
+from pyspark.errors import PySparkException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tallybook.functions.typing import try_cast_to_schema, unconvertible
-from tallybook.schemas import as_text, columns
-from tallybook.sources.delimited import EXACT, QUOTED, UNQUOTED
+from tallybook.functions.typing import lenient, unconvertible
+from tallybook.schemas import columns
+from tallybook.sources.delimited import FILE, MALFORMED, delimited_files  # noqa: F401  delimited_files is part of loading
 from tallybook.sources.staged import PARQUET
 
-FILE, MALFORMED = "_file", "_malformed"
+BAD = "_bad"
 # Fixed value: a file is skipped when more than this share of its rows is bad.
 TOLERATED_PERCENT = 5
 
@@ -33,50 +38,98 @@ def match_by_name(rows: DataFrame, target: T.StructType) -> DataFrame:
 
 
 def match_by_position(rows: DataFrame, target: T.StructType) -> DataFrame:
-    """The first columns of the rows under the target's names."""
+    """The first columns of the rows under the target's names; fewer columns than the target's are refused."""
     kept = [name for name in (FILE, MALFORMED) if name in rows.columns]
-    return rows.select(*[F.col(old).alias(f.name) for old, f in zip(rows.columns, target)], *kept)
+    data = [name for name in rows.columns if name not in kept]
+    if len(data) < len(target):
+        raise ValueError(f"{len(data)} columns for the {len(target)} of the target")
+    return rows.select(*[F.col(old).alias(f.name) for old, f in zip(data, target)], *kept)
 
 
 def parquet_files(spark: SparkSession, path: str) -> DataFrame:
-    """Rows of Parquet with the file each came from."""
+    """Rows of Parquet of one schema with the file each came from."""
     return spark.read.parquet(path).select("*", F.col("_metadata.file_path").alias(FILE))
 
 
-def delimited_files(spark: SparkSession, path: str, schema: T.StructType, header: bool = True,
-                    quoted: bool = True) -> DataFrame:
-    """Rows of delimited text with the file each came from, and the line if its column count is wrong.
+def parquet_by_schema(spark: SparkSession, path: str) -> tuple[list[DataFrame], list[str], list[str]]:
+    """(rows of the files of each schema, all files, unreadable files) of a folder of Parquet.
 
-    Every line is split whole (columnPruning off), because Spark does not
-    notice a wrong count in columns it was allowed to leave out.
+    Files whose schemas merge are read as one, which one distributed job finds
+    out. If they do not, the schema of each file is read, and files of one schema
+    are read together.
     """
-    fields = as_text(schema).add(MALFORMED, T.StringType())
-    reader = spark.read.schema(fields).option("columnPruning", False)
-    rows = reader.csv(path, header=header, columnNameOfCorruptRecord=MALFORMED,
-                      **(QUOTED if quoted else UNQUOTED), **EXACT)
-    return rows.select("*", F.col("_metadata.file_path").alias(FILE))
+    listed = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path).select(
+        "path", F.col("_metadata.file_path").alias("file")).collect()  # names only, no contents
+    if not listed:
+        return [], [], []
+    files, names = [r.path for r in listed], [r.file for r in listed]
+    try:
+        rows = spark.read.option("mergeSchema", True).parquet(*files)
+        return [rows.select("*", F.col("_metadata.file_path").alias(FILE))], names, []
+    except (PySparkException, Py4JJavaError):
+        pass
+
+    def schema_of(file: str):
+        try:
+            return spark.read.parquet(file).schema
+        except (PySparkException, Py4JJavaError):
+            return None
+
+    with ThreadPoolExecutor(16) as pool:
+        found = list(pool.map(schema_of, files))
+    groups: dict[str, list[str]] = {}
+    schemas = {schema.json(): schema for schema in found if schema is not None}
+    for file, schema in zip(files, found):
+        if schema is not None:
+            groups.setdefault(schema.json(), []).append(file)
+    rows = [spark.read.schema(schemas[key]).parquet(*some).select("*", F.col("_metadata.file_path").alias(FILE))
+            for key, some in groups.items()]
+    return rows, names, [name for name, schema in zip(names, found) if schema is None]
+
+
+def checked(rows: DataFrame, target: T.StructType, date_format: str | None = None) -> DataFrame:
+    """The target's columns in their types, whether the row is bad, and its file."""
+    typed = [F.col(f.name) if rows.schema[f.name].dataType == f.dataType else
+             lenient(F.col(f.name), f.dataType, date_format).alias(f.name) for f in target]
+    return rows.select(*typed, _bad(rows, target, date_format).alias(BAD), FILE)
 
 
 def skip_bad_files(rows: DataFrame, target: T.StructType, report_path: str, date_format: str | None = None,
-                   tolerated_percent: int = TOLERATED_PERCENT) -> DataFrame:
+                   tolerated_percent: int = TOLERATED_PERCENT, key: str | None = None) -> DataFrame:
     """Typed good rows of every file that keeps within the tolerance.
 
     A row is bad if its line has the wrong number of columns or a value is not
-    of its declared type. The first pass counts bad rows per file and writes the
-    counts as a load report; the second reads the list of skipped files back, so
-    its size is known, and drops their rows without moving the others.
+    of its declared type.
+    """
+    return keep_good(checked(rows, target, date_format), target, report_path, tolerated_percent, key)
+
+
+def keep_good(rows: DataFrame, target: T.StructType, report_path: str, tolerated_percent: int = TOLERATED_PERCENT,
+              key: str | None = None, files: Sequence[str] = (), unreadable: Sequence[str] = ()) -> DataFrame:
+    """The good ones of checked rows, of files within the tolerance.
+
+    The first pass counts bad rows per file and writes the counts as a load
+    report, with ``files`` that have no rows, and with unreadable files as skipped; the second
+    reads the list of skipped files back, so its size is known, and drops their
+    rows without moving the others. ``key`` is the column whose nulls are counted, the first if not given.
     """
-    bad = _bad(rows, target, date_format)
-    counts = rows.groupBy(F.col(FILE).alias("file")).agg(
+    spark = rows.sparkSession
+    report = rows.groupBy(F.col(FILE).alias("file")).agg(
         F.count("*").alias("n_rows"),
-        F.count_if(bad).alias("n_bad"),
-        F.count_if(F.col(target.fieldNames()[0]).isNull()).alias("n_without_key"))
-    report = counts.withColumn("skipped", F.col("n_bad") * 100 > F.col("n_rows") * tolerated_percent)
+        F.count_if(BAD).alias("n_bad"),
+        F.count_if(F.col(key or target.fieldNames()[0]).isNull()).alias("n_without_key"))
+    report = report.withColumn("skipped", F.col("n_bad") * 100 > F.col("n_rows") * tolerated_percent)
+    if files:
+        listed = spark.createDataFrame([(file, file in set(unreadable)) for file in files], "listed string, unreadable boolean")
+        none = F.lit(0).cast("bigint")
+        report = listed.join(report, F.col("listed") == F.col("file"), "left").select(
+            F.col("listed").alias("file"), *(F.coalesce(c, none).alias(c) for c in ("n_rows", "n_bad", "n_without_key")),
+            F.coalesce("skipped", "unreadable").alias("skipped"))
     report.write.partitionBy("skipped").parquet(report_path)
 
-    skipped = load_report(rows.sparkSession, report_path).where("skipped").select("file")
-    kept = rows.where(~bad).join(skipped, F.col(FILE) == F.col("file"), "left_anti")
-    return try_cast_to_schema(kept, target, date_format)
+    skipped = load_report(spark, report_path).where("skipped").select("file")
+    kept = rows.where(~F.col(BAD)).join(skipped, F.col(FILE) == F.col("file"), "left_anti")
+    return kept.select(*target.fieldNames())
 
 
 def load_report(spark: SparkSession, report_path: str) -> DataFrame:
@@ -84,30 +137,43 @@ def load_report(spark: SparkSession, report_path: str) -> DataFrame:
     return spark.read.schema(REPORT).parquet(report_path)
 
 
-def written(rows: DataFrame, path: str) -> DataFrame:
+def written(rows: DataFrame, path: str, mode: str = "errorifexists") -> DataFrame:
     """The rows as a table of their own: no lineage to replay, and a size that Spark knows."""
-    rows.write.mode("errorifexists").parquet(path, **PARQUET)
+    rows.write.mode(mode).parquet(path, **PARQUET)
     return rows.sparkSession.read.parquet(path)
 
 
+def write_load(rows: DataFrame, root: str, load_id: str, name: str, min_rows: int = 0) -> DataFrame:
+    """The rows of one load beside those of others, counted if a least number is asked. Nothing points to them yet."""
+    loaded = written(rows, load_folder(root, load_id))
+    if min_rows and loaded.count() < min_rows:
+        raise ValueError(f"{name}: fewer than {min_rows} rows loaded, the previous load stays")
+    return loaded
+
+
+def load_folder(root: str, load_id: str) -> str:
+    return f"{root}/load_id={load_id}"
+
+
+def switch_view(spark: SparkSession, root: str, load_id: str, view: str, database: str | None = None) -> None:
+    """Let a view point to a load: in the catalog with a database, otherwise in the session."""
+    path = load_folder(root, load_id)
+    if database:
+        spark.sql(f"CREATE OR REPLACE VIEW {database}.{view} AS SELECT * FROM parquet.`{path}`")
+    else:
+        spark.read.parquet(path).createOrReplaceTempView(view)
+
+
 def full_refresh(rows: DataFrame, root: str, load_id: str, view: str, database: str | None = None,
                  min_rows: int = 0) -> DataFrame:
     """Replace a table's rows, so that loading the same run again makes no duplicates.
 
-    The rows are written next to the previous load, counted, and only then does
-    the view point to them: a load that fails leaves the previous rows in place.
-    A load id names one attempt; trying again takes a new one. With a database the
-    view is kept in the catalog, otherwise in the session.
+    The rows are written next to the previous load, and only then does the view
+    point to them: a load that fails, or has fewer rows than asked, leaves the previous rows in place.
+    A load id names one attempt; trying again takes a new one.
     """
-    spark = rows.sparkSession
-    path = f"{root}/load_id={load_id}"
-    loaded = written(rows, path)
-    if min_rows and loaded.count() < min_rows:
-        raise ValueError(f"{view}: fewer than {min_rows} rows loaded, the previous load stays")
-    if database:
-        spark.sql(f"CREATE OR REPLACE VIEW {database}.{view} AS SELECT * FROM parquet.`{path}`")
-    else:
-        loaded.createOrReplaceTempView(view)
+    loaded = write_load(rows, root, load_id, view, min_rows)
+    switch_view(rows.sparkSession, root, load_id, view, database)
     return loaded
 
 

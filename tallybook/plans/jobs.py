@@ -1,21 +1,49 @@
 """The jobs a user runs per dataset: ingest to the landing area, then load to a raw table."""
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tallybook.operators.load import (
-    delimited_files, full_refresh, match_by_name, match_by_position, parquet_files, skip_bad_files,
+    TOLERATED_PERCENT, checked, delimited_files, full_refresh, keep_good, load_report, match_by_name,
+    match_by_position, parquet_by_schema, skip_bad_files, written,
 )
 from tallybook.schemas import BulkFormat
-from tallybook.sources.delimited import read_delimited, read_lenient
+from tallybook.sources.delimited import FILE, good_lines, lenient_lines, line_report, read_delimited, rejected_lines
 from tallybook.sources.html import html_code_table
-from tallybook.sources.staged import run_folder, stage_delimited, stage_parquet
+from tallybook.sources.staged import run_folder, side_folder, stage_delimited, stage_parquet
+
+
+def ingest_bulk(spark: SparkSession, text: str, bulk: BulkFormat, root: str, run_date: str, header: bool = False,
+                dictionary: str | None = None, tolerated_percent: int = TOLERATED_PERCENT) -> None:
+    """Bulk text, typed, staged as Parquet under the run date.
+
+    ``dictionary`` is the dataset's header file, if it comes with one. A lenient
+    dataset leaves two more tables (``read_rejects``, ``read_line_report``): the
+    lines with a wrong field count, and the counts per file; a file with too
+    many such lines is not staged.
+    """
+    if not bulk.lenient:
+        stage_parquet(read_delimited(spark, text, bulk, header, dictionary), root, run_date)
+        return
+    lines = lenient_lines(spark, text, bulk, header, dictionary)
+    written(rejected_lines(lines), side_folder(root, "rejects", run_date), "overwrite")
+    report = written(line_report(lines, bulk, tolerated_percent), side_folder(root, "reports", run_date), "overwrite")
+    skipped = report.where("skipped").select("file")
+    kept = lines.join(skipped, F.col(FILE) == F.col("file"), "left_anti")
+    stage_parquet(good_lines(kept, bulk), root, run_date)
 
 
-def ingest_bulk(spark: SparkSession, text: str, bulk: BulkFormat, root: str, run_date: str) -> None:
-    """Bulk text, typed, staged as Parquet under the run date."""
-    read = read_lenient if bulk.lenient else read_delimited
-    stage_parquet(read(spark, text, bulk), root, run_date)
+def read_rejects(spark: SparkSession, root: str, run_date: str) -> DataFrame:
+    """(file, line) that a lenient ingest could not split."""
+    return spark.read.parquet(side_folder(root, "rejects", run_date))
+
+
+def read_line_report(spark: SparkSession, root: str, run_date: str) -> DataFrame:
+    """(file, n_rows, n_wrong, n_nulled, skipped) of a lenient ingest."""
+    return spark.read.parquet(side_folder(root, "reports", run_date))
 
 
 def ingest_code_table(pages: DataFrame, key: str, html: str, schema: T.StructType, root: str,
@@ -25,20 +53,31 @@ def ingest_code_table(pages: DataFrame, key: str, html: str, schema: T.StructTyp
 
 
 def load_bulk(spark: SparkSession, root: str, run_date: str, target: T.StructType, table: str, load_id: str,
-              view: str, database: str | None = None) -> DataFrame:
-    """One run's staged Parquet, by column name and within the tolerance, as the new rows of a raw table."""
-    rows = match_by_name(parquet_files(spark, run_folder(root, run_date)), target)
-    return _load(rows, target, table, load_id, view, database)
+              view: str, database: str | None = None, min_rows: int = 0, key: str | None = None) -> DataFrame:
+    """One run's staged Parquet as the new rows of a raw table, by column name and within the tolerance, file by file.
+
+    Every file is matched by its own columns; an unreadable file is skipped like one with too many bad rows.
+    """
+    groups, files, unreadable = parquet_by_schema(spark, run_folder(root, run_date))
+    nothing = spark.createDataFrame([], T.StructType([*target, T.StructField(FILE, T.StringType())]))
+    parts = [checked(match_by_name(rows, target), target) for rows in [nothing, *groups]]
+    report = f"{table}/reports/{load_id}"
+    good = keep_good(reduce(DataFrame.unionByName, parts), target, report, key=key, files=files, unreadable=unreadable)
+    return _refreshed(good, report, table, load_id, view, database, min_rows)
 
 
 def load_code_table(spark: SparkSession, root: str, run_date: str, target: T.StructType, table: str,
-                    load_id: str, view: str, database: str | None = None) -> DataFrame:
+                    load_id: str, view: str, database: str | None = None, min_rows: int = 0) -> DataFrame:
     """One run's staged delimited text, by column position, as the new rows of a raw table."""
     rows = match_by_position(delimited_files(spark, run_folder(root, run_date), target), target)
-    return _load(rows, target, table, load_id, view, database)
+    report = f"{table}/reports/{load_id}"
+    return _refreshed(skip_bad_files(rows, target, report), report, table, load_id, view, database, min_rows)
 
 
-def _load(rows: DataFrame, target: T.StructType, table: str, load_id: str, view: str,
-          database: str | None) -> DataFrame:
-    good = skip_bad_files(rows, target, f"{table}/reports/{load_id}")
-    return full_refresh(good, f"{table}/rows", load_id, view, database)
+def _refreshed(good: DataFrame, report: str, table: str, load_id: str, view: str, database: str | None,
+               min_rows: int) -> DataFrame:
+    """A run whose files were all skipped is refused: the table keeps its rows."""
+    states = load_report(good.sparkSession, report).select("skipped").distinct().collect()
+    if states and all(state.skipped for state in states):
+        raise ValueError(f"{view}: every file was skipped, the previous load stays")
+    return full_refresh(good, f"{table}/rows", load_id, view, database, min_rows)

@@ -23,7 +23,7 @@ def fct_cand_committee_trans(src_independent_exp: DataFrame, src_candidates: Dat
 
 
 def fct_candidate_indiv_cont(src_candidates: DataFrame, cand_cmte_link: DataFrame,
-                             src_indiv_contributions: DataFrame) -> DataFrame:
+                             src_indiv_contributions: DataFrame, cycle: int = CYCLE) -> DataFrame:
     """Contributions per candidate of the cycle, over the many-to-many committee links.
 
     Contributions are summed before they meet the links: a committee with very
@@ -33,24 +33,24 @@ def fct_candidate_indiv_cont(src_candidates: DataFrame, cand_cmte_link: DataFram
     its sides by itself; adaptive execution can split a hot committee only then.
     """
     sums = src_indiv_contributions.groupBy("cmte_id", "entity_tp").agg(F.sum("transaction_amt").alias("amt"))
-    return _candidate_totals(sums.select("cmte_id", "amt"), "amt", cand_cmte_link, src_candidates)
+    return _candidate_totals(sums.select("cmte_id", "amt"), "amt", cand_cmte_link, src_candidates, cycle)
 
 
 def candidate_totals_direct(src_candidates: DataFrame, cand_cmte_link: DataFrame,
-                            src_indiv_contributions: DataFrame) -> DataFrame:
+                            src_indiv_contributions: DataFrame, cycle: int = CYCLE) -> DataFrame:
     """The same totals with every contribution carried through the joins."""
     contributions = src_indiv_contributions.select("cmte_id", "transaction_amt")
-    return _candidate_totals(contributions, "transaction_amt", cand_cmte_link, src_candidates)
+    return _candidate_totals(contributions, "transaction_amt", cand_cmte_link, src_candidates, cycle)
 
 
 def _candidate_totals(amounts: DataFrame, amount: str, cand_cmte_link: DataFrame,
-                      src_candidates: DataFrame) -> DataFrame:
+                      src_candidates: DataFrame, cycle: int) -> DataFrame:
     """Totals per candidate attributes, grouped by the raw office code that is put in words afterwards.
 
     The amounts come first in the joins, so what they meet is each time one table of known size.
     """
-    links = cand_cmte_link.where(F.col("cand_election_yr") == CYCLE).select("cand_id", "cmte_id")
-    candidates = src_candidates.where(F.col("cand_election_yr") == CYCLE).select("cand_id", *CANDIDATE)
+    links = cand_cmte_link.where(F.col("cand_election_yr") == cycle).select("cand_id", "cmte_id")
+    candidates = src_candidates.where(F.col("cand_election_yr") == cycle).select("cand_id", *CANDIDATE)
     rows = amounts.join(links, "cmte_id").join(candidates, "cand_id")
     totals = rows.groupBy(*CANDIDATE).agg(F.sum(amount).alias("total_contributions"))
     return totals.withColumn("cand_office", label(F.col("cand_office"), OFFICE))

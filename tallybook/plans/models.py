@@ -1,12 +1,14 @@
 """Which model reads what, and a refresh of all of them."""
 
 from collections.abc import Callable, Mapping
-from inspect import signature
+from concurrent.futures import ThreadPoolExecutor
+from inspect import Parameter, signature
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
-from tallybook.operators.load import full_refresh, written
+from tallybook.operators.load import switch_view, write_load, written
 from tallybook.plans import cleaned, marts
+from tallybook.schemas import SOURCES
 
 CLEANED: dict[str, Callable[..., DataFrame]] = {
     f.__name__: f for f in (
@@ -24,8 +26,8 @@ DIMENSIONS = ("src_candidates", "src_committees")
 
 
 def inputs(name: str) -> list[str]:
-    """The tables a model reads: its parameters are their names."""
-    return list(signature(MODELS[name]).parameters)
+    """The tables a model reads: its parameters without a default are their names."""
+    return [n for n, p in signature(MODELS[name]).parameters.items() if p.default is Parameter.empty]
 
 
 def all_inputs(name: str) -> set[str]:
@@ -34,9 +36,15 @@ def all_inputs(name: str) -> set[str]:
     return set(direct).union(*[all_inputs(i) for i in direct if i in MODELS])
 
 
-def model(name: str, tables: Mapping[str, DataFrame]) -> DataFrame:
-    """A model by name; inputs not among the given tables are models themselves."""
-    return MODELS[name](*[tables[i] if i in tables else model(i, tables) for i in inputs(name)])
+def model(name: str, tables: Mapping[str, DataFrame], **options) -> DataFrame:
+    """A model by name; inputs not among the given tables are models themselves. Options are its parameters with a default."""
+    return MODELS[name](*[tables[i] if i in tables else model(i, tables) for i in inputs(name)], **options)
+
+
+def raw_from_catalog(spark: SparkSession, database: str = "raw",
+                     physical: Mapping[str, str] = SOURCES) -> dict[str, DataFrame]:
+    """The raw tables of a database under their logical names."""
+    return {name: spark.table(f"{database}.{table}") for name, table in physical.items()}
 
 
 def mart_from_raw(name: str, raw: Mapping[str, DataFrame], root: str) -> DataFrame:
@@ -45,12 +53,12 @@ def mart_from_raw(name: str, raw: Mapping[str, DataFrame], root: str) -> DataFra
     The candidates and committees it joins are written first. Spark then knows
     how large they are and broadcasts the small ones; its estimate for a cleaned
     table that is still a join is the product of its inputs, so it would shuffle
-    every transaction to meet them.
+    every transaction to meet them. Under one root they replace those of the mart before.
     """
     tables = dict(raw)
     for dimension in DIMENSIONS:
         if dimension in all_inputs(name):
-            tables[dimension] = written(model(dimension, raw), f"{root}/{dimension}")
+            tables[dimension] = written(model(dimension, raw), f"{root}/{dimension}", "overwrite")
     return model(name, tables)
 
 
@@ -62,11 +70,26 @@ def define_marts(tables: Mapping[str, DataFrame]) -> dict[str, DataFrame]:
     return marts
 
 
-def refresh_models(raw: Mapping[str, DataFrame], root: str, load_id: str,
-                   database: str | None = None) -> dict[str, DataFrame]:
-    """Write the cleaned tables, then define the marts over what was written.
+def refresh_models(raw: Mapping[str, DataFrame], root: str, load_id: str, database: str | None = None,
+                   min_rows: Mapping[str, int] | None = None) -> dict[str, DataFrame]:
+    """Write the cleaned tables, all at once, and only when all are there let their views point to them.
 
-    With a database the cleaned tables' views are kept in the catalog.
+    Without a database the marts are lazy views of the session over what was
+    written. With one they are written too, and all views are kept in the
+    catalog, where any session reads them. If a table fails, or has fewer rows
+    than ``min_rows`` asks of it, every view keeps the load before.
     """
-    tables = {name: full_refresh(model(name, raw), f"{root}/{name}", load_id, name, database) for name in CLEANED}
-    return tables | define_marts({**raw, **tables})
+    least = min_rows or {}
+
+    def write(names, tables: Mapping[str, DataFrame]) -> dict[str, DataFrame]:
+        with ThreadPoolExecutor(len(names)) as pool:
+            loads = {n: pool.submit(write_load, model(n, tables), f"{root}/{n}", load_id, n, least.get(n, 0)) for n in names}
+        return {n: load.result() for n, load in loads.items()}
+
+    tables = write(list(CLEANED), raw)
+    spark = next(iter(tables.values())).sparkSession
+    if database:
+        tables |= write(list(MARTS), {**raw, **tables})
+    for name in tables:
+        switch_view(spark, f"{root}/{name}", load_id, name, database)
+    return tables if database else tables | define_marts({**raw, **tables})

@@ -102,6 +102,15 @@ CODES = {
     "transaction_types": columns("trans_tp string, trans_tp_desc string"),
 }
 
+# The physical name of each raw table in a database.
+SOURCES = {
+    "candidates": "raw_candidates", "committees": "raw_committees", "transaction_types": "raw_transaction_types",
+    "committee_types": "raw_committee_types", "political_parties": "raw_political_parties",
+    "indiv_contributions": "raw_individual_contributions", "report_types": "raw_report_types",
+    "committee_trans": "raw_committee_transactions", "operating_exp": "raw_operating_expenditures",
+    "independent_exp": "raw_independent_expenditures", "cand_cmte_link": "raw_cand_cmte_link",
+}
+
 RAW = {name: bulk.schema for name, bulk in BULK.items()} | CODES
 
 

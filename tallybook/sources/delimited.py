@@ -1,13 +1,16 @@
 """Pipe-delimited text, read in splits by every executor."""
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tallybook.functions.typing import cast_to_schema, try_cast_to_schema
+from tallybook.functions.typing import cast_to_schema, try_cast_to_schema, unconvertible
 from tallybook.operators.frames import drop_trailing_column, rename_positional
 from tallybook.schemas import BulkFormat, as_text
 
 DELIMITER = "|"
+# Columns beside the data: the file a row came from, and its line if that does not fit.
+FILE, MALFORMED = "_file", "_malformed"
 # Bulk lines have no quoting: a quote sign is an ordinary character there.
 UNQUOTED = {"sep": DELIMITER, "quote": ""}
 # Code tables are written with a header, and with quotes where a value needs them.
@@ -28,26 +31,88 @@ def read_text_columns(spark: SparkSession, path: str, schema: T.StructType, head
     return reader.csv(path, header=header, mode=mode, **style, **EXACT)
 
 
-def read_delimited(spark: SparkSession, path: str, bulk: BulkFormat, header: bool = False) -> DataFrame:
-    """A bulk file in its declared types; a line or a value that does not fit fails the job."""
-    text = _bulk_text(spark, path, bulk, bulk.names, header, "FAILFAST")
-    return cast_to_schema(text, bulk.schema, bulk.date_format)
+def delimited_files(spark: SparkSession, path: str, schema: T.StructType, header: bool = True,
+                    quoted: bool = True) -> DataFrame:
+    """Rows of delimited text with the file each came from, and the line if its column count is wrong.
 
+    Every line is split whole (columnPruning off), because Spark does not
+    notice a wrong count in columns it was allowed to leave out.
+    """
+    fields = as_text(schema).add(MALFORMED, T.StringType())
+    reader = spark.read.schema(fields).option("columnPruning", False)
+    rows = reader.csv(path, header=header, columnNameOfCorruptRecord=MALFORMED,
+                      **(QUOTED if quoted else UNQUOTED), **EXACT)
+    return rows.select("*", F.col("_metadata.file_path").alias(FILE))
+
+
+def read_delimited(spark: SparkSession, path: str, bulk: BulkFormat, header: bool = False,
+                   dictionary: str | None = None) -> DataFrame:
+    """A bulk file in its declared types; a line or a value that does not fit fails the job.
+
+    ``dictionary`` names the dataset's header file, which then gives the column order.
+    """
+    names = file_order(spark, dictionary, bulk)
+    text = read_text_columns(spark, path, _numbered(bulk, names), header, mode="FAILFAST")
+    if bulk.trailing_delimiter:
+        text = drop_trailing_column(text)
+    return cast_to_schema(rename_positional(text, names), bulk.schema, bulk.date_format)
+
+
+def lenient_lines(spark: SparkSession, path: str, bulk: BulkFormat, header: bool = False,
+                  dictionary: str | None = None) -> DataFrame:
+    """All lines of a bulk file as text columns, with the file, and the whole line if its field count is wrong."""
+    names = file_order(spark, dictionary, bulk)
+    rows = delimited_files(spark, path, _numbered(bulk, names), header, quoted=False)
+    return rename_positional(rows, names).select(*bulk.names, MALFORMED, FILE)
+
+
+def good_lines(lines: DataFrame, bulk: BulkFormat) -> DataFrame:
+    """The lines with the right field count, typed; a value that does not fit turns null."""
+    return try_cast_to_schema(lines.where(F.col(MALFORMED).isNull()), bulk.schema, bulk.date_format)
 
-def read_lenient(spark: SparkSession, path: str, bulk: BulkFormat, header: bool = False) -> DataFrame:
-    """A bulk file in its declared types; a value that does not fit turns null."""
-    text = _bulk_text(spark, path, bulk, bulk.names, header, "PERMISSIVE")
-    return try_cast_to_schema(text, bulk.schema, bulk.date_format)
+
+def rejected_lines(lines: DataFrame) -> DataFrame:
+    """(file, line) of the lines with a wrong field count, whose values cannot be told apart."""
+    # Spark does not read the line alone: nothing of the first column goes along
+    none = F.substring(F.coalesce(F.col(lines.columns[0]), F.lit("")), 1, 0)
+    return lines.where(F.col(MALFORMED).isNotNull()).select(
+        F.col(FILE).alias("file"), F.concat(F.col(MALFORMED), none).alias("line"))
+
+
+def line_report(lines: DataFrame, bulk: BulkFormat, tolerated_percent: int) -> DataFrame:
+    """Per file: lines, lines with a wrong field count, values turned null, and whether it is skipped for the wrong lines."""
+    good = F.col(MALFORMED).isNull()
+    nulled = sum((unconvertible(F.col(f.name), f.dataType, bulk.date_format).cast("bigint") for f in bulk.schema
+                  if not isinstance(f.dataType, T.StringType)), F.lit(0).cast("bigint"))
+    counts = lines.groupBy(F.col(FILE).alias("file")).agg(
+        F.count("*").alias("n_rows"), F.count_if(~good).alias("n_wrong"),
+        F.coalesce(F.sum(F.when(good, nulled)), F.lit(0)).alias("n_nulled"))
+    return counts.withColumn("skipped", F.col("n_wrong") * 100 > F.col("n_rows") * tolerated_percent)
+
+
+def read_lenient(spark: SparkSession, path: str, bulk: BulkFormat, header: bool = False,
+                 dictionary: str | None = None) -> DataFrame:
+    """A bulk file in its declared types; a value that does not fit turns null.
+
+    Lines with a wrong field count are not among the rows: ``rejected_lines`` has them.
+    """
+    return good_lines(lenient_lines(spark, path, bulk, header, dictionary), bulk)
 
 
 def read_with_dictionary(spark: SparkSession, path: str, dictionary: str, bulk: BulkFormat) -> DataFrame:
     """A bulk file whose column order comes from its own one-line header file."""
+    return read_delimited(spark, path, bulk, dictionary=dictionary)
+
+
+def file_order(spark: SparkSession, dictionary: str | None, bulk: BulkFormat) -> list[str]:
+    """The declared names in the order of the header file; other names there fail before any row is read."""
+    if not dictionary:
+        return bulk.names
     names = header_names(spark, dictionary)
-    missing = set(bulk.names) ^ set(names)
-    if missing:
-        raise ValueError(f"header file and declared columns differ in {sorted(missing)}")
-    text = _bulk_text(spark, path, bulk, names, False, "FAILFAST")
-    return cast_to_schema(text, bulk.schema, bulk.date_format)
+    differing = set(bulk.names) ^ set(names)
+    if differing or len(names) != len(bulk.names):
+        raise ValueError(f"header file and declared columns differ in {sorted(differing) or 'repeated names'}")
+    return names
 
 
 def header_names(spark: SparkSession, path: str) -> list[str]:
@@ -59,12 +124,7 @@ def write_delimited(rows: DataFrame, path: str, header: bool = True, quoted: boo
     rows.write.csv(path, header=header, **style, **EXACT)
 
 
-def _bulk_text(spark: SparkSession, path: str, bulk: BulkFormat, names: list[str], header: bool,
-               mode: str) -> DataFrame:
-    """Text columns named in file order, without the column after a trailing delimiter."""
+def _numbered(bulk: BulkFormat, names: list[str]) -> T.StructType:
+    """Text columns for every field of a line, with the one after a trailing delimiter."""
     width = len(names) + bulk.trailing_delimiter
-    numbered = T.StructType([T.StructField(f"column_{i + 1}", T.StringType()) for i in range(width)])
-    rows = read_text_columns(spark, path, numbered, header, mode=mode)
-    if bulk.trailing_delimiter:
-        rows = drop_trailing_column(rows)
-    return rename_positional(rows, names)
+    return T.StructType([T.StructField(f"column_{i + 1}", T.StringType()) for i in range(width)])

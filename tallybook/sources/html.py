@@ -35,7 +35,7 @@ def html_table_rows(pages: DataFrame, key: str, html: str) -> DataFrame:
     def parse(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             rows = ((page, row_no, cells) for page, text in zip(batch[key], batch[html])
-                    for row_no, cells in enumerate(first_table(text)))
+                    for row_no, cells in enumerate(table_rows(text)))
             while part := list(islice(rows, ROWS_PER_BATCH)):
                 yield pd.DataFrame(part, columns=schema.fieldNames())
 
@@ -58,14 +58,18 @@ _TOKEN = re.compile(r"""
     | <(?P<end>/?)(?P<tag>table|thead|tbody|tfoot|tr|td|th|br)\b(?P<attributes>(?:"[^"]*"|'[^']*'|[^'"<>])*)>
     | </?[a-z][^<>]*>
     """, re.IGNORECASE | re.DOTALL | re.VERBOSE)
-# The spaces that count as one, and the largest spans that HTML knows.
+# Fixed value: the spaces that count as one.
 _SPACES = re.compile(r"[\r\n]+|\s{2,}")
-MAX_ROWSPAN, MAX_COLSPAN = 65534, 1000
 _SPAN = re.compile(r"""\b(rowspan|colspan)\s*=\s*["']?(\d+)""", re.IGNORECASE)
 
 
 def first_table(html: str) -> list[list[str]]:
-    """Cell texts of the first table that has any text, head first and foot last; spans are filled in.
+    """All rows of the page's first table that has any text."""
+    return list(table_rows(html))
+
+
+def table_rows(html: str) -> Iterator[list[str]]:
+    """Cell texts of the first table that has any text, head first and foot last; spans are filled in as rows are taken.
 
     End tags may be missing, and a table inside a cell counts as text of the cell.
     """
@@ -79,8 +83,8 @@ def first_table(html: str) -> list[list[str]]:
         elif tag == "table":
             depth = max(0, depth + (1 if opens else -1))
             if depth == opens:  # the outermost table begins or ends
-                if not opens and (grid := _grid(parts)):
-                    return grid
+                if not opens and _any_text(parts):
+                    return _grid(parts)
                 parts, part, cell = _parts(), "tbody", None
         elif depth == 1 and tag in parts:
             part, cell = tag if opens else "tbody", None
@@ -90,28 +94,37 @@ def first_table(html: str) -> list[list[str]]:
                 parts[part].append([])
             if opens and tag != "tr":
                 spans = {name.lower(): int(n) for name, n in _SPAN.findall(token["attributes"])}
-                cell = {"texts": [], "down": min(spans.get("rowspan", 1), MAX_ROWSPAN),
-                        "across": min(spans.get("colspan", 1), MAX_COLSPAN)}
+                cell = {"texts": [], "down": spans.get("rowspan", 1), "across": max(1, spans.get("colspan", 1))}
                 parts[part][-1].append(cell)
     if cell:
         cell["texts"].append(html[seen:])
-    return _grid(parts)
+    return _grid(parts) if _any_text(parts) else iter(())
 
 
 def _parts() -> dict[str, list[list[dict]]]:
     return {"thead": [], "tbody": [], "tfoot": []}
 
 
-def _grid(parts: dict[str, list[list[dict]]]) -> list[list[str]]:
-    """The rows of all parts, of equal width; none if all are blank."""
-    rows = [row for part in parts.values() for row in _fill_spans(part) if row]
-    width = max(map(len, rows), default=0)
-    return [row + [""] * (width - len(row)) for row in rows] if any(map(any, rows)) else []
+def _any_text(parts: dict[str, list[list[dict]]]) -> bool:
+    return any(_text(cell) for part in parts.values() for row in part for cell in row)
+
+
+def _text(cell: dict) -> str:
+    return _SPACES.sub(" ", unescape("".join(cell["texts"])).strip())
+
+
+def _grid(parts: dict[str, list[list[dict]]]) -> Iterator[list[str]]:
+    """The rows of all parts, of equal width. A first pass takes the width, so that no row is held."""
+    width = max((len(row) for part in parts.values() for row in _fill_spans(part)), default=0)
+    for part in parts.values():
+        for row in _fill_spans(part):
+            if row:
+                yield row + [""] * (width - len(row))
 
 
-def _fill_spans(part: list[list[dict]]) -> list[list[str]]:
+def _fill_spans(part: list[list[dict]]) -> Iterator[list[str]]:
     """Rows of text, with each spanning cell repeated in every place it covers."""
-    rows, from_above = [], {}
+    from_above = {}
     for cells in part:
         row, below = [], {}
 
@@ -127,13 +140,12 @@ def _fill_spans(part: list[list[dict]]) -> list[list[str]]:
 
         take_from_above()
         for cell in cells:
-            text = _SPACES.sub(" ", unescape("".join(cell["texts"])).strip())
+            text = _text(cell)
             for _ in range(cell["across"]):
                 put(text, cell["down"] - 1)
             take_from_above()
-        rows.append(row)
+        yield row
         from_above = below
     while from_above:  # cells that span beyond the last row
-        rows.append([text for _, (text, _) in sorted(from_above.items())])
+        yield [text for _, (text, _) in sorted(from_above.items())]
         from_above = {i: (text, more_rows - 1) for i, (text, more_rows) in from_above.items() if more_rows > 1}
-    return rows

@@ -1,9 +1,8 @@
-"""The landing area: one folder per dataset, one ``run_date=`` partition per run."""
+"""The landing area: one folder per dataset, in it one ``run_date=`` folder per run."""
 
 from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tallybook.sources.delimited import EXACT, QUOTED, read_text_columns
@@ -14,12 +13,12 @@ PARQUET = {"compression": "zstd"}
 
 
 def stage_parquet(rows: DataFrame, root: str, run_date: str) -> None:
-    """Write one run's rows; staging the same date again replaces only that date."""
-    _dated(rows, run_date, **PARQUET).parquet(root)
+    """Write one run's rows, also if there are none; staging the same date again replaces only that date."""
+    rows.write.mode("overwrite").parquet(run_folder(root, run_date), **PARQUET)
 
 
 def stage_delimited(rows: DataFrame, root: str, run_date: str) -> None:
-    _dated(rows, run_date, header=True, **QUOTED, **EXACT).csv(root)
+    rows.write.mode("overwrite").csv(run_folder(root, run_date), header=True, **QUOTED, **EXACT)
 
 
 def run_folder(root: str, run_date: str) -> str:
@@ -27,6 +26,11 @@ def run_folder(root: str, run_date: str) -> str:
     return f"{root.rstrip('/')}/{RUN_DATE}={date.fromisoformat(run_date)}"
 
 
+def side_folder(root: str, kind: str, run_date: str) -> str:
+    """Where what belongs to a run, but is not its rows, lies; readers of the root pass it over."""
+    return f"{root.rstrip('/')}/_{kind}/{RUN_DATE}={date.fromisoformat(run_date)}"
+
+
 def read_staged_parquet(spark: SparkSession, root: str, run_date: str) -> DataFrame:
     return spark.read.parquet(run_folder(root, run_date))
 
@@ -35,8 +39,3 @@ def read_staged_delimited(spark: SparkSession, root: str, run_date: str, schema:
     """One run's rows as text; the header line is skipped and columns count by position."""
     return read_text_columns(spark, run_folder(root, run_date), schema, header=True, quoted=True)
 
-
-def _dated(rows: DataFrame, run_date: str, **options):
-    dated = rows.withColumn(RUN_DATE, F.lit(date.fromisoformat(run_date)))
-    writer = dated.write.partitionBy(RUN_DATE).mode("overwrite")
-    return writer.options(partitionOverwriteMode="dynamic", **options)

@@ -135,8 +135,21 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+#: Folders of raw tables that were written before, by the folder of the driver's tables they come from.
+LANDED: dict[str, str] = {}
+
+
+def land(spark: SparkSession, sf_dir: str, root: str, files: int) -> None:
+    """Write all raw tables, each in several files, for ``raw_tables`` to read from now on."""
+    for name, rows in raw_tables(spark, sf_dir).items():
+        rows.repartition(files).write.parquet(f"{root}/{name}")
+    LANDED[sf_dir] = root
+
+
 def raw_tables(spark: SparkSession, sf_dir: str, names: Iterable[str] = VIEWS) -> dict[str, DataFrame]:
     """The named raw tables under their declared column names."""
+    if sf_dir in LANDED:
+        return {n: spark.read.parquet(f"{LANDED[sf_dir]}/{n}") for n in names}
     tables = {t: table(spark, sf_dir, t) for t in DRIVER_TABLES}
     return {n: spark.sql(VIEWS[n], **{t: d for t, d in tables.items() if f"{{{t}}}" in VIEWS[n]})
             .toDF(*RAW[n].fieldNames()) for n in names}

@@ -208,9 +208,9 @@ SELECT page_id, 'S' || CAST(page_id AS VARCHAR), CAST(NULL AS VARCHAR) FROM page
 
 LANDED = """
 WITH landed AS (
-    SELECT *, o_orderkey // 1000 AS file_no,
-           CASE (o_orderkey // 1000) % 4 WHEN 0 THEN FALSE WHEN 1 THEN o_orderkey % 1000 < 50
-                WHEN 2 THEN o_orderkey % 1000 < 51 ELSE TRUE END AS spoilt
+    SELECT *, o_orderkey % 16 AS file_no,
+           CASE o_orderkey % 4 WHEN 0 THEN FALSE WHEN 1 THEN (o_orderkey // 16) % 25 = 0
+                WHEN 2 THEN (o_orderkey // 16) % 17 = 0 ELSE TRUE END AS spoilt
     FROM orders),
 files AS (
     SELECT file_no, count(*) AS n_rows, count(*) FILTER (spoilt) AS n_bad FROM landed GROUP BY file_no)
@@ -222,6 +222,18 @@ FROM landed JOIN files USING (file_no) WHERE NOT spoilt AND n_bad <= 0.05 * n_ro
 """
 
 
+# Spending lines by the file they are put in, and those that get a wrong field count.
+SPOILT_LINES = """
+    SELECT *, file_num % 16 AS file_no, file_num // 16 AS nth,
+           CASE file_num % 4 WHEN 1 THEN (file_num // 16) % 25 = 0 WHEN 2 THEN (file_num // 16) % 3 = 0
+                ELSE FALSE END AS wrong
+    FROM operating_exp"""
+SPOILT = f", spoilt AS ({SPOILT_LINES}) "
+SPOILT_KEPT = f""" FROM (SELECT * FROM ({SPOILT_LINES}) AS s
+    QUALIFY count(*) FILTER (wrong) OVER (PARTITION BY file_no) <= 0.05 * count(*) OVER (PARTITION BY file_no)) AS kept
+    WHERE NOT wrong"""
+
+
 def shipped(date_format: str) -> str:
     return f"""SELECT l_orderkey, l_linenumber, strftime(l_shipdate, '{date_format}') AS text,
         CAST(CAST(l_shipdate AS DATE) AS VARCHAR) AS shipped FROM lineitem"""
@@ -232,7 +244,9 @@ ORACLE: dict[str, str] = {
     "scan_delimited_header": declared("committees"),
     "scan_lenient": declared(
         "operating_exp", TRANSACTION_AMT="CASE WHEN memo_cd IS NULL THEN transaction_amt END",
-        TRANSACTION_DT="CASE WHEN category_desc IS NOT NULL THEN transaction_dt END"),
+        TRANSACTION_DT="CASE WHEN category_desc IS NOT NULL THEN transaction_dt END",
+        RPT_YR="CAST(CASE WHEN category <> '3' THEN rpt_yr END AS VARCHAR)", SUB_ID="CAST(sub_id AS VARCHAR)",
+        FILE_NUM="CAST(file_num AS VARCHAR)"),
     "header_dictionary": declared("cand_cmte_link"),
     "html_table_extract": PAGE_CODES,
     "staged_scan": declared("independent_exp"),
@@ -240,8 +254,8 @@ ORACLE: dict[str, str] = {
     "parquet_round_trip": declared("committee_trans"),
     "delimited_round_trip": SUPPLIER_CODES,
     "full_refresh": declared("candidates"),
-    "load_by_name": """SELECT o_orderkey, CAST(NULL AS VARCHAR) AS o_orderpriority, o_totalprice,
-        CAST(NULL AS VARCHAR) AS o_clerk FROM orders""",
+    "load_by_name": """SELECT CAST(o_orderkey AS VARCHAR) AS o_orderkey, CAST(NULL AS VARCHAR) AS o_orderpriority,
+        o_totalprice, CAST(NULL AS VARCHAR) AS o_clerk, CAST(NULL AS VARCHAR) AS o_items FROM orders""",
     "load_by_position": "SELECT s_suppkey AS supplier, s_nationkey AS nation, s_name AS name FROM supplier",
     "load_skip_bad_files": LANDED_GOOD,
     "load_report": LANDED + """
@@ -249,7 +263,7 @@ SELECT file_no, n_rows, n_bad, CAST(0 AS BIGINT) AS n_without_key, n_bad > 0.05
     "guarded_refresh": LANDED_GOOD,
     "ingest_code_table": f"SELECT code, label FROM ({PAGE_CODES}) AS extracted",
     **{f"ingest_{name}": declared(name) for name in BULK},
-    "rename_positional": """SELECT c_custkey AS "CMTE_NO", c_name AS "CMTE_NM", c_nationkey AS "NATION",
+    "rename_positional": """SELECT c_custkey AS c_name, c_name AS c_custkey, c_nationkey AS "NATION",
         c_acctbal AS "BALANCE", c_mktsegment FROM customer""",
     "drop_trailing_column": "SELECT CAST(s_suppkey AS VARCHAR) AS s_suppkey, s_name FROM supplier",
     "cast_to_schema": declared("operating_exp"),
@@ -274,4 +288,24 @@ SELECT file_no, n_rows, n_bad, CAST(0 AS BIGINT) AS n_without_key, n_bad > 0.05
     **{name: shown_model(name, columns) for name, columns in COLUMNS.items()},
     "bridge_sum": shown_model("fct_candidate_indiv_cont", COLUMNS["fct_candidate_indiv_cont"]),
     "refresh_models": all_model_totals(),
+    "restage_run": declared("independent_exp") + " WHERE file_num % 2 = 0",
+    "load_mixed_files": """
+SELECT CAST(o_orderkey AS VARCHAR) AS o_orderkey,
+       CASE WHEN o_orderkey % 4 <> 1 THEN CAST(o_custkey AS VARCHAR) END AS o_custkey,
+       CAST(CAST(o_totalprice AS DECIMAL(18,2)) AS DOUBLE) AS o_totalprice
+FROM orders WHERE o_orderkey % 4 <> 3""",
+    "ingest_operating_exp_rejects": over("operating_exp", SPOILT + """
+SELECT file_no, count(*) AS n_rows, count(*) FILTER (wrong) AS n_wrong,
+       CAST(sum(CASE WHEN wrong THEN 0 WHEN category IN ('3', '4') THEN 1 ELSE 0 END) AS BIGINT) AS n_nulled,
+       count(*) FILTER (wrong) > 0.05 * count(*) AS skipped,
+       count(*) FILTER (wrong) AS n_lines, count(*) FILTER (wrong AND nth % 2 = 0) AS n_long
+FROM spoilt GROUP BY file_no"""),
+    "ingest_operating_exp_spoilt": declared(
+        "operating_exp", RPT_YR="CAST(CASE WHEN category <> '3' THEN rpt_yr END AS VARCHAR)",
+        TRANSACTION_AMT="CASE WHEN category <> '4' THEN transaction_amt END", SUB_ID="CAST(sub_id AS VARCHAR)",
+        FILE_NUM="CAST(file_num AS VARCHAR)").replace(" FROM operating_exp", SPOILT_KEPT),
+    "ingest_cand_cmte_link_by_header": declared("cand_cmte_link"),
+    "ingest_operating_exp_by_header": declared("operating_exp"),
+    "marts_from_catalog": f"{model_ctes(list(MARTS), [])} " + " UNION ALL ".join(
+        f"SELECT '{name}' AS model, count(*) AS n_rows FROM {name}" for name in MARTS),
 }

@@ -4,7 +4,9 @@ Results show decimals as double and dates as ISO text, so that any engine
 prints the same values.
 """
 
+import uuid
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -18,23 +20,27 @@ from tallybook.operators.frames import drop_trailing_column, rename_positional
 from tallybook.operators.load import (
     delimited_files, full_refresh, load_report, match_by_name, match_by_position, skip_bad_files, written,
 )
-from tallybook.plans.jobs import ingest_bulk, ingest_code_table, load_bulk, load_code_table
+from tallybook.plans.jobs import (
+    ingest_bulk, ingest_code_table, load_bulk, load_code_table, read_line_report, read_rejects,
+)
 from tallybook.plans.marts import candidate_totals_direct
-from tallybook.plans.models import CLEANED, MARTS, all_inputs, mart_from_raw, model, refresh_models
-from tallybook.schemas import BULK, COMPACT_DATE, RAW, SLASH_DATE, BulkFormat, columns
+from tallybook.plans.models import (
+    CLEANED, MARTS, all_inputs, mart_from_raw, model, raw_from_catalog, refresh_models,
+)
+from tallybook.schemas import BULK, COMPACT_DATE, RAW, SLASH_DATE, SOURCES, BulkFormat, columns
 from tallybook.scratch import scratch_dir
 from tallybook.sources.delimited import (
     read_delimited, read_lenient, read_text_columns, read_with_dictionary, write_delimited,
 )
 from tallybook.sources.html import html_code_table
 from tallybook.sources.staged import (
-    read_staged_delimited, read_staged_parquet, stage_delimited, stage_parquet,
+    read_staged_delimited, read_staged_parquet, run_folder, stage_delimited, stage_parquet,
 )
 from testbed.fixtures import raw_tables, table
 
 RUN_DATE, OTHER_DATE = "2024-03-30", "2024-02-29"
 CODE_TABLE = columns("code string, label string")
-ROWS_PER_FILE = 1000
+FILES = 16
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -45,6 +51,12 @@ def shown(rows: DataFrame) -> DataFrame:
                         for f in rows.schema])
 
 
+def whole_numbers_as_text(rows: DataFrame) -> DataFrame:
+    """For results with nulls among whole numbers, which other tools show as fractions."""
+    return rows.select([F.col(f.name).cast("string").alias(f.name) if isinstance(f.dataType, T.IntegralType)
+                        else F.col(f.name) for f in rows.schema])
+
+
 def raw(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return raw_tables(spark, sf_dir, [name])[name]
 
@@ -74,7 +86,10 @@ def scan_delimited_header(spark, sf_dir):
 
 
 def scan_lenient(spark, sf_dir):
-    """Amounts that are no numbers on rows with a memo code; days that do not exist where there is no category."""
+    """Amounts that are no numbers on rows with a memo code; days that do not exist where there is no category.
+
+    Years that are no numbers in category 3. Whole numbers are shown as text, as some are null.
+    """
     bulk = BULK["operating_exp"]
     rows = raw(spark, sf_dir, "operating_exp")
     text = rows.select(
@@ -83,11 +98,12 @@ def scan_lenient(spark, sf_dir):
     ).withColumns({
         "TRANSACTION_AMT": F.when(F.col("MEMO_CD").isNotNull(), "unknown").otherwise(F.col("TRANSACTION_AMT")),
         "TRANSACTION_DT": F.when(F.col("CATEGORY_DESC").isNull(), "2/30/2024").otherwise(F.col("TRANSACTION_DT")),
+        "RPT_YR": F.when(F.col("CATEGORY") == "3", "20x4").otherwise(F.col("RPT_YR")),
         "end": F.lit(None).cast("string"),
     })
     path = scratch_dir(spark, "text")
     write_delimited(text, path, header=False, quoted=False)
-    return shown(read_lenient(spark, path, bulk))
+    return shown(whole_numbers_as_text(read_lenient(spark, path, bulk)))
 
 
 def header_dictionary(spark, sf_dir):
@@ -146,9 +162,7 @@ def staged_delimited_scan(spark, sf_dir):
 
 
 def parquet_round_trip(spark, sf_dir):
-    path = scratch_dir(spark, "parquet")
-    raw(spark, sf_dir, "committee_trans").write.parquet(path)
-    return shown(spark.read.parquet(path))
+    return shown(written(raw(spark, sf_dir, "committee_trans"), scratch_dir(spark, "parquet")))
 
 
 def delimited_round_trip(spark, sf_dir):
@@ -166,10 +180,10 @@ def full_refresh_twice(spark, sf_dir):
 
 def load_by_name(spark, sf_dir):
     """O_ORDERPRIORITY is not o_orderpriority, o_clerk is absent, and columns beyond the target are left out."""
-    target = columns("o_orderkey bigint, o_orderpriority string, o_totalprice double, o_clerk string")
+    target = columns("o_orderkey bigint, o_orderpriority string, o_totalprice double, o_clerk string, o_items bigint")
     path = scratch_dir(spark, "parquet")
     table(spark, sf_dir, "orders").withColumnRenamed("o_orderpriority", "O_ORDERPRIORITY").write.parquet(path)
-    return match_by_name(spark.read.parquet(path), target)
+    return whole_numbers_as_text(match_by_name(spark.read.parquet(path), target))
 
 
 def load_by_position(spark, sf_dir):
@@ -178,7 +192,7 @@ def load_by_position(spark, sf_dir):
     rows = table(spark, sf_dir, "supplier").select(
         F.col("s_suppkey").alias("name"), F.col("s_nationkey").alias("x"), F.col("s_name").alias("supplier"))
     write_delimited(rows, path)
-    text = spark.read.csv(path, header=True, sep="|")
+    text = read_text_columns(spark, path, columns("a string, b string, c string"), header=True, quoted=True)
     return cast_to_schema(match_by_position(text, target), target)
 
 
@@ -188,13 +202,13 @@ ORDER_LINE = columns("o_orderkey bigint, o_custkey bigint, o_orderdate date, o_t
 def orders_in_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Orders as text, with the landing file of each and a mark on the rows to be spoilt.
 
-    Files hold 1,000 orders. By file number, in turn: none is spoilt, 5 % (kept),
-    just above 5 % (skipped), all (skipped).
+    There are always 16 files. By file number, in turn: none is spoilt, about 4 %
+    (kept), about 6 % (skipped), all (skipped).
     """
-    nth = F.col("o_orderkey") % ROWS_PER_FILE
-    file_no = F.floor(F.col("o_orderkey") / ROWS_PER_FILE)
-    spoilt = (F.when(file_no % 4 == 0, F.lit(False)).when(file_no % 4 == 1, nth < 50)
-              .when(file_no % 4 == 2, nth < 51).otherwise(F.lit(True)))
+    nth = F.floor(F.col("o_orderkey") / FILES)
+    file_no = F.col("o_orderkey") % FILES
+    spoilt = (F.when(file_no % 4 == 0, F.lit(False)).when(file_no % 4 == 1, nth % 25 == 0)
+              .when(file_no % 4 == 2, nth % 17 == 0).otherwise(F.lit(True)))
     return table(spark, sf_dir, "orders").select(
         F.col("o_orderkey").cast("string"), F.col("o_custkey").cast("string"),
         F.date_format("o_orderdate", COMPACT_DATE).alias("o_orderdate"),
@@ -259,6 +273,93 @@ def ingest(name: str) -> Query:
     return run
 
 
+def restaged_run(spark, sf_dir):
+    """A date staged twice, the second time with fewer rows; another date staged again with none."""
+    rows, root = raw(spark, sf_dir, "independent_exp"), scratch_dir(spark, "staged")
+    for date, first in ((RUN_DATE, F.lit(True)), (OTHER_DATE, F.lit(True)), (RUN_DATE, F.col("FILE_NUM") % 2 == 0),
+                        (OTHER_DATE, F.lit(False))):
+        stage_parquet(rows.where(first), root, date)
+    return shown(read_staged_parquet(spark, root, RUN_DATE).unionByName(read_staged_parquet(spark, root, OTHER_DATE)))
+
+
+MIXED = columns("o_orderkey bigint, o_custkey bigint, o_totalprice amount")
+
+
+def load_mixed_files(spark, sf_dir):
+    """Files of one run that differ: all columns, one less, one more with text for amounts, and only bad amounts."""
+    root, to = scratch_dir(spark, "staged"), scratch_dir(spark, "table")
+    orders, way = table(spark, sf_dir, "orders"), F.col("o_orderkey") % 4
+    price = F.col("o_totalprice").cast("decimal(18,2)")
+    parts = (("o_orderkey", "o_custkey", price.alias("o_totalprice")), ("o_orderkey", price.alias("o_totalprice")),
+             ("o_orderkey", "o_custkey", price.cast("string").alias("o_totalprice"), "o_orderstatus"),
+             ("o_orderkey", "o_custkey", F.lit("n/a").alias("o_totalprice")))
+    for i, names in enumerate(parts):
+        orders.where(way == i).select(*names).write.mode("append").parquet(run_folder(root, RUN_DATE))
+    return shown(whole_numbers_as_text(load_bulk(spark, root, RUN_DATE, MIXED, to, "first", "tallybook_mixed")))
+
+
+def spoilt_spending(spark: SparkSession, sf_dir: str) -> tuple[str, str]:
+    """Spending in 16 files of text: amounts with three decimals and years that are no numbers in all, and lines with
+    a field too many or too few, some in every fourth file and many in every other fourth. Also where it was staged."""
+    bulk, path, root = BULK["operating_exp"], scratch_dir(spark, "text"), scratch_dir(spark, "staged")
+    rows = raw(spark, sf_dir, "operating_exp")
+    text = {f.name: F.date_format(f.name, bulk.date_format) if isinstance(f.dataType, T.DateType)
+            else F.col(f.name).cast("string") for f in rows.schema}
+    text["TRANSACTION_AMT"] = F.when(F.col("CATEGORY") == "4", F.concat(text["TRANSACTION_AMT"], F.lit("5"))).otherwise(
+        text["TRANSACTION_AMT"])
+    text["RPT_YR"] = F.when(F.col("CATEGORY") == "3", "20x4").otherwise(text["RPT_YR"])
+    line = F.concat_ws("|", *(F.coalesce(value, F.lit("")) for value in text.values()), F.lit(""))
+    nth, file_no = F.floor(F.col("FILE_NUM") / FILES), F.col("FILE_NUM") % FILES
+    wrong = (F.when(file_no % 4 == 1, nth % 25 == 0).when(file_no % 4 == 2, nth % 3 == 0).otherwise(F.lit(False)))
+    line = F.when(wrong & (nth % 2 == 0), F.concat(F.lit("extra|"), line)).when(wrong, "short|line").otherwise(line)
+    rows.select(line.alias("line"), file_no.alias("file_no")).repartition("file_no").write.partitionBy("file_no").text(path)
+    ingest_bulk(spark, path, bulk, root, RUN_DATE)
+    return path, root
+
+
+def ingest_rejects(spark, sf_dir):
+    """The counts that a lenient ingest leaves per file, and the rejected lines of each."""
+    _, root = spoilt_spending(spark, sf_dir)
+    file_no = F.regexp_extract("file", r"file_no=(\d+)", 1).cast("bigint").alias("file_no")
+    lines = read_rejects(spark, root, RUN_DATE).groupBy(file_no).agg(
+        F.count("*").alias("n_lines"), F.count_if(F.col("line").startswith("extra|")).alias("n_long"))
+    report = read_line_report(spark, root, RUN_DATE).select(file_no, "n_rows", "n_wrong", "n_nulled", "skipped")
+    none = F.lit(0).cast("bigint")
+    return report.join(lines, "file_no", "left").select(
+        "file_no", "n_rows", "n_wrong", "n_nulled", "skipped", F.coalesce("n_lines", none).alias("n_lines"),
+        F.coalesce("n_long", none).alias("n_long"))
+
+
+def ingest_spoilt(spark, sf_dir):
+    """What of the same files is staged: no line with shifted values."""
+    _, root = spoilt_spending(spark, sf_dir)
+    return shown(whole_numbers_as_text(read_staged_parquet(spark, root, RUN_DATE)))
+
+
+def ingest_by_header(name: str) -> Query:
+    """A bulk dataset whose columns come in another order, which its header file gives."""
+    def run(spark, sf_dir):
+        bulk = BULK[name]
+        root, names, path = (scratch_dir(spark, k) for k in ("staged", "header", "text"))
+        rows = raw(spark, sf_dir, name).select(*reversed(bulk.names))
+        rows.where(F.lit(False)).write.csv(names, header=True)
+        ingest_bulk(spark, bulk_text(rows, bulk, path), bulk, root, RUN_DATE, dictionary=names)
+        return shown(read_staged_parquet(spark, root, RUN_DATE))
+    return run
+
+
+def marts_from_catalog(spark, sf_dir):
+    """Raw tables of a database refreshed into it, and a mart read by another session."""
+    database, root = f"tallybook_{uuid.uuid4().hex}", scratch_dir(spark, "models")
+    spark.sql(f"CREATE DATABASE {database}")
+    for name, rows in raw_tables(spark, sf_dir).items():
+        full_refresh(rows, f"{root}/raw/{name}", "first", SOURCES[name], database)
+    refresh_models(raw_from_catalog(spark, database), root, "first", database)
+    marts = [spark.newSession().table(f"{database}.{name}").agg(F.count("*").alias("n_rows")).select(
+        F.lit(name).alias("model"), "n_rows") for name in MARTS]
+    return reduce(DataFrame.unionAll, marts)
+
+
 def refresh_all_models(spark, sf_dir):
     """Every model refreshed; per model its rows and the sum of its amounts."""
     tables = refresh_models(raw_tables(spark, sf_dir), scratch_dir(spark, "models"), "first")
@@ -277,8 +378,9 @@ def refresh_all_models(spark, sf_dir):
 
 
 def rename_by_position(spark, sf_dir):
+    """New names that are old names of other columns."""
     customer = table(spark, sf_dir, "customer")
-    return rename_positional(customer, ["CMTE_NO", "CMTE_NM", "NATION", "BALANCE"])
+    return rename_positional(customer, ["c_name", "c_custkey", "NATION", "BALANCE"])
 
 
 def drop_trailing(spark, sf_dir):
@@ -360,7 +462,7 @@ def mart(name: str) -> Query:
 
 
 def bridge_sum(spark, sf_dir):
-    """The candidates' totals again, without summing before the joins."""
+    """The candidates' totals again, without summing before the joins: every contribution meets all links of its committee."""
     tables = raw_for(spark, sf_dir, "fct_candidate_indiv_cont")
     candidates = written(model("src_candidates", tables), scratch_dir(spark, "dimensions"))
     contributions = model("src_indiv_contributions", tables)
@@ -405,4 +507,11 @@ QUERIES: dict[str, Query] = {
     **{name: mart(name) for name in MARTS},
     "bridge_sum": bridge_sum,
     "refresh_models": refresh_all_models,
+    "restage_run": restaged_run,
+    "load_mixed_files": load_mixed_files,
+    "ingest_operating_exp_rejects": ingest_rejects,
+    "ingest_operating_exp_spoilt": ingest_spoilt,
+    "ingest_cand_cmte_link_by_header": ingest_by_header("cand_cmte_link"),
+    "ingest_operating_exp_by_header": ingest_by_header("operating_exp"),
+    "marts_from_catalog": marts_from_catalog,
 }

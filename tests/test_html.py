@@ -6,7 +6,7 @@ import pytest
 
 from helpers import plan_of, rows_of
 from tallybook.schemas import columns
-from tallybook.sources.html import first_table, html_code_table, html_table_rows, read_pages
+from tallybook.sources.html import first_table, html_code_table, html_table_rows, read_pages, table_rows
 
 CODES = columns("code string, label string")
 
@@ -21,7 +21,8 @@ CODES = columns("code string, label string")
     ("<table><tr><td>a</td><td rowspan=3>b</td></tr><tr><td>c</td></tr><tr><td>d</td></tr></table>",
      [["a", "b"], ["c", "b"], ["d", "b"]]),
     ("<table><tr><td>a</td><td rowspan='3'>b</td></tr></table>", [["a", "b"], ["b", ""], ["b", ""]]),
-    ("<table><tr><td title='1 > 0' colspan=0>a</td><td data-rowspan>b</table>", [["b"]]),
+    ("<table><tr><td title='1 > 0' colspan=0>a</td><td data-rowspan>b</table>", [["a", "b"]]),
+    ("<table><tr><td colspan=1500>a</table>", [["a"] * 1500]),
     ("<table><tr><td colspan=2>a</td><td>b</td></tr><tr><td>c</td></tr></table>", [["a", "a", "b"], ["c", "", ""]]),
     ("<table><tr><td rowspan=2 colspan=2>a</td><td>b</td></tr><tr><td>c</td></tr></table>",
      [["a", "a", "b"], ["a", "a", "c"]]),
@@ -48,6 +49,11 @@ def test_broken_pages_take_no_long_time(part):
     assert time.perf_counter() - started < 10
 
 
+def test_rows_that_a_span_makes_are_made_as_they_are_taken():
+    rows = table_rows("<table><tr><td rowspan=70000>a</table>")
+    assert sum(row == ["a"] for row in rows) == 70000
+
+
 def test_rows_and_columns_by_position(spark):
     pages = spark.createDataFrame(
         [(1, "<table><tr><th>Code</th><th>Text</th><th>More</th></tr><tr><td>007</td><td>x</td><td>y</td></tr></table>"),

@@ -12,12 +12,15 @@ from tallybook.operators.load import (
     delimited_files, full_refresh, load_report, match_by_name, match_by_position, parquet_files, skip_bad_files,
     unmatched_names,
 )
-from tallybook.plans.jobs import load_bulk
-from tallybook.schemas import COMPACT_DATE, columns
+from tallybook.operators.frames import rename_positional
+from tallybook.plans.jobs import ingest_bulk, load_bulk, read_line_report, read_rejects
+from tallybook.schemas import COMPACT_DATE, BulkFormat, columns
 from tallybook.scratch import scratch_dir
+from tallybook.sources.delimited import read_delimited, read_lenient
 from tallybook.sources.staged import (
     read_staged_delimited, read_staged_parquet, stage_delimited, stage_parquet,
 )
+from testbed.queries import orders_in_files
 
 TARGET = columns("id string, n int, day date")
 
@@ -89,8 +92,11 @@ def test_parquet_values_that_do_not_convert_count_as_bad(spark, tmp_path):
         file.write.parquet(f"{root}/run_date=2024-03-{day}")
     loaded = load_bulk(spark, root, "2024-03-30", target, to, "one", "test_parquet_load")
     assert rows_of(loaded) == sorted((i, Decimal("1.50"), None) for i, _ in good)
-    assert rows_of(load_bulk(spark, root, "2024-03-31", target, to, "two", "test_parquet_load")) == []
-    assert spark.table("test_parquet_load").count() == 0, "the last load replaces the rows before it"
+    with pytest.raises(ValueError, match="every file was skipped"):
+        load_bulk(spark, root, "2024-03-31", target, to, "two", "test_parquet_load")
+    assert spark.table("test_parquet_load").count() == 19, "the table keeps its rows"
+    with pytest.raises(ValueError, match="previous load stays"):
+        load_bulk(spark, root, "2024-03-30", target, to, "three", "test_parquet_load", min_rows=20)
 
 
 def test_typed_parquet_needs_no_conversion_checks(spark, tmp_path):
@@ -107,7 +113,7 @@ def test_staging_a_date_again_replaces_only_that_date(spark, tmp_path):
     assert rows_of(read_staged_parquet(spark, root, "2024-01-01")) == [("new",)]
     assert rows_of(read_staged_parquet(spark, root, "2024-01-02")) == [("other",)]
     read = read_staged_parquet(spark, root, "2024-01-01").inputFiles()
-    assert [file.split("/")[-2] for file in read] == ["run_date=2024-01-01"]
+    assert {file.split("/")[-2] for file in read} == {"run_date=2024-01-01"}
     with pytest.raises(ValueError):
         read_staged_parquet(spark, root, "01/01/2024")
 
@@ -148,18 +154,117 @@ def test_refresh_into_the_catalog(spark, tmp_path):
         spark.sql("DROP VIEW default.kept")
 
 
-def session(master: str, **settings: str) -> SimpleNamespace:
+def session(**settings: str) -> SimpleNamespace:
     get = {key.replace("_", "."): value for key, value in settings.items()}.get
-    return SimpleNamespace(conf=SimpleNamespace(get=get), sparkContext=SimpleNamespace(master=master))
+    return SimpleNamespace(conf=SimpleNamespace(get=lambda key, default=None: get(key, default)))
 
 
 def test_scratch_is_fresh_and_in_the_shared_folder():
-    cluster = session("yarn", spark_checkpoint_dir="hdfs://shared/folder/")
+    cluster = session(spark_checkpoint_dir="hdfs://shared/folder/")
     first, second = scratch_dir(cluster, "x"), scratch_dir(cluster, "x")
     assert first != second and first.startswith("hdfs://shared/folder/tallybook/x-")
 
 
-def test_only_a_local_session_may_go_without_a_shared_folder():
-    assert scratch_dir(session("local[2]"), "x").startswith("/")
-    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
-        scratch_dir(session("spark://host:7077"), "x")
+def test_without_a_shared_folder_scratch_lies_in_the_warehouse():
+    assert scratch_dir(session(spark_sql_warehouse_dir="s3://house"), "x").startswith("s3://house/_scratch/tallybook/x-")
+
+
+def test_staging_a_date_with_no_rows_leaves_none(spark, tmp_path):
+    root, some = f"{tmp_path}/staged", spark.createDataFrame([("a", 1)], "v string, n int")
+    stage_parquet(some.limit(0), root, "2024-01-02")
+    assert read_staged_parquet(spark, root, "2024-01-02").schema == some.schema
+    for run_date, rows in (("2024-01-01", some), ("2024-01-01", some.limit(0))):
+        stage_parquet(rows, root, run_date)
+    assert rows_of(read_staged_parquet(spark, root, "2024-01-01")) == []
+    schema = columns("v string, n string")
+    for rows, left in ((some, [("a", "1")]), (some.limit(0), [])):
+        stage_delimited(rows, f"{root}-text", "2024-01-01")
+        assert rows_of(read_staged_delimited(spark, f"{root}-text", "2024-01-01", schema)) == left
+
+
+def test_files_of_one_run_may_have_other_columns(spark, tmp_path):
+    root, folder = f"{tmp_path}/r", f"{tmp_path}/r/run_date=2024-01-01"
+    spark.createDataFrame([(1,)], "ID int").coalesce(1).write.parquet(folder)
+    spark.createDataFrame([(2, 7)], "ID int, N int").coalesce(1).write.mode("append").parquet(folder)
+    target = columns("ID int, N int")
+    assert rows_of(load_bulk(spark, root, "2024-01-01", target, f"{tmp_path}/t", "a", "other_columns")) == [(1, None), (2, 7)]
+
+
+def test_an_odd_file_is_skipped_and_reported(spark, tmp_path):
+    root, folder = f"{tmp_path}/r", f"{tmp_path}/r/run_date=2024-01-01"
+    good = spark.createDataFrame([(i, i) for i in range(3)], "ID int, N int").coalesce(1)
+    good.write.parquet(folder)
+    good.limit(0).write.mode("append").parquet(folder)
+    spark.createDataFrame([(9, "x")], "ID int, N string").coalesce(1).write.mode("append").parquet(folder)
+    (tmp_path / "r" / "run_date=2024-01-01" / "part-9.parquet").write_bytes(b"PAR1 this is no table PAR1")
+    loaded = load_bulk(spark, root, "2024-01-01", columns("ID int, N int"), f"{tmp_path}/t", "a", "odd_files")
+    assert rows_of(loaded) == [(0, 0), (1, 1), (2, 2)]
+    report = load_report(spark, f"{tmp_path}/t/reports/a").select("n_rows", "n_bad", "skipped")
+    assert rows_of(report) == [(0, 0, False), (0, 0, True), (1, 1, True), (3, 0, False)]
+
+
+def test_too_few_columns_are_refused(spark, tmp_path):
+    path = text_files(tmp_path / "in", a=["1|2"])
+    rows = delimited_files(spark, path, columns("a string, b string"), header=False, quoted=False)
+    with pytest.raises(ValueError, match="2 columns for the 3"):
+        match_by_position(rows, TARGET)
+
+
+def test_renaming_is_done_at_once(spark):
+    rows = spark.createDataFrame([(1, 2)], "a int, b int")
+    assert rename_positional(rows, ["b", "a"]).first().asDict() == {"b": 1, "a": 2}
+    assert rename_positional(rows, ["b", "c"]).columns == ["b", "c"]
+    with pytest.raises(ValueError):
+        rename_positional(rows, ["a", "b", "c"])
+
+
+SPENDING = BulkFormat(columns("id string, year smallint, amt amount, day date"), "M/d/yyyy", trailing_delimiter=True, lenient=True)
+
+
+def test_lenient_ingest_keeps_no_shifted_line(spark, tmp_path):
+    good = [f"g{i}|2024|1.50|1/31/2024|" for i in range(38)]
+    path = text_files(tmp_path / "in", fine=[*good, "x|g|2024|1.50|1/31/2024|", "short|1"],
+                      over=["a|b|2024|1.5|1/31/2024|"] * 9 + ["c|2024|1.5|1/31/2024|"],
+                      values=["v|20x4|0.004|2/30/2024|", "w|2024|12.345|1/1/2024|", "u||-7||"])
+    root = f"{tmp_path}/staged"
+    ingest_bulk(spark, path, SPENDING, root, "2024-01-01")
+    staged = read_staged_parquet(spark, root, "2024-01-01")
+    assert {r.id for r in staged.collect()} == {*(f"g{i}" for i in range(38)), "v", "w", "u"}
+    assert rows_of(staged.where("id < 'x' AND id > 'h'")) == [
+        ("u", None, Decimal("-7.00"), None), ("v", None, None, None), ("w", 2024, None, dt.date(2024, 1, 1))]
+    name = F.regexp_extract("file", r"(\w+)\.txt", 1)
+    assert rows_of(read_line_report(spark, root, "2024-01-01").select(name, "n_rows", "n_wrong", "n_nulled", "skipped")) == [
+        ("fine", 40, 2, 0, False), ("over", 10, 9, 0, True), ("values", 3, 0, 4, False)]
+    lines = rows_of(read_rejects(spark, root, "2024-01-01").where(name == "fine").select("line"))
+    assert lines == [("short|1",), ("x|g|2024|1.50|1/31/2024|",)]
+    ingest_bulk(spark, text_files(tmp_path / "none"), SPENDING, root, "2024-01-01")
+    assert read_staged_parquet(spark, root, "2024-01-01").count() == 0
+
+
+def test_another_column_order_comes_from_the_header_file(spark, tmp_path):
+    bulk = BulkFormat(columns("CAND_ID string, CMTE_ID string"))
+    path, names = text_files(tmp_path / "in", a=["C1|K1"]), text_files(tmp_path / "names", a=["CMTE_ID,CAND_ID"])
+    ingest_bulk(spark, path, bulk, f"{tmp_path}/s", "2024-01-01", dictionary=names)
+    assert rows_of(read_staged_parquet(spark, f"{tmp_path}/s", "2024-01-01")) == [("K1", "C1")]
+    other = text_files(tmp_path / "other", a=["CMTE_ID,CAND"])
+    with pytest.raises(ValueError, match="differ"):
+        ingest_bulk(spark, f"{tmp_path}/not there", bulk, f"{tmp_path}/s", "2024-01-01", dictionary=other)
+
+
+@pytest.mark.parametrize("amount", ["12.345", "0.004", "1e-3", "-0.001", "99999999999999999.00"])
+def test_an_amount_that_would_be_rounded_is_a_bad_value(spark, tmp_path, amount):
+    bulk = BulkFormat(columns("amt amount"))
+    path = text_files(tmp_path / "in", a=[amount])
+    with pytest.raises(Exception):
+        read_delimited(spark, path, bulk).collect()
+    assert rows_of(read_lenient(spark, path, bulk)) == [(None,)]
+    fine = text_files(tmp_path / "fine", a=["12.340", "5", "1e2", "-.50"])
+    assert rows_of(read_delimited(spark, fine, bulk)) == sorted([(Decimal(v),) for v in ("12.34", "5.00", "100.00", "-0.50")],
+                                                                  key=str)
+
+
+def test_landing_files_do_not_grow_with_the_data(spark):
+    counts = []
+    for sf in ("sf0.001", "sf0.01"):
+        counts.append(orders_in_files(spark, f"/root/testdata/{sf}").select("file_no").distinct().count())
+    assert counts[0] == counts[1] == 16

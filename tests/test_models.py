@@ -10,12 +10,13 @@ from helpers import rows_of
 from tallybook.functions.codes import (
     AMENDMENT, DESIGNATION, INCUMBENCY, OFFICE, ORGANIZATION, district_label, label, or_other, zip5,
 )
+from tallybook.operators.load import full_refresh
 from tallybook.operators.lookups import with_label
 from tallybook.plans.marts import candidate_totals_direct
 from tallybook.plans.models import (
-    CLEANED, MARTS, MODELS, all_inputs, define_marts, inputs, mart_from_raw, model, refresh_models,
+    CLEANED, MARTS, MODELS, all_inputs, define_marts, inputs, mart_from_raw, model, raw_from_catalog, refresh_models,
 )
-from tallybook.schemas import RAW
+from tallybook.schemas import RAW, SOURCES
 
 
 def frame(spark, name: str, *rows: dict):
@@ -170,10 +171,48 @@ def test_marts_over_a_catalog(spark, raw, tmp_path):
         marts = define_marts({"cand_cmte_link": raw["cand_cmte_link"], **kept})
         assert {name: rows_of(rows) for name, rows in marts.items()} == {name: rows_of(model(name, raw)) for name in MARTS}
     finally:
-        for name in CLEANED:
+        for name in MODELS:
             spark.sql(f"DROP VIEW default.{name}")
 
 
+def test_another_session_reads_the_marts_of_a_database(spark, raw, tmp_path):
+    for name, rows in raw.items():
+        full_refresh(rows, f"{tmp_path}/raw/{name}", "one", SOURCES[name], "default")
+    refresh_models(raw_from_catalog(spark, "default"), str(tmp_path), "one", database="default")
+    try:
+        other = spark.newSession()
+        for name in MODELS:
+            assert rows_of(other.table(f"default.{name}")) == rows_of(model(name, raw))
+    finally:
+        for name in (*MODELS, *SOURCES.values()):
+            spark.sql(f"DROP VIEW default.{name}")
+
+
+def test_a_refresh_that_fails_switches_no_view(spark, raw, tmp_path):
+    refresh_models(raw, str(tmp_path), "one")
+    before = {name: spark.table(name).inputFiles() for name in CLEANED}
+    broken = raw | {"operating_exp": raw["operating_exp"].withColumn("CMTE_ID", F.raise_error(F.lit("broken")).cast("string"))}
+    with pytest.raises(Exception):
+        refresh_models(broken, str(tmp_path), "two")
+    with pytest.raises(ValueError, match="previous load stays"):
+        refresh_models(raw, str(tmp_path), "three", min_rows={"src_candidates": 10**9})
+    assert {name: spark.table(name).inputFiles() for name in CLEANED} == before
+
+
+def test_another_cycle(raw):
+    name = "fct_candidate_indiv_cont"
+    assert rows_of(model(name, raw, cycle=2024)) == rows_of(model(name, raw))
+    assert rows_of(model(name, raw, cycle=2022)) != rows_of(model(name, raw))
+
+
+def test_dimension_tables_do_not_pile_up(raw, tmp_path):
+    for _ in range(3):
+        assert rows_of(mart_from_raw("fct_cand_committee_trans", raw, str(tmp_path)))
+    files = [f for f in tmp_path.rglob("*.parquet") if f.is_file()]
+    folders = {f.parent for f in files}
+    assert len(folders) == 2 and len(files) <= 16
+
+
 @pytest.mark.parametrize("name", list(MARTS))
 def test_marts_are_the_same_over_written_dimensions(raw, tmp_path, name):
     assert rows_of(mart_from_raw(name, raw, str(tmp_path))) == rows_of(model(name, raw))
