@@ -1,27 +1,53 @@
 """The corpus pipeline: documents that pass the quality classifier, one of each near-duplicate group, without
-personal data, packed into training sequences."""
+personal data, packed into training sequences.
+
+Every stage works on all rows its predecessor kept and leaves rows with null ids or null texts in their place:
+a null text is scored like an empty one, is nobody's duplicate, has nothing to redact and packs to its closing token. An empty
+table stays empty. Columns beside those of documents are carried through to the last stage.
+"""
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from tallybook.llm.queries import BPE_JSON
-from tallybook.llm import byte_bpe, packing
+from tallybook.llm import byte_bpe, hyperminhash, packing, pii_crf, quality_fm
+from tallybook.llm.queries import ACCEPTED, BPE_JSON, table
 from tallybook.operators.load import written
 from tallybook.scratch import scratch_dir
 
 
+def accepted(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The documents that the factorisation machine, learnt from the labels, does not reject."""
+    machine = quality_fm.fit(docs, table(spark, sf_dir, "labels"))
+    return quality_fm.score(docs, machine, name="_score").where(F.col("_score") >= ACCEPTED).drop("_score")
+
+
+def deduplicated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each near-duplicate group: the one with the smallest id, and one row of it if the id repeats."""
+    found = hyperminhash.near_duplicates(docs)
+    kept = found.where("kept AND doc_id IS NOT NULL").select(F.col("doc_id").alias("_kept"))
+    one = docs.join(kept, F.col("doc_id") == F.col("_kept"), "left_semi").dropDuplicates(["doc_id"])
+    return one.unionByName(docs.where("doc_id IS NULL"))
+
+
+def redacted(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The documents with personal data replaced by its kind, and their new lengths."""
+    return pii_crf.redact(docs, pii_crf.train_table(pii_crf.labelled_table(spark)))
+
+
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The pieces of every document, each a sequence of a power-of-two length."""
-    return packing.pack(docs, lambda: byte_bpe.tokenizer_of_json(BPE_JSON))
+    path = BPE_JSON
+    return packing.pack(docs, lambda: byte_bpe.tokenizer_of_json(path))
 
 
 #: Each stage takes what the one before it kept.
-STAGES = [("packing", packed)]
+STAGES = [("quality", accepted), ("near-duplicates", deduplicated), ("personal-data", redacted), ("packing", packed)]
 #: No SQL can train the classifier and the tagger; tests hold the stages against plain versions.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    docs = table(spark, sf_dir, "documents")
     for name, stage in STAGES:
         docs = written(stage(spark, docs, sf_dir), scratch_dir(spark, f"pipeline-{name}"))
     return docs

@@ -1,0 +1,203 @@
+"""Components, near-duplicate texts and vectors, and nearest neighbours against plain versions."""
+
+import random
+import re
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from tallybook.llm import hyperminhash, kmeans_tree, projection_forest
+from tallybook.llm.components import components
+
+
+def plain_components(nodes, links):
+    parent = {n: n for n in nodes}
+
+    def root(n):
+        while parent[n] != n:
+            n = parent[n]
+        return n
+
+    for a, b in links:
+        a, b = sorted((root(a), root(b)))
+        parent[b] = a
+    return {n: root(n) for n in nodes}
+
+
+@pytest.mark.parametrize("links", [
+    [], [(1, 1), (None, 2)], [(i, i + 1) for i in range(60)], [(0, i) for i in range(1, 50)] + [(100, 101)],
+    [(random.Random(i).randrange(80), random.Random(-i - 1).randrange(80)) for i in range(60)]])
+def test_components(spark, links):
+    real = [(a, b) for a, b in links if a is not None and b is not None and a != b]
+    found = components(spark.createDataFrame(links, "a long, b long"))
+    assert {r.id: r.component for r in found.collect()} == plain_components({n for link in real for n in link}, real)
+
+
+def shingles(text, width):
+    lower = re.sub("[A-Z]", lambda m: m.group().lower(), text or "")
+    words = re.findall("[^\x20\x09-\x0D]+", lower)
+    if len(words) < width:
+        return {tuple(words)} if words else set()
+    return {tuple(words[i:i + width]) for i in range(len(words) - width + 1)}
+
+
+def plain_duplicates(rows, width, percent):
+    sets = {}
+    for doc_id, text in rows:
+        if doc_id is not None:
+            sets.setdefault(doc_id, []).append(shingles(text, width))
+    links = [(a, b) for a in sets for b in sets if a < b
+             for x in sets[a] for y in sets[b] if x and 100 * len(x & y) >= percent * len(x | y)]
+    return plain_components(sets, links)
+
+
+def copies(rng, n):
+    """Texts of many lengths with exact and near copies, chains of them, and passages that many share."""
+    word = lambda: "".join(rng.choice("abcdefgh") for _ in range(rng.randint(2, 5)))
+    passage, rows = " ".join(word() for _ in range(60)), []
+    while len(rows) < n:
+        text = [word() for _ in range(rng.choice([1, 2, 3, 5, 8, 20, 60, 200, 900]))]
+        if rng.random() < 0.3:
+            text += passage.split()
+        for _ in range(rng.choice([1, 1, 2, 12])):
+            rows.append(" ".join(text))
+            if rng.random() < 0.7:
+                text = list(text)
+                for _ in range(max(1, len(text) // 60)):
+                    text[rng.randrange(len(text))] = word()
+    return list(enumerate(rows[:n]))
+
+
+@pytest.mark.parametrize("width,percent", [(3, 85), (5, 80)])
+def test_near_duplicates_are_those_of_full_sets(spark, width, percent):
+    rows = copies(random.Random(width), 400)
+    found = hyperminhash.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string").repartition(6), width=width,
+                                         percent=percent).collect()
+    assert {r.doc_id: r.component_id for r in found} == plain_duplicates(rows, width, percent)
+    assert {r.doc_id: r.n_shingles for r in found} == {i: len(shingles(t, width)) for i, t in rows}
+    assert all(r.kept == (r.doc_id == r.component_id) for r in found)
+
+
+def test_groups_are_cut_into_blocks_without_loss(spark, monkeypatch):
+    rows = copies(random.Random(8), 250) + [(1000 + i, "one two three four five six seven " * 9 + f"x{i}") for i in range(60)]
+    monkeypatch.setattr(hyperminhash, "BLOCK_TEXTS", 20)
+    monkeypatch.setattr(hyperminhash, "BLOCK_SHINGLES", 400)
+    found = hyperminhash.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert {r.doc_id: r.component_id for r in found} == plain_duplicates(rows, 5, 80)
+
+
+def test_near_duplicates_of_odd_rows(spark):
+    rows = [(1, None), (2, ""), (3, " \n"), (4, "Same few"), (5, "same  FEW"), (6, "same few"), (6, "same few"),
+            (None, "same few"), (7, "a" * 100_000), (8, "ä b c"), (9, "Ä b c")]
+    docs = spark.createDataFrame([(i, t, 0, True) for i, t in rows], "doc_id long, text string, component_id int, kept boolean")
+    found = hyperminhash.near_duplicates(docs).collect()
+    assert len(found) == len(rows)
+    assert {r.doc_id: r.component_id for r in found if r.doc_id} == {1: 1, 2: 2, 3: 3, 4: 4, 5: 4, 6: 4, 7: 7, 8: 8, 9: 9}
+    assert [(r.component_id, r.kept) for r in found if r.doc_id is None] == [(None, True)]
+    assert {r.doc_id: r.n_shingles for r in found if r.doc_id} == {1: 0, 2: 0, 3: 0, 4: 1, 5: 1, 6: 1, 7: 1, 8: 1, 9: 1}
+    assert hyperminhash.near_duplicates(docs.limit(0)).count() == 0
+
+
+def test_the_estimate_is_near_the_truth():
+    rng = np.random.default_rng(2)
+    for share in (0.5, 0.7, 0.9):
+        base = rng.integers(0, 2**63, 3000).astype(np.uint64) * np.uint64(2)
+        one, other = (np.sort(np.concatenate([base[:int(3000 * share)], rng.integers(0, 2**63, int(3000 * (1 - share))).astype(
+            np.uint64)])) for _ in range(2))
+        rows = hyperminhash.registers([hyperminhash.mix(one), hyperminhash.mix(other)][:0] or [
+            np.sort(hyperminhash.mix(x)) for x in (one, other)])
+        truth = len(np.intersect1d(one, other)) / len(np.union1d(one, other))
+        near, _ = hyperminhash.similarity(rows[0], rows, len(one), np.array([len(one), len(other)], dtype=float))
+        assert abs(near[1] - truth) < 0.12 and near[0] > 0.99
+
+
+def test_bands_miss_less_than_asked():
+    for percent in (80, 85, 95):
+        rows = hyperminhash.band_rows(percent)
+        assert (1 - (percent / 100)**rows)**(hyperminhash.REGISTERS // rows) <= hyperminhash.MISSED
+
+
+def clusters(rng, n, dim=16):
+    rows = []
+    while len(rows) < n:
+        centre = rng.normal(size=dim)
+        for _ in range(rng.choice([1, 2, 9])):
+            rows.append((centre + rng.normal(size=dim) * 0.25 * rng.random()) * rng.uniform(0.1, 10))
+    rows = [r.astype(np.float32).tolist() for r in rows[:n]]
+    return [(i, rows[i // 2] if i % 7 == 0 else rows[i], int(rng.integers(3)) if i % 4 else 1) for i in range(n)]
+
+
+def plain_links(rows, threshold=0.93):
+    out = []
+    for i, x, a in rows:
+        for j, y, b in rows:
+            if i < j and a == b is not None and x and y and len(x) == len(y):
+                x1, y1 = np.array(x, dtype=float), np.array(y, dtype=float)
+                if np.isfinite(x1).all() and np.isfinite(y1).all() and x1.any() and y1.any():
+                    if x1 @ y1 / np.linalg.norm(x1) / np.linalg.norm(y1) >= threshold:
+                        out.append((i, j))
+    return out
+
+
+@pytest.mark.parametrize("leaf,block", [(512, 1500), (20, 15)])
+def test_vector_links_and_components(spark, monkeypatch, leaf, block):
+    monkeypatch.setattr(projection_forest, "LEAF", leaf)
+    monkeypatch.setattr(projection_forest, "BLOCK", block)
+    rows = clusters(np.random.default_rng(1), 300)
+    found = projection_forest.near_duplicates(spark.createDataFrame(rows, "vec_id long, embedding array<float>, label int"))
+    links = plain_links(rows)
+    many = {i: sum(i in link for link in links) for i, *_ in rows}
+    found = found.collect()
+    assert {r.vec_id: r.n_links for r in found} == many
+    assert {r.vec_id: r.component_id for r in found} == plain_components(many, links)
+
+
+def test_vectors_of_odd_rows(spark):
+    nan, inf = float("nan"), float("inf")
+    rows = [(1, [1.0, 0.0], 1), (2, [2.0, 0.0], 1), (3, [1.0, 0.0], 2), (4, [1.0, 0.0], None), (5, None, 1), (6, [0.0, 0.0], 1),
+            (7, [1.0, None], 1), (8, [nan, 1.0], 1), (9, [inf, 0.0], 1), (10, [], 1), (11, [1.0], 1), (12, [1.0, 0.0], 1),
+            (12, [1.0, 0.0], 1), (None, [1.0, 0.0], 1), (13, [-1.0, 0.0], 1)]
+    frame = spark.createDataFrame([(*r, 0) for r in rows], "vec_id long, embedding array<float>, label int, n_links int")
+    found = projection_forest.near_duplicates(frame).collect()
+    assert len(found) == len(rows)
+    told = {r.vec_id: (r.n_links, r.component_id, r.kept) for r in found}
+    assert told[1] == (2, 1, True) and told[2] == (2, 1, False) and told[12] == (2, 1, False)
+    assert told[None] == (0, None, True)
+    assert all(told[i] == (0, i, True) for i in (3, 4, 5, 6, 7, 8, 9, 10, 11, 13))
+    assert projection_forest.near_duplicates(frame.limit(0)).count() == 0
+
+
+def test_neighbours_reach_the_recall(spark, monkeypatch):
+    monkeypatch.setattr(kmeans_tree, "LEAF", 40)
+    monkeypatch.setattr(kmeans_tree, "BLOCK", 30)
+    monkeypatch.setattr(kmeans_tree, "QUERIES", 7)
+    rng = np.random.default_rng(4)
+    rows = [(i, (rng.normal(size=12) * rng.uniform(0.5, 2)).tolist()) for i in range(1500)]
+    found = kmeans_tree.search(spark.createDataFrame(rows, "vec_id long, embedding array<double>"), F.col("vec_id") % 20 == 0)
+    points, hits = np.array([v for _, v in rows]), 0
+    by_query = {}
+    for r in found.collect():
+        by_query.setdefault(r.query_id, []).append(r)
+    assert set(by_query) == set(range(0, 1500, 20))
+    for query, told in by_query.items():
+        told.sort(key=lambda r: r.rank)
+        scores = points @ points[query]
+        scores[query] = -np.inf
+        exact = set(np.argsort(-scores, kind="stable")[:20].tolist())
+        hits += len(exact & {r.vec_id for r in told})
+        assert [r.rank for r in told] == list(range(1, 21)) and len({r.vec_id for r in told}) == 20
+        assert [(-r.score, r.vec_id) for r in told] == sorted((-r.score, r.vec_id) for r in told)
+        assert all(abs(r.score - scores[r.vec_id]) < 1e-9 for r in told)
+    assert hits >= 0.9 * 20 * len(by_query)
+
+
+def test_neighbours_of_odd_rows(spark):
+    rows = [(0, [1.0, 0.0]), (0, [1.0, 0.0]), (1, [1.0, 0.0]), (2, [1.0, 0.0]), (3, None), (4, [0.0, 0.0]), (5, [1.0, None]),
+            (6, [float("nan"), 0.0]), (None, [5.0, 5.0]), (7, [2.0, 1.0]), (8, [1.0]), (20, None), (40, [0.5, 0.5])]
+    frame = spark.createDataFrame([(*r, 9) for r in rows], "vec_id long, embedding array<float>, rank int")
+    found = kmeans_tree.search(frame, F.col("vec_id") % 20 == 0, k=3).collect()
+    told = {(r.query_id, r["rank"]): (r.vec_id, r.score) for r in found}
+    assert told == {(0, 1): (7, 2.0), (0, 2): (1, 1.0), (0, 3): (2, 1.0),
+                    (40, 1): (7, 1.5), (40, 2): (0, 0.5), (40, 3): (1, 0.5)}
+    assert kmeans_tree.search(frame.limit(0), F.col("vec_id") % 20 == 0).count() == 0
