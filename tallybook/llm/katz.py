@@ -35,7 +35,7 @@ from tallybook.operators.load import written
 from tallybook.scratch import scratch_dir
 
 #: Counts up to this are discounted; bytes of text in a chunk.
-SMALL, CHUNK = 5, 32 << 20
+SMALL, CHUNK = 5, 16 << 20
 END, START = np.uint64(1), np.uint64(2)
 
 ANSWERS = "kind string, bucket int, chunk long, numbers array<binary>, sums array<double>"
@@ -188,8 +188,10 @@ class Pairs:
         before[1:] = self.stream[:-1]
         before[np.cumsum(self.sizes) - self.sizes] = len(self.words)
         keys = before.astype(np.int64) << 32 | self.stream
-        keys, self.of = np.unique(keys, return_inverse=True)
-        self.history, self.word = keys >> 32, keys & 0xFFFFFFFF
+        del before
+        keys, of = np.unique(keys, return_inverse=True)
+        self.of = of.astype(np.int32)
+        self.history, self.word = (keys >> 32).astype(np.int32), (keys & 0xFFFFFFFF).astype(np.int32)
         self.asked = np.flatnonzero((self.count[self.history] > 0) & (self.count[self.word] > 0))
         self.hot = self.count > hot
         self.hot[-1] = True
@@ -328,13 +330,14 @@ def train_and_score(docs: DataFrame, path: str, key: str = "doc_id", text: str =
                     hot: float = 0.25) -> DataFrame:
     """(key, held_out, n_tokens, n_known, train_tokens, base_score, score) per row; the counts stay under ``path``."""
     spark = docs.sparkSession
-    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    buckets = 2 * partitions  # groups are handled one at a time, so smaller ones need less memory
     slim = docs.select(F.col(key).cast("long").alias("id"), F.col(text).alias("text"),
                        (crc_fold(key, folds) == held_out).alias("held"))
     name = f"katz_chunks_{uuid.uuid4().hex}"
     chunks = slim.mapInArrow(_chunks, "chunk long, ids array<long>, held array<boolean>, sizes binary, words binary, "
                                       "stream binary, counts binary")
-    chunks.write.bucketBy(buckets, "chunk").option("compression", "none").saveAsTable(name)
+    chunks.write.bucketBy(partitions, "chunk").option("compression", "none").saveAsTable(name)
     chunks = spark.table(name)
 
     asked = chunks.select("chunk", "words", "counts").mapInArrow(_word_requests(buckets), ANSWERS)
