@@ -29,7 +29,7 @@ from tallybook.operators.load import written
 from tallybook.scratch import scratch_dir
 
 #: Vectors the tree is fitted to, children of a node, vectors of a leaf aimed at, the fewest of the sample in a split node.
-SAMPLE, BRANCHES, LEAF, FEWEST = 16_384, 8, 512, 64
+SAMPLE, BRANCHES, LEAF, FEWEST = 16_384, 8, 2048, 64
 #: Vectors, and queries, that meet in one task.
 BLOCK, QUERIES = 4000, 4000
 #: The recall that calibration asks for, and the queries it is measured with.
