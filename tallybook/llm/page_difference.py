@@ -190,16 +190,12 @@ def own_lines(lines: list[str], neighbour: list[str]) -> list[str]:
 def _parsed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for part in slices(batch, "html"):
-            own, rest = [], []
-            for html in part.column("html").to_pylist():
-                lines = page_lines(html or "")
-                marked = [line for line, is_marked in lines if is_marked]
-                own.append("\n".join(marked) if marked else None)
-                rest.append([line for line, _ in lines])
+            pages = [page_lines(html or "") for html in part.column("html").to_pylist()]
             kept = [part.column(c) for c in ("page_id", "url", "host", "path")]
             yield pa.RecordBatch.from_arrays(
-                [*kept, pa.array(own, pa.string()), pa.array(rest, pa.list_(pa.string()))],
-                ["page_id", "url", "host", "path", "own", "lines"])
+                [*kept, pa.array([[line for line, _ in lines] for lines in pages], pa.list_(pa.string())),
+                 pa.array([[marked for _, marked in lines] for lines in pages], pa.list_(pa.bool_()))],
+                ["page_id", "url", "host", "path", "lines", "marked"])
 
 
 def _differenced(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -251,17 +247,20 @@ def main_text(pages: DataFrame, key: str = "page_id", url: str = "url", html: st
     slim = pages.select(F.col(key).alias("page_id"), F.col(url).alias("url"), F.col(html).alias("html"),
                         F.lower(place).alias("host"),
                         F.regexp_extract(F.col(url), r"^[a-zA-Z][a-zA-Z0-9+.-]*://[^/?#]*([^?#]*)", 1).alias("path"))
-    schema = T.StructType([*slim.drop("html").schema, T.StructField("own", T.StringType()),
-                           T.StructField("lines", T.ArrayType(T.StringType()))])
+    schema = T.StructType([*slim.drop("html").schema, T.StructField("lines", T.ArrayType(T.StringType())),
+                           T.StructField("marked", T.ArrayType(T.BooleanType()))])
     parsed = written(slim.mapInArrow(_parsed, schema).withColumn("row", F.monotonically_increasing_id()),
                      scratch_dir(spark, "page-lines"))
     pairs = nearest(parsed.where("host <> ''").select("row", "host", "path"))
-    open_pages = parsed.where("own IS NULL").select("row", "page_id", "url", "lines")
-    asked = open_pages.join(pairs.withColumnRenamed("row", "_row"), F.col("row") == F.col("_row"), "left").select(
-        "page_id", "url", "lines", F.col("near").alias("_near"))
-    told = asked.join(parsed.select(F.col("row").alias("_of"), F.col("lines").alias("near")),
-                      F.col("_near") == F.col("_of"), "left").select("page_id", "url", "lines", "near")
+    has_own = F.array_contains("marked", True)
+    open_pages = parsed.where(~has_own).select("row", "page_id", "url", "lines")
+    wanted = written(open_pages.select("row").join(pairs, "row").select(F.col("row").alias("_row"), F.col("near").alias("_near")),
+                     scratch_dir(spark, "page-pairs"))
+    partner = parsed.select("row", F.col("lines").alias("near")).join(wanted, F.col("row") == F.col("_near")).select(
+        F.col("_row").alias("row"), "near")
+    told = open_pages.join(partner, "row", "left").select("page_id", "url", "lines", "near")
     texts = T.StructType([*parsed.select("page_id", "url").schema, T.StructField("text", T.StringType())])
-    out = parsed.where("own IS NOT NULL").select("page_id", "url", F.col("own").alias("text")).unionByName(
+    own = F.array_join(F.filter("lines", lambda line, i: F.get("marked", i)), "\n")
+    out = parsed.where(has_own).select("page_id", "url", own.alias("text")).unionByName(
         told.mapInArrow(_differenced, texts))
     return out.select(F.col("page_id").alias(key), F.col("url").alias(url), "text")
