@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallybook.llm import byte_bpe, hyperminhash, packing, pii_crf, quality_fm
+from tallybook.llm.common import unused
 from tallybook.llm.queries import ACCEPTED, BPE_JSON, table
 from tallybook.operators.load import written
 from tallybook.scratch import scratch_dir
@@ -18,14 +19,16 @@ from tallybook.scratch import scratch_dir
 def accepted(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The documents that the factorisation machine, learnt from the labels, does not reject."""
     machine = quality_fm.fit(docs, table(spark, sf_dir, "labels"))
-    return quality_fm.score(docs, machine, name="_score").where(F.col("_score") >= ACCEPTED).drop("_score")
+    score = unused(docs.columns, "_score")
+    return quality_fm.score(docs, machine, name=score).where(F.col(score) >= ACCEPTED).drop(score)
 
 
 def deduplicated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each near-duplicate group: the one with the smallest id, and one row of it if the id repeats."""
     found = hyperminhash.near_duplicates(docs)
-    kept = found.where("kept AND doc_id IS NOT NULL").select(F.col("doc_id").alias("_kept"))
-    one = docs.join(kept, F.col("doc_id") == F.col("_kept"), "left_semi").dropDuplicates(["doc_id"])
+    mine = unused(docs.columns, "_kept")
+    kept = found.where("kept AND doc_id IS NOT NULL").select(F.col("doc_id").alias(mine))
+    one = docs.join(kept, F.col("doc_id") == F.col(mine), "left_semi").dropDuplicates(["doc_id"])
     return one.unionByName(docs.where("doc_id IS NULL"))
 
 

@@ -18,6 +18,13 @@ INVERSE = pow(BASE, -1, 2**64)
 WINDOW = 1 << 20
 
 
+def unused(columns: list[str], name: str) -> str:
+    """The name, or with underscores before it if a column has it already."""
+    while name.lower() in {c.lower() for c in columns}:
+        name = f"_{name}"
+    return name
+
+
 def crc_fold(key: str, modulus: int) -> Column:
     """crc32 of the id as text, modulo ``modulus``; a null id counts as empty text."""
     return F.crc32(F.coalesce(F.col(key).cast("string"), F.lit("")).cast("binary")) % modulus
