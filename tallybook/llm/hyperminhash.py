@@ -117,13 +117,14 @@ def similarity(one: np.ndarray, rows: np.ndarray, n_one: int, n: np.ndarray) ->
 
 
 def loose_links(rows: np.ndarray, n: np.ndarray, percent: int) -> list[tuple[int, int]]:
-    """(leader, text) for every text of a bucket and every leader that a partner of it may be close to.
+    """Links that connect the texts of a bucket as all loose links would: at most one less than texts.
 
-    A text stays no leader if a leader is estimated within the threshold. If its partner is similar to it,
-    the distance between partner and leader is at most the sum of both, and four deviations are allowed on each estimate.
+    Loosely linked are a leader and every text that a partner of one of its own may be. A text stays no leader
+    if a leader is estimated within the threshold. If its partner is similar to it, the distance between
+    partner and leader is at most the sum of both, and four deviations are allowed on each estimate.
     """
     far, links = 1 - percent / 100, []
-    free = np.ones(len(rows), dtype=bool)
+    free, group = np.ones(len(rows), dtype=bool), np.arange(len(rows))
     for i in range(len(rows)):
         if free[i]:
             free[i] = False
@@ -131,7 +132,11 @@ def loose_links(rows: np.ndarray, n: np.ndarray, percent: int) -> list[tuple[int
             deviation = 4 * 0.5 / np.sqrt(seen)
             free &= near < 1 - far
             linked = near >= 1 - 2 * far - 2 * deviation
-            links += [(i, int(j)) for j in np.flatnonzero(linked) if j != i]
+            linked[i] = True
+            others, first = np.unique(group[linked], return_index=True)
+            if len(others) > 1:
+                links += [(i, int(j)) for j, g in zip(np.flatnonzero(linked)[first], others) if g != group[i]]
+                group[np.isin(group, others)] = group[i]
     return links
 
 
