@@ -130,9 +130,14 @@ def _routes(grown: dict[int, list[Tree]]):
     return run
 
 
-def shared(one: np.ndarray, other: np.ndarray) -> int:
-    """The first leaf that two vectors have in common; both lists are in order."""
-    return one[0] if one[0] == other[0] else one[np.isin(one, other, assume_unique=True)][0]
+def met_before(leaves: list[np.ndarray], leaf: int) -> np.ndarray:
+    """For every two vectors, whether they have a leaf in common that comes before ``leaf``."""
+    size = [len(x) for x in leaves]
+    every, place = np.unique(np.concatenate(leaves), return_inverse=True)
+    held = np.zeros((len(leaves), len(every)), dtype=np.float32)
+    held[np.repeat(np.arange(len(leaves)), size), place] = 1
+    held = held[:, every < leaf]
+    return held @ held.T > 0
 
 
 def _compare(threshold: float):
@@ -149,11 +154,7 @@ def _compare(threshold: float):
         near[np.arange(len(ids)), np.arange(len(ids))] = False
         if p != q:
             near &= own[:, None] != own[None, :]
-        counts, links = np.zeros(len(ids), dtype=np.int64), []
-        for i in np.flatnonzero(near.any(axis=1)):
-            others = np.flatnonzero(near[i])
-            first = np.array([shared(leaves[i], leaves[j]) for j in others])
-            counts[i] = many[others[first == leaf]].sum()
+        counts, links = (near & ~met_before(leaves, leaf)) @ many, []
         new = near.any(axis=1)
         while new.any():  # a link from each reached vector to those it reaches first
             queue = [int(np.flatnonzero(new)[0])]
