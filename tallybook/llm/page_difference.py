@@ -5,9 +5,10 @@ sidebars, notices, adverts, forms, scripts, styles or comments. Within a host, p
 paired with the neighbour it shares more leading path segments with. The lines of a pair are aligned by a
 longest common subsequence, and the lines in it, being the site's and not the page's, are deleted.
 
-Lines inside an ``article`` or ``main`` element are the page's whatever its neighbour says: copies of
-an article, and passages that many articles quote, are shared by neighbours too. So a page with such lines
-has exactly them as its text, and the difference decides for pages without. A neighbour that shares more than
+Lines inside an ``article`` or ``main`` element are marked and never deleted: copies of an article, and passages
+that many articles quote, are shared by neighbours too. Every page with lines that are not marked is aligned. If
+its marked lines hold at least as many characters as the others that the difference leaves, they are the page's body and the
+others stand beside it; if they hold fewer, like a teaser in a page of plain elements, all of them are the text. A neighbour that shares more than
 ``COPIES`` of a page's text is a copy of it and proves nothing; then no line is deleted.
 
 Null or empty html gives an empty text; a page with a null url, or alone on its host, is not differenced.
@@ -178,13 +179,11 @@ def _grown(one: list, other: list) -> np.ndarray:
     return np.concatenate([[0], np.cumsum(1 - np.unpackbits(bits, bitorder="little")[:len(other)].astype(np.int64))])
 
 
-def own_lines(lines: list[str], neighbour: list[str]) -> list[str]:
-    """The lines that a page does not share with its neighbour; all of them if that is a copy of the page."""
+def shared_places(lines: list[str], neighbour: list[str]) -> set[int]:
+    """The places of lines that a page shares with its neighbour; none if that is a copy of the page."""
     shared = set(common_lines(lines, neighbour))
     held = sum(len(lines[i]) for i in shared)
-    if held > COPIES * sum(map(len, lines)):
-        return lines
-    return [line for i, line in enumerate(lines) if i not in shared]
+    return set() if held > COPIES * sum(map(len, lines)) else shared
 
 
 def _parsed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -198,12 +197,20 @@ def _parsed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 ["page_id", "url", "host", "path", "lines", "marked"])
 
 
+def page_text(lines: list[str], marked: list[bool], near: list[str] | None) -> str:
+    """The lines that are the page's: those that the difference leaves and the marked ones, or only these if they outweigh."""
+    shared = shared_places(lines, near) if near else set()
+    inside = sum(len(line) for line, own in zip(lines, marked) if own)
+    outside = sum(len(line) for i, line in enumerate(lines) if not marked[i] and i not in shared)
+    beside = inside >= outside
+    return "\n".join(line for i, line in enumerate(lines) if marked[i] or not beside and i not in shared)
+
+
 def _differenced(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for a in range(0, len(batch), 64):
             part = batch.slice(a, 64)
-            texts = ["\n".join(own_lines(lines, near) if near else lines)
-                     for lines, near in zip(part.column("lines").to_pylist(), part.column("near").to_pylist())]
+            texts = [page_text(*page) for page in zip(*(part.column(c).to_pylist() for c in ("lines", "marked", "near")))]
             yield pa.RecordBatch.from_arrays([part.column("page_id"), part.column("url"), pa.array(texts, pa.string())],
                                              ["page_id", "url", "text"])
 
@@ -252,15 +259,14 @@ def main_text(pages: DataFrame, key: str = "page_id", url: str = "url", html: st
     parsed = written(slim.mapInArrow(_parsed, schema).withColumn("row", F.monotonically_increasing_id()),
                      scratch_dir(spark, "page-lines"))
     pairs = nearest(parsed.where("host <> ''").select("row", "host", "path"))
-    has_own = F.array_contains("marked", True)
-    open_pages = parsed.where(~has_own).select("row", "page_id", "url", "lines")
+    mixed = F.array_contains("marked", False)
+    open_pages = parsed.where(mixed).select("row", "page_id", "url", "lines", "marked")
     wanted = written(open_pages.select("row").join(pairs, "row").select(F.col("row").alias("_row"), F.col("near").alias("_near")),
                      scratch_dir(spark, "page-pairs"))
     partner = parsed.select("row", F.col("lines").alias("near")).join(wanted, F.col("row") == F.col("_near")).select(
         F.col("_row").alias("row"), "near")
-    told = open_pages.join(partner, "row", "left").select("page_id", "url", "lines", "near")
+    told = open_pages.join(partner, "row", "left").select("page_id", "url", "lines", "marked", "near")
     texts = T.StructType([*parsed.select("page_id", "url").schema, T.StructField("text", T.StringType())])
-    own = F.array_join(F.filter("lines", lambda line, i: F.get("marked", i)), "\n")
-    out = parsed.where(has_own).select("page_id", "url", own.alias("text")).unionByName(
+    out = parsed.where(~mixed).select("page_id", "url", F.array_join("lines", "\n").alias("text")).unionByName(
         told.mapInArrow(_differenced, texts))
     return out.select(F.col("page_id").alias(key), F.col("url").alias(url), "text")

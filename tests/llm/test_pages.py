@@ -124,6 +124,18 @@ def test_shared_lines_of_nearest_pages_are_deleted(spark):
     assert told[102] == "Site name\nLatest news\nOnly\nAbout us\nImprint"
 
 
+def test_a_marked_teaser_is_not_the_whole_text(spark):
+    body = lambda i: "".join(f"<div>Sentence {k} of page {i}, told at some length.</div>" for k in range(6))
+    frame = lambda i, inside: f"<div>Site name</div>{inside}<article><p>Teaser {i % 2}</p></article><div>Imprint</div>"
+    rows = [(i, f"http://t.org/{i}", frame(i, body(i))) for i in range(8)]
+    rows += [(20 + i, f"http://m.org/{i}", f"<div>Site</div><main>{body(i)}</main><div>Advert {i}</div>") for i in range(4)]
+    found = page_difference.main_text(spark.createDataFrame(rows, "page_id long, url string, html string").repartition(3))
+    told = {r.page_id: r.text.split("\n") for r in found.collect()}
+    sentences = lambda i: [f"Sentence {k} of page {i}, told at some length." for k in range(6)]
+    assert all(told[i] == [*sentences(i), f"Teaser {i % 2}"] for i in range(8))
+    assert all(told[20 + i] == sentences(i) for i in range(4))
+
+
 def test_neighbours_are_those_of_one_sorted_list(spark):
     rows = [(i, f"h{i * 7 % 5}", f"/{'abc'[i % 3]}/{i * 13 % 50}/x") for i in range(200)]
     found = {r.row: r.near for r in page_difference.nearest(
