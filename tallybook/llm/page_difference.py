@@ -5,11 +5,17 @@ sidebars, notices, adverts, forms, scripts, styles or comments. Within a host, p
 paired with the neighbour it shares more leading path segments with. The lines of a pair are aligned by a
 longest common subsequence, and the lines in it, being the site's and not the page's, are deleted.
 
+Pages of a host with the same lines are one class, which is paired once. A neighbour is a copy, which proves nothing, if it
+shares more than ``COPIES`` of the characters that a page has in lines that are rare on the host, which are those on less
+than ``SITE`` of its classes. Copies are grouped, the first of a group is paired again, and so on until its neighbour
+is no copy. A page that the neighbour found for its group still copies loses only the lines that are not rare.
+A host of less than ``FEW`` classes cannot tell what is rare, so there all lines count as rare; and if
+a host has nothing but copies, no line is deleted.
+
 Lines inside an ``article`` or ``main`` element are marked and never deleted: copies of an article, and passages
 that many articles quote, are shared by neighbours too. Every page with lines that are not marked is aligned. If
 its marked lines hold at least as many characters as the others that the difference leaves, they are the page's body and the
-others stand beside it; if they hold fewer, like a teaser in a page of plain elements, all of them are the text. A neighbour that shares more than
-``COPIES`` of a page's text is a copy of it and proves nothing; then no line is deleted.
+others stand beside it; if they hold fewer, like a teaser in a page of plain elements, all of them are the text.
 
 Null or empty html gives an empty text; a page with a null url, or alone on its host, is not differenced.
 Rows that repeat a page are pages of their own: each input row gives one output row, null ids included. Unclosed
@@ -28,11 +34,14 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tallybook.llm.common import slices
+from tallybook.llm.components import components
 from tallybook.operators.load import written
 from tallybook.scratch import scratch_dir
 
-#: A neighbour with more than this share of the page's characters is a copy; bits held by one alignment.
+#: A neighbour with more than this share of the page's rare characters is a copy; bits held by one alignment.
 COPIES, BITS = 0.8, 1 << 28
+#: Lines on this share of a host's classes are the site's, if the host has at least so many classes.
+SITE, FEW = 0.8, 4
 
 _TOKEN = re.compile(r"""
       <!--.*?(?:-->|\Z)
@@ -179,11 +188,13 @@ def _grown(one: list, other: list) -> np.ndarray:
     return np.concatenate([[0], np.cumsum(1 - np.unpackbits(bits, bitorder="little")[:len(other)].astype(np.int64))])
 
 
-def shared_places(lines: list[str], neighbour: list[str]) -> set[int]:
-    """The places of lines that a page shares with its neighbour; none if that is a copy of the page."""
-    shared = set(common_lines(lines, neighbour))
-    held = sum(len(lines[i]) for i in shared)
-    return set() if held > COPIES * sum(map(len, lines)) else shared
+def compared(lines: list, sizes: list[int], neighbour: list, site: list | None) -> tuple[bool, list[int]]:
+    """Whether the neighbour is a copy of the page, and the places of the lines that may be deleted."""
+    shared, site = common_lines(lines, neighbour), set(site or ())
+    rare = sum(size for line, size in zip(lines, sizes) if line not in site)
+    held = sum(sizes[i] for i in shared if lines[i] not in site)
+    copy = held > COPIES * rare
+    return copy, [i for i in shared if lines[i] in site] if copy else shared
 
 
 def _parsed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -197,9 +208,9 @@ def _parsed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 ["page_id", "url", "host", "path", "lines", "marked"])
 
 
-def page_text(lines: list[str], marked: list[bool], near: list[str] | None) -> str:
+def page_text(lines: list[str], marked: list[bool], shared: list[int] | None) -> str:
     """The lines that are the page's: those that the difference leaves and the marked ones, or only these if they outweigh."""
-    shared = shared_places(lines, near) if near else set()
+    shared = set(shared or ())
     inside = sum(len(line) for line, own in zip(lines, marked) if own)
     outside = sum(len(line) for i, line in enumerate(lines) if not marked[i] and i not in shared)
     beside = inside >= outside
@@ -210,11 +221,21 @@ def _differenced(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for a in range(0, len(batch), 64):
             part = batch.slice(a, 64)
-            texts = [page_text(*page) for page in zip(*(part.column(c).to_pylist() for c in ("lines", "marked", "near")))]
+            texts = [page_text(*page) for page in zip(*(part.column(c).to_pylist() for c in ("lines", "marked", "shared")))]
             yield pa.RecordBatch.from_arrays([part.column("page_id"), part.column("url"), pa.array(texts, pa.string())],
                                              ["page_id", "url", "text"])
 
 
+def _compared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for a in range(0, len(batch), 64):
+            part = batch.slice(a, 64)
+            told = [compared(*pair) for pair in zip(*(part.column(c).to_pylist() for c in ("lines", "sizes", "others", "site")))]
+            yield pa.RecordBatch.from_arrays(
+                [part.column("row"), part.column("near"), pa.array([copy for copy, _ in told], pa.bool_()),
+                 pa.array([shared for _, shared in told], pa.list_(pa.int32()))], ["row", "near", "copy", "shared"])
+
+
 def nearest(pages: DataFrame) -> DataFrame:
     """(row, near) for (row, host, path): the row before or after it in its host's order, by shared path segments.
 
@@ -247,6 +268,64 @@ def nearest(pages: DataFrame) -> DataFrame:
         "near.host = host").select("row", F.col("near.row").alias("near"))
 
 
+def _forms() -> list:
+    """Hashes and sizes of the lines of a page, and a hash of all of them."""
+    hashes = F.transform("lines", lambda line: F.xxhash64(line))
+    return [hashes.alias("hashes"), F.transform("lines", F.length).alias("sizes"), F.xxhash64(hashes, F.size("lines")).alias("form")]
+
+
+def site_lines(classes: DataFrame) -> DataFrame:
+    """(host, site) per host of at least ``FEW`` classes that has lines on the share ``SITE`` of them."""
+    hosts = classes.groupBy("host").agg(F.count("*").alias("classes")).where(F.col("classes") >= FEW)
+    stands = classes.select("host", F.explode(F.array_distinct("hashes")).alias("line")).groupBy("host", "line").agg(
+        F.count("*").alias("on")).where("on > 1")
+    return stands.join(hosts, "host").where(F.col("on") >= SITE * F.col("classes")).groupBy("host").agg(
+        F.collect_list("line").alias("site"))
+
+
+def deleted_places(rows: DataFrame) -> DataFrame:
+    """(host, form, shared) per class of pages with the same lines: the places of the lines that its neighbour tells to delete.
+
+    Asked are (row, host, path, mixed, hashes, sizes, form); hosts without a mixed page are left out, for nothing is decided there.
+    A round compares what has a new neighbour, and takes all but the first of each group of copies out of the order,
+    so rounds grow with the logarithm of the longest run of copies.
+    """
+    spark = rows.sparkSession
+    asked = rows.where("mixed").select("host").distinct()
+    first = F.min(F.struct("path", "row", "hashes", "sizes")).alias("first")
+    classes = written(rows.where("size(hashes) > 0").join(asked, "host", "left_semi").groupBy("host", "form").agg(
+        first, F.max("mixed").alias("mixed")).select("host", "form", "mixed", "first.*"), scratch_dir(spark, "page-classes"))
+    site = written(site_lines(classes), scratch_dir(spark, "site-lines"))
+    ones = classes.join(site, "host", "left").select("row", F.col("hashes").alias("lines"), "sizes", "site")
+    others = classes.select(F.col("row").alias("_near"), F.col("hashes").alias("others"))
+
+    def judged(pairs: DataFrame) -> DataFrame:
+        both = pairs.join(ones, "row").join(others, F.col("near") == F.col("_near")).select(
+            "row", "near", "lines", "sizes", "others", "site")
+        return written(both.mapInArrow(_compared, "row long, near long, copy boolean, shared array<int>"),
+                       scratch_dir(spark, "page-pairs"))
+
+    leaders = classes.select("row", "host", "path")
+    members = classes.select("row", F.col("row").alias("leader"))
+    known = None
+    while True:
+        pairs = written(nearest(leaders), scratch_dir(spark, "page-neighbours"))
+        fresh = judged(pairs if known is None else pairs.join(known, ["row", "near"], "left_anti"))
+        known = fresh.select("row", "near") if known is None else known.unionByName(fresh.select("row", "near"))
+        copies = fresh.where("copy").select(F.col("row").alias("a"), F.col("near").alias("b"))
+        if copies.isEmpty():
+            break
+        groups = components(copies).select(F.col("id").alias("leader"), "component")
+        members = written(members.join(groups, "leader", "left").select("row", F.coalesce("component", "leader").alias("leader")),
+                          scratch_dir(spark, "page-members"))
+        leaders = written(leaders.join(groups, F.col("row") == F.col("leader"), "left").where(
+            "component IS NULL OR component = row").select("row", "host", "path"), scratch_dir(spark, "page-leaders"))
+    last = classes.where("mixed").select("row", "host", "form").join(members, "row").join(
+        pairs.select(F.col("row").alias("leader"), "near"), "leader").select("row", "near", "host", "form")
+    told = judged(last.select("row", "near")).select("row", "shared")
+    return last.join(told, "row").select("host", "form", "shared")
+
+
 def main_text(pages: DataFrame, key: str = "page_id", url: str = "url", html: str = "html") -> DataFrame:
     """(key, url, text) per page."""
     spark = pages.sparkSession
@@ -258,14 +337,11 @@ def main_text(pages: DataFrame, key: str = "page_id", url: str = "url", html: st
                            T.StructField("marked", T.ArrayType(T.BooleanType()))])
     parsed = written(slim.mapInArrow(_parsed, schema).withColumn("row", F.monotonically_increasing_id()),
                      scratch_dir(spark, "page-lines"))
-    pairs = nearest(parsed.where("host <> ''").select("row", "host", "path"))
     mixed = F.array_contains("marked", False)
-    open_pages = parsed.where(mixed).select("row", "page_id", "url", "lines", "marked")
-    wanted = written(open_pages.select("row").join(pairs, "row").select(F.col("row").alias("_row"), F.col("near").alias("_near")),
-                     scratch_dir(spark, "page-pairs"))
-    partner = parsed.select("row", F.col("lines").alias("near")).join(wanted, F.col("row") == F.col("_near")).select(
-        F.col("_row").alias("row"), "near")
-    told = open_pages.join(partner, "row", "left").select("page_id", "url", "lines", "marked", "near")
+    rows = parsed.where("host <> ''").select("row", "host", "path", mixed.alias("mixed"), *_forms())
+    deletions = deleted_places(rows)
+    open_pages = parsed.where(mixed).select("row", "page_id", "url", "lines", "marked", "host", _forms()[-1])
+    told = open_pages.join(deletions, ["host", "form"], "left").select("page_id", "url", "lines", "marked", "shared")
     texts = T.StructType([*parsed.select("page_id", "url").schema, T.StructField("text", T.StringType())])
     out = parsed.where(~mixed).select("page_id", "url", F.array_join("lines", "\n").alias("text")).unionByName(
         told.mapInArrow(_differenced, texts))

@@ -136,6 +136,21 @@ def test_a_marked_teaser_is_not_the_whole_text(spark):
     assert all(told[20 + i] == sentences(i) for i in range(4))
 
 
+def test_copies_and_short_pages_lose_what_is_the_sites(spark):
+    frame = lambda body: f"<div>{'Name of the site ' * 6}</div>{body}<div>{'Imprint and terms ' * 6}</div>"
+    words = lambda i, k: f"<p>Sentence {k} of article {i}, which is told at length.</p>"
+    text = lambda i: "".join(words(i, k) for k in range(8))
+    short = [(i, f"http://short.org/{i:02}", frame(f"<p>Short {i}")) for i in range(9)]
+    same = [(100 + 10 * i + k, f"http://same.org/{i}?v={k}", frame(text(i))) for i in range(5) for k in range(4)]
+    near = [(200 + 10 * i + k, f"http://near.org/{i}/{k}", frame(text(i) + f"<p>Read {10 * i + k} times")) for i in range(5) for k in range(7)]
+    found = page_difference.main_text(spark.createDataFrame(short + same + near, "page_id long, url string, html string").repartition(5))
+    told = {r.page_id: r.text for r in found.collect()}
+    plain = lambda html: "\n".join(x for x, _ in page_difference.page_lines(html))
+    assert all(told[i] == f"Short {i}" for i in range(9))
+    assert all(told[i] == plain(text((i - 100) // 10)) for i, *_ in same)
+    assert all(told[i] == plain(text((i - 200) // 10) + f"<p>Read {i - 200} times") for i, *_ in near)
+
+
 def test_neighbours_are_those_of_one_sorted_list(spark):
     rows = [(i, f"h{i * 7 % 5}", f"/{'abc'[i % 3]}/{i * 13 % 50}/x") for i in range(200)]
     found = {r.row: r.near for r in page_difference.nearest(
