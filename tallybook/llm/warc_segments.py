@@ -2,8 +2,8 @@
 
 Records are lines of a text file whose separator is the record's version line, so
 Spark's text reader splits archives of any size between tasks. The writer ends a
-chunk inside the version line wherever a payload holds it, so the separator never
-occurs inside a record. A block longer than a segment is cut: its first part is the record of the page, the
+chunk inside the version line wherever a payload holds it, and ends no chunk, segment
+or header right after the version, so the separator never occurs inside a record, which is checked. A block longer than a segment is cut: its first part is the record of the page, the
 others are continuation records that name the first one's id, their number and,
 in the last, the total length.
 
@@ -31,6 +31,8 @@ from tallybook.llm.common import slices
 from tallybook.operators.load import written
 
 VERSION = "WARC/1.1\r\n"
+#: The version without its line end: what comes after a chunk, a segment or a header begins with one.
+NAME = VERSION.strip().encode()
 #: Bytes of a record's block at most, and of one chunk of a payload.
 SEGMENT, CHUNK = 1 << 14, 1 << 12
 # The headers of the stored answer, what may stand in a target unquoted, and the profile of a revisit.
@@ -40,18 +42,21 @@ PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 
 
 def _cuts(data: bytes, size: int, more: list[int] = ()) -> list[int]:
-    """Places to cut UTF-8 at about every ``size`` bytes, never inside a character, and at ``more``."""
+    """Places to cut UTF-8 at about every ``size`` bytes, never inside a character or after the version, and at ``more``."""
     out = {len(data), *more}
     for at in range(size, len(data), size):
         while data[at] & 0xC0 == 0x80:
             at -= 1
-        out.add(at)
+        out.add(at - 4 if data[max(at - len(NAME), 0):at] == NAME else at)
     return sorted(out - {0})
 
 
 def chunked(payload: bytes, size: int = CHUNK) -> bytes:
-    """The payload in chunks; a chunk ends inside every version line, which so never stands whole."""
-    ends = _cuts(payload, size, [m.start() + 4 for m in re.finditer(re.escape(VERSION.encode()), payload)])
+    """The payload in chunks; a chunk ends inside every version line, which so never stands whole.
+
+    A chunk that ended in the version would have the framing's line end after it, so none does, nor the last.
+    """
+    ends = _cuts(payload, size, [m.start() + 4 for m in re.finditer(re.escape(NAME) + rb"(?=\r\n|\Z)", payload)])
     parts = (payload[a:b] for a, b in zip([0, *ends], ends))
     return b"".join(b"%x\r\n%b\r\n" % (len(p), p) for p in parts) + b"0\r\n\r\n"
 
@@ -83,13 +88,17 @@ def payload_of(block: bytes) -> bytes:
 
 def _record(kind: str, head: list[str], block: bytes) -> str:
     lines = [f"{VERSION}WARC-Type: {kind}", *head, f"Content-Length: {len(block)}"]
-    return "\r\n".join(lines) + "\r\n\r\n" + block.decode()
+    record = "\r\n".join(lines) + "\r\n\r\n" + block.decode()
+    if (record + "\r\n\r\n").count(VERSION) != 1:
+        raise ValueError(f"the record separator stands inside a record: {head[0]}")
+    return record
 
 
 def _page_records(page, row, url, html, digest, keeper) -> Iterator[str]:
     name = f"urn:page:{page or 'null'}:{row}"
     head = [f"WARC-Record-ID: <{name}>", f"WARC-Payload-Digest: sha1:{digest}"]
-    head += [f"WARC-Target-URI: {quote(url, safe=URI)}"] if url else []
+    # a URL that ends in the version would make the separator with the header's line end
+    head += [f"WARC-Target-URI: {re.sub(r'WARC/1[.]1$', 'WARC/1.%31', quote(url, safe=URI))}"] if url else []
     if keeper:
         yield _record("revisit", [*head, f"WARC-Profile: {PROFILE}", f"WARC-Refers-To: <urn:page:{keeper}>"], HTTP)
         return

@@ -19,6 +19,24 @@ def test_chunked_payloads_come_back(text, size):
     assert warc_segments.VERSION.encode() not in framed
 
 
+@settings(max_examples=200, deadline=None)
+@given(st.text(max_size=40), st.integers(5, 40), st.integers(1, 6))
+def test_chunks_never_end_in_the_version(text, size, times):
+    for payload in ((text + "WARC/1.1" * times).encode(), ("WARC/1.1" * times + text).encode()):
+        framed = warc_segments.chunked(payload, size)
+        assert warc_segments.unchunked(framed) == payload
+        assert warc_segments.VERSION.encode() not in framed
+
+
+def test_pages_with_the_version_at_their_cuts_come_back(spark, tmp_path):
+    rows = [(i, f"http://w/{i}/WARC/1.1", "x" * i + "WARC/1.1" * 5000, None) for i in range(12)]
+    rows += [(20, "http://v/", "WARC/1.1", None), (21, "http://v/", "<p>" + "WARC/1.1" * 500, None)]
+    read, told = round_trip(spark, rows, tmp_path)
+    assert len(told) == len(rows) and all(r.damage is None for r in told)
+    assert {r.page_id: r.payload_bytes for r in told} == {i: len(html) for i, _, html, _ in rows}
+    assert {bytes(r.payload).decode() for r in read.collect()} == {html for _, _, html, _ in rows}
+
+
 def test_broken_framing_is_an_error():
     for body in (b"", b"5\r\nabc\r\n0\r\n\r\n", b"zz\r\n", b"3\r\nabcX\r\n0\r\n\r\n"):
         with pytest.raises(ValueError):
