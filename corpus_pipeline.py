@@ -24,11 +24,17 @@ def accepted(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def deduplicated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each near-duplicate group: the one with the smallest id, and one row of it if the id repeats."""
-    found = hyperminhash.near_duplicates(docs)
-    mine = unused(docs.columns, "_kept")
-    kept = found.where("kept AND doc_id IS NOT NULL").select(F.col("doc_id").alias(mine))
-    one = docs.join(kept, F.col("doc_id") == F.col(mine), "left_semi").dropDuplicates(["doc_id"])
+    """One document of each near-duplicate group: the one with the smallest id.
+
+    Rows that repeat an id and its text are one document; rows of an id with other texts are documents of their own.
+    """
+    mine, kept = (unused(docs.columns, name) for name in ("_row", "_kept"))
+    keyed = docs.where("doc_id IS NOT NULL").withColumn(mine, F.xxhash64("doc_id", "text"))
+    found = hyperminhash.near_duplicates(keyed.select(mine, "text"), key=mine).select(F.col(mine).alias("row"), "component_id")
+    ids = keyed.select(F.col(mine).alias("id_row"), "doc_id").distinct()
+    first = found.distinct().join(ids, F.col("row") == F.col("id_row")).groupBy("component_id").agg(
+        F.min(F.struct("doc_id", "row")).alias("first")).select(F.col("first.row").alias(kept))
+    one = keyed.join(first, F.col(mine) == F.col(kept), "left_semi").dropDuplicates([mine]).drop(mine)
     return one.unionByName(docs.where("doc_id IS NULL"))
 
 

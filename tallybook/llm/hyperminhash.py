@@ -4,7 +4,8 @@ Every text is a set of shingles of ``width`` words. A shingle's hash falls into
 buckets, and of the smallest hash in a bucket a register keeps the number of leading zeros and ten mantissa
 bits: 512 bytes a text, however long. Then:
 
-1. Equal sets form classes; one text of each goes on.
+1. Equal sets form classes; one text of each goes on, found by its id and a hash of it. Bands, buckets and clusters
+   hold classes by their number, since an id may have several; their links are told by ids.
 2. Registers are banded, where an empty register takes the value of a filled one that is the same in
    every text. Texts that agree in a band meet in a bucket. Buckets with the same members count once.
 3. In a bucket, texts that are close to none of its leaders become leaders, and every text is
@@ -179,7 +180,7 @@ def connected(sets: list[np.ndarray], percent: int) -> list[tuple[int, int]]:
 
 
 def sketches(docs: DataFrame, key: str, text: str, width: int) -> DataFrame:
-    """(id, n, low, high, registers) per row: the set's size, a 128-bit digest of it, and its registers."""
+    """(id, hash, n, low, high, registers) per row: the text's hash, the set's size, a 128-bit digest of it, its registers."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in slices(batch, "text"):
@@ -188,12 +189,15 @@ def sketches(docs: DataFrame, key: str, text: str, width: int) -> DataFrame:
                 high = np.array([mix(s).sum(dtype=np.uint64) if len(s) else 0 for s in sets], dtype=np.uint64)
                 made = registers(sets)
                 yield pa.RecordBatch.from_arrays([
-                    part.column("id"), pa.array([len(s) for s in sets], pa.int64()), pa.array(low.view(np.int64)),
+                    part.column("id"), part.column("hash"), pa.array([len(s) for s in sets], pa.int64()), pa.array(low.view(np.int64)),
                     pa.array(high.view(np.int64)), pa.array([r.tobytes() for r in made], pa.binary())],
-                    ["id", "n", "low", "high", "registers"])
+                    ["id", "hash", "n", "low", "high", "registers"])
 
-    slim = docs.select(F.col(key).cast("long").alias("id"), F.col(text).alias("text"))
-    return slim.mapInArrow(run, "id long, n long, low long, high long, registers binary")
+    return _slim(docs, key, text).mapInArrow(run, "id long, hash long, n long, low long, high long, registers binary")
+
+
+def _slim(docs: DataFrame, key: str, text: str) -> DataFrame:
+    return docs.select(F.col(key).cast("long").alias("id"), F.xxhash64(F.col(text)).alias("hash"), F.col(text).alias("text"))
 
 
 def _banded(classes: DataFrame, size: int) -> DataFrame:
@@ -205,14 +209,14 @@ def _banded(classes: DataFrame, size: int) -> DataFrame:
                 keys = band_keys(rows, size).view(np.int64)
                 lists = pa.ListArray.from_arrays(pa.array(np.arange(0, keys.size + 1, keys.shape[1]), pa.int32()),
                                                  pa.array(keys.reshape(-1)))
-                yield pa.RecordBatch.from_arrays([part.column("id"), lists], ["id", "bands"])
+                yield pa.RecordBatch.from_arrays([part.column("class"), lists], ["class", "bands"])
 
-    return classes.select("id", "registers").mapInArrow(run, "id long, bands array<long>")
+    return classes.select("class", "registers").mapInArrow(run, "class long, bands array<long>")
 
 
 def _in_blocks(rows: DataFrame, group: str, blocks: str) -> DataFrame:
     """Each row once for every pair of blocks (p, q) that its block is in; a group of one block stays as it is."""
-    own = F.pmod(F.xxhash64("id"), F.col(blocks))
+    own = F.pmod(F.xxhash64("class"), F.col(blocks))
     others = F.sequence(F.lit(0).cast("long"), F.col(blocks) - 1)
     pairs = F.transform(others, lambda other: F.struct(F.least(own, other).alias("p"), F.greatest(own, other).alias("q")))
     return rows.withColumn("_pair", F.explode(pairs)).select("*", "_pair.p", "_pair.q").drop("_pair", blocks)
@@ -220,8 +224,8 @@ def _in_blocks(rows: DataFrame, group: str, blocks: str) -> DataFrame:
 
 def _links_of_buckets(percent: int):
     def run(group: pd.DataFrame) -> pd.DataFrame:
-        group = group.drop_duplicates("id").sort_values("id")
-        ids = group["id"].to_numpy()
+        group = group.drop_duplicates("class").sort_values("class")
+        ids = group["class"].to_numpy()
         rows = np.array([np.frombuffer(r, np.uint16) for r in group["registers"]])
         links = loose_links(rows, group["n"].to_numpy(dtype=float), percent)
         return pd.DataFrame([(ids[i], ids[j]) for i, j in links], columns=["a", "b"], dtype="int64")
@@ -231,7 +235,7 @@ def _links_of_buckets(percent: int):
 
 def _links_of_clusters(width: int, percent: int):
     def run(group: pd.DataFrame) -> pd.DataFrame:
-        group = group.sort_values("id", kind="stable")
+        group = group.drop_duplicates("class").sort_values("class")
         ids = group["id"].to_numpy()
         sets = shingle_sets(*text_bytes(pa.array(group["text"], pa.large_string())), width)
         links = connected(sets, percent)
@@ -249,27 +253,28 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", wi
     spark = docs.sparkSession
     rows = written(sketches(docs, key, text, width), scratch_dir(spark, "sketches"))
     some = rows.where("n > 0 AND id IS NOT NULL")
-    classes = written(some.groupBy("n", "low", "high").agg(F.min("id").alias("id"), F.first("registers").alias("registers")),
+    one = some.groupBy("n", "low", "high").agg(F.min(F.struct("id", "hash")).alias("of"), F.first("registers").alias("registers"))
+    classes = written(one.select(F.monotonically_increasing_id().alias("class"), "n", "low", "high", "of.*", "registers"),
                       scratch_dir(spark, "classes"))
     copies = some.join(classes.select("n", "low", "high", F.col("id").alias("of")), ["n", "low", "high"]).where("id <> of")
 
     bands = written(_banded(classes, band_rows(percent)), scratch_dir(spark, "bands"))
-    places = bands.select("id", F.explode("bands").alias("band"))
-    mark = F.xxhash64("id")
+    places = bands.select("class", F.explode("bands").alias("band"))
+    mark = F.xxhash64("class")
     buckets = (places.groupBy("band").agg(F.count("*").alias("size"), F.bit_xor(mark).alias("xor"),
                                           F.bit_xor(F.xxhash64(mark, F.lit(1))).alias("xor2"))
                .where("size > 1").groupBy("size", "xor", "xor2").agg(F.min("band").alias("band")))
     buckets = written(buckets.select("band", F.ceil(F.col("size") / BLOCK_TEXTS).alias("blocks")),
                       scratch_dir(spark, "buckets"))
-    held = places.join(buckets, "band").join(classes.select("id", "n", "registers"), "id")
+    held = places.join(buckets, "band").join(classes.select("class", "n", "registers"), "class")
     loose = _in_blocks(held, "band", "blocks").groupBy("band", "p", "q").applyInPandas(
         _links_of_buckets(percent), "a long, b long")
-    clusters = components(loose)
+    clusters = components(loose).select(F.col("id").alias("class"), "component").join(
+        classes.select("class", "id", "hash", "n"), "class")
 
-    sizes = clusters.join(classes.groupBy("id").agg(F.sum("n").alias("n")), "id").groupBy("component").agg(
-        F.ceil(F.sum("n") / BLOCK_SHINGLES).alias("blocks"))
-    told = written(clusters.join(sizes, "component"), scratch_dir(spark, "clusters"))
-    whole = docs.select(F.col(key).cast("long").alias("id"), F.col(text).alias("text")).join(told, "id")
+    sizes = clusters.groupBy("component").agg(F.ceil(F.sum("n") / BLOCK_SHINGLES).alias("blocks"))
+    told = written(clusters.drop("n").join(sizes, "component"), scratch_dir(spark, "clusters"))
+    whole = _slim(docs, key, text).join(told, ["id", "hash"])
     exact = _in_blocks(whole, "component", "blocks").groupBy("component", "p", "q").applyInPandas(
         _links_of_clusters(width, percent), "a long, b long")
     found = components(exact.unionByName(copies.select(F.col("of").alias("a"), F.col("id").alias("b"))))

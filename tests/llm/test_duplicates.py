@@ -7,6 +7,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+import corpus_pipeline
 from tallybook.llm import hyperminhash, kmeans_tree, projection_forest
 from tallybook.llm.components import components
 
@@ -99,6 +100,24 @@ def test_near_duplicates_of_odd_rows(spark):
     assert hyperminhash.near_duplicates(docs.limit(0)).count() == 0
 
 
+def test_every_text_of_a_repeated_id_is_compared(spark):
+    rng = random.Random(3)
+    texts = [" ".join(f"w{rng.randrange(10**6)}" for _ in range(80)) for _ in range(40)]
+    rows = [(k % 4, text) for k, text in enumerate(texts)] + [(100 + k, text + " more") for k, text in enumerate(texts)]
+    rows = [(i + 1000, t) for i, t in rows if i < 4] + [(i, t) for i, t in rows if i >= 4]
+    found = hyperminhash.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string").repartition(5)).collect()
+    assert len(found) == len(rows)
+    assert {r.doc_id: r.component_id for r in found} == plain_duplicates(rows, 5, 80)
+
+
+def test_the_pipeline_keeps_other_texts_of_an_id(spark, sf_dir):
+    a, b, c = (" ".join(f"{x}{k}" for k in range(50)) for x in "abc")
+    rows = [(1, a), (1, b), (1, a), (2, b + " end"), (3, c), (None, a), (4, None), (0, c + " end")]
+    kept = corpus_pipeline.deduplicated(spark, spark.createDataFrame(rows, "doc_id long, text string"), sf_dir)
+    assert sorted(map(str, kept.collect())) == sorted(
+        str(r) for r in spark.createDataFrame([(1, a), (1, b), (0, c + " end"), (None, a), (4, None)], kept.schema).collect())
+
+
 def test_the_estimate_is_near_the_truth():
     rng = np.random.default_rng(2)
     for share in (0.5, 0.7, 0.9):
