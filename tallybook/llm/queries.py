@@ -4,7 +4,10 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallybook.llm import byte_bpe, hyperminhash, katz, kmeans_tree, packing, page_difference, pii_crf, projection_forest, quality_fm, warc_segments
+from tallybook.llm import (
+    byte_bpe, fill_in_middle, hyperminhash, katz, kmeans_tree, packing, page_difference, pii_crf, prefix_trie, projection_forest,
+    quality_fm, token_counts, warc_segments,
+)
 from tallybook.llm.common import crc_fold
 from tallybook.scratch import scratch_dir
 
@@ -83,9 +86,24 @@ def op10_crf_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "n_email", "n_ip", "n_card", "n_phone", F.sha2("base", 256).alias("base_sha256"), "spans")
 
 
+def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every distinct beginning of the rebuilt conversations."""
+    return prefix_trie.prefix_trie(table(spark, sf_dir, "conversations"))
+
+
+def op12_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document transformed for filling in its middle, and restored."""
+    return fill_in_middle.transform(table(spark, sf_dir, "documents"))
+
+
+def op13_token_transducer(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The number of tokens of every document."""
+    return token_counts.count_tokens(table(spark, sf_dir, "documents"), BPE_JSON)
+
+
 QUERIES = {f.__name__: f for f in (
     op1_page_difference, op2_projection_forest, op3_fm_quality, op4_warc_segments, op5_kmeans_tree, op6_byte_bpe, op7_hyperminhash, op8_katz_backoff,
-    op9_power_of_two_packing, op10_crf_pii)}
+    op9_power_of_two_packing, op10_crf_pii, op11_prefix_trie, op12_fill_in_middle, op13_token_transducer)}
 
 ORACLE = {
     "op2_projection_forest": """
@@ -148,4 +166,66 @@ ORACLE = {
                least(doc_id, coalesce(other, doc_id)) AS component_id,
                doc_id = least(doc_id, coalesce(other, doc_id)) AS kept
         FROM s LEFT JOIN least_of USING (doc_id)""",
+    "op11_prefix_trie": """
+        WITH own AS (
+            SELECT conv_id, list(struct_pack(role := role, text := text) ORDER BY turn NULLS FIRST, role,
+                                 md5(octet_length(encode(role)) || ' ' || role || text)) AS turns
+            FROM (SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations)
+            WHERE conv_id IS NOT NULL GROUP BY 1),
+        heads AS (
+            SELECT conv_id, turns, xor(list_reduce(list_prepend(4294967295, list_transform(
+                    range(1, length(CAST(conv_id AS VARCHAR)) + 1),
+                    lambda i: CAST(ord(substr(CAST(conv_id AS VARCHAR), CAST(i AS INT), 1)) AS BIGINT))),
+                lambda a, b: list_reduce(list_prepend(xor(a, b), range(8)),
+                    lambda c, k: CASE WHEN c % 2 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END)), 4294967295) % 4 AS h
+            FROM own),
+        rebuilt AS (
+            SELECT c.conv_id, list_concat(CASE WHEN f.turns IS NULL THEN [] ELSE f.turns[1:c.h] END, c.turns[c.h + 1:]) AS turns
+            FROM heads c LEFT JOIN own f ON f.conv_id = c.conv_id - c.conv_id % 20),
+        prefixes AS (
+            SELECT conv_id, unnest(range(0, len(turns) + 1)) AS depth, turns FROM rebuilt),
+        nodes AS (
+            SELECT depth, turns[1:depth] AS prefix, min(conv_id) AS conv_id, count(*) AS n_convs,
+                   sha256(coalesce(string_agg(CAST(conv_id AS VARCHAR), ',' ORDER BY conv_id)
+                                   FILTER (len(turns) = depth), '')) AS ends_sha256
+            FROM prefixes GROUP BY 1, 2),
+        children AS (
+            SELECT depth - 1 AS depth, prefix[1:depth - 1] AS prefix, count(*) AS n FROM nodes WHERE depth > 0 GROUP BY 1, 2),
+        told AS (
+            SELECT n.*, coalesce(c.n, 0) AS n_children, CASE WHEN n.depth = 0 THEN 0 ELSE (n_convs - 1) * len(
+                       regexp_extract_all(n.prefix[n.depth].text, '[^\x20\x09-\x0D]+')) END AS saved
+            FROM nodes n LEFT JOIN children c ON c.depth = n.depth AND c.prefix = n.prefix),
+        above AS (
+            SELECT unnest(range(0, depth + 1)) AS top, prefix, n_children, saved FROM told),
+        sums AS (
+            SELECT top AS depth, prefix[1:top] AS prefix, count(*) FILTER (n_children = 0) AS n_leaves, sum(saved) AS saved
+            FROM above GROUP BY 1, 2)
+        SELECT t.conv_id, CAST(t.depth AS BIGINT) AS depth, p.conv_id AS parent_conv_id, CAST(t.n_convs AS BIGINT) AS n_convs,
+               CAST(t.n_children AS BIGINT) AS n_children, CAST(s.n_leaves AS BIGINT) AS n_leaves,
+               CAST(s.saved AS BIGINT) AS saved_tokens, t.ends_sha256
+        FROM told t JOIN sums s ON s.depth = t.depth AND s.prefix = t.prefix
+        LEFT JOIN nodes p ON p.depth = t.depth - 1 AND p.prefix = t.prefix[1:t.depth - 1]""",
+    "op12_fill_in_middle": """
+        WITH units AS (
+            SELECT doc_id, coalesce(text, '') AS text, regexp_extract_all(coalesce(text, ''), '[A-Za-z]+|[^A-Za-z]') AS u,
+                   sha256('1:' || coalesce(CAST(doc_id AS VARCHAR), '')) AS h
+            FROM documents),
+        numbers AS (
+            SELECT *, len(u) AS n, CAST('0x' || h[1:8] AS BIGINT) % (len(u) + 1) AS x, CAST('0x' || h[9:16] AS BIGINT) % (len(u) + 1) AS y,
+                   CASE WHEN text = '' OR contains(text, '<P>') OR contains(text, '<S>') OR contains(text, '<M>')
+                             OR CAST('0x' || h[17:24] AS BIGINT) % 100 >= 90 THEN 'plain'
+                        WHEN CAST('0x' || h[25:32] AS BIGINT) % 100 < 20 THEN 'spm' ELSE 'psm' END AS form
+            FROM units),
+        parts AS (
+            SELECT doc_id, n, form, text, array_to_string(u[1:least(x, y)], '') AS prefix,
+                   array_to_string(u[least(x, y) + 1:greatest(x, y)], '') AS middle,
+                   array_to_string(u[greatest(x, y) + 1:], '') AS suffix
+            FROM numbers)
+        SELECT doc_id, CAST(n AS BIGINT) AS n, form,
+               CASE WHEN form <> 'plain' THEN CAST(length(prefix) AS BIGINT) END AS prefix_chars,
+               CASE WHEN form <> 'plain' THEN CAST(length(middle) AS BIGINT) END AS middle_chars,
+               sha256(CASE form WHEN 'plain' THEN text WHEN 'psm' THEN '<P>' || prefix || '<S>' || suffix || '<M>' || middle
+                      ELSE '<S>' || suffix || '<P>' || prefix || '<M>' || middle END) AS output_sha256,
+               sha256(text) AS restored_sha256
+        FROM parts""",
 }

@@ -14,7 +14,7 @@ from .test_duplicates import plain_duplicates
 
 def test_queries_are_registered():
     assert {*QUERIES, "pipeline"} <= set(__spark_entry__.queries())
-    assert [sum(q.startswith(f"op{n}_") for q in QUERIES) for n in range(1, 11)] == [1] * 10
+    assert [sum(q.startswith(f"op{n}_") for q in QUERIES) for n in range(1, 14)] == [1] * 13
     assert [name for name, _ in corpus_pipeline.STAGES] == ["quality", "near-duplicates", "personal-data", "packing"]
 
 
