@@ -1,10 +1,8 @@
 """Loading staged files into raw tables: column matching, a tolerance for bad rows, full refresh."""
 
-from collections.abc import Sequence
-from concurrent.futures import ThreadPoolExecutor
+from functools import reduce
+from operator import add
 
-from py4j.protocol import Py4JJavaError
-from pyspark.errors import PySparkException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -18,7 +16,8 @@ BAD = "_bad"
 # Fixed value: a file is skipped when more than this share of its rows is bad.
 TOLERATED_PERCENT = 5
 
-REPORT = columns("file string, n_rows bigint, n_bad bigint, n_without_key bigint, skipped boolean")
+REPORT = columns("file string, n_rows bigint, n_bad bigint, n_without_key bigint, n_nulls bigint, fault string, "
+                 "skipped boolean")
 
 
 def unmatched_names(rows: DataFrame, target: T.StructType) -> list[str]:
@@ -51,42 +50,6 @@ def parquet_files(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path).select("*", F.col("_metadata.file_path").alias(FILE))
 
 
-def parquet_by_schema(spark: SparkSession, path: str) -> tuple[list[DataFrame], list[str], list[str]]:
-    """(rows of the files of each schema, all files, unreadable files) of a folder of Parquet.
-
-    Files whose schemas merge are read as one, which one distributed job finds
-    out. If they do not, the schema of each file is read, and files of one schema
-    are read together.
-    """
-    listed = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path).select(
-        "path", F.col("_metadata.file_path").alias("file")).collect()  # names only, no contents
-    if not listed:
-        return [], [], []
-    files, names = [r.path for r in listed], [r.file for r in listed]
-    try:
-        rows = spark.read.option("mergeSchema", True).parquet(*files)
-        return [rows.select("*", F.col("_metadata.file_path").alias(FILE))], names, []
-    except (PySparkException, Py4JJavaError):
-        pass
-
-    def schema_of(file: str):
-        try:
-            return spark.read.parquet(file).schema
-        except (PySparkException, Py4JJavaError):
-            return None
-
-    with ThreadPoolExecutor(16) as pool:
-        found = list(pool.map(schema_of, files))
-    groups: dict[str, list[str]] = {}
-    schemas = {schema.json(): schema for schema in found if schema is not None}
-    for file, schema in zip(files, found):
-        if schema is not None:
-            groups.setdefault(schema.json(), []).append(file)
-    rows = [spark.read.schema(schemas[key]).parquet(*some).select("*", F.col("_metadata.file_path").alias(FILE))
-            for key, some in groups.items()]
-    return rows, names, [name for name, schema in zip(names, found) if schema is None]
-
-
 def checked(rows: DataFrame, target: T.StructType, date_format: str | None = None) -> DataFrame:
     """The target's columns in their types, whether the row is bad, and its file."""
     typed = [F.col(f.name) if rows.schema[f.name].dataType == f.dataType else
@@ -105,26 +68,35 @@ def skip_bad_files(rows: DataFrame, target: T.StructType, report_path: str, date
 
 
 def keep_good(rows: DataFrame, target: T.StructType, report_path: str, tolerated_percent: int = TOLERATED_PERCENT,
-              key: str | None = None, files: Sequence[str] = (), unreadable: Sequence[str] = ()) -> DataFrame:
+              key: str | None = None, files: DataFrame | None = None) -> DataFrame:
     """The good ones of checked rows, of files within the tolerance.
 
     The first pass counts bad rows per file and writes the counts as a load
-    report, with ``files`` that have no rows, and with unreadable files as skipped; the second
-    reads the list of skipped files back, so its size is known, and drops their
+    report; the second reads the list of skipped files back, so its size is known, and drops their
     rows without moving the others. ``key`` is the column whose nulls are counted, the first if not given.
+    With an inventory of ``files`` the report has those without rows too, and a file that
+    cannot be read, or gives other than its footer's number of rows, is skipped with its fault. All columns are read for that.
     """
     spark = rows.sparkSession
+    nulls = reduce(add, (F.col(n).isNull().cast("bigint") for n in target.fieldNames()))
     report = rows.groupBy(F.col(FILE).alias("file")).agg(
         F.count("*").alias("n_rows"),
         F.count_if(BAD).alias("n_bad"),
-        F.count_if(F.col(key or target.fieldNames()[0]).isNull()).alias("n_without_key"))
-    report = report.withColumn("skipped", F.col("n_bad") * 100 > F.col("n_rows") * tolerated_percent)
-    if files:
-        listed = spark.createDataFrame([(file, file in set(unreadable)) for file in files], "listed string, unreadable boolean")
-        none = F.lit(0).cast("bigint")
-        report = listed.join(report, F.col("listed") == F.col("file"), "left").select(
-            F.col("listed").alias("file"), *(F.coalesce(c, none).alias(c) for c in ("n_rows", "n_bad", "n_without_key")),
-            F.coalesce("skipped", "unreadable").alias("skipped"))
+        F.count_if(F.col(key or target.fieldNames()[0]).isNull()).alias("n_without_key"),
+        *([F.sum(nulls).alias("n_nulls")] if files is not None else []))
+    over = F.col("n_bad") * 100 > F.col("n_rows") * tolerated_percent
+    if files is None:
+        report = report.select("*", F.lit(None).cast("bigint").alias("n_nulls"), F.lit(None).cast("string").alias("fault"),
+                               over.alias("skipped"))
+    else:
+        none, read = F.lit(0).cast("bigint"), report.withColumnRenamed("file", "_read")
+        counted = [F.coalesce(c, none).alias(c) for c in ("n_rows", "n_bad", "n_without_key", "n_nulls")]
+        told = files.select("file", F.col("n_rows").alias("_footer"), "fault")
+        report = told.join(read, F.col("file") == F.col("_read"), "left").select("file", "fault", "_footer", *counted)
+        broken = F.when(F.col("n_rows") != F.col("_footer"), F.concat(
+            F.lit("broken inside: "), "n_rows", F.lit(" of "), "_footer", F.lit(" rows")))
+        report = report.withColumn("fault", F.coalesce("fault", broken)).withColumn(
+            "skipped", over | F.col("fault").isNotNull()).drop("_footer")
     report.write.partitionBy("skipped").parquet(report_path)
 
     skipped = load_report(spark, report_path).where("skipped").select("file")
@@ -133,21 +105,34 @@ def keep_good(rows: DataFrame, target: T.StructType, report_path: str, tolerated
 
 
 def load_report(spark: SparkSession, report_path: str) -> DataFrame:
-    """Per file: rows, bad rows, rows without a key, and whether it was skipped."""
+    """Per file: rows, bad rows, rows without a key, null values, what is wrong with the file, and whether it was skipped."""
     return spark.read.schema(REPORT).parquet(report_path)
 
 
+def session_with(spark: SparkSession, settings: dict[str, str]) -> SparkSession:
+    """Another session of the same application and catalog, with this one's settings but for the given ones."""
+    other = spark.newSession()
+    for name, value in {**spark.conf.getAll, **settings}.items():
+        if other.conf.isModifiable(name):
+            other.conf.set(name, value)
+    return other
+
+
 def written(rows: DataFrame, path: str, mode: str = "errorifexists") -> DataFrame:
     """The rows as a table of their own: no lineage to replay, and a size that Spark knows."""
     rows.write.mode(mode).parquet(path, **PARQUET)
     return rows.sparkSession.read.parquet(path)
 
 
-def write_load(rows: DataFrame, root: str, load_id: str, name: str, min_rows: int = 0) -> DataFrame:
-    """The rows of one load beside those of others, counted if a least number is asked. Nothing points to them yet."""
+def write_load(rows: DataFrame, root: str, load_id: str, name: str, min_rows: int = 0,
+               exactly: int | None = None) -> DataFrame:
+    """The rows of one load beside those of others, counted if a number is asked. Nothing points to them yet."""
     loaded = written(rows, load_folder(root, load_id))
-    if min_rows and loaded.count() < min_rows:
+    n_rows = loaded.count() if min_rows or exactly is not None else 0
+    if n_rows < min_rows:
         raise ValueError(f"{name}: fewer than {min_rows} rows loaded, the previous load stays")
+    if exactly is not None and n_rows != exactly:
+        raise ValueError(f"{name}: {n_rows} rows loaded where {exactly} were counted, the previous load stays")
     return loaded
 
 

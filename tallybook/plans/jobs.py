@@ -2,18 +2,21 @@
 
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tallybook.operators.load import (
-    TOLERATED_PERCENT, checked, delimited_files, full_refresh, keep_good, load_report, match_by_name,
-    match_by_position, parquet_by_schema, skip_bad_files, written,
+    TOLERATED_PERCENT, checked, delimited_files, keep_good, load_folder, load_report, match_by_name, match_by_position,
+    session_with, skip_bad_files, switch_view, write_load, written,
 )
 from tallybook.schemas import BulkFormat
 from tallybook.sources.delimited import FILE, good_lines, lenient_lines, line_report, read_delimited, rejected_lines
 from tallybook.sources.html import html_code_table
-from tallybook.sources.staged import run_folder, side_folder, stage_delimited, stage_parquet
+from tallybook.sources.inventory import inventory, rows_by_kind
+from tallybook.sources.staged import (
+    REFUSED, STAGED, STAGING, note_run, require_staged, run_folder, side_folder, stage_delimited, stage_parquet, stored_bytes,
+)
 
 
 def ingest_bulk(spark: SparkSession, text: str, bulk: BulkFormat, root: str, run_date: str, header: bool = False,
@@ -23,17 +26,31 @@ def ingest_bulk(spark: SparkSession, text: str, bulk: BulkFormat, root: str, run
     ``dictionary`` is the dataset's header file, if it comes with one. A lenient
     dataset leaves two more tables (``read_rejects``, ``read_line_report``): the
     lines with a wrong field count, and the counts per file; a file with too
-    many such lines is not staged.
+    many such lines is not staged. If that are all files, the run is refused: what an
+    earlier ingest staged for the date stays, but is not loaded again. The manifest
+    (``read_manifest``) tells how each ingest of the run ended.
     """
+    note_run(spark, root, run_date, STAGING)
+    size = stored_bytes(spark, text) if bulk.cluster else 0
     if not bulk.lenient:
-        stage_parquet(read_delimited(spark, text, bulk, header, dictionary), root, run_date)
+        seen = Observation()
+        rows = read_delimited(spark, text, bulk, header, dictionary)
+        stage_parquet(rows.observe(seen, F.count(F.lit(1)).alias("lines")), root, run_date, bulk.cluster, size)
+        note_run(spark, root, run_date, STAGED, lines=seen.get["lines"], wrong=0, skipped=0)
         return
     lines = lenient_lines(spark, text, bulk, header, dictionary)
     written(rejected_lines(lines), side_folder(root, "rejects", run_date), "overwrite")
     report = written(line_report(lines, bulk, tolerated_percent), side_folder(root, "reports", run_date), "overwrite")
+    counts = report.agg(F.count("*").alias("files"), F.coalesce(F.sum("n_rows"), F.lit(0)).alias("lines"),
+                        F.coalesce(F.sum("n_wrong"), F.lit(0)).alias("wrong"),
+                        F.count_if("skipped").alias("skipped")).first().asDict()
+    if counts["files"] and counts["files"] == counts["skipped"]:
+        note_run(spark, root, run_date, REFUSED, **counts)
+        raise ValueError(f"{text}: every file was refused, nothing is staged for {run_date}")
     skipped = report.where("skipped").select("file")
     kept = lines.join(skipped, F.col(FILE) == F.col("file"), "left_anti")
-    stage_parquet(good_lines(kept, bulk), root, run_date)
+    stage_parquet(good_lines(kept, bulk), root, run_date, bulk.cluster, size)
+    note_run(spark, root, run_date, STAGED, **counts)
 
 
 def read_rejects(spark: SparkSession, root: str, run_date: str) -> DataFrame:
@@ -56,14 +73,18 @@ def load_bulk(spark: SparkSession, root: str, run_date: str, target: T.StructTyp
               view: str, database: str | None = None, min_rows: int = 0, key: str | None = None) -> DataFrame:
     """One run's staged Parquet as the new rows of a raw table, by column name and within the tolerance, file by file.
 
-    Every file is matched by its own columns; an unreadable file is skipped like one with too many bad rows.
+    Every file is matched by its own columns, with case. An unreadable file, and one that breaks inside its data, is skipped like
+    one with too many bad rows; no row of it is loaded. A run that the last ingest refused is not loaded.
     """
-    groups, files, unreadable = parquet_by_schema(spark, run_folder(root, run_date))
-    nothing = spark.createDataFrame([], T.StructType([*target, T.StructField(FILE, T.StringType())]))
-    parts = [checked(match_by_name(rows, target), target) for rows in [nothing, *groups]]
+    require_staged(spark, root, run_date)
+    exact = session_with(spark, {"spark.sql.caseSensitive": "true"})
+    folder = run_folder(root, run_date)
+    files = written(inventory(exact, folder), f"{table}/files/{load_id}")
+    nothing = exact.createDataFrame([], T.StructType([*target, T.StructField(FILE, T.StringType())]))
+    parts = [checked(match_by_name(rows, target), target) for rows in [nothing, *rows_by_kind(exact, folder, files, target)]]
     report = f"{table}/reports/{load_id}"
-    good = keep_good(reduce(DataFrame.unionByName, parts), target, report, key=key, files=files, unreadable=unreadable)
-    return _refreshed(good, report, table, load_id, view, database, min_rows)
+    good = keep_good(reduce(DataFrame.unionByName, parts), target, report, key=key, files=files)
+    return _refreshed(spark, good, report, table, load_id, view, database, min_rows)
 
 
 def load_code_table(spark: SparkSession, root: str, run_date: str, target: T.StructType, table: str,
@@ -71,13 +92,17 @@ def load_code_table(spark: SparkSession, root: str, run_date: str, target: T.Str
     """One run's staged delimited text, by column position, as the new rows of a raw table."""
     rows = match_by_position(delimited_files(spark, run_folder(root, run_date), target), target)
     report = f"{table}/reports/{load_id}"
-    return _refreshed(skip_bad_files(rows, target, report), report, table, load_id, view, database, min_rows)
+    return _refreshed(spark, skip_bad_files(rows, target, report), report, table, load_id, view, database, min_rows)
 
 
-def _refreshed(good: DataFrame, report: str, table: str, load_id: str, view: str, database: str | None,
+def _refreshed(spark: SparkSession, good: DataFrame, report: str, table: str, load_id: str, view: str, database: str | None,
                min_rows: int) -> DataFrame:
-    """A run whose files were all skipped is refused: the table keeps its rows."""
-    states = load_report(good.sparkSession, report).select("skipped").distinct().collect()
-    if states and all(state.skipped for state in states):
+    """A run whose files were all skipped is refused: the table keeps its rows. So is one that loads other rows than it counted."""
+    told = load_report(spark, report).agg(
+        F.count("*").alias("files"), F.count_if("skipped").alias("skipped"),
+        F.coalesce(F.sum(F.when(~F.col("skipped"), F.col("n_rows") - F.col("n_bad"))), F.lit(0)).alias("rows")).first()
+    if told.files and told.files == told.skipped:
         raise ValueError(f"{view}: every file was skipped, the previous load stays")
-    return full_refresh(good, f"{table}/rows", load_id, view, database, min_rows)
+    loaded = write_load(good, f"{table}/rows", load_id, view, min_rows, told.rows)
+    switch_view(spark, f"{table}/rows", load_id, view, database)
+    return spark.read.schema(loaded.schema).parquet(load_folder(f"{table}/rows", load_id))

@@ -29,6 +29,7 @@ class BulkFormat:
     date_format: str | None = None
     trailing_delimiter: bool = False
     lenient: bool = False  # values that do not fit their type turn null instead of failing the read
+    cluster: tuple[str, ...] = ()  # how staged rows are ordered: by range of the first column, ties by the last
 
     @property
     def names(self) -> list[str]:
@@ -81,6 +82,7 @@ OPERATING_EXP = """
     MEMO_CD string, MEMO_TEXT string, ENTITY_TP string, SUB_ID bigint, FILE_NUM bigint,
     TRAN_ID string, BACK_REF_TRAN_ID string
 """
+BY_COMMITTEE = ("CMTE_ID", "RPT_TP", "AMNDT_IND", "TRANSACTION_PGI", "ENTITY_TP", "STATE", "CITY", "ZIP_CODE", "TRANSACTION_DT", "SUB_ID")
 COMPACT_DATE = "MMddyyyy"
 SLASH_DATE = "M/d/yyyy"
 
@@ -88,10 +90,11 @@ BULK = {
     "candidates": BulkFormat(columns(CANDIDATES)),
     "cand_cmte_link": BulkFormat(columns(CAND_CMTE_LINK)),
     "committees": BulkFormat(columns(COMMITTEES)),
-    "committee_trans": BulkFormat(columns(COMMITTEE_TRANS), COMPACT_DATE),
-    "independent_exp": BulkFormat(columns(INDEPENDENT_EXP), COMPACT_DATE),
-    "indiv_contributions": BulkFormat(columns(INDIV_CONTRIBUTIONS), COMPACT_DATE),
-    "operating_exp": BulkFormat(columns(OPERATING_EXP), SLASH_DATE, trailing_delimiter=True, lenient=True),
+    "committee_trans": BulkFormat(columns(COMMITTEE_TRANS), COMPACT_DATE, cluster=BY_COMMITTEE),
+    "independent_exp": BulkFormat(columns(INDEPENDENT_EXP), COMPACT_DATE, cluster=BY_COMMITTEE),
+    "indiv_contributions": BulkFormat(columns(INDIV_CONTRIBUTIONS), COMPACT_DATE, cluster=BY_COMMITTEE),
+    "operating_exp": BulkFormat(columns(OPERATING_EXP), SLASH_DATE, trailing_delimiter=True, lenient=True,
+                                cluster=BY_COMMITTEE),
 }
 
 # The code tables, each a code and its label.

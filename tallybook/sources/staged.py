@@ -1,19 +1,40 @@
 """The landing area: one folder per dataset, in it one ``run_date=`` folder per run."""
 
+from collections.abc import Sequence
 from datetime import date
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.errors import AnalysisException
+from pyspark.sql import DataFrame, Row, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tallybook.schemas import columns
+
 from tallybook.sources.delimited import EXACT, QUOTED, read_text_columns
 
 RUN_DATE = "run_date"
 # Fixed value: the compression of every Parquet file written; about a third smaller than the default, as fast.
 PARQUET = {"compression": "zstd"}
 
+# What an ingest says of a run: each attempt notes "staging" before anything is replaced, then "staged" or "refused".
+MANIFEST = columns("attempt bigint, state string, files bigint, lines bigint, wrong bigint, skipped bigint")
+STAGING, STAGED, REFUSED = "staging", "staged", "refused"
+
+
+#: Bytes of text per staged file: typed and sorted Parquet takes a fifth of them.
+TEXT_PER_FILE = 512 << 20
+
 
-def stage_parquet(rows: DataFrame, root: str, run_date: str) -> None:
-    """Write one run's rows, also if there are none; staging the same date again replaces only that date."""
+def stage_parquet(rows: DataFrame, root: str, run_date: str, cluster: Sequence[str] = (), text_bytes: int = 0) -> None:
+    """Write one run's rows, also if there are none; staging the same date again replaces only that date.
+
+    With ``cluster`` the files hold ranges of the first column, so a reader of one value opens few row groups, and
+    rows alike in the others stand together, which makes files smaller. The last column breaks ties: one value with very
+    many rows is dealt over files by it. There are as many files as the text's bytes ask for, and no fewer than cores.
+    """
+    if cluster:
+        files = max(rows.sparkSession.sparkContext.defaultParallelism, -(-text_bytes // TEXT_PER_FILE))
+        rows = rows.repartitionByRange(files, cluster[0], cluster[-1]).sortWithinPartitions(*cluster)
     rows.write.mode("overwrite").parquet(run_folder(root, run_date), **PARQUET)
 
 
@@ -39,3 +60,38 @@ def read_staged_delimited(spark: SparkSession, root: str, run_date: str, schema:
     """One run's rows as text; the header line is skipped and columns count by position."""
     return read_text_columns(spark, run_folder(root, run_date), schema, header=True, quoted=True)
 
+
+def read_manifest(spark: SparkSession, root: str, run_date: str) -> DataFrame:
+    """(attempt, state, files, lines, wrong, skipped) that the ingests of a run noted, none if it was staged by other means."""
+    try:
+        return spark.read.schema(MANIFEST).parquet(side_folder(root, "manifests", run_date))
+    except AnalysisException as missing:
+        if missing.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame([], MANIFEST)
+
+
+def run_state(spark: SparkSession, root: str, run_date: str) -> Row | None:
+    """What was noted last."""
+    return read_manifest(spark, root, run_date).orderBy("attempt", ascending=False).first()
+
+
+def note_run(spark: SparkSession, root: str, run_date: str, state: str, files: int | None = None, lines: int | None = None,
+             wrong: int | None = None, skipped: int | None = None) -> None:
+    """Add a line to a run's manifest; nothing there is ever replaced."""
+    last = run_state(spark, root, run_date)
+    line = ((last.attempt if last else 0) + 1, state, files, lines, wrong, skipped)
+    spark.createDataFrame([line], MANIFEST).coalesce(1).write.mode("append").parquet(side_folder(root, "manifests", run_date))
+
+
+def require_staged(spark: SparkSession, root: str, run_date: str) -> None:
+    """Refuse a run whose last ingest was refused or did not come to its end."""
+    last = run_state(spark, root, run_date)
+    if last and last.state != STAGED:
+        raise ValueError(f"run {run_date} of {root} is not staged: its last ingest is noted as {last.state}")
+
+
+def stored_bytes(spark: SparkSession, path: str) -> int:
+    """The size of all files below a folder, or of one file."""
+    listed = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path)
+    return listed.agg(F.sum("length")).first()[0] or 0

@@ -159,3 +159,19 @@ def view_sql(name: str) -> str:
     """The SELECT of a raw table over the driver's own table names."""
     return VIEWS[name].format(**{t: t for t in DRIVER_TABLES}).strip()
 
+
+def break_inside(spark: SparkSession, folder: str) -> None:
+    """Zero the later half of the data of every Parquet file in a folder; heads and footers stay as they are."""
+    hadoop = spark._jvm.org.apache.hadoop
+    path = hadoop.fs.Path(folder)
+    store = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    for status in store.listStatus(path):
+        if status.getPath().getName().endswith(".parquet"):
+            stream = store.open(status.getPath())
+            data = bytearray(stream.readAllBytes())
+            stream.close()
+            footer = len(data) - 8 - int.from_bytes(data[-8:-4], "little")
+            data[footer // 2:footer] = bytes(footer - footer // 2)
+            out = store.create(status.getPath(), True)
+            out.write(data)
+            out.close()

@@ -294,6 +294,17 @@ SELECT CAST(o_orderkey AS VARCHAR) AS o_orderkey,
        CASE WHEN o_orderkey % 4 <> 1 THEN CAST(o_custkey AS VARCHAR) END AS o_custkey,
        CAST(CAST(o_totalprice AS DECIMAL(18,2)) AS DOUBLE) AS o_totalprice
 FROM orders WHERE o_orderkey % 4 <> 3""",
+    "load_case_mixed": """
+SELECT CAST(o_orderkey AS VARCHAR) AS "O_ORDERKEY",
+       CASE WHEN o_orderkey % 3 = 0 THEN CAST(o_custkey AS VARCHAR) END AS "O_CUSTKEY",
+       CASE WHEN o_orderkey % 3 <> 1 THEN o_orderpriority END AS "O_CLERK" FROM orders""",
+    "load_broken_inside": """
+SELECT CAST(o_orderkey AS VARCHAR) AS o_orderkey, CAST(o_custkey AS VARCHAR) AS o_custkey,
+       CAST(CAST(o_totalprice AS DECIMAL(18,2)) AS DOUBLE) AS o_totalprice, '1' AS n_broken
+FROM orders WHERE o_orderkey % 4 <> 2""",
+    "load_after_refused_ingest": declared(
+        "operating_exp", RPT_YR="CAST(rpt_yr AS VARCHAR)", SUB_ID="CAST(sub_id AS VARCHAR)",
+        FILE_NUM="CAST(file_num AS VARCHAR)").replace(" FROM operating_exp", ", 'staging refused' AS states FROM operating_exp"),
     "ingest_operating_exp_rejects": over("operating_exp", SPOILT + """
 SELECT file_no, count(*) AS n_rows, count(*) FILTER (wrong) AS n_wrong,
        CAST(sum(CASE WHEN wrong THEN 0 WHEN category IN ('3', '4') THEN 1 ELSE 0 END) AS BIGINT) AS n_nulled,

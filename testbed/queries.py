@@ -34,9 +34,9 @@ from tallybook.sources.delimited import (
 )
 from tallybook.sources.html import html_code_table
 from tallybook.sources.staged import (
-    read_staged_delimited, read_staged_parquet, run_folder, stage_delimited, stage_parquet,
+    read_manifest, read_staged_delimited, read_staged_parquet, run_folder, stage_delimited, stage_parquet,
 )
-from testbed.fixtures import raw_tables, table
+from testbed.fixtures import break_inside, raw_tables, table
 
 RUN_DATE, OTHER_DATE = "2024-03-30", "2024-02-29"
 CODE_TABLE = columns("code string, label string")
@@ -298,6 +298,55 @@ def load_mixed_files(spark, sf_dir):
     return shown(whole_numbers_as_text(load_bulk(spark, root, RUN_DATE, MIXED, to, "first", "tallybook_mixed")))
 
 
+CASED = columns("O_ORDERKEY bigint, O_CUSTKEY bigint, O_CLERK string")
+
+
+def load_case_mixed(spark, sf_dir):
+    """Files of one run whose names differ in case only, one of them with another type under the other name."""
+    root, to = scratch_dir(spark, "staged"), scratch_dir(spark, "table")
+    orders, way = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderpriority"), F.col("o_orderkey") % 3
+    names = (("O_ORDERKEY", "O_CUSTKEY", "O_CLERK"), ("O_ORDERKEY", "o_custkey", "o_clerk"), ("O_ORDERKEY", "O_Custkey", "O_CLERK"))
+    for i, named in enumerate(names):
+        rows = orders.where(way == i).toDF(*named)
+        if i == 2:
+            rows = rows.withColumn("O_Custkey", F.lit("text"))
+        rows.write.mode("append").parquet(run_folder(root, RUN_DATE))
+    return whole_numbers_as_text(load_bulk(spark, root, RUN_DATE, CASED, to, "first", "tallybook_cased"))
+
+
+def load_broken_inside(spark, sf_dir):
+    """Four folders of files, one broken inside its data: none of its rows is loaded, all others are, and the report says why."""
+    root, to = scratch_dir(spark, "staged"), scratch_dir(spark, "table")
+    orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", F.col("o_totalprice").cast("decimal(18,2)").alias(
+        "o_totalprice"))
+    for i in range(4):
+        folder = f"{run_folder(root, RUN_DATE)}/part{i}"
+        orders.where(F.col("o_orderkey") % 4 == i).coalesce(1).write.option("parquet.block.size", 32 << 10).parquet(folder)
+    break_inside(spark, f"{run_folder(root, RUN_DATE)}/part2")
+    loaded = load_bulk(spark, root, RUN_DATE, MIXED, to, "first", "tallybook_broken")
+    told = load_report(spark, f"{to}/reports/first").where("skipped AND fault IS NOT NULL AND file LIKE '%/part2/%'")
+    return shown(whole_numbers_as_text(loaded.withColumn("n_broken", F.lit(told.count()).cast("bigint"))))
+
+
+def load_after_refused_ingest(spark, sf_dir):
+    """Spending of one date loaded; the next date's file has only wrong lines: neither its ingest nor a load of it goes through."""
+    bulk, root, to = BULK["operating_exp"], scratch_dir(spark, "staged"), scratch_dir(spark, "table")
+    rows = raw(spark, sf_dir, "operating_exp")
+    ingest_bulk(spark, bulk_text(rows, bulk, scratch_dir(spark, "text")), bulk, root, OTHER_DATE)
+    load_bulk(spark, root, OTHER_DATE, bulk.schema, to, "first", "tallybook_refused")
+    wrong = scratch_dir(spark, "text")
+    rows.select(F.concat_ws("|", "SUB_ID", "CMTE_ID").alias("line")).write.text(wrong)
+    for step in (lambda: ingest_bulk(spark, wrong, bulk, root, RUN_DATE),
+                 lambda: load_bulk(spark, root, RUN_DATE, bulk.schema, to, "second", "tallybook_refused")):
+        try:
+            step()
+        except ValueError:
+            continue
+        raise AssertionError("a refused run went through")
+    states = [line.state for line in read_manifest(spark, root, RUN_DATE).orderBy("attempt").collect()]
+    return shown(whole_numbers_as_text(spark.table("tallybook_refused").withColumn("states", F.lit(" ".join(states)))))
+
+
 def spoilt_spending(spark: SparkSession, sf_dir: str) -> tuple[str, str]:
     """Spending in 16 files of text: amounts with three decimals and years that are no numbers in all, and lines with
     a field too many or too few, some in every fourth file and many in every other fourth. Also where it was staged."""
@@ -509,6 +558,9 @@ QUERIES: dict[str, Query] = {
     "refresh_models": refresh_all_models,
     "restage_run": restaged_run,
     "load_mixed_files": load_mixed_files,
+    "load_case_mixed": load_case_mixed,
+    "load_broken_inside": load_broken_inside,
+    "load_after_refused_ingest": load_after_refused_ingest,
     "ingest_operating_exp_rejects": ingest_rejects,
     "ingest_operating_exp_spoilt": ingest_spoilt,
     "ingest_cand_cmte_link_by_header": ingest_by_header("cand_cmte_link"),

@@ -17,9 +17,11 @@ from tallybook.plans.jobs import ingest_bulk, load_bulk, read_line_report, read_
 from tallybook.schemas import COMPACT_DATE, BulkFormat, columns
 from tallybook.scratch import scratch_dir
 from tallybook.sources.delimited import read_delimited, read_lenient
+from tallybook.sources.inventory import inventory
 from tallybook.sources.staged import (
-    read_staged_delimited, read_staged_parquet, stage_delimited, stage_parquet,
+    read_manifest, read_staged_delimited, read_staged_parquet, run_state, stage_delimited, stage_parquet,
 )
+from testbed.fixtures import break_inside
 from testbed.queries import orders_in_files
 
 TARGET = columns("id string, n int, day date")
@@ -203,6 +205,112 @@ def test_an_odd_file_is_skipped_and_reported(spark, tmp_path):
     assert rows_of(report) == [(0, 0, False), (0, 0, True), (1, 1, True), (3, 0, False)]
 
 
+def test_names_are_matched_with_case_file_by_file(spark, tmp_path):
+    root, folder = f"{tmp_path}/r", f"{tmp_path}/r/run_date=2024-01-01"
+    spark.createDataFrame([(1, 10)], "ID int, N int").coalesce(1).write.parquet(folder)
+    spark.createDataFrame([(2, 20)], "id int, n int").coalesce(1).write.mode("append").parquet(folder)
+    spark.createDataFrame([("x", 30)], "id string, N int").coalesce(1).write.mode("append").parquet(folder)
+    loaded = load_bulk(spark, root, "2024-01-01", columns("ID int, N int"), f"{tmp_path}/t", "a", "cased")
+    assert rows_of(loaded) == [(1, 10), (None, 30), (None, None)]
+    assert spark.conf.get("spark.sql.caseSensitive") == "false", "the caller's session stays as it is"
+
+
+@pytest.fixture
+def broken_run(spark, tmp_path):
+    """A staged run of a good file and one whose later row groups are zeroed."""
+    root, folder = f"{tmp_path}/r", f"{tmp_path}/r/run_date=2024-01-01"
+    rows = spark.range(20_000).selectExpr("CAST(id AS INT) AS ID", "sha1(CAST(id AS STRING)) AS HASH")
+    rows.coalesce(1).write.option("parquet.block.size", 64 << 10).parquet(f"{folder}/bad")
+    break_inside(spark, f"{folder}/bad")
+    rows.where("ID < 10").coalesce(1).write.parquet(f"{folder}/good")
+    return root
+
+
+def test_a_file_broken_inside_is_skipped_whole(spark, tmp_path, broken_run):
+    target = columns("ID int, HASH string")
+    loaded = load_bulk(spark, broken_run, "2024-01-01", target, f"{tmp_path}/t", "a", "broken")
+    assert loaded.count() == 10
+    report = load_report(spark, f"{tmp_path}/t/reports/a").selectExpr(
+        "file LIKE '%/bad/%'", "skipped", "fault LIKE 'broken inside: % of 20000 rows'", "n_rows < 20000")
+    assert rows_of(report) == [(False, False, None, True), (True, True, True, True)]
+    read = load_report(spark, f"{tmp_path}/t/reports/a").where("skipped").first().n_rows
+    assert 0 < read < 20_000, "some of its rows could be read, none was taken"
+
+
+def test_no_list_of_files_in_the_driver(spark, tmp_path, monkeypatch):
+    """Many small files of two kinds: neither jobs nor collected rows grow with them."""
+    from pyspark.sql import DataFrame
+
+    counts = []
+    for n in (5, 60):
+        root, folder = f"{tmp_path}/{n}", f"{tmp_path}/{n}/run_date=2024-01-01"
+        spark.range(n).selectExpr("id AS ID", "id AS N").repartition(n).write.parquet(f"{folder}/a")
+        spark.range(n).selectExpr("id AS ID", "CAST(id AS STRING) AS N").repartition(n).write.parquet(f"{folder}/b")
+        collected, collect = [], DataFrame.collect
+        monkeypatch.setattr(DataFrame, "collect", lambda df: collected.append(rows := collect(df)) or rows)
+        spark.sparkContext.setJobGroup(f"load-{n}", "")
+        loaded = load_bulk(spark, root, "2024-01-01", columns("ID bigint, N bigint"), f"{tmp_path}/t{n}", "a", "many")
+        jobs = len(spark.sparkContext.statusTracker().getJobIdsForGroup(f"load-{n}"))
+        monkeypatch.setattr(DataFrame, "collect", collect)
+        assert loaded.count() == 2 * n
+        plan = plan_of(inventory(spark, folder), "extended")
+        assert "LocalRelation" not in plan and "LocalTableScan" not in plan
+        counts.append((jobs, sum(map(len, collected))))
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert counts[0][1] == counts[1][1] and counts[1][0] <= counts[0][0] + 2
+
+
+def test_whole_files_are_read_by_spark_from_other_stores(spark, tmp_path):
+    spark.range(3).write.parquet(f"{tmp_path}/t")
+    (tmp_path / "t" / "odd.parquet").write_bytes(b"no table")
+    shown = [rows_of(inventory(spark, f"{tmp_path}/t", opened).selectExpr(
+        "regexp_extract(file, '[^/]+$', 0)", "n_rows", "fault IS NULL", "types['id']")) for opened in (("file",), ())]
+    assert shown[0] == shown[1] and ("odd.parquet", 0, False, None) in shown[0]
+
+
+def test_a_refused_ingest_leaves_the_table_alone(spark, tmp_path):
+    root, table = f"{tmp_path}/staged", f"{tmp_path}/t"
+    good = text_files(tmp_path / "good", a=[f"g{i}|2024|1.50|1/31/2024|" for i in range(10)])
+    ingest_bulk(spark, good, SPENDING, root, "2024-01-01")
+    load_bulk(spark, root, "2024-01-01", SPENDING.schema, table, "a", "spending")
+    wrong = text_files(tmp_path / "wrong", a=["only|two"] * 5, b=["x"])
+    for run_date in ("2024-01-02", "2024-01-01"):
+        with pytest.raises(ValueError, match="refused"):
+            ingest_bulk(spark, wrong, SPENDING, root, run_date)
+        with pytest.raises(ValueError, match="not staged"):
+            load_bulk(spark, root, run_date, SPENDING.schema, table, f"b-{run_date}", "spending")
+    assert spark.table("spending").count() == 10
+    assert read_staged_parquet(spark, root, "2024-01-01").count() == 10, "what was staged before stays"
+    assert read_rejects(spark, root, "2024-01-02").count() == 6
+    told = rows_of(read_manifest(spark, root, "2024-01-01"))
+    assert told == [(1, "staging", None, None, None, None), (2, "staged", 1, 10, 0, 0), (3, "staging", None, None, None, None),
+                    (4, "refused", 2, 6, 6, 2)]
+    ingest_bulk(spark, good, SPENDING, root, "2024-01-02")
+    assert load_bulk(spark, root, "2024-01-02", SPENDING.schema, table, "c", "spending").count() == 10
+
+
+def test_an_ingest_that_fails_midway_is_not_loaded(spark, tmp_path):
+    bulk, root = BulkFormat(columns("id string, n int")), f"{tmp_path}/staged"
+    for lines, state in ((["a|1"], "staged"), (["a|one"], "staging")):
+        try:
+            ingest_bulk(spark, text_files(tmp_path / "in", a=lines), bulk, root, "2024-01-01")
+        except Exception:
+            assert state == "staging"
+        assert run_state(spark, root, "2024-01-01").state == state
+    with pytest.raises(ValueError, match="not staged"):
+        load_bulk(spark, root, "2024-01-01", bulk.schema, f"{tmp_path}/t", "a", "midway")
+
+
+def test_staged_rows_are_clustered(spark, tmp_path):
+    """One committee holds a third of all rows: it is dealt over files, and others lie in few."""
+    rows = spark.range(30_000).selectExpr("IF(id % 3 = 0, 'hot', CONCAT('c', id % 500)) AS CMTE_ID", "id % 7 AS STATE", "id AS SUB_ID")
+    stage_parquet(rows.repartition(8), f"{tmp_path}/s", "2024-01-01", ("CMTE_ID", "STATE", "SUB_ID"))
+    staged = read_staged_parquet(spark, f"{tmp_path}/s", "2024-01-01")
+    files = staged.groupBy("CMTE_ID").agg(F.count_distinct("_metadata.file_path").alias("files"))
+    assert files.where("CMTE_ID <> 'hot' AND files > 2").count() == 0 and files.where("CMTE_ID = 'hot'").first().files > 2
+    assert rows_of(staged) == rows_of(rows)
+
+
 def test_too_few_columns_are_refused(spark, tmp_path):
     path = text_files(tmp_path / "in", a=["1|2"])
     rows = delimited_files(spark, path, columns("a string, b string"), header=False, quoted=False)
