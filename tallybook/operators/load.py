@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tallybook.functions.typing import lenient, unconvertible
+from tallybook.operators.ledger import BEGUN, CURRENT, load_folder, note_load
 from tallybook.schemas import columns
 from tallybook.sources.delimited import FILE, MALFORMED, delimited_files  # noqa: F401  delimited_files is part of loading
 from tallybook.sources.staged import PARQUET
@@ -136,10 +137,6 @@ def write_load(rows: DataFrame, root: str, load_id: str, name: str, min_rows: in
     return loaded
 
 
-def load_folder(root: str, load_id: str) -> str:
-    return f"{root}/load_id={load_id}"
-
-
 def switch_view(spark: SparkSession, root: str, load_id: str, view: str, database: str | None = None) -> None:
     """Let a view point to a load: in the catalog with a database, otherwise in the session."""
     path = load_folder(root, load_id)
@@ -157,8 +154,11 @@ def full_refresh(rows: DataFrame, root: str, load_id: str, view: str, database:
     point to them: a load that fails, or has fewer rows than asked, leaves the previous rows in place.
     A load id names one attempt; trying again takes a new one.
     """
+    spark = rows.sparkSession
+    note_load(spark, root, load_id, BEGUN)
     loaded = write_load(rows, root, load_id, view, min_rows)
-    switch_view(rows.sparkSession, root, load_id, view, database)
+    switch_view(spark, root, load_id, view, database)
+    note_load(spark, root, load_id, CURRENT)
     return loaded
 
 

@@ -1,13 +1,16 @@
 """The jobs a user runs per dataset: ingest to the landing area, then load to a raw table."""
 
+from collections.abc import Sequence
 from functools import reduce
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tallybook.operators.keys import key_audit
+from tallybook.operators.ledger import BEGUN, CURRENT, load_folder, note_load, sweep_loads
 from tallybook.operators.load import (
-    TOLERATED_PERCENT, checked, delimited_files, keep_good, load_folder, load_report, match_by_name, match_by_position,
+    TOLERATED_PERCENT, checked, delimited_files, keep_good, load_report, match_by_name, match_by_position,
     session_with, skip_bad_files, switch_view, write_load, written,
 )
 from tallybook.schemas import BulkFormat
@@ -70,11 +73,15 @@ def ingest_code_table(pages: DataFrame, key: str, html: str, schema: T.StructTyp
 
 
 def load_bulk(spark: SparkSession, root: str, run_date: str, target: T.StructType, table: str, load_id: str,
-              view: str, database: str | None = None, min_rows: int = 0, key: str | None = None) -> DataFrame:
+              view: str, database: str | None = None, min_rows: int = 0, key: str | None = None,
+              unique: Sequence[str] = (), refuse_repeats: bool = False) -> DataFrame:
     """One run's staged Parquet as the new rows of a raw table, by column name and within the tolerance, file by file.
 
     Every file is matched by its own columns, with case. An unreadable file, and one that breaks inside its data, is skipped like
     one with too many bad rows; no row of it is loaded. A run that the last ingest refused is not loaded.
+
+    ``unique`` names the columns of an id that should be on one row only: ids that repeat are listed beside
+    the load (``read_key_audit``), and with ``refuse_repeats`` they keep the view from switching.
     """
     require_staged(spark, root, run_date)
     exact = session_with(spark, {"spark.sql.caseSensitive": "true"})
@@ -84,7 +91,12 @@ def load_bulk(spark: SparkSession, root: str, run_date: str, target: T.StructTyp
     parts = [checked(match_by_name(rows, target), target) for rows in [nothing, *rows_by_kind(exact, folder, files, target)]]
     report = f"{table}/reports/{load_id}"
     good = keep_good(reduce(DataFrame.unionByName, parts), target, report, key=key, files=files)
-    return _refreshed(spark, good, report, table, load_id, view, database, min_rows)
+    return _refreshed(spark, good, report, table, load_id, view, database, min_rows, unique, refuse_repeats)
+
+
+def read_key_audit(spark: SparkSession, table: str, load_id: str) -> DataFrame:
+    """(key columns, n_rows) of the ids that stand on several rows of a load."""
+    return spark.read.parquet(f"{table}/audits/{load_id}")
 
 
 def load_code_table(spark: SparkSession, root: str, run_date: str, target: T.StructType, table: str,
@@ -96,13 +108,24 @@ def load_code_table(spark: SparkSession, root: str, run_date: str, target: T.Str
 
 
 def _refreshed(spark: SparkSession, good: DataFrame, report: str, table: str, load_id: str, view: str, database: str | None,
-               min_rows: int) -> DataFrame:
+               min_rows: int, unique: Sequence[str] = (), refuse_repeats: bool = False) -> DataFrame:
     """A run whose files were all skipped is refused: the table keeps its rows. So is one that loads other rows than it counted."""
     told = load_report(spark, report).agg(
         F.count("*").alias("files"), F.count_if("skipped").alias("skipped"),
         F.coalesce(F.sum(F.when(~F.col("skipped"), F.col("n_rows") - F.col("n_bad"))), F.lit(0)).alias("rows")).first()
     if told.files and told.files == told.skipped:
         raise ValueError(f"{view}: every file was skipped, the previous load stays")
+    note_load(spark, f"{table}/rows", load_id, BEGUN)
     loaded = write_load(good, f"{table}/rows", load_id, view, min_rows, told.rows)
+    if unique:
+        repeated = key_audit(loaded, f"{table}/audits/{load_id}", *unique)
+        if refuse_repeats and not repeated.isEmpty():
+            raise ValueError(f"{view}: {', '.join(unique)} repeats, the previous load stays")
     switch_view(spark, f"{table}/rows", load_id, view, database)
+    note_load(spark, f"{table}/rows", load_id, CURRENT)
     return spark.read.schema(loaded.schema).parquet(load_folder(f"{table}/rows", load_id))
+
+
+def sweep_table(spark: SparkSession, table: str, keep: int = 2) -> list[str]:
+    """Remove the loads of a raw table that its view no longer shows, but for the ``keep`` last ones; their reports stay."""
+    return sweep_loads(spark, f"{table}/rows", keep)

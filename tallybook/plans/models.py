@@ -6,8 +6,10 @@ from inspect import Parameter, signature
 
 from pyspark.sql import DataFrame, SparkSession
 
+from tallybook.operators.ledger import BEGUN, CURRENT, note_load, sweep_loads
 from tallybook.operators.load import switch_view, write_load, written
 from tallybook.plans import cleaned, marts
+from tallybook.plans.published import publish, withdraw
 from tallybook.schemas import SOURCES
 
 CLEANED: dict[str, Callable[..., DataFrame]] = {
@@ -21,6 +23,8 @@ MARTS: dict[str, Callable[..., DataFrame]] = {
         marts.fct_committee_operating_exp, marts.fct_categories_operating_exp, marts.fct_indiv_cont_by_state)
 }
 MODELS = CLEANED | MARTS
+# Raw tables that marts read.
+RAW_INPUTS = ("cand_cmte_link",)
 # Cleaned tables that transactions are joined to.
 DIMENSIONS = ("src_candidates", "src_committees")
 
@@ -75,21 +79,30 @@ def refresh_models(raw: Mapping[str, DataFrame], root: str, load_id: str, databa
     """Write the cleaned tables, all at once, and only when all are there let their views point to them.
 
     Without a database the marts are lazy views of the session over what was
-    written. With one they are written too, and all views are kept in the
-    catalog, where any session reads them. If a table fails, or has fewer rows
+    written. With one, tables and marts are views in the catalog, where any session reads them, and one pointer switches all of
+    them (``plans.published``). If a table fails, or has fewer rows
     than ``min_rows`` asks of it, every view keeps the load before.
     """
     least = min_rows or {}
-
-    def write(names, tables: Mapping[str, DataFrame]) -> dict[str, DataFrame]:
-        with ThreadPoolExecutor(len(names)) as pool:
-            loads = {n: pool.submit(write_load, model(n, tables), f"{root}/{n}", load_id, n, least.get(n, 0)) for n in names}
-        return {n: load.result() for n, load in loads.items()}
-
-    tables = write(list(CLEANED), raw)
-    spark = next(iter(tables.values())).sparkSession
+    spark = next(iter(raw.values())).sparkSession
+    rows = {name: model(name, raw) for name in CLEANED}
+    if database:
+        rows |= {name: raw[name] for name in RAW_INPUTS}
+    note_load(spark, root, load_id, BEGUN)
+    with ThreadPoolExecutor(len(rows)) as pool:
+        loads = {n: pool.submit(write_load, r, f"{root}/{n}", load_id, n, least.get(n, 0)) for n, r in rows.items()}
+    tables = {n: load.result() for n, load in loads.items()}
     if database:
-        tables |= write(list(MARTS), {**raw, **tables})
+        publish(spark, tables, root, load_id, database)
+        note_load(spark, root, load_id, CURRENT)
+        return {name: tables.get(name, spark.table(f"{database}.{name}")) for name in MODELS}
     for name in tables:
-        switch_view(spark, f"{root}/{name}", load_id, name, database)
-    return tables if database else tables | define_marts({**raw, **tables})
+        switch_view(spark, f"{root}/{name}", load_id, name)
+    note_load(spark, root, load_id, CURRENT)
+    return tables | define_marts({**raw, **tables})
+
+
+def sweep_models(spark: SparkSession, root: str, database: str | None = None, keep: int = 2) -> list[str]:
+    """Remove the refreshes that no view shows and no running refresh writes, but for the ``keep`` last ones."""
+    forget = (lambda table, load_id: withdraw(spark, table, load_id, database)) if database else None
+    return sweep_loads(spark, root, keep, (*CLEANED, *RAW_INPUTS), forget)

@@ -120,3 +120,6 @@ RAW = {name: bulk.schema for name, bulk in BULK.items()} | CODES
 def as_text(schema: T.StructType) -> T.StructType:
     """The same columns, all read as text."""
     return T.StructType([T.StructField(f.name, T.StringType()) for f in schema])
+
+# The ids that the publisher says are unique, by raw table.
+UNIQUE = {"committees": ("CMTE_ID",), "indiv_contributions": ("SUB_ID",), "operating_exp": ("SUB_ID",)}

@@ -302,6 +302,11 @@ SELECT CAST(o_orderkey AS VARCHAR) AS "O_ORDERKEY",
 SELECT CAST(o_orderkey AS VARCHAR) AS o_orderkey, CAST(o_custkey AS VARCHAR) AS o_custkey,
        CAST(CAST(o_totalprice AS DECIMAL(18,2)) AS DOUBLE) AS o_totalprice, '1' AS n_broken
 FROM orders WHERE o_orderkey % 4 <> 2""",
+    "key_audit": """
+SELECT CAST(o_orderkey AS VARCHAR) AS o_orderkey, CAST(sum(times) AS VARCHAR) AS n_rows
+FROM (SELECT CASE WHEN o_orderkey % 211 <> 0 THEN o_orderkey END AS o_orderkey,
+             CASE WHEN o_orderkey % 97 = 0 THEN 2 WHEN o_orderkey % 1009 = 0 THEN 500 ELSE 1 END AS times FROM orders) AS planted
+GROUP BY 1 HAVING sum(times) > 1""",
     "load_after_refused_ingest": declared(
         "operating_exp", RPT_YR="CAST(rpt_yr AS VARCHAR)", SUB_ID="CAST(sub_id AS VARCHAR)",
         FILE_NUM="CAST(file_num AS VARCHAR)").replace(" FROM operating_exp", ", 'staging refused' AS states FROM operating_exp"),
@@ -318,5 +323,7 @@ FROM spoilt GROUP BY file_no"""),
     "ingest_cand_cmte_link_by_header": declared("cand_cmte_link"),
     "ingest_operating_exp_by_header": declared("operating_exp"),
     "marts_from_catalog": f"{model_ctes(list(MARTS), [])} " + " UNION ALL ".join(
-        f"SELECT '{name}' AS model, count(*) AS n_rows FROM {name}" for name in MARTS),
+        f"SELECT '{name}' AS model, concat_ws('|', " + ", ".join(
+            f"coalesce(CAST({'CAST(transaction_dt AS DATE)' if c == 'transaction_dt' else c} AS VARCHAR), 'none')"
+            for c in COLUMNS[name].split()) + f") AS line FROM {name}" for name in MARTS),
 }

@@ -21,7 +21,7 @@ from tallybook.operators.load import (
     delimited_files, full_refresh, load_report, match_by_name, match_by_position, skip_bad_files, written,
 )
 from tallybook.plans.jobs import (
-    ingest_bulk, ingest_code_table, load_bulk, load_code_table, read_line_report, read_rejects,
+    ingest_bulk, ingest_code_table, load_bulk, load_code_table, read_key_audit, read_line_report, read_rejects,
 )
 from tallybook.plans.marts import candidate_totals_direct
 from tallybook.plans.models import (
@@ -328,6 +328,19 @@ def load_broken_inside(spark, sf_dir):
     return shown(whole_numbers_as_text(loaded.withColumn("n_broken", F.lit(told.count()).cast("bigint"))))
 
 
+def audited_keys(spark, sf_dir):
+    """Order lines loaded with ids that repeat: some twice, a few on very many rows, and rows without an id."""
+    root, to = scratch_dir(spark, "staged"), scratch_dir(spark, "table")
+    orders = table(spark, sf_dir, "orders")
+    times = F.when(F.col("o_orderkey") % 97 == 0, 2).when(F.col("o_orderkey") % 1009 == 0, 500).otherwise(1)
+    no_id = F.when(F.col("o_orderkey") % 211 != 0, F.col("o_orderkey"))
+    rows = orders.select(no_id.alias("o_orderkey"), "o_custkey", F.col("o_totalprice").cast("decimal(18,2)").alias("o_totalprice"),
+                         F.explode(F.sequence(F.lit(1), times)).alias("_time")).drop("_time")
+    stage_parquet(rows, root, RUN_DATE)
+    load_bulk(spark, root, RUN_DATE, MIXED, to, "first", "tallybook_audited", unique=("o_orderkey",))
+    return whole_numbers_as_text(read_key_audit(spark, to, "first"))
+
+
 def load_after_refused_ingest(spark, sf_dir):
     """Spending of one date loaded; the next date's file has only wrong lines: neither its ingest nor a load of it goes through."""
     bulk, root, to = BULK["operating_exp"], scratch_dir(spark, "staged"), scratch_dir(spark, "table")
@@ -398,15 +411,21 @@ def ingest_by_header(name: str) -> Query:
 
 
 def marts_from_catalog(spark, sf_dir):
-    """Raw tables of a database refreshed into it, and a mart read by another session."""
+    """Raw tables of a database refreshed into it twice, and all rows of its marts, read by another session."""
     database, root = f"tallybook_{uuid.uuid4().hex}", scratch_dir(spark, "models")
     spark.sql(f"CREATE DATABASE {database}")
     for name, rows in raw_tables(spark, sf_dir).items():
         full_refresh(rows, f"{root}/raw/{name}", "first", SOURCES[name], database)
-    refresh_models(raw_from_catalog(spark, database), root, "first", database)
-    marts = [spark.newSession().table(f"{database}.{name}").agg(F.count("*").alias("n_rows")).select(
-        F.lit(name).alias("model"), "n_rows") for name in MARTS]
-    return reduce(DataFrame.unionAll, marts)
+    for load_id in ("first", "again"):
+        refresh_models(raw_from_catalog(spark, database), root, load_id, database)
+    other = spark.newSession()
+
+    def lines(name: str) -> DataFrame:
+        rows = other.table(f"{database}.{name}")
+        values = [F.coalesce(F.col(c).cast("string"), F.lit("none")) for c in rows.columns]
+        return rows.select(F.lit(name).alias("model"), F.concat_ws("|", *values).alias("line"))
+
+    return reduce(DataFrame.unionAll, map(lines, MARTS))
 
 
 def refresh_all_models(spark, sf_dir):
@@ -561,6 +580,7 @@ QUERIES: dict[str, Query] = {
     "load_case_mixed": load_case_mixed,
     "load_broken_inside": load_broken_inside,
     "load_after_refused_ingest": load_after_refused_ingest,
+    "key_audit": audited_keys,
     "ingest_operating_exp_rejects": ingest_rejects,
     "ingest_operating_exp_spoilt": ingest_spoilt,
     "ingest_cand_cmte_link_by_header": ingest_by_header("cand_cmte_link"),

@@ -3,6 +3,8 @@
 import time
 
 import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
 
 from helpers import plan_of, rows_of
 from tallybook.schemas import columns
@@ -54,6 +56,66 @@ def test_rows_that_a_span_makes_are_made_as_they_are_taken():
     assert sum(row == ["a"] for row in rows) == 70000
 
 
+@pytest.mark.parametrize("span", ["colspan=900000000", "rowspan=900000000", "colspan=900000000 rowspan=900000000"])
+def test_a_span_of_any_size_is_a_run(span):
+    started = time.perf_counter()
+    rows = table_rows(f"<table><tr><td {span}>a<td>b<tr><td>c</table>")
+    first, second = next(rows), next(rows)
+    wide = "colspan" in span
+    assert (first[0], first[-1]) == ("a", "b") and len(first) == len(second) == (900_000_001 if wide else 2)
+    assert (second[0], second[1]) == {"c": ("c", ""), "r": ("a", "c"), "b": ("a", "a")}["b" if "rows" in span and wide else span[0]]
+    assert first[1:3] == (["a", "a"] if wide else ["b"])
+    assert time.perf_counter() - started < 1
+
+
+def plain_grid(rows):
+    """Cell by cell, as (text, down, across) per row: every cell is put at the next free place, those from above first."""
+    grid, above = [], {}
+
+    def lay(cells):
+        row, below = [], {}
+
+        def put(text, more):
+            if more > 0:
+                below[len(row)] = (text, more)
+            row.append(text)
+
+        def fill():
+            while len(row) in above:
+                text, more = above.pop(len(row))
+                put(text, more - 1)
+
+        fill()
+        for text, down, across in cells:
+            for _ in range(across):
+                put(text, down - 1)
+            fill()
+        return row, below
+
+    for cells in rows:
+        row, above = lay(cells)
+        grid.append(row)
+    while above:
+        grid.append([text for _, (text, _) in sorted(above.items())])
+        above = {i: (text, more - 1) for i, (text, more) in above.items() if more > 1}
+    width = max((len(row) for row in grid), default=0)
+    return [row + [""] * (width - len(row)) for row in grid if row]
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.lists(st.lists(st.tuples(st.sampled_from("abcdef"), st.integers(1, 4), st.integers(1, 4)), max_size=4), max_size=5))
+def test_runs_are_the_cells(rows):
+    html = "".join("<tr>" + "".join(f"<td rowspan={down} colspan={across}>{text}</td>" for text, down, across in row) + "</tr>"
+                   for row in rows)
+    assert [list(row) for row in first_table(f"<table>{html}</table>")] == plain_grid(rows)
+
+
+def test_a_wide_span_costs_a_column_reader_nothing(spark):
+    page = "<table><tr><th colspan=900000000>names<tr><td>007<td colspan=800000000>x<tr><td colspan=3>y</table>"
+    codes = html_code_table(spark.createDataFrame([(1, page)], "page int, html string"), "page", "html", CODES)
+    assert rows_of(codes) == [(1, "007", "x"), (1, "y", "y")]
+
+
 def test_rows_and_columns_by_position(spark):
     pages = spark.createDataFrame(
         [(1, "<table><tr><th>Code</th><th>Text</th><th>More</th></tr><tr><td>007</td><td>x</td><td>y</td></tr></table>"),

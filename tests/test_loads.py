@@ -13,7 +13,8 @@ from tallybook.operators.load import (
     unmatched_names,
 )
 from tallybook.operators.frames import rename_positional
-from tallybook.plans.jobs import ingest_bulk, load_bulk, read_line_report, read_rejects
+from tallybook.operators.keys import repeated_keys
+from tallybook.plans.jobs import ingest_bulk, load_bulk, read_key_audit, read_line_report, read_rejects
 from tallybook.schemas import COMPACT_DATE, BulkFormat, columns
 from tallybook.scratch import scratch_dir
 from tallybook.sources.delimited import read_delimited, read_lenient
@@ -164,11 +165,13 @@ def session(**settings: str) -> SimpleNamespace:
 def test_scratch_is_fresh_and_in_the_shared_folder():
     cluster = session(spark_checkpoint_dir="hdfs://shared/folder/")
     first, second = scratch_dir(cluster, "x"), scratch_dir(cluster, "x")
-    assert first != second and first.startswith("hdfs://shared/folder/tallybook/x-")
+    assert first != second and first.startswith("hdfs://shared/folder/tallybook/session/x-")
 
 
 def test_without_a_shared_folder_scratch_lies_in_the_warehouse():
-    assert scratch_dir(session(spark_sql_warehouse_dir="s3://house"), "x").startswith("s3://house/_scratch/tallybook/x-")
+    assert scratch_dir(session(spark_sql_warehouse_dir="s3://house"), "x").startswith("s3://house/_scratch/tallybook/session/x-")
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        scratch_dir(session(spark_sql_warehouse_dir="file:/home/me/house", spark_master="yarn"), "x")
 
 
 def test_staging_a_date_with_no_rows_leaves_none(spark, tmp_path):
@@ -311,6 +314,21 @@ def test_staged_rows_are_clustered(spark, tmp_path):
     assert rows_of(staged) == rows_of(rows)
 
 
+def test_repeated_keys_are_found_and_can_refuse_a_load(spark, tmp_path):
+    root, target = f"{tmp_path}/s", columns("ID bigint, PART string")
+    rows = spark.range(5000).selectExpr("IF(id % 3 = 0, 7, id) AS ID", "CAST(id % 2 AS STRING) AS PART")
+    stage_parquet(rows, root, "2024-01-01")
+    load_bulk(spark, root, "2024-01-01", target, f"{tmp_path}/t", "a", "keyed", unique=("ID",))
+    assert rows_of(read_key_audit(spark, f"{tmp_path}/t", "a")) == [(7, 1668)]
+    with pytest.raises(ValueError, match="ID repeats"):
+        load_bulk(spark, root, "2024-01-01", target, f"{tmp_path}/t", "b", "keyed", unique=("ID",), refuse_repeats=True)
+    assert rows_of(repeated_keys(rows, "ID", "PART")) == [(7, "0", 834), (7, "1", 834)]  # id 7 itself is odd
+    nulls = spark.createDataFrame([(None,), (None,), ("a",)], "k string")
+    assert rows_of(repeated_keys(nulls, "k")) == [(None, 2)] and rows_of(repeated_keys(nulls.limit(0), "k")) == []
+    plan = plan_of(repeated_keys(rows, "ID"))
+    assert "BroadcastHashJoin LeftSemi" in plan
+
+
 def test_too_few_columns_are_refused(spark, tmp_path):
     path = text_files(tmp_path / "in", a=["1|2"])
     rows = delimited_files(spark, path, columns("a string, b string"), header=False, quoted=False)

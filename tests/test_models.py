@@ -1,22 +1,29 @@
 """Edge rows of the models, on raw tables of a few rows."""
 
 import datetime as dt
+import re
+import uuid
 from decimal import Decimal
+from types import SimpleNamespace
 
 import pytest
 from pyspark.sql import functions as F
 
-from helpers import rows_of
+from helpers import plan_of, rows_of
 from tallybook.functions.codes import (
     AMENDMENT, DESIGNATION, INCUMBENCY, OFFICE, ORGANIZATION, district_label, label, or_other, zip5,
 )
+from tallybook.operators.ledger import note_load
 from tallybook.operators.load import full_refresh
 from tallybook.operators.lookups import with_label
+from tallybook.plans.jobs import sweep_table
 from tallybook.plans.marts import candidate_totals_direct
 from tallybook.plans.models import (
-    CLEANED, MARTS, MODELS, all_inputs, define_marts, inputs, mart_from_raw, model, raw_from_catalog, refresh_models,
+    CLEANED, MARTS, MODELS, all_inputs, define_marts, inputs, mart_from_raw, model, raw_from_catalog, refresh_models, sweep_models,
 )
+from tallybook.plans.published import publish
 from tallybook.schemas import RAW, SOURCES
+from tallybook.scratch import application_folder, list_folder, scratch_dir, scratch_scope, sweep_scratch
 
 
 def frame(spark, name: str, *rows: dict):
@@ -164,28 +171,138 @@ def test_refresh_writes_tables_and_defines_views(spark, raw, tmp_path):
     assert all("load_id=two" in again[name].inputFiles()[0] for name in CLEANED)
 
 
-def test_marts_over_a_catalog(spark, raw, tmp_path):
-    refresh_models(raw, str(tmp_path), "one", database="default")
-    try:
-        kept = {name: spark.table(f"default.{name}") for name in CLEANED}
-        marts = define_marts({"cand_cmte_link": raw["cand_cmte_link"], **kept})
-        assert {name: rows_of(rows) for name, rows in marts.items()} == {name: rows_of(model(name, raw)) for name in MARTS}
-    finally:
-        for name in MODELS:
-            spark.sql(f"DROP VIEW default.{name}")
+@pytest.fixture
+def database(spark):
+    name = f"models_{uuid.uuid4().hex}"
+    spark.sql(f"CREATE DATABASE {name}")
+    yield name
+    spark.sql(f"DROP DATABASE {name} CASCADE")
 
 
-def test_another_session_reads_the_marts_of_a_database(spark, raw, tmp_path):
+def test_marts_over_a_catalog(spark, raw, tmp_path, database):
+    refresh_models(raw, str(tmp_path), "one", database)
+    kept = {name: spark.table(f"{database}.{name}") for name in CLEANED}
+    marts = define_marts({"cand_cmte_link": raw["cand_cmte_link"], **kept})
+    assert {name: rows_of(rows) for name, rows in marts.items()} == {name: rows_of(model(name, raw)) for name in MARTS}
+
+
+def test_another_session_reads_the_marts_of_a_database(spark, raw, tmp_path, database):
     for name, rows in raw.items():
-        full_refresh(rows, f"{tmp_path}/raw/{name}", "one", SOURCES[name], "default")
-    refresh_models(raw_from_catalog(spark, "default"), str(tmp_path), "one", database="default")
-    try:
-        other = spark.newSession()
-        for name in MODELS:
-            assert rows_of(other.table(f"default.{name}")) == rows_of(model(name, raw))
-    finally:
-        for name in (*MODELS, *SOURCES.values()):
-            spark.sql(f"DROP VIEW default.{name}")
+        full_refresh(rows, f"{tmp_path}/raw/{name}", "one", SOURCES[name], database)
+    shown = refresh_models(raw_from_catalog(spark, database), str(tmp_path), "one", database=database)
+    other = spark.newSession()
+    for name in MODELS:
+        assert rows_of(other.table(f"{database}.{name}")) == rows_of(shown[name]) == rows_of(model(name, raw))
+        assert other.table(f"{database}.{name}").schema.simpleString() == model(name, raw).schema.simpleString()
+    assert not [f for f in tmp_path.iterdir() if f.name in MARTS], "a mart is a view, nothing is written for it"
+
+
+def test_views_show_the_tables_as_they_are(spark, raw, tmp_path, database):
+    refresh_models(raw, str(tmp_path), "one", database)
+    mart = spark.newSession().table(f"{database}.fct_committee_operating_exp")
+    assert mart.count()
+    refresh_models(raw | {"operating_exp": raw["operating_exp"].limit(0)}, str(tmp_path), "two", database)
+    other = spark.newSession()
+    assert other.table(f"{database}.fct_committee_operating_exp").count() == 0
+    assert other.table(f"{database}.fct_categories_operating_exp").count() == 0
+    with pytest.raises(ValueError, match="other columns"):
+        publish(spark, {"src_candidates": spark.range(1)}, str(tmp_path), "three", database)
+
+
+def test_a_view_reads_one_load_and_knows_its_size(spark, raw, tmp_path, database):
+    for load_id in ("one", "two", "three"):
+        refresh_models(raw, str(tmp_path), load_id, database)
+    rows = spark.newSession().table(f"{database}.fct_cand_committee_trans")
+    plan = plan_of(rows, "cost")
+    assert re.search(r"load_id#\d+ = three", plan) and "subquery" not in plan.lower()
+    assert rows.inputFiles() and all("/load_id=three/" in file for file in rows.inputFiles())
+    stored = sum(f.stat().st_size for f in (tmp_path / "src_candidates" / "load_id=three").glob("*.parquet"))
+    assert stored < 10_000 and re.search(r"Relation [^\n]*src_candidates_loads[^\n]*sizeInBytes=[\d.]+ (B|KiB)\)", plan)
+
+
+def test_a_stop_at_any_statement_leaves_one_load(spark, raw, tmp_path, database, monkeypatch):
+    """All tables and marts show one load, whichever statement of a refresh is the last to go through."""
+    others = raw | {"operating_exp": raw["operating_exp"].limit(1), "indiv_contributions": raw["indiv_contributions"].limit(0),
+                    "independent_exp": raw["independent_exp"].limit(0)}
+    refresh_models(raw, str(tmp_path), "old", database)
+
+    def shown():
+        return {name: rows_of(spark.newSession().table(f"{database}.{name}")) for name in (*CLEANED, *MARTS)}
+
+    old, statements, real = shown(), [], type(spark).sql
+    monkeypatch.setattr(type(spark), "sql", lambda s, text, *a, **k: statements.append(text) or real(s, text, *a, **k))
+    refresh_models(others, str(tmp_path), "new", database)
+    new, n = shown(), len(statements)
+    assert old != new and n > 20
+    for stop in (0, n // 2, n - 1):
+        refresh_models(raw, str(tmp_path), f"old-{stop}", database)
+        assert shown() == old
+        done = []
+
+        def sql(session, text, *args, **options):
+            if len(done) == stop:  # noqa: B023
+                raise RuntimeError("stopped")
+            done.append(text)  # noqa: B023
+            return real(session, text, *args, **options)
+
+        monkeypatch.setattr(type(spark), "sql", sql)
+        with pytest.raises(RuntimeError):
+            refresh_models(others, str(tmp_path), f"new-{stop}", database)
+        monkeypatch.setattr(type(spark), "sql", real)
+        assert shown() == old, stop
+
+
+def loads_on_disk(folder):
+    return sorted({f.name for f in folder.rglob("load_id=*")})
+
+
+def test_old_loads_are_swept(spark, raw, tmp_path, database):
+    root = tmp_path / "models"
+    for load_id in ("one", "two", "three"):
+        refresh_models(raw, str(root), load_id, database)
+    before = rows_of(spark.table(f"{database}.fct_cand_committee_trans"))
+    assert loads_on_disk(root) == ["load_id=one", "load_id=three", "load_id=two"]
+    assert sweep_models(spark, str(root), database, keep=2) == ["one"]
+    note_load(spark, str(root), "running", "begun")  # another job has begun a load and written a table
+    raw["cand_cmte_link"].write.parquet(f"{root}/cand_cmte_link/load_id=running")
+    assert sweep_models(spark, str(root), database, keep=1) == ["two"]
+    assert loads_on_disk(root) == ["load_id=running", "load_id=three"]
+    assert rows_of(spark.newSession().table(f"{database}.fct_cand_committee_trans")) == before
+    assert sweep_models(spark, str(tmp_path / "nothing"), database) == []
+
+
+def test_old_loads_of_a_raw_table_are_swept(spark, tmp_path):
+    for load_id in ("a", "b", "c"):
+        full_refresh(spark.range(3), f"{tmp_path}/t/rows", load_id, "swept")
+    with pytest.raises(ValueError):
+        full_refresh(spark.range(3), f"{tmp_path}/t/rows", "failed", "swept", min_rows=4)
+    assert sweep_table(spark, f"{tmp_path}/t", keep=1) == ["a", "b"]
+    full_refresh(spark.range(4), f"{tmp_path}/t/rows", "d", "swept")
+    assert sweep_table(spark, f"{tmp_path}/t", keep=1) == ["c", "failed"]
+    assert spark.table("swept").count() == 4
+
+
+def test_scratch_goes_with_its_scope_and_its_application(spark, tmp_path):
+    def application(name):
+        settings = {"spark.checkpoint.dir": f"{tmp_path}", "spark.app.id": name}
+        return SimpleNamespace(conf=SimpleNamespace(get=lambda key, default=None: settings.get(key, default)),
+                               _jvm=spark._jvm, _jsc=spark._jsc)
+
+    mine, other = application("mine"), application("other")
+    with scratch_scope(mine, "step"):
+        inner = scratch_dir(mine, "x")
+        spark.range(2).write.parquet(inner)
+    with pytest.raises(RuntimeError), scratch_scope(mine, "step"):
+        spark.range(2).write.parquet(scratch_dir(mine, "x"))
+        raise RuntimeError
+    assert list_folder(spark, application_folder(mine)) == []
+    kept, running = scratch_dir(mine, "y"), scratch_dir(other, "z")
+    for folder in (kept, running):
+        spark.range(2).write.parquet(folder)
+    assert sweep_scratch(mine, own=False) == [] and list_folder(spark, kept)
+    assert sweep_scratch(mine) == [application_folder(mine)]
+    assert not list_folder(spark, kept) and list_folder(spark, running)
+    assert sweep_scratch(mine, older_than_hours=-1) == [application_folder(other)]
 
 
 def test_a_refresh_that_fails_switches_no_view(spark, raw, tmp_path):
