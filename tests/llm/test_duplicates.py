@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 from tallybook.llm import hyperminhash, kmeans_tree, projection_forest
+from tallybook.llm import components as components_module
 from tallybook.llm.components import components
 
 
@@ -26,10 +27,12 @@ def plain_components(nodes, links):
     return {n: root(n) for n in nodes}
 
 
+@pytest.mark.parametrize("held", [3, 10**6])
 @pytest.mark.parametrize("links", [
     [], [(1, 1), (None, 2)], [(i, i + 1) for i in range(60)], [(0, i) for i in range(1, 50)] + [(100, 101)],
     [(random.Random(i).randrange(80), random.Random(-i - 1).randrange(80)) for i in range(60)]])
-def test_components(spark, links):
+def test_components(spark, monkeypatch, links, held):
+    monkeypatch.setattr(components_module, "HELD_PAIRS", held)
     real = [(a, b) for a, b in links if a is not None and b is not None and a != b]
     found = components(spark.createDataFrame(links, "a long, b long"))
     assert {r.id: r.component for r in found.collect()} == plain_components({n for link in real for n in link}, real)
@@ -88,6 +91,43 @@ def test_groups_are_cut_into_blocks_without_loss(spark, monkeypatch):
     assert {r.doc_id: r.component_id for r in found} == plain_duplicates(rows, 5, 80)
 
 
+def test_chains_and_outliers_of_a_cluster(spark, monkeypatch):
+    """Texts that are near their neighbours but not the leader, so that most stay apart from it."""
+    monkeypatch.setattr(hyperminhash, "BLOCK_TEXTS", 7)
+    monkeypatch.setattr(hyperminhash, "BLOCK_SHINGLES", 900)
+    rng, rows = random.Random(4), []
+    for chain in range(4):
+        text = [f"w{rng.randrange(10**6)}" for _ in range(120)]
+        for step in range(30):
+            rows.append((1000 * chain + step, " ".join(text)))
+            text[rng.randrange(10 * (step % 12), 10 * (step % 12) + 10)] = f"w{rng.randrange(10**6)}"
+    found = hyperminhash.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string").repartition(5), width=3,
+                                         percent=85).collect()
+    assert {r.doc_id: r.component_id for r in found} == plain_duplicates(rows, 3, 85)
+
+
+def test_registers_sent_grow_with_the_near_copies(spark, monkeypatch):
+    """One cluster of near copies: four times the texts send at most about four times the registers."""
+    sent = []
+    real = hyperminhash.written
+    monkeypatch.setattr(hyperminhash, "written", lambda rows, path: sent.append((path, out := real(rows, path))) or out)
+    counts = []
+    for n in (500, 2000):
+        rng = random.Random(n)
+        text = [f"w{rng.randrange(10**6)}" for _ in range(200)]
+        rows = []
+        for i in range(n):
+            copy = list(text)
+            copy[rng.randrange(200)] = f"x{i}"
+            rows.append((i, " ".join(copy)))
+        sent.clear()
+        found = hyperminhash.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"), width=3, percent=85)
+        assert found.where("component_id = 0").count() == n
+        counts.append(sum(out.count() for path, out in sent if "/compared-" in path or "/linked-" in path))
+        assert sum(out.count() for path, out in sent if "/groups-" in path) == 0, "nothing stays apart"
+    assert counts[1] <= 4.5 * counts[0] and counts[1] < 5 * 2000
+
+
 def test_near_duplicates_of_odd_rows(spark):
     rows = [(1, None), (2, ""), (3, " \n"), (4, "Same few"), (5, "same  FEW"), (6, "same few"), (6, "same few"),
             (None, "same few"), (7, "a" * 100_000), (8, "ä b c"), (9, "Ä b c")]
