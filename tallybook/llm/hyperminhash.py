@@ -40,6 +40,8 @@ from tallybook.scratch import scratch_dir
 #: Registers of a text (a power of two) and mantissa bits; texts of a bucket and shingles of a cluster in one task.
 REGISTERS, MANTISSA = 256, 10
 BLOCK_TEXTS, BLOCK_SHINGLES = 1500, 1_500_000
+#: Words of the bit table that tells which rows are wanted (a broadcast of a few megabytes), whatever the size of the data.
+WORDS = 1 << 18
 #: Bands that go before the others.
 FIRST_BANDS = 2
 #: The chance to miss a pair at the threshold that banding may have.
@@ -218,6 +220,19 @@ def _banded(classes: DataFrame, size: int) -> DataFrame:
     return classes.select("class", "registers").mapInArrow(run, "class long, bands array<long>")
 
 
+def _likely(rows: DataFrame, keys: list[str], wanted: DataFrame) -> DataFrame:
+    """The rows whose keys may be among the wanted ones, so that few others are shuffled to meet them.
+
+    Hashes of the wanted keys set bits in a table of at most ``WORDS`` words of 64, which is therefore broadcast. The more bits are
+    set, the more rows pass; a row with a wanted key always does.
+    """
+    slot, bit = F.pmod(F.xxhash64(*keys), F.lit(64 * WORDS)), F.expr("CAST(_slot % 64 AS INT)")
+    words = wanted.select(slot.alias("_slot")).groupBy(F.expr("_slot DIV 64").alias("_word")).agg(
+        F.bit_or(F.expr("shiftleft(1L, CAST(_slot % 64 AS INT))")).alias("_bits"))
+    marked = rows.withColumn("_slot", slot).withColumn("_word", F.expr("_slot DIV 64"))
+    return marked.join(F.broadcast(words), "_word").where(F.getbit("_bits", bit) == 1).drop("_slot", "_word", "_bits")
+
+
 def _in_blocks(rows: DataFrame) -> DataFrame:
     """Each row once for every pair (p, q) of a block of those apart and a block of all that it is needed in.
 
@@ -304,9 +319,11 @@ def _bucket_links(classes: DataFrame, bands: DataFrame, loose: DataFrame | None,
             held = loose.select(F.col("id").alias(end), F.col("component").alias(f"{end}_held"))
             asked = asked.join(held, end, "left")
         asked = asked.where(~F.coalesce(F.col("leader_held") == F.col("class_held"), F.lit(False))).select("leader", "class")
+        asked = written(asked, scratch_dir(spark, "asked"))  # with its size known, registers are not shuffled to meet few pairs
     mine = classes.select("class", "n", "registers")
     theirs = classes.select(F.col("class").alias("leader"), F.col("n").alias("leader_n"), F.col("registers").alias("leader_registers"))
-    compared = asked.join(mine, "class").join(theirs, "leader").mapInArrow(
+    followers, heads = asked.select("class"), asked.select("leader")
+    compared = asked.join(_likely(mine, ["class"], followers), "class").join(_likely(theirs, ["leader"], heads), "leader").mapInArrow(
         _near_leader(percent), "leader long, class long, near boolean")
     compared = written(compared, scratch_dir(spark, "compared"))
     near = compared.where("near").select(F.col("leader").alias("a"), F.col("class").alias("b"))
@@ -317,7 +334,9 @@ def _bucket_links(classes: DataFrame, bands: DataFrame, loose: DataFrame | None,
         "leader", F.ceil(F.col("size") / BLOCK_TEXTS).alias("qs"))
     groups = written(some.join(every, "leader"), scratch_dir(spark, "groups"))
     rest = met.join(groups, "leader").join(far.withColumn("apart", F.lit(True)), ["leader", "class"], "left").withColumn(
-        "apart", F.coalesce("apart", F.lit(False))).join(mine, "class")
+        "apart", F.coalesce("apart", F.lit(False)))
+    rest = written(rest, scratch_dir(spark, "rest"))
+    rest = rest.join(_likely(mine, ["class"], rest), "class")
     others = _in_blocks(rest).groupBy("leader", "p", "q").applyInPandas(_links_of_buckets(percent), "a long, b long")
     return near.unionByName(others)
 
@@ -346,7 +365,7 @@ def _exact_links(docs: DataFrame, classes: DataFrame, loose: DataFrame, links: D
         F.max_by("class", F.struct(F.coalesce("followers", F.lit(0)).alias("f"), (-F.col("class")).alias("c"))).alias("leader"))
     told = written(clusters.drop("followers").join(chosen, "component").withColumn("leads", F.col("class") == F.col("leader")).drop("leader"),
                    scratch_dir(spark, "clusters"))
-    texts = _slim(docs).join(told, ["id", "hash"])
+    texts = _likely(_slim(docs), ["id", "hash"], told).join(told, ["id", "hash"])
     whole = written(texts, scratch_dir(spark, "clustered-texts"))
     members = whole.where("NOT leads")
     leaders = whole.where("leads").groupBy("component").agg(F.first("id").alias("leader_id"), F.first("text").alias("leader_text"))
