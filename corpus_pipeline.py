@@ -13,7 +13,7 @@ from tallybook.llm import byte_bpe, hyperminhash, packing, pii_crf, quality_fm
 from tallybook.llm.common import unused
 from tallybook.llm.queries import ACCEPTED, BPE_JSON, table
 from tallybook.operators.load import written
-from tallybook.scratch import scratch_dir
+from tallybook.scratch import scratch_dir, scratch_scope
 
 
 def accepted(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -28,13 +28,15 @@ def deduplicated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
     Rows that repeat an id and its text are one document; rows of an id with other texts are documents of their own.
     """
-    mine, kept = (unused(docs.columns, name) for name in ("_row", "_kept"))
+    mine, other, kept = (unused(docs.columns, name) for name in ("_row", "_other", "_kept"))
     keyed = docs.where("doc_id IS NOT NULL").withColumn(mine, F.xxhash64("doc_id", "text"))
     found = hyperminhash.near_duplicates(keyed.select(mine, "text"), key=mine).select(F.col(mine).alias("row"), "component_id")
     ids = keyed.select(F.col(mine).alias("id_row"), "doc_id").distinct()
     first = found.distinct().join(ids, F.col("row") == F.col("id_row")).groupBy("component_id").agg(
         F.min(F.struct("doc_id", "row")).alias("first")).select(F.col("first.row").alias(kept))
-    one = keyed.join(first, F.col(mine) == F.col(kept), "left_semi").dropDuplicates([mine]).drop(mine)
+    # two documents of one hash, rare as they are, are both kept: another hash and the id tell them apart
+    one = keyed.join(first, F.col(mine) == F.col(kept), "left_semi").withColumn(other, F.xxhash64(F.lit(1), "text"))
+    one = one.dropDuplicates([mine, other, "doc_id"]).drop(mine, other)
     return one.unionByName(docs.where("doc_id IS NULL"))
 
 
@@ -58,5 +60,8 @@ ORACLE_SQL = None
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     for name, stage in STAGES:
-        docs = written(stage(spark, docs, sf_dir), scratch_dir(spark, f"pipeline-{name}"))
+        kept = scratch_dir(spark, f"pipeline-{name}")
+        with scratch_scope(spark, name):  # what a stage writes for itself goes when its rows are written
+            done = written(stage(spark, docs, sf_dir), kept)
+        docs = done
     return docs
