@@ -3,17 +3,22 @@
 Nothing is collected: the list of files is a table from the start, and no job is run per file.
 """
 
+import sys
 from collections.abc import Iterator, Sequence
 from functools import partial
 from urllib.parse import unquote, urlsplit
 
 import pyarrow as pa
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tallybook.sources.delimited import FILE
 
+# The reader of footers goes along with its tasks, so workers need not have the package installed.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 #: Stores whose files a task opens by itself and then reads the footer alone. From any other store
 #: Spark hands it the whole file, so a file there must fit into a task's memory.
 OPENED_BY_TASKS = ("file",)
