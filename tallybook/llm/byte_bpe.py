@@ -11,6 +11,7 @@ row gives one output row. A text without white space is one piece, however long.
 
 import base64
 import os
+import re
 from collections.abc import Callable, Iterable, Iterator
 from itertools import chain, repeat
 
@@ -53,12 +54,10 @@ def tokenizer_of_ranks(path: str):
 
 
 def tokenizer_of_json(path: str):
-    """A tokenizer file of the library; strings of special tokens in a text are ordinary text."""
+    """A tokenizer file of the library as it is: the string of an added token in a text is that token."""
     from tokenizers import Tokenizer
 
-    tokenizer = Tokenizer.from_file(path)
-    tokenizer.encode_special_tokens = True
-    return tokenizer
+    return Tokenizer.from_file(path)
 
 
 def _classes(*spans) -> np.ndarray:
@@ -78,13 +77,15 @@ _NO_WHITE = ~_classes((0x09, 0x0D), (0x20, 0x20), (0xC2, 0xC2), (0xE1, 0xE3))
 def piece_starts(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     """Where texts can be cut so that no token of the byte-level pattern crosses.
 
-    A cut is made at the start of every text, before a space that a word follows,
-    around a single line break, and between ASCII letters and marks.
+    A cut is made at the start of every text, before a space that a word of the same
+    text follows, around a single line break, and between ASCII letters and marks.
     """
     cut = np.zeros(len(data) + 2, dtype=bool)
     if len(data) > 1:
         here, before = data[1:], data[:-1]
         cut[:len(data) - 1] |= (before == 0x20) & _NO_WHITE[here]
+        last = np.asarray(offsets)
+        cut[last[last > 0] - 1] = False  # a text's last space may belong with those before it
         cut[1:len(data)] |= (_LETTER[before] & _MARK[here]) | (_MARK[before] & _LETTER[here])
         breaks = (data[1:-1] == 0x0A) & _SOLID[data[:-2]] & _NO_WHITE[data[2:]]
         cut[1:len(data) - 1] |= breaks
@@ -102,6 +103,12 @@ class Encoder:
     def __init__(self, tokenizer):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         self.tokenizer, self.model = tokenizer, tokenizer.model
+        added = [] if tokenizer.encode_special_tokens else [*tokenizer.get_added_tokens_decoder().values()]
+        if any(t.lstrip or t.rstrip or t.single_word or t.normalized for t in added):
+            raise ValueError("added tokens that look at what stands beside them are not supported")
+        self.added = {t.content for t in added}
+        longest = sorted((content.encode() for content in self.added), key=len, reverse=True)
+        self.find_added = re.compile(b"|".join(map(re.escape, longest))).finditer if longest else None
         self.shown = {i: c for i, c in enumerate(byte_characters()[b] for b in range(256))}
         self._forget()
 
@@ -112,7 +119,7 @@ class Encoder:
 
     def _encode(self, piece: str) -> list[int]:
         letters = piece[1:] if piece[0] == " " else piece
-        if letters.isalpha() and max(letters) < "\u0250":  # one match of the pattern: straight to the merges
+        if piece not in self.added and letters.isalpha() and max(letters) < "\u0250":  # one match of the pattern: straight to the merges
             return [t.id for t in self.model.tokenize(piece.encode().decode("latin-1").translate(self.shown))]
         return self.tokenizer.encode(piece, add_special_tokens=False).ids
 
@@ -126,11 +133,25 @@ class Encoder:
         self.keys = keys[order]
         self.at, self.size = np.concatenate([self.at, at])[order], np.concatenate([self.size, size])[order]
 
+    def _starts(self, data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+        """Where pieces start: added tokens are pieces, and what stands between them is cut as texts are."""
+        found: list[tuple[int, int]] = []
+        if self.find_added and len(data):
+            whole = data.tobytes()
+            for a, b in zip(offsets.tolist(), offsets[1:].tolist()):
+                found += [m.span() for m in self.find_added(whole, a, b)]
+        if not found:
+            return piece_starts(data, offsets)
+        spans = np.array(found, dtype=np.int64)
+        starts = piece_starts(data, np.unique(np.concatenate([offsets, spans.reshape(-1)])))
+        token = np.searchsorted(spans[:, 0], starts, side="left") - 1  # the last that begins before
+        return starts[(token < 0) | (starts >= spans[token, 1])]
+
     def __call__(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """The ids of all texts one after the other, and where each text's begin."""
         if len(self.keys) > KEPT_PIECES or len(self.ids) > KEPT_IDS:
             self._forget()
-        starts = piece_starts(data, offsets)
+        starts = self._starts(data, offsets)
         ends = np.append(starts[1:], len(data))
         found, first, piece = np.unique(span_hashes(data, starts, ends, PLAIN), return_index=True, return_inverse=True)
         place = np.searchsorted(self.keys, found)

@@ -12,6 +12,8 @@ import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
+from tokenizers import Tokenizer
+
 from tallybook.llm import byte_bpe, packing, pii_crf
 from tallybook.llm import common
 from tallybook.llm.queries import BPE_JSON, MULTI_RANKS
@@ -70,6 +72,11 @@ def encoder():
     return byte_bpe.Encoder(byte_bpe.tokenizer_of_ranks(MULTI_RANKS))
 
 
+@pytest.fixture(scope="module")
+def own():
+    return byte_bpe.Encoder(byte_bpe.tokenizer_of_json(BPE_JSON)), Tokenizer.from_file(BPE_JSON)
+
+
 @settings(max_examples=300, deadline=None)
 @given(rows=st.lists(texts, max_size=5))
 def test_ids_are_those_of_the_rank_file(plain, encoder, rows):
@@ -77,6 +84,23 @@ def test_ids_are_those_of_the_rank_file(plain, encoder, rows):
     assert [ids[a:b].tolist() for a, b in zip(upto, upto[1:])] == [plain.encode_ordinary(t) for t in rows]
 
 
+@settings(max_examples=400, deadline=None)
+@given(rows=st.lists(st.lists(texts | st.sampled_from(["<|endoftext|>", "<|endoftext", "|>", "  ", " \n", "a"]), max_size=6).map("".join),
+                     max_size=5))
+def test_ids_are_those_of_the_tokenizer_file(own, rows):
+    encoder, stock = own
+    ids, upto = encoder(*common.text_bytes(pa.array(rows, pa.string())))
+    assert [ids[a:b].tolist() for a, b in zip(upto, upto[1:])] == [stock.encode(t, add_special_tokens=False).ids for t in rows]
+
+
+def test_added_tokens_are_found_in_one_text_only(own):
+    encoder, stock = own
+    rows = ["end <|endoftext|> next", "<|endof", "text|>", "x  <|endoftext|>  y", "<|endoftext|>" * 3, ""]
+    ids, upto = encoder(*common.text_bytes(pa.array(rows)))
+    assert ids[:upto[1]].tolist() == [437, 220, 50256, 1306]
+    assert [ids[a:b].tolist() for a, b in zip(upto, upto[1:])] == [stock.encode(t, add_special_tokens=False).ids for t in rows]
+
+
 def test_encode_and_decode_odd_rows(spark, plain):
     docs = spark.createDataFrame(ODD, DOCS)
     load = lambda: byte_bpe.tokenizer_of_ranks(MULTI_RANKS)
@@ -101,7 +125,7 @@ def test_encode_and_decode_odd_rows(spark, plain):
 def test_packing_keeps_every_id_once(spark):
     docs = spark.createDataFrame(ODD, DOCS)
     rows = packing.pack(docs.where("doc_id <> 1"), lambda: byte_bpe.tokenizer_of_json(BPE_JSON), longest=64).collect()
-    tokenizer = byte_bpe.tokenizer_of_json(BPE_JSON)
+    tokenizer = Tokenizer.from_file(BPE_JSON)
     for doc_id, text, *_ in ODD:
         if doc_id in (None, 1):
             continue
@@ -113,6 +137,7 @@ def test_packing_keeps_every_id_once(spark):
         assert all(r.ids_crc32 == zlib.crc32(bytes(r.ids)) and r.doc_tokens == len(ids) for r in mine)
         assert len({r.length for r in mine if r.length < 64}) == len([r for r in mine if r.length < 64])
     assert len({r.sequence_id for r in rows}) == len(rows)
+    assert [r.length for r in sorted(rows, key=lambda r: r.sequence_id)] == sorted(r.length for r in rows)  # buckets
     assert packing.pack(docs.limit(0), lambda: byte_bpe.tokenizer_of_json(BPE_JSON)).count() == 0
 
 
