@@ -13,9 +13,14 @@ A host of less than ``FEW`` classes cannot tell what is rare, so there all lines
 a host has nothing but copies, no line is deleted.
 
 Lines inside an ``article`` or ``main`` element are marked and never deleted: copies of an article, and passages
-that many articles quote, are shared by neighbours too. Every page with lines that are not marked is aligned. If
-its marked lines hold at least as many characters as the others that the difference leaves, they are the page's body and the
-others stand beside it; if they hold fewer, like a teaser in a page of plain elements, all of them are the text.
+that many articles quote, are shared by neighbours too. Where a ``main`` element has text, unmarked lines are none of the
+page's, as that element is by definition its only body; else every page with unmarked lines is aligned, and those that
+the difference leaves are text beside the marked ones, however many there are of either.
+
+An element is left out by its tag, its role, or a class or id that as a whole names such a thing (``ad``, ``site-footer``,
+``comment-list``); a state of the page in a class (``no-sidebar``, ``comments-open``) names nothing. Headings and
+paragraphs of an article go only by the names of adverts and comments. If a page has no marked lines, and an element named
+for its place (a sidebar, a widget) holds more text than all that is kept, then its name is not believed.
 
 Null or empty html gives an empty text; a page with a null url, or alone on its host, is not differenced.
 Rows that repeat a page are pages of their own: each input row gives one output row, null ids included. Unclosed
@@ -62,48 +67,86 @@ NAMES = frozenset("""ad ads advert adverts advertisement advertising banner spon
 nav navbar navigation breadcrumb breadcrumbs masthead footer comment comments disqus cookie cookies consent notice notices
 popup modal newsletter subscribe share sharing social related recommended widget toolbar pagination pager login signup""".split())
 COMMENTS = frozenset("comment comments disqus".split())
+# Names that an element's text cannot outweigh, and words beside a name that leave it the name of the element.
+SURE = COMMENTS | frozenset("ad ads advert adverts advertisement advertising sponsored cookie cookies consent login signup".split())
+BESIDE = frozenset("""site page main top bottom left right upper lower primary secondary global inner outer list box block section
+area wrapper wrap container content buttons button links link items item bar text post posts article articles story header title
+form group row column col panel slot unit thread body media icons desktop mobile the""".split())
+PROSE = frozenset("h1 h2 h3 h4 h5 h6 p".split())
 
 
-def _left_out(tag: str, attributes: str, marked: bool) -> bool:
-    """True for elements that hold no text of the page's own."""
+def _left_out(tag: str, attributes: str, marked: bool, names: bool) -> str:
+    """Why an element holds no text of the page's own: "sure", "named" by a word that may mislead, or empty if it does."""
     if tag in OTHERS or tag == "header" and not marked:
-        return True
+        return "sure"
     if not attributes.strip() or tag in ("html", "body"):
-        return False
+        return ""
     given = {"hidden": "hidden"} if re.search(r"(?i)(?:^|\s)hidden(?:\s|$)", attributes) else {}
     for name, *values, hidden in _ATTRIBUTE.findall(attributes):
         given[(name or hidden).lower()] = "".join(values)
+    found = _names(given)
     if tag in ("article", "main"):
-        return bool(COMMENTS & _names(given))
+        return "sure" if found & COMMENTS else ""
     style = given.get("style", "").replace(" ", "").lower()
-    return ("hidden" in given or given.get("aria-hidden", "").lower() == "true" or "display:none" in style
-            or given.get("role", "").lower() in ROLES or bool(NAMES & _names(given))
-            or not marked and "header" in _names(given))
+    if ("hidden" in given or given.get("aria-hidden", "").lower() == "true" or "display:none" in style
+            or given.get("role", "").lower() in ROLES or found & SURE):
+        return "sure"
+    if not names or marked and tag in PROSE:
+        return ""
+    return "named" if found or not marked and "header" in _tokens(given) else ""
+
+
+def _tokens(given: dict[str, str]) -> list[str]:
+    """An element's classes and its id."""
+    return re.sub(r"([a-z])([A-Z])", r"\1-\2", f"{given.get('class', '')} {given.get('id', '')}").lower().split()
 
 
 def _names(given: dict[str, str]) -> set[str]:
-    """The words of an element's class and id."""
-    words = re.sub(r"([a-z])([A-Z])", r"\1 \2", f"{given.get('class', '')} {given.get('id', '')}")
-    return set(re.split(r"[^a-z]+", words.lower()))
+    """The names in those classes and ids that consist of a name and nothing but words that leave it the element's."""
+    out: set[str] = set()
+    for token in _tokens(given):
+        words = set(re.split(r"[^a-z]+", token)) - {""}
+        if words <= NAMES | BESIDE:
+            out |= words & NAMES
+    return out
 
 
 def page_lines(html: str) -> list[tuple[str, bool]]:
     """(line, marked) for every line of a page in order; marked are those in an article or main element."""
+    lines, body, named = _lines(html, True, -1)
+    for names in (True, False):  # an element inside the one that is now believed may outweigh again: then no name counts
+        size, at = max(named, default=(0, -1))
+        if any(marked for _, marked in lines) or size <= sum(len(line) for line, _ in lines):
+            break
+        lines, body, named = _lines(html, names, at)
+    return [(line, marked) for line, marked in lines if marked or not body]
+
+
+def _lines(html: str, names: bool, spared: int) -> tuple[list[tuple[str, bool]], bool, list[tuple[int, int]]]:
+    """All lines that are not left out, whether some lie in a main element, and (characters, place) of elements left out by name.
+
+    The element that starts at ``spared`` is not left out; without ``names`` none is for the words that may mislead.
+    """
     lines: list[tuple[str, bool]] = []
+    named: list[tuple[int, int]] = []
     held: list[str] = []
-    marked = 0
+    marked, mains, body = 0, 0, False
     outer, depth = "", 0  # the element that is left out, and how many of its name are open
-    seen = 0
+    seen, place, size = 0, -1, 0
 
     def end_line():
+        nonlocal body
         line = " ".join(unescape("".join(held)).split())
         if line:
             lines.append((line, marked > 0))
+            body = body or mains > 0
         held.clear()
 
     for token in _TOKEN.finditer(html):
         if not outer:
             held.append(html[seen:token.start()])
+        else:
+            size += len(" ".join(html[seen:token.start()].split()))
         seen, tag = token.end(), (token["tag"] or "").lower()
         if not tag:
             continue
@@ -116,20 +159,28 @@ def page_lines(html: str) -> list[tuple[str, bool]]:
             if depth > 0:
                 continue
             closed, outer = outer, ""
+            if place >= 0:
+                named.append((size, place))
             if tag == closed and not opens:
                 continue
         if tag in BLOCKS:
             end_line()
         elif tag in SPACED:
             held.append(" ")
-        if opens and tag not in VOID and _left_out(tag, token["attributes"], marked > 0):
-            outer, depth = tag, 1
+        why = _left_out(tag, token["attributes"], marked > 0, names) if opens and tag not in VOID else ""
+        if why and token.start() != spared:
+            outer, depth, size = tag, 1, 0
+            place = token.start() if why == "named" else -1
         elif tag in ("article", "main"):
             marked = marked + 1 if opens else max(0, marked - 1)
+            if tag == "main":
+                mains = mains + 1 if opens else max(0, mains - 1)
     if not outer:
         held.append(html[seen:])
+    elif place >= 0:
+        named.append((size + len(" ".join(html[seen:].split())), place))
     end_line()
-    return lines
+    return lines, body, named
 
 
 def common_lines(one: list, other: list) -> list[int]:
@@ -209,12 +260,9 @@ def _parsed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def page_text(lines: list[str], marked: list[bool], shared: list[int] | None) -> str:
-    """The lines that are the page's: those that the difference leaves and the marked ones, or only these if they outweigh."""
+    """The lines that are the page's: the marked ones and those that the difference leaves."""
     shared = set(shared or ())
-    inside = sum(len(line) for line, own in zip(lines, marked) if own)
-    outside = sum(len(line) for i, line in enumerate(lines) if not marked[i] and i not in shared)
-    beside = inside >= outside
-    return "\n".join(line for i, line in enumerate(lines) if marked[i] or not beside and i not in shared)
+    return "\n".join(line for i, line in enumerate(lines) if marked[i] or i not in shared)
 
 
 def _differenced(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -115,6 +115,40 @@ ARTICLE = """<!DOCTYPE html><html><head><title>T</title><style>p{}</style></head
 <footer>&copy; all"""
 
 
+@pytest.mark.parametrize("opened", [
+    '<div class="content no-sidebar">', '<article class="post comments-open">', '<main class="has-comments">',
+    '<div class="layout-no-sidebar"><article>', '<div class="post social-share-enabled"><article>', '<div class="widget">',
+    '<div class="sidebar"><div class="widget">', '<div id="menu"><div class="promo"><div class="related">'])
+def test_a_word_of_a_class_does_not_take_an_article(opened):
+    html = f'<nav>Home</nav><div class="ad">Buy</div>{opened}<p>One, at some length.</p><h2 id="x">Two</h2>'
+    assert [line for line, _ in page_difference.page_lines(html)] == ["One, at some length.", "Two"]
+
+
+@pytest.mark.parametrize("name", ["ad", "ads", "site-footer", "sidebar left", "comment-list", "post-comments", "cookie-notice", "mainMenu",
+                                  "share-buttons", "related_posts", "ad-slot-3"])
+def test_whole_names_take_an_element(name):
+    for html in (f'<article><p>Text</p><div class="{name}">Not <b>this</b></div></article>', f'<div>Text</div><div id="{name}">Not</div>'):
+        assert [line for line, _ in page_difference.page_lines(html)] == ["Text"]
+
+
+def test_headings_and_paragraphs_of_an_article_stay():
+    html = '<article><h2 id="related">Related work</h2><p class="social">Social</p><p class="ad">Buy</p><div class="related">More</div>'
+    assert [line for line, _ in page_difference.page_lines(html)] == ["Related work", "Social"]
+    many = "".join(f"<p>Comment {i}, quite long.</p>" for i in range(50))
+    assert page_difference.page_lines(f'<div>Short</div><section id="comments">{many}</section>') == [("Short", False)]
+    nested = '<div class="widget">x' * 5000  # no name is believed where names outweigh again
+    assert len(page_difference.page_lines(nested)) == 5000
+
+
+def test_a_story_beside_a_longer_card_stays(spark):
+    page = lambda i: (f"<div>Site name</div><div>Story {i} is short.</div>"
+                      f"<article><p>{'A card with many more characters. ' * 9}</p></article><div>Imprint</div>")
+    rows = [(i, f"http://s.org/{i}", page(i)) for i in range(6)]
+    found = page_difference.main_text(spark.createDataFrame(rows, "page_id long, url string, html string").repartition(3))
+    card = ("A card with many more characters. " * 9).strip()
+    assert {r.page_id: r.text for r in found.collect()} == {i: f"Story {i} is short.\n{card}" for i in range(6)}
+
+
 def test_marked_lines_are_the_text(spark):
     rows = [(1, "http://a.org/x/1", ARTICLE), (2, "http://a.org/x/2", ARTICLE), (3, "http://a.org/x/3", None), (4, None, ""),
             (None, "no url", "<p>alone"), (5, "http://a.org/x/2", "<main>" + "<p>w" * 50_000 + "</main><p>x"), (1, "http://a.org/x/1", ARTICLE),
