@@ -2,14 +2,17 @@
 
 The patterns find e-mail addresses, IP addresses, card numbers that pass the Luhn
 check and international phone numbers. The field adds such data in other dress: phone
-numbers without a country code, cards in odd groups, addresses in brackets. It tags words; only
+numbers without a country code, cards in odd groups, addresses in brackets. A card that it
+adds passes the Luhn check too, which its features see and its spans must hold. It tags words; only
 a word with a digit or an at sign can be tagged, so words between decode apart and a
 text costs little more than the search for such words. It is trained on a small
 labelled table by maximum likelihood and goes to the tasks as one small matrix.
 
 A null text counts as empty and has no spans. Positions count characters, ends are
 exclusive. Every input row gives one output row, so repeated rows and null ids are
-passed through. The search is linear in the text's length, whatever it holds.
+passed through; an empty table gives no rows, and columns beside the two that are read may have
+any name. The search is linear in the text's length, whatever it holds; only the shape that the
+field sees of a word is cut, at 64 characters and 24 signs, never a span.
 """
 
 import re
@@ -111,14 +114,39 @@ def shape(word: str) -> str:
     return "".join(out)[:24]
 
 
+def luhn_near(words: list[Word], i: int) -> str:
+    """Whether word i is in a stretch of digit groups that together are a valid card, in one that is none, or in none at all.
+
+    Groups have four digits at least, so a stretch is of four words at most.
+    """
+    groups = {}
+    for j in range(max(0, i - 3), min(len(words), i + 4)):
+        core = words[j].text.strip(_OUTER).replace("-", "")
+        if core.isascii() and core.isdigit() and 4 <= len(core) <= 19:
+            groups[j] = core
+    told = "none"
+    for a in range(max(0, i - 3), i + 1):
+        digits = ""
+        for b in range(a, min(len(words), a + 4)):
+            if b not in groups:
+                break
+            digits += groups[b]
+            if b >= i and 13 <= len(digits) <= 19:
+                if luhn(digits):
+                    return "valid"
+                told = "wrong"
+    return told
+
+
 def features(words: list[Word], i: int) -> list[str]:
-    """What the field sees of word i: its shape, signs and length, and the shapes and cues beside it."""
+    """What the field sees of word i: its shape, signs and length, whether its digits check, and the shapes and cues beside it."""
     core = words[i].text.strip(_OUTER)
     digits = sum(c.isdigit() for c in core)
     letters = any(c.isalpha() for c in core)
     signs = "".join(sorted({c for c in core if not c.isalnum()}))[:6]
     out = ["all", f"shape={shape(core)}", f"signs={signs}", f"digits={min(digits, 20)}", f"letters={letters}",
-           f"signs+digits={signs}{min(digits, 20)}{letters}", f"dots={min(core.count('.'), 4)}"]
+           f"signs+digits={signs}{min(digits, 20)}{letters}", f"dots={min(core.count('.'), 4)}",
+           f"luhn={luhn_near(words, i) if digits >= 4 else 'none'}"]
     for step, name in ((-1, "before"), (1, "after")):
         j = i + step
         near = words[j].text.strip(_OUTER) if 0 <= j < len(words) else ""
@@ -284,11 +312,18 @@ def field_spans(texts: list[str], field: Field) -> list[list[Span]]:
             if kind:
                 first, last = words[i], words[j - 1]
                 start = first.start + len(first.text) - len(first.text.lstrip(_OUTER))
-                out[k].append((kind, start, last.start + len(last.text.rstrip(_OUTER))))
+                end = last.start + len(last.text.rstrip(_OUTER))
+                if kind != "card" or _is_card(texts[k][start:end]):
+                    out[k].append((kind, start, end))
             i = j
     return out
 
 
+def _is_card(text: str) -> bool:
+    digits = "".join(c for c in text if c.isascii() and c.isdigit())
+    return 13 <= len(digits) <= 19 and luhn(digits)
+
+
 def all_spans(base: list[Span], added: list[Span]) -> list[Span]:
     """The patterns' spans and those of the field that touch none of them, in order of kind and place."""
     taken = sorted((a, b) for _, a, b in base)
@@ -375,6 +410,8 @@ TEMPLATES = (
     "in the year {year} there were {small} of them", "from {year} to {year}, {small} and {small}",
     "a price of {price} for {small} pieces", "it took {small} minutes, {price} in all", "on {date} and {date}",
     "at {time} the {small}th of the month", "token = \"{hex}\" there", "password={hex}", "key {key} was lost",
+    "the {number} of it", "und {number} de", "{number}", "{number} {ip:ip}", "{number} {card:card}", "{card:card} {number} la",
+    "card {number} has a wrong digit", "number {number}.", "{grouped_number} {international:phone}", "of {grouped_number} on",
     "the id {long_id} of the order {order}", "order {order} has {small} parts", "see {small}-{small} and {version}",
     "the table: {small} {small} {small} {year} {price}", "in {year}, chapter {small}, {version}", "@ {small} each",
     "user @{name} said {small}", "@{name} and @{name}", "width {small}x{small}", "no {long_id}", "ratio {price}%",
@@ -385,12 +422,21 @@ def _value(kind: str, rng) -> str:
     d = lambda n: "".join(str(x) for x in rng.integers(0, 10, n))
     letters = lambda n: "".join(chr(97 + x) for x in rng.integers(0, 26, n))
     one = lambda *options: options[rng.integers(len(options))]
+
+    def checked(n, valid=True):
+        """Digits that pass the Luhn check, or that miss it by their last."""
+        head = d(n - 1)
+        last = next(x for x in "0123456789" if luhn(head + x))
+        return head + (last if valid else str((int(last) + int(rng.integers(1, 10))) % 10))
+
+    four = lambda digits, sign: sign.join(digits[k:k + 4] for k in range(0, len(digits), 4))
     return {
         "national": lambda: f"{d(3)}{(s := one('-', '.', ' '))}{d(3)}{s}{d(4)}",
         "grouped": lambda: f"0{d(3)} {d(3)} {d(3)}", "bracketed": lambda: f"({d(3)}) {d(3)}-{d(4)}",
         "international": lambda: one(f"+{d(1)} ({d(3)}) {d(3)}-{d(4)}", f"+{d(2)} {d(3)} {d(7)}", f"+{d(2)}-{d(3)}-{d(6)}"),
-        "card": lambda: one(d(16), f"{d(4)} {d(4)} {d(4)} {d(4)}", f"{d(4)}-{d(4)}-{d(4)}-{d(4)}"),
-        "short_card": lambda: f"{d(4)} {d(6)} {d(5)}", "ip": lambda: ".".join(str(x) for x in rng.integers(1, 255, 4)),
+        "card": lambda: one(c := checked(16), four(c, " "), four(c, "-")),
+        "short_card": lambda: f"{(c := checked(15))[:4]} {c[4:10]} {c[10:]}",
+        "number": lambda: checked(16, False), "grouped_number": lambda: four(checked(16, False), one(" ", "-")), "ip": lambda: ".".join(str(x) for x in rng.integers(1, 255, 4)),
         "mail": lambda: f"{letters(6)}.{d(2)}@{letters(5)}{one('', d(1))}.example.{one('com', 'org', 'net')}",
         "odd_mail": lambda: f"{letters(5)}@[{letters(6)}.{one('com', 'org')}]", "name": lambda: letters(7),
         "version": lambda: f"{d(1)}.{d(1)}", "small": lambda: str(rng.integers(1, 999)), "year": lambda: f"19{d(2)}",
