@@ -250,7 +250,8 @@ def decoded_text(pieces: Iterable[bytes]) -> Iterator[str]:
 
 
 def tokens_report(docs: DataFrame, load: Callable[[], object], key: str = "doc_id", text: str = "text") -> DataFrame:
-    """Digests of every row's ids and of the bytes they decode to."""
-    encoded = encode(docs, load, key, text, offsets=False)
-    whole = decode(encoded.withColumn("ids_sha256", F.sha2("ids", 256)), load, key, ["n_tokens", "ids_sha256", "n_split"])
-    return whole.select(key, "n_tokens", "ids_sha256", F.sha2("decoded", 256).alias("decoded_sha256"), "n_split")
+    """Digests of every row's ids, of the bytes they decode to and of the tokens' places (all starts, then all ends)."""
+    encoded = encode(docs, load, key, text)
+    digests = encoded.withColumns({"ids_sha256": F.sha2("ids", 256), "offsets_sha256": F.sha2(F.concat("starts", "ends"), 256)})
+    whole = decode(digests, load, key, ["n_tokens", "ids_sha256", "n_split", "offsets_sha256"])
+    return whole.select(key, "n_tokens", "ids_sha256", F.sha2("decoded", 256).alias("decoded_sha256"), "n_split", "offsets_sha256")

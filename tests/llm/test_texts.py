@@ -119,6 +119,17 @@ def test_encode_and_decode_odd_rows(spark, plain):
     report = {(r.doc_id, r.ids_sha256, r.decoded_sha256) for r in byte_bpe.tokens_report(docs, load).collect()}
     assert report == {(i, hashlib.sha256(np.array(plain.encode_ordinary(t or ""), "<u4").tobytes()).hexdigest(),
                        hashlib.sha256((t or "").encode()).hexdigest()) for i, t, *_ in ODD}
+    told = {(r.doc_id, r.ids_sha256): (r.n_split, r.offsets_sha256) for r in byte_bpe.tokens_report(docs, load).collect()}
+    for i, t, *_ in ODD:
+        ids, at, starts, ends, split = plain.encode_ordinary(t or ""), 0, [], [], 0
+        places = np.cumsum([0, *(len(c.encode()) for c in t or "")])  # where each character begins
+        for piece in map(plain.decode_single_token_bytes, ids):
+            starts.append(np.searchsorted(places, at, side="right") - 1)
+            split += at not in places
+            at += len(piece)
+            ends.append(np.searchsorted(places, at, side="left"))
+        digest = hashlib.sha256(np.array([*starts, *ends], "<u4").tobytes()).hexdigest()
+        assert told[i, hashlib.sha256(np.array(ids, "<u4").tobytes()).hexdigest()] == (split, digest)
     assert byte_bpe.tokens_report(docs.limit(0), load).count() == 0
 
 
