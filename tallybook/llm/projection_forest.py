@@ -32,6 +32,8 @@ from tallybook.scratch import scratch_dir
 SAMPLE, LEAF, BLOCK = 16_384, 512, 1500
 #: The chance to miss a pair at the threshold, and the part of a pair's usual distance that spills over a split.
 MISSED, SPILL = 1e-6, 0.5
+#: Trees at most before larger leaves are taken, and vectors of the sample that a leaf needs for its share to be measured.
+TREES, MEASURED = 64, 4
 
 
 def is_vector(vector: str) -> Column:
@@ -82,7 +84,12 @@ def plant(sample: np.ndarray, depth: int, margin: float, rng: np.random.Generato
 
 
 def forest(sample: np.ndarray, depth: int, threshold: float, seed: int = 5) -> list[Tree]:
-    """Trees until a pair at the threshold is missed by all of them with a chance below MISSED."""
+    """Trees until a pair at the threshold is missed by all of them with a chance below MISSED.
+
+    A tree is no deeper than its sample has vectors to measure the chance with. If TREES trees do not reach it, trees of
+    one level less, whose leaves are larger and compared as exactly, are tried; those of no level have one leaf, which misses nothing.
+    """
+    depth = min(depth, max(0, (len(sample) // MEASURED).bit_length() - 1))
     rng, dim = np.random.default_rng(seed), sample.shape[1]
     if depth == 0 or dim < 2:
         return [Tree(np.zeros((0, dim)), np.zeros(1), 0.0)]
@@ -92,7 +99,7 @@ def forest(sample: np.ndarray, depth: int, threshold: float, seed: int = 5) -> l
     side -= (side * ones).sum(axis=1, keepdims=True) * ones
     others = threshold * ones + np.sqrt(1 - threshold**2) * units(side)
     trees, missed = [], 1.0
-    while missed > MISSED and len(trees) < 64:
+    while missed > MISSED and len(trees) < TREES:
         tree = plant(sample, depth, margin, rng)
         met = np.zeros(len(ones), dtype=bool)
         pairs = [np.stack(tree.leaves(x)) for x in (ones, others)]
@@ -100,7 +107,7 @@ def forest(sample: np.ndarray, depth: int, threshold: float, seed: int = 5) -> l
         met[pairs[0][0][np.isin(keys[0], keys[1])]] = True
         missed *= max(1 - met.mean(), 1e-3)
         trees.append(tree)
-    return trees
+    return trees if missed <= MISSED else forest(sample, depth - 1, threshold, seed)
 
 
 def _routes(grown: dict[int, list[Tree]]):

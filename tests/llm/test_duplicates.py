@@ -260,3 +260,12 @@ def test_neighbours_of_odd_rows(spark):
     assert told == {(0, 1): (7, 2.0), (0, 2): (1, 1.0), (0, 3): (2, 1.0),
                     (40, 1): (7, 1.5), (40, 2): (0, 0.5), (40, 3): (1, 0.5)}
     assert kmeans_tree.search(frame.limit(0), F.col("vec_id") % 20 == 0).count() == 0
+
+
+def test_too_few_trees_give_larger_leaves(monkeypatch):
+    sample = projection_forest.units(np.random.default_rng(3).normal(size=(4000, 16)))
+    grown = projection_forest.forest(sample, 5, 0.93)
+    assert len(grown) > 1 and all(len(tree.directions) == 5 for tree in grown)
+    assert len(projection_forest.forest(sample[:40], 9, 0.93)[0].directions) <= 3  # no deeper than the sample tells
+    monkeypatch.setattr(projection_forest, "TREES", 1)
+    assert [len(tree.directions) for tree in projection_forest.forest(sample, 5, 0.93)] == [0]
