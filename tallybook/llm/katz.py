@@ -27,7 +27,7 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallybook.llm.common import crc_fold, mix, pack, slices, text_bytes, unpack, word_hashes
@@ -36,6 +36,8 @@ from tallybook.scratch import scratch_dir
 
 #: Counts up to this are discounted; bytes of text in a chunk.
 SMALL, CHUNK = 5, 16 << 20
+#: Packed bytes of all chunks to a group of requests, and groups at most, as each chunk sends a row to each group.
+GROUP_BYTES, GROUPS = 16 << 20, 1 << 16
 END, START = np.uint64(1), np.uint64(2)
 
 ANSWERS = "kind string, bucket int, chunk long, numbers array<binary>, sums array<double>"
@@ -331,21 +333,30 @@ def train_and_score(docs: DataFrame, path: str, key: str = "doc_id", text: str =
     """(key, held_out, n_tokens, n_known, train_tokens, base_score, score) per row; the counts stay under ``path``."""
     spark = docs.sparkSession
     partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    buckets = 2 * partitions  # groups are handled one at a time, so smaller ones need less memory
     slim = docs.select(F.col(key).cast("long").alias("id"), F.col(text).alias("text"),
                        (crc_fold(key, folds) == held_out).alias("held"))
     name = f"katz_chunks_{uuid.uuid4().hex}"
     chunks = slim.mapInArrow(_chunks, "chunk long, ids array<long>, held array<boolean>, sizes binary, words binary, "
                                       "stream binary, counts binary")
-    chunks.write.bucketBy(partitions, "chunk").option("compression", "none").saveAsTable(name)
-    chunks = spark.table(name)
+    chunks.write.bucketBy(partitions, "chunk").option("compression", "none").option("path", f"{path}/chunks").saveAsTable(name)
+    try:
+        out = _scored(spark, spark.table(name), slim, path, partitions, hot)
+    finally:
+        spark.sql(f"DROP TABLE {name}")
+    return out.withColumnRenamed("id", key)
+
+
+def _scored(spark: SparkSession, chunks: DataFrame, slim: DataFrame, path: str, partitions: int, hot: float) -> DataFrame:
+    """The scores of all chunks, written. A group is handled whole in a task, so the number of groups grows with the bytes asked."""
+    asked_bytes = chunks.agg(F.sum(F.octet_length("words") + F.octet_length("counts") + F.octet_length("stream"))).first()[0]
+    buckets = max(2 * partitions, min(GROUPS, int(asked_bytes or 0) // GROUP_BYTES))
 
     asked = chunks.select("chunk", "words", "counts").mapInArrow(_word_requests(buckets), ANSWERS)
     words = _stored(asked.groupBy("bucket").applyInArrow(_count_words, ANSWERS), f"{path}/words")
     told = [r[0] for r in _spectrum(words, SMALL + 3)]
     single = Unigrams(int(told[0]), int(told[1]), discounts(np.array(told[2:])), np.array(told[2:]))
     starts = slim.where("NOT held").count()
-    most = single.tokens / buckets * hot
+    most = single.tokens / (2 * partitions) * hot
 
     counts = words.where("kind = 'answers'").select("bucket", "chunk", "numbers")
     stream = chunks.select("chunk", "held", "sizes", "words", "stream")
@@ -353,7 +364,7 @@ def train_and_score(docs: DataFrame, path: str, key: str = "doc_id", text: str =
         _pair_requests(buckets, most, starts), ANSWERS)
     pairs = _stored(asked.groupBy("bucket").applyInArrow(_count_pairs(single), ANSWERS), f"{path}/pairs")
     discount = discounts(np.array([r[0] for r in _spectrum(pairs, SMALL + 1)]))
-    # hot histories: at most buckets / hot words and the start mark, so their sums fit every task
+    # hot histories: at most 2 * partitions / hot words and the start mark, so their sums fit every task
     hot_sums: dict[int, np.ndarray] = {}
     for r in pairs.where("kind = 'hot' AND size(sums) > 0").select("numbers", "sums").toLocalIterator():
         mine = np.array(r["sums"]).reshape(-1, SMALL + 2)
@@ -366,9 +377,7 @@ def train_and_score(docs: DataFrame, path: str, key: str = "doc_id", text: str =
     scores = stream.groupBy("chunk").cogroup(both.groupBy("chunk")).applyInArrow(
         _scores(buckets, most, starts, single, discount, hot_sums),
         "id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double")
-    out = written(scores, scratch_dir(spark, "katz-scores"))
-    spark.sql(f"DROP TABLE {name}")
-    return out.withColumnRenamed("id", key)
+    return written(scores, scratch_dir(spark, "katz-scores"))
 
 
 def _stored(rows: DataFrame, path: str) -> DataFrame:
