@@ -1,18 +1,21 @@
-"""A Katz backoff language model of word pairs: counted over the training documents, scored over all.
+"""A Katz backoff language model of n-grams up to ``order`` words: counted over the training documents, scored over all.
 
-P(w | h) = d(c) c(h, w) / c(h)      if the pair was seen, with Good-Turing discounts d for counts up to ``SMALL``,
-         = a(h) P(w)                 if not; a(h) gives the pairs not seen exactly what the discounts left over;
+P(w | h) = d(c) c(h, w) / c(h)      if h and w were seen together, with Good-Turing discounts d for counts up to ``SMALL``,
+         = a(h) P(w | h')            if not, h' being h without its first word; a(h) gives the words not seen after h
+                                     exactly what the discounts left over;
 P(w)     = d(c) c(w) / N             for words seen, and the rest of the mass for the unknown word, so that it recurses to a constant.
 
 Every document begins with a start mark, which is only a history, and ends with an
-end token. A history that was never seen has P(w). If no seen pair of a history is
-discounted, one more is counted for the history, so that something is left.
+end token. A history does not reach before the mark: the first words have shorter ones. After a history that was never
+seen w has P(w | h'). If nothing seen after a history is discounted, one more is counted for it, so that something is left.
+Each length of n-grams has discounts of its own.
 
 How it runs: documents are gathered into chunks, each a list of its distinct words and a
-stream of their numbers, in a table bucketed by chunk. Chunks ask for the counts of their distinct words, and then of their
-distinct pairs, in packed requests dealt by hash; what is asked carries what the chunk counted, so the answers
-are the sums over all. The words of histories that are hot (``hot`` times an even share of all tokens)
-are dealt by the pair, and only their few sums go to every task. Word and pair counts stay as tables,
+stream of their numbers, in a table bucketed by chunk. Chunks ask for the counts of their distinct words, then of their
+distinct pairs, and so on to ``order``, in packed requests dealt by the history's hash; what is asked carries what the
+chunk counted, so the answers are the sums over all. The words of histories that are hot (``hot`` times an even share of all
+tokens) are dealt by the n-gram, and only their few sums go to every task. An n-gram is asked for if both shorter ones in it were
+seen; the answers of one length give the chances that the weights of the next need. The counts of each length stay as a table,
 partitioned by kind and dealt by hash, under ``path``.
 
 A null text counts as empty and has the end token only. Null ids are learnt from. Each row counts, so repeated rows
@@ -170,102 +173,187 @@ def _count_words(table: pa.Table) -> pa.Table:
     return pa.Table.from_batches(out)
 
 
-class Pairs:
-    """The distinct (history, word) pairs of a chunk, and how they are dealt to buckets.
+@dataclass
+class Level:
+    """The distinct n-grams of one length in a chunk: which one ends at each token (-1: it would begin before the start
+    mark), their hashes, training counts, log10 chances, and what the counts of their history are divided by."""
 
-    Both are numbers of the chunk's words; the start mark has the next number after
-    the last. Asked are the pairs whose words were both seen in training.
-    """
+    of: np.ndarray
+    hashes: np.ndarray
+    count: np.ndarray
+    chance: np.ndarray
+    divisor: np.ndarray
 
-    def __init__(self, chunk: dict, counts: dict[int, np.ndarray], buckets: int, hot: float, starts: int):
-        self.words = unpack(chunk["words"], np.uint64)
+
+class Chunk:
+    """A chunk with the answers that it got so far."""
+
+    def __init__(self, chunk: dict, told: dict[str, dict[int, list[bytes]]], buckets: int, starts: int, single: Unigrams):
         self.stream, self.sizes = unpack(chunk["stream"], np.int32), unpack(chunk["sizes"], np.int32).astype(np.int64)
         self.held = np.array(chunk["held"], dtype=bool)
-        self.count = np.zeros(len(self.words) + 1, dtype=np.int64)
+        self.first = np.cumsum(self.sizes) - self.sizes
+        self.words = unpack(chunk["words"], np.uint64)
+        count = np.zeros(len(self.words) + 1, dtype=np.int64)
         for bucket, at in _dealt(self.words, buckets):
-            self.count[at] = counts[bucket]
-        self.count[-1] = starts
-        self.hashes = np.append(self.words, START)
-        before = np.empty_like(self.stream)
-        before[1:] = self.stream[:-1]
-        before[np.cumsum(self.sizes) - self.sizes] = len(self.words)
-        keys = before.astype(np.int64) << 32 | self.stream
+            count[at] = unpack(told["words"][bucket][0], np.int64)
+        count[-1] = starts  # the start mark has the next number after the last word
+        self.lowest = Level(self.stream, np.append(self.words, START), count, np.log10(single.chance(count)),
+                            np.full(len(count), float(single.all)))
+
+
+class Grams:
+    """The distinct n-grams of a chunk that are one word longer than those of ``below``, and how they are dealt to buckets.
+
+    Histories are n-grams of ``below`` and so are the n-grams without their first word (``low``).
+    Asked are those whose two shorter ones were both seen in training.
+    """
+
+    def __init__(self, chunk: Chunk, below: Level, hot: float):
+        self.below, self.pairs = below, below is chunk.lowest
+        before = np.empty_like(below.of)
+        before[1:] = below.of[:-1]
+        before[chunk.first] = len(chunk.words) if self.pairs else -1
+        self.valid = before >= 0
+        keys = before[self.valid].astype(np.int64) << 32 | chunk.stream[self.valid]
         del before
         keys, of = np.unique(keys, return_inverse=True)
-        self.of = of.astype(np.int32)
+        self.of = np.full(len(chunk.stream), -1, dtype=np.int32)
+        self.of[self.valid] = of
         self.history, self.word = (keys >> 32).astype(np.int32), (keys & 0xFFFFFFFF).astype(np.int32)
-        self.asked = np.flatnonzero((self.count[self.history] > 0) & (self.count[self.word] > 0))
-        self.hot = self.count > hot
-        self.hot[-1] = True
-        h, w = self.history[self.asked], self.word[self.asked]
-        self.dealt = np.where(self.hot[h], mix(self.hashes[h] + mix(self.hashes[w])), self.hashes[h])
-        self.single = np.flatnonzero((self.count > 0) & ~self.hot)  # histories whose sums are asked
+        self.low = np.empty(len(keys), dtype=np.int32)
+        self.low[of] = below.of[self.valid]
+        word_hashes = chunk.words[self.word]
+        self.hashes = mix(below.hashes[self.history] + mix(word_hashes))
+        self.asked = np.flatnonzero((below.count[self.history] > 0) & (below.count[self.low] > 0))
+        self.hot = below.count > hot
+        if self.pairs:
+            self.hot[-1] = True
+        h = self.history[self.asked]
+        self.dealt = np.where(self.hot[h], self.hashes[self.asked], below.hashes[h])
+        alone = np.unique(self.history)
+        self.single = alone[(below.count[alone] > 0) & ~self.hot[alone]]  # histories whose sums are asked
 
     def requests(self, buckets: int) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
-        """(bucket, asked pairs, asked histories) in an order that the answers keep."""
-        pairs, singles = dict(_dealt(self.dealt, buckets)), dict(_dealt(self.hashes[self.single], buckets))
-        for bucket in sorted({*pairs, *singles}):
-            none = np.zeros(0, dtype=np.int64)
-            yield bucket, self.asked[pairs.get(bucket, none)], self.single[singles.get(bucket, none)]
+        """(bucket, asked n-grams, their histories and others whose sums are asked) in an order that the answers keep."""
+        none = np.zeros(0, dtype=np.int64)
+        grams, singles = dict(_dealt(self.dealt, buckets)), dict(_dealt(self.below.hashes[self.single], buckets))
+        for bucket in sorted({*grams, *singles}):
+            asked = self.asked[grams.get(bucket, none)]
+            yield bucket, asked, np.union1d(self.history[asked], self.single[singles.get(bucket, none)])
+
+    def scored(self, back: dict[int, list[bytes]], buckets: int, discount: np.ndarray, hot_sums: dict[int, np.ndarray]) -> Level:
+        """These n-grams with their counts and chances, from the answers."""
+        below, times = self.below, np.zeros(len(self.history), dtype=np.int64)
+        sums = np.zeros((len(below.count), SMALL + 2))
+        for bucket, asked, histories in self.requests(buckets):
+            found, mine = back[bucket], histories[~self.hot[histories]]
+            times[asked] = unpack(found[0], np.int64)
+            for i in range(SMALL + 1):
+                sums[mine, i] = unpack(found[1 + i], np.int64)
+            sums[mine, SMALL + 1] = unpack(found[SMALL + 2], np.float64)
+        for i in np.flatnonzero(self.hot):
+            sums[i] = hot_sums.get(int(below.hashes[i]), np.zeros(SMALL + 2))
+        divisor, weight = backoff(sums, discount)
+        divisor = divisor[self.history]
+        chance = below.chance[self.low] + np.where(below.count[self.history] > 0, np.log10(weight[self.history]), 0)
+        seen = times > 0
+        chance[seen] = np.log10(taken(times[seen], discount)) - np.log10(divisor[seen])
+        return Level(self.of, self.hashes, times, chance, divisor)
+
+
+def taken(counts: np.ndarray, discount: np.ndarray) -> np.ndarray:
+    """What is left of counts after their discounts."""
+    return np.where(counts <= SMALL, discount[np.minimum(counts, SMALL)], 1) * counts
 
 
-def _answers(table: pa.Table) -> dict[int, list[bytes]]:
-    return {r["bucket"]: r["numbers"] for r in table.select(["bucket", "numbers"]).to_pylist()}
+@dataclass
+class Known:
+    """What all tasks need of the lengths counted so far: of each its discounts and the sums of its hot histories."""
+
+    buckets: int
+    starts: int
+    single: Unigrams
+    hot: float
+    discount: list[np.ndarray]
+    hot_sums: list[dict[int, np.ndarray]]
+
+    def levels(self, chunk: dict, answers: list[dict]) -> tuple[Chunk, list[Level]]:
+        """The chunk's n-grams of every length that has been answered, shortest first."""
+        told: dict[str, dict[int, list[bytes]]] = {}
+        for r in answers:
+            told.setdefault(r["kind"], {})[r["bucket"]] = r["numbers"]
+        whole = Chunk(chunk, told, self.buckets, self.starts, self.single)
+        out = [whole.lowest]
+        for n, (discount, hot_sums) in enumerate(zip(self.discount, self.hot_sums), 2):
+            out.append(Grams(whole, out[-1], self.hot).scored(told.get(_kind(n), {}), self.buckets, discount, hot_sums))
+        return whole, out
+
+
+def _kind(n: int) -> str:
+    return {1: "words", 2: "pairs"}.get(n, f"grams_{n}")
 
 
-def _pair_requests(buckets: int, hot: float, starts: int):
+def _gram_requests(known: Known):
     def run(chunks: pa.Table, answers: pa.Table) -> pa.Table:
-        out = []
+        out, told = [], answers.to_pylist()
         for chunk in chunks.to_pylist():
-            counts = {b: unpack(n[0], np.int64) for b, n in _answers(answers).items()}
-            pairs = Pairs(chunk, counts, buckets, hot, starts)
-            trained = np.repeat(~pairs.held, pairs.sizes)
-            times = np.bincount(pairs.of[trained], minlength=len(pairs.history))
-            for bucket, asked, singles in pairs.requests(buckets):
-                histories, at = np.unique(pairs.history[asked], return_inverse=True)
-                words, place = np.unique(pairs.word[asked], return_inverse=True)
+            whole, levels = known.levels(chunk, told)
+            below = levels[-1]
+            del levels
+            grams = Grams(whole, below, known.hot)
+            trained = np.repeat(~whole.held, whole.sizes) & grams.valid
+            times = np.bincount(grams.of[trained], minlength=len(grams.history))
+            for bucket, asked, histories in grams.requests(known.buckets):
+                at = np.searchsorted(histories, grams.history[asked])
+                words, place = np.unique(grams.word[asked], return_inverse=True)
+                divisor = np.ones(len(histories))
+                divisor[at] = below.divisor[grams.low[asked]]
+                low = below.count[words] if grams.pairs else below.count[grams.low[asked]]
                 out.append(_row(None, bucket, chunk["chunk"], [
-                    pack(pairs.hashes[histories]), pack(pairs.hot[histories].astype(np.uint8)), pack(at.astype(np.int32)),
-                    pack(pairs.hashes[words]), pack(pairs.count[words]), pack(place.astype(np.int32)),
-                    pack(times[asked].astype(np.int64)), pack(pairs.hashes[singles])]))
+                    pack(below.hashes[histories]), pack(grams.hot[histories].astype(np.uint8)),
+                    pack(np.bincount(at, minlength=len(histories)).astype(np.int32)), pack(divisor.astype(np.int64)),
+                    pack(whole.words[words]), pack(place.astype(np.int32)), pack(low), pack(times[asked].astype(np.int64))]))
         return pa.Table.from_batches(out, schema=_TYPES)
 
     return run
 
 
-def _count_pairs(single: Unigrams):
+_ASKED = (np.uint64, np.uint8, np.int32, np.int64, np.uint64, np.int32, np.int64, np.int64)
+
+
+def _count_grams(n: int, below: np.ndarray):
+    """Counts of n-grams; ``below`` has the discounts of those that are one word shorter."""
+
     def run(table: pa.Table) -> pa.Table:
-        """The sums of one bucket's pairs and of its histories."""
+        """The sums of one bucket's n-grams and of its histories."""
         rows = table.select(["bucket", "chunk", "numbers"]).to_pylist()
         bucket, parts = rows[0]["bucket"], []
         for r in rows:
-            h, is_hot, at, w, cw, place, times, alone = (
-                unpack(n, t) for n, t in zip(r["numbers"], (np.uint64, np.uint8, np.int32, np.uint64, np.int64, np.int32,
-                                                            np.int64, np.uint64)))
-            parts.append((h[at], is_hot[at].astype(bool), w[place], cw[place], times, alone))
+            h, is_hot, many, divisor, w, place, low, times = (unpack(x, t) for x, t in zip(r["numbers"], _ASKED))
+            at = np.repeat(np.arange(len(h)), many)
+            parts.append((h, is_hot.astype(bool), at, w[place], taken(low[place] if n == 2 else low, below) / divisor[at], times))
         join = lambda i: np.concatenate([p[i] for p in parts])
-        every = np.concatenate([join(0), join(5)])
-        histories, h = np.unique(every, return_inverse=True)
-        h = h[:len(every) - sum(len(p[5]) for p in parts)]
-        words, w = np.unique(join(2), return_inverse=True)
+        histories, place = np.unique(join(0), return_inverse=True)
+        cuts = np.cumsum([0, *(len(p[0]) for p in parts)])
+        h = np.concatenate([place[a + p[2]] for a, p in zip(cuts, parts)])
+        words, w = np.unique(join(3), return_inverse=True)
         keys, first, of = np.unique(h << 32 | w, return_index=True, return_inverse=True)
-        counts = np.rint(np.bincount(of, join(4), len(keys))).astype(np.int64)
+        counts = np.rint(np.bincount(of, join(5), len(keys))).astype(np.int64)
         seen = counts > 0
-        owner, chance = (keys >> 32)[seen], single.chance(join(3)[first[seen]])
-        sums = np.zeros((len(histories), SMALL + 2))  # pairs seen 1 .. SMALL times, all counts, mass of the words seen
+        owner, chance = (keys >> 32)[seen], join(4)[first[seen]]
+        sums = np.zeros((len(histories), SMALL + 2))  # n-grams seen 1 .. SMALL times, all counts, mass of the words seen
         small = counts[seen] <= SMALL
         np.add.at(sums, (owner[small], counts[seen][small] - 1), 1)
         sums[:, SMALL] = np.bincount(owner, counts[seen], len(histories))
         sums[:, SMALL + 1] = np.bincount(owner, chance, len(histories))
         hot = np.zeros(len(histories), dtype=bool)
-        hot[h[join(1)]] = True
-        out = [_row("pairs", bucket, None, [pack(histories[owner]), pack(words[(keys & 0xFFFFFFFF)[seen]]), pack(counts[seen])]),
+        hot[place[join(1)]] = True
+        out = [_row(_kind(n), bucket, None, [pack(histories[owner]), pack(words[(keys & 0xFFFFFFFF)[seen]]), pack(counts[seen])]),
                _row("spectrum", bucket, None, [], spectrum(counts)),
                _row("hot", bucket, None, [pack(histories[hot])], sums[hot].ravel())]
         a = 0
-        for r, part in zip(rows, parts):
-            b, alone = a + len(part[0]), np.searchsorted(histories, part[5])
-            mine = sums[alone]
+        for r, part, start in zip(rows, parts, cuts):
+            b, mine = a + len(part[5]), sums[place[start:start + len(part[0])][~part[1]]]
             out.append(_row("answers", bucket, r["chunk"], [
                 pack(counts[of[a:b]]), *(pack(mine[:, i].astype(np.int64)) for i in range(SMALL + 1)),
                 pack(np.ascontiguousarray(mine[:, SMALL + 1]))]))
@@ -285,41 +373,24 @@ def backoff(sums: np.ndarray, discount: np.ndarray) -> tuple[np.ndarray, np.ndar
     return total, left / total / (1 - sums[:, SMALL + 1])
 
 
-def _scores(buckets: int, hot: float, starts: int, single: Unigrams, discount: np.ndarray,
-            hot_sums: dict[int, np.ndarray]):
+def _scores(known: Known):
     names = ["id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"]
     types = [pa.int64(), pa.bool_(), pa.int64(), pa.int64(), pa.int64(), pa.float64(), pa.float64()]
+    single = known.single
 
     def run(chunks: pa.Table, answers: pa.Table) -> pa.Table:
-        told = answers.to_pylist()
-        out = []
+        out, told = [], answers.to_pylist()
         for chunk in chunks.to_pylist():
-            counts = {r["bucket"]: unpack(r["numbers"][0], np.int64) for r in told if r["kind"] == "words"}
-            pairs = Pairs(chunk, counts, buckets, hot, starts)
-            times = np.zeros(len(pairs.history), dtype=np.int64)
-            sums = np.zeros((len(pairs.count), SMALL + 2))
-            back = {r["bucket"]: r["numbers"] for r in told if r["kind"] == "pairs"}
-            for bucket, asked, singles in pairs.requests(buckets):
-                found = back[bucket]
-                times[asked] = unpack(found[0], np.int64)
-                for i in range(SMALL + 1):
-                    sums[singles, i] = unpack(found[1 + i], np.int64)
-                sums[singles, SMALL + 1] = unpack(found[SMALL + 2], np.float64)
-            for i in np.flatnonzero(pairs.hot):
-                sums[i] = hot_sums.get(int(pairs.hashes[i]), np.zeros(SMALL + 2))
-            divisor, weight = backoff(sums, discount)
-            known = pairs.count[pairs.history] > 0
-            chance = np.log10(single.chance(pairs.count[:-1]))
-            unseen = chance[pairs.word] + np.where(known, np.log10(weight[pairs.history]), 0)
-            taken = np.where(times <= SMALL, discount[np.minimum(times, SMALL)], 1) * times
-            seen = np.log10(np.maximum(taken, 1e-300)) - np.log10(np.maximum(divisor[pairs.history], 1e-300))
-            value = np.where(times > 0, seen, unseen)[pairs.of]
-            text = np.repeat(np.arange(len(pairs.sizes)), pairs.sizes)
-            count = pairs.count[pairs.stream]
-            base = np.log10((pairs.count[:-1] + 1) / (single.tokens + single.words + 1))[pairs.stream]
-            n = len(pairs.sizes)
-            columns = [pa.array(chunk["ids"], pa.int64()), pa.array(pairs.held), pa.array(pairs.sizes),
-                       pa.array(np.bincount(text, count > 0, n).astype(np.int64)),
+            whole, levels = known.levels(chunk, told)
+            value = levels[0].chance[whole.stream]
+            for level in levels[1:]:
+                reached = level.of >= 0
+                value[reached] = level.chance[level.of[reached]]
+            n, text = len(whole.sizes), np.repeat(np.arange(len(whole.sizes)), whole.sizes)
+            count = whole.lowest.count
+            base = np.log10((count + 1) / (single.tokens + single.words + 1))[whole.stream]
+            columns = [pa.array(chunk["ids"], pa.int64()), pa.array(whole.held), pa.array(whole.sizes),
+                       pa.array(np.bincount(text, count[whole.stream] > 0, n).astype(np.int64)),
                        pa.array(np.full(n, single.tokens)), pa.array(np.bincount(text, base, n)),
                        pa.array(np.bincount(text, value, n))]
             out.append(pa.RecordBatch.from_arrays([c.cast(t) for c, t in zip(columns, types)], names))
@@ -329,7 +400,7 @@ def _scores(buckets: int, hot: float, starts: int, single: Unigrams, discount: n
 
 
 def train_and_score(docs: DataFrame, path: str, key: str = "doc_id", text: str = "text", folds: int = 7, held_out: int = 2,
-                    hot: float = 0.25) -> DataFrame:
+                    hot: float = 0.25, order: int = 2) -> DataFrame:
     """(key, held_out, n_tokens, n_known, train_tokens, base_score, score) per row; the counts stay under ``path``."""
     spark = docs.sparkSession
     partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
@@ -340,13 +411,14 @@ def train_and_score(docs: DataFrame, path: str, key: str = "doc_id", text: str =
                                       "stream binary, counts binary")
     chunks.write.bucketBy(partitions, "chunk").option("compression", "none").option("path", f"{path}/chunks").saveAsTable(name)
     try:
-        out = _scored(spark, spark.table(name), slim, path, partitions, hot)
+        out = _scored(spark, spark.table(name), slim, path, partitions, hot, order)
     finally:
         spark.sql(f"DROP TABLE {name}")
     return out.withColumnRenamed("id", key)
 
 
-def _scored(spark: SparkSession, chunks: DataFrame, slim: DataFrame, path: str, partitions: int, hot: float) -> DataFrame:
+def _scored(spark: SparkSession, chunks: DataFrame, slim: DataFrame, path: str, partitions: int, hot: float,
+            order: int) -> DataFrame:
     """The scores of all chunks, written. A group is handled whole in a task, so the number of groups grows with the bytes asked."""
     asked_bytes = chunks.agg(F.sum(F.octet_length("words") + F.octet_length("counts") + F.octet_length("stream"))).first()[0]
     buckets = max(2 * partitions, min(GROUPS, int(asked_bytes or 0) // GROUP_BYTES))
@@ -355,31 +427,35 @@ def _scored(spark: SparkSession, chunks: DataFrame, slim: DataFrame, path: str,
     words = _stored(asked.groupBy("bucket").applyInArrow(_count_words, ANSWERS), f"{path}/words")
     told = [r[0] for r in _spectrum(words, SMALL + 3)]
     single = Unigrams(int(told[0]), int(told[1]), discounts(np.array(told[2:])), np.array(told[2:]))
-    starts = slim.where("NOT held").count()
     most = single.tokens / (2 * partitions) * hot
+    known = Known(buckets, slim.where("NOT held").count(), single, most, [], [])
 
-    counts = words.where("kind = 'answers'").select("bucket", "chunk", "numbers")
-    stream = chunks.select("chunk", "held", "sizes", "words", "stream")
-    asked = stream.groupBy("chunk").cogroup(counts.groupBy("chunk")).applyInArrow(
-        _pair_requests(buckets, most, starts), ANSWERS)
-    pairs = _stored(asked.groupBy("bucket").applyInArrow(_count_pairs(single), ANSWERS), f"{path}/pairs")
-    discount = discounts(np.array([r[0] for r in _spectrum(pairs, SMALL + 1)]))
-    # hot histories: at most 2 * partitions / hot words and the start mark, so their sums fit every task
-    hot_sums: dict[int, np.ndarray] = {}
-    for r in pairs.where("kind = 'hot' AND size(sums) > 0").select("numbers", "sums").toLocalIterator():
-        mine = np.array(r["sums"]).reshape(-1, SMALL + 2)
-        for word, sums in zip(unpack(bytes(r["numbers"][0]), np.uint64).tolist(), mine):
-            hot_sums[word] = hot_sums.get(word, 0) + sums
-
-    both = counts.withColumn("kind", F.lit("words")).unionByName(
-        pairs.where("kind = 'answers'").select("bucket", "chunk", "numbers").withColumn("kind", F.lit("pairs")))
+    answers = _told(words, 1)
     stream = chunks.select("chunk", "ids", "held", "sizes", "words", "stream")
-    scores = stream.groupBy("chunk").cogroup(both.groupBy("chunk")).applyInArrow(
-        _scores(buckets, most, starts, single, discount, hot_sums),
+    for n in range(2, order + 1):
+        asked = stream.drop("ids").groupBy("chunk").cogroup(answers.groupBy("chunk")).applyInArrow(_gram_requests(known), ANSWERS)
+        below = known.discount[-1] if known.discount else single.discount
+        grams = _stored(asked.groupBy("bucket").applyInArrow(_count_grams(n, below), ANSWERS), f"{path}/{_kind(n)}")
+        discount = discounts(np.array([r[0] for r in _spectrum(grams, SMALL + 1)]))
+        # hot histories: at most 2 * partitions / hot n-grams and the start mark, so their sums fit every task
+        hot_sums: dict[int, np.ndarray] = {}
+        for r in grams.where("kind = 'hot' AND size(sums) > 0").select("numbers", "sums").toLocalIterator():
+            mine = np.array(r["sums"]).reshape(-1, SMALL + 2)
+            for history, sums in zip(unpack(bytes(r["numbers"][0]), np.uint64).tolist(), mine):
+                hot_sums[history] = hot_sums.get(history, 0) + sums
+        known = Known(buckets, known.starts, single, most, [*known.discount, discount], [*known.hot_sums, hot_sums])
+        answers = answers.unionByName(_told(grams, n))
+
+    scores = stream.groupBy("chunk").cogroup(answers.groupBy("chunk")).applyInArrow(
+        _scores(known),
         "id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double")
     return written(scores, scratch_dir(spark, "katz-scores"))
 
 
+def _told(rows: DataFrame, n: int) -> DataFrame:
+    return rows.where("kind = 'answers'").select("bucket", "chunk", "numbers").withColumn("kind", F.lit(_kind(n)))
+
+
 def _stored(rows: DataFrame, path: str) -> DataFrame:
     """The sums of all buckets as a table with a folder per kind; its numbers are packed already."""
     rows.write.partitionBy("kind").option("compression", "none").parquet(path)

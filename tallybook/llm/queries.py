@@ -69,7 +69,7 @@ def op7_hyperminhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op8_katz_backoff(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's chance under the language model of the documents outside the held-out fold."""
-    return katz.train_and_score(table(spark, sf_dir, "documents"), scratch_dir(spark, "katz"))
+    return katz.train_and_score(table(spark, sf_dir, "documents"), scratch_dir(spark, "katz"), order=3)
 
 
 def op9_power_of_two_packing(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -72,38 +72,49 @@ def held_out(doc_id):
 
 
 class PlainKatz:
-    def __init__(self, rows):
-        self.one, self.two = Counter(), Counter()
+    def __init__(self, rows, order):
+        self.seen = [Counter() for _ in range(order)]  # by length, keyed (history, word)
         for doc_id, text in rows:
             if not held_out(doc_id):
-                words = tokens(text)
-                self.one.update(words)
-                self.two.update(zip(["\0start", *words], words))
+                for history, w in self.places(tokens(text)):
+                    for k in range(min(order, len(history) + 1)):
+                        self.seen[k][history[len(history) - k:], w] += 1
+        self.order, self.one = order, Counter({w: c for (_, w), c in self.seen[0].items()})
         self.n, self.v = sum(self.one.values()), len(self.one)
-        self.d1, self.d2 = (katz.discounts(np.array([sum(v == c for v in counts.values()) for c in range(1, katz.SMALL + 2)]))
-                            for counts in (self.one, self.two))
-        taken = sum(self._less(self.d1, c) for c in self.one.values())
-        self.all = self.n if self.n - taken > 1e-9 else self.n + 1
-        self.unknown = (self.all - taken) / self.all
-        self.after = defaultdict(dict)
-        for (h, w), c in self.two.items():
-            self.after[h][w] = c
+        self.d = [katz.discounts(np.array([sum(v == c for v in counts.values()) for c in range(1, katz.SMALL + 2)]))
+                  for counts in self.seen]
+        self.after = [defaultdict(dict) for _ in self.seen]
+        for after, counts in zip(self.after, self.seen):
+            for (h, w), c in counts.items():
+                after[h][w] = c
+        self.weights = {}
+
+    @staticmethod
+    def places(words):
+        marked = ["\0start", *words]
+        return [(tuple(marked[:i + 1]), w) for i, w in enumerate(words)]
 
     def _less(self, d, c):
         return c * d[c] if c <= katz.SMALL else c
 
-    def word(self, w):
-        return self._less(self.d1, self.one[w]) / self.all if w in self.one else self.unknown
+    def _history(self, h):
+        """What counts after h are divided by, and what is left over."""
+        if h not in self.weights:
+            seen, d = self.after[len(h)][h], self.d[len(h)]
+            total, taken = sum(seen.values()), sum(self._less(d, c) for c in seen.values())
+            total = total if total - taken > 1e-9 else total + 1
+            left = (total - taken) / total
+            self.weights[h] = total, left / (1 - sum(self.chance(h[1:], w) for w in seen)) if h else left
+        return self.weights[h]
 
     def chance(self, h, w):
-        if h not in self.after:
-            return self.word(w)
-        seen = self.after[h]
-        total, taken = sum(seen.values()), sum(self._less(self.d2, c) for c in seen.values())
-        total = total if total - taken > 1e-9 else total + 1
-        if w in seen:
-            return self._less(self.d2, seen[w]) / total
-        return (total - taken) / total / (1 - sum(map(self.word, seen))) * self.word(w)
+        h = h[max(0, len(h) - self.order + 1):]
+        if h not in self.after[len(h)] and h:
+            return self.chance(h[1:], w)
+        total, weight = self._history(h)
+        if w in self.after[len(h)][h]:
+            return self._less(self.d[len(h)], self.after[len(h)][h][w]) / total
+        return weight * self.chance(h[1:], w) if h else weight
 
 
 def sample_rows():
@@ -112,23 +123,23 @@ def sample_rows():
     return [(i, " ".join(words[i * 20:i * 20 + rng.randint(0, 40)]).replace("w1 ", "W1\t")) for i in range(180)]
 
 
-@pytest.mark.parametrize("hot", [0.25, 0.0001, 1e9])
-def test_scores_are_those_of_a_plain_model(spark, tmp_path, monkeypatch, hot):
+@pytest.mark.parametrize("hot, order", [(0.25, 2), (0.0001, 2), (1e9, 2), (0.25, 3), (0.0001, 3), (1e9, 3), (0.01, 4), (0.25, 1)])
+def test_scores_are_those_of_a_plain_model(spark, tmp_path, monkeypatch, hot, order):
     monkeypatch.setattr(katz, "CHUNK", 2000)
     rows = sample_rows() + [(None, "w1 w2"), (500, None), (501, ""), (502, "never seen " * 30), (3, "w1 w1 w1"), (3, "w1 w1 w1"),
                             (503, "x" * 100_000)]
     docs = spark.createDataFrame([(*r, 1.0) for r in rows], "doc_id long, text string, score double").repartition(4)
-    found = katz.train_and_score(docs, str(tmp_path / "m"), hot=hot).collect()
-    model = PlainKatz(rows)
-    for h in ["\0start", "w1", "w2", "\0none"]:
+    found = katz.train_and_score(docs, str(tmp_path / "m"), hot=hot, order=order).collect()
+    model = PlainKatz(rows, order)
+    for h in [("\0start",), ("w1",), ("w2",), ("\0none",), ("w1", "w1"), ("\0start", "w1"), ("w2", "w1", "w1"), ("\0none", "w1")]:
         assert sum(model.chance(h, w) for w in model.one) + model.chance(h, "\0none") == pytest.approx(1, abs=1e-9)
     plain = sorted((str(i), held_out(i), len(t := tokens(text)), sum(w in model.one for w in t), model.n,
                     round(sum(math.log10((model.one.get(w, 0) + 1) / (model.n + model.v + 1)) for w in t), 6),
-                    round(sum(math.log10(model.chance(h, w)) for h, w in zip(["\0start", *t], t)), 6)) for i, text in rows)
+                    round(sum(math.log10(model.chance(h, w)) for h, w in model.places(t)), 6)) for i, text in rows)
     assert sorted((str(r.doc_id), r.held_out, r.n_tokens, r.n_known, r.train_tokens, round(r.base_score, 6), round(r.score, 6))
                   for r in found) == plain
-    kinds = {r.kind for r in spark.read.parquet(str(tmp_path / "m" / "pairs")).select("kind").distinct().collect()}
-    assert "pairs" in kinds
+    for kind in ["words", "pairs", "grams_3", "grams_4"][:order]:
+        assert kind in {r.kind for r in spark.read.parquet(str(tmp_path / "m" / kind)).select("kind").distinct().collect()}
     assert not [t.name for t in spark.catalog.listTables() if t.name.startswith("katz_chunks")]
 
 
