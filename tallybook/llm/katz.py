@@ -14,7 +14,8 @@ How it runs: documents are gathered into chunks, each a list of its distinct wor
 stream of their numbers, in a table bucketed by chunk. Chunks ask for the counts of their distinct words, then of their
 distinct pairs, and so on to ``order``, in packed requests dealt by the history's hash; what is asked carries what the
 chunk counted, so the answers are the sums over all. The words of histories that are hot (``hot`` times an even share of all
-tokens) are dealt by the n-gram, and only their few sums go to every task. An n-gram is asked for if both shorter ones in it were
+tokens) are dealt by the n-gram, and only their few sums go to every task. A chunk that has everything that was seen after a
+history makes that history's sums itself; the others are told. An n-gram is asked for if both shorter ones in it were
 seen; the answers of one length give the chances that the weights of the next need. The counts of each length stay as a table,
 partitioned by kind and dealt by hash, under ``path``.
 
@@ -244,13 +245,17 @@ class Grams:
     def scored(self, back: dict[int, list[bytes]], buckets: int, discount: np.ndarray, hot_sums: dict[int, np.ndarray]) -> Level:
         """These n-grams with their counts and chances, from the answers."""
         below, times = self.below, np.zeros(len(self.history), dtype=np.int64)
-        sums = np.zeros((len(below.count), SMALL + 2))
+        sums, told = np.zeros((len(below.count), SMALL + 2)), np.zeros(len(below.count), dtype=bool)
         for bucket, asked, histories in self.requests(buckets):
             found, mine = back[bucket], histories[~self.hot[histories]]
             times[asked] = unpack(found[0], np.int64)
+            partly = mine[np.unpackbits(unpack(found[1], np.uint8), count=len(mine)).astype(bool)]
             for i in range(SMALL + 1):
-                sums[mine, i] = unpack(found[1 + i], np.int64)
-            sums[mine, SMALL + 1] = unpack(found[SMALL + 2], np.float64)
+                sums[partly, i] = unpack(found[2 + i], np.int64)
+            sums[partly, SMALL + 1] = unpack(found[SMALL + 3], np.float64)
+            told[partly] = True
+        mine = np.flatnonzero((times > 0) & ~told[self.history])  # nothing else was seen after these histories
+        add_sums(sums, self.history[mine], times[mine], 10 ** below.chance[self.low[mine]])
         for i in np.flatnonzero(self.hot):
             sums[i] = hot_sums.get(int(below.hashes[i]), np.zeros(SMALL + 2))
         divisor, weight = backoff(sums, discount)
@@ -261,6 +266,14 @@ class Grams:
         return Level(self.of, self.hashes, times, chance, divisor)
 
 
+def add_sums(sums: np.ndarray, owner: np.ndarray, counts: np.ndarray, chance: np.ndarray) -> None:
+    """Adds to each history's row: how many n-grams were seen 1 .. SMALL times, all counts, the mass of the words seen."""
+    small = counts <= SMALL
+    np.add.at(sums, (owner[small], counts[small] - 1), 1)
+    sums[:, SMALL] += np.bincount(owner, counts, len(sums))
+    sums[:, SMALL + 1] += np.bincount(owner, chance, len(sums))
+
+
 def taken(counts: np.ndarray, discount: np.ndarray) -> np.ndarray:
     """What is left of counts after their discounts."""
     return np.where(counts <= SMALL, discount[np.minimum(counts, SMALL)], 1) * counts
@@ -341,11 +354,8 @@ def _count_grams(n: int, below: np.ndarray):
         counts = np.rint(np.bincount(of, join(5), len(keys))).astype(np.int64)
         seen = counts > 0
         owner, chance = (keys >> 32)[seen], join(4)[first[seen]]
-        sums = np.zeros((len(histories), SMALL + 2))  # n-grams seen 1 .. SMALL times, all counts, mass of the words seen
-        small = counts[seen] <= SMALL
-        np.add.at(sums, (owner[small], counts[seen][small] - 1), 1)
-        sums[:, SMALL] = np.bincount(owner, counts[seen], len(histories))
-        sums[:, SMALL + 1] = np.bincount(owner, chance, len(histories))
+        sums = np.zeros((len(histories), SMALL + 2))
+        add_sums(sums, owner, counts[seen], chance)
         hot = np.zeros(len(histories), dtype=bool)
         hot[place[join(1)]] = True
         out = [_row(_kind(n), bucket, None, [pack(histories[owner]), pack(words[(keys & 0xFFFFFFFF)[seen]]), pack(counts[seen])]),
@@ -353,9 +363,12 @@ def _count_grams(n: int, below: np.ndarray):
                _row("hot", bucket, None, [pack(histories[hot])], sums[hot].ravel())]
         a = 0
         for r, part, start in zip(rows, parts, cuts):
-            b, mine = a + len(part[5]), sums[place[start:start + len(part[0])][~part[1]]]
+            b = a + len(part[5])
+            mine = sums[place[start:start + len(part[0])]]
+            partly = np.bincount(part[2], counts[of[a:b]], len(part[0])) < mine[:, SMALL]
+            mine = mine[partly & ~part[1]]
             out.append(_row("answers", bucket, r["chunk"], [
-                pack(counts[of[a:b]]), *(pack(mine[:, i].astype(np.int64)) for i in range(SMALL + 1)),
+                pack(counts[of[a:b]]), pack(np.packbits(partly[~part[1]])), *(pack(mine[:, i].astype(np.int64)) for i in range(SMALL + 1)),
                 pack(np.ascontiguousarray(mine[:, SMALL + 1]))]))
             a = b
         return pa.Table.from_batches(out, schema=_TYPES)
