@@ -10,6 +10,7 @@ row gives one output row. A text without white space is one piece, however long.
 """
 
 import base64
+import hashlib
 import os
 import re
 from collections.abc import Callable, Iterable, Iterator
@@ -18,7 +19,6 @@ from itertools import chain, repeat
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tallybook.llm.common import PLAIN, slices, span_hashes, text_bytes
@@ -187,6 +187,33 @@ def character_offsets(ids: np.ndarray, data: np.ndarray, lengths: np.ndarray) ->
     return (upto[starts] - inside).astype("<u4"), upto[ends].astype("<u4"), int(inside.sum())
 
 
+def _encoded(tokenizer, batches: Iterator[pa.RecordBatch], text: str, names: list[str]) -> Iterator[pa.RecordBatch]:
+    """Batches with the columns of ``encode``, the key's being the first of ``names``."""
+    encoder, lengths = Encoder(tokenizer), np.array([len(b) for b in token_bytes(tokenizer)])
+    types = [pa.int64(), pa.binary(), pa.int64(), pa.binary(), pa.binary()]
+    for batch in batches:
+        for part in slices(batch, text):
+            data, at = text_bytes(part.column(text))
+            ids, upto = encoder(data, at)
+            rows = []
+            for a, b, i, j in zip(at, at[1:], upto, upto[1:]):
+                starts, ends, split = character_offsets(ids[i:j], data[a:b], lengths)
+                rows.append((j - i, ids[i:j].tobytes(), split, starts.tobytes(), ends.tobytes()))
+            made = [pa.array(c, t) for c, t in zip(zip(*rows), types)][:len(names) - 1]
+            yield pa.RecordBatch.from_arrays([part.column(names[0]), *made], names)
+
+
+def _decoded(table: list[bytes], batches: Iterator[pa.RecordBatch], columns: list[str]) -> Iterator[pa.RecordBatch]:
+    """Batches with ``columns`` and the bytes of their ids; ``table`` has the bytes of every id."""
+    for batch in batches:
+        for first in range(0, len(batch), 64):
+            part = batch.slice(first, 64)
+            made = [b"".join(map(table.__getitem__, np.frombuffer(ids or b"", "<u4").tolist()))
+                    for ids in part.column("ids").to_pylist()]
+            yield pa.RecordBatch.from_arrays([*(part.column(c) for c in columns), pa.array(made, pa.binary())],
+                                             [*columns, "decoded"])
+
+
 def encode(docs: DataFrame, load: Callable[[], object], key: str = "doc_id", text: str = "text",
            offsets: bool = True) -> DataFrame:
     """(key, n_tokens, ids, n_split[, starts, ends]) per row; ids and offsets are little-endian unsigned 32-bit.
@@ -199,19 +226,7 @@ def encode(docs: DataFrame, load: Callable[[], object], key: str = "doc_id", tex
     kinds = [docs.schema[key].dataType, T.LongType(), T.BinaryType(), T.LongType(), T.BinaryType(), T.BinaryType()]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tokenizer = load()
-        encoder, lengths = Encoder(tokenizer), np.array([len(b) for b in token_bytes(tokenizer)])
-        for batch in batches:
-            for part in slices(batch, text):
-                data, at = text_bytes(part.column(text))
-                ids, upto = encoder(data, at)
-                rows = []
-                for a, b, i, j in zip(at, at[1:], upto, upto[1:]):
-                    starts, ends, split = character_offsets(ids[i:j], data[a:b], lengths)
-                    rows.append((j - i, ids[i:j].tobytes(), split, starts.tobytes(), ends.tobytes()))
-                types = [pa.int64(), pa.binary(), pa.int64(), pa.binary(), pa.binary()]
-                made = [pa.array(c, t) for c, t in zip(zip(*rows), types)][:len(names) - 1]
-                yield pa.RecordBatch.from_arrays([part.column(key), *made], names)
+        yield from _encoded(load(), batches, text, names)
 
     schema = T.StructType([T.StructField(n, k) for n, k in zip(names, kinds)])
     return docs.select(key, text).mapInArrow(run, schema)
@@ -227,14 +242,7 @@ def decode(encoded: DataFrame, load: Callable[[], object], key: str = "doc_id",
     schema = T.StructType([*(encoded.schema[c] for c in columns), T.StructField("decoded", T.BinaryType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table = token_bytes(load())
-        for batch in batches:
-            for first in range(0, len(batch), 64):
-                part = batch.slice(first, 64)
-                made = [b"".join(map(table.__getitem__, np.frombuffer(ids or b"", "<u4").tolist()))
-                        for ids in part.column("ids").to_pylist()]
-                yield pa.RecordBatch.from_arrays([*(part.column(c) for c in columns), pa.array(made, pa.binary())],
-                                                 [*columns, "decoded"])
+        yield from _decoded(token_bytes(load()), batches, columns)
 
     return encoded.select("ids", *columns).mapInArrow(run, schema)
 
@@ -250,8 +258,22 @@ def decoded_text(pieces: Iterable[bytes]) -> Iterator[str]:
 
 
 def tokens_report(docs: DataFrame, load: Callable[[], object], key: str = "doc_id", text: str = "text") -> DataFrame:
-    """Digests of every row's ids, of the bytes they decode to and of the tokens' places (all starts, then all ends)."""
-    encoded = encode(docs, load, key, text)
-    digests = encoded.withColumns({"ids_sha256": F.sha2("ids", 256), "offsets_sha256": F.sha2(F.concat("starts", "ends"), 256)})
-    whole = decode(digests, load, key, ["n_tokens", "ids_sha256", "n_split", "offsets_sha256"])
-    return whole.select(key, "n_tokens", "ids_sha256", F.sha2("decoded", 256).alias("decoded_sha256"), "n_split", "offsets_sha256")
+    """Digests of every row's ids, of the bytes they decode to and of the tokens' places (all starts, then all ends).
+
+    Texts are encoded and decoded in one task, so that neither ids nor bytes go through the JVM.
+    """
+    names = [key, "n_tokens", "ids", "n_split", "starts", "ends"]
+    schema = T.StructType([T.StructField(key, docs.schema[key].dataType), *(T.StructField(n, k) for n, k in (
+        ("n_tokens", T.LongType()), ("ids_sha256", T.StringType()), ("decoded_sha256", T.StringType()),
+        ("n_split", T.LongType()), ("offsets_sha256", T.StringType())))])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        tokenizer = load()
+        for part in _decoded(token_bytes(tokenizer), _encoded(tokenizer, batches, text, names), names):
+            ids, decoded, *places = (part.column(c).to_pylist() for c in ("ids", "decoded", "starts", "ends"))
+            digests = [pa.array([hashlib.sha256(x).hexdigest() for x in of])
+                       for of in (ids, decoded, (a + b for a, b in zip(*places)))]
+            yield pa.RecordBatch.from_arrays(
+                [part.column(key), part.column("n_tokens"), *digests[:2], part.column("n_split"), digests[2]], schema.names)
+
+    return docs.select(key, text).mapInArrow(run, schema)
