@@ -15,13 +15,40 @@ def strict(text: Column, to: T.DataType, date_format: str | None = None) -> Colu
 
 
 def lenient(text: Column, to: T.DataType, date_format: str | None = None) -> Column:
+    """Null where the value is not of the type. What shows that at a glance is not parsed: a parser that gives up throws, which is slow."""
     if date_format and isinstance(to, T.DateType):
-        return F.try_to_date(text, date_format)
+        return F.when(~_no_such_day(text, date_format), F.try_to_date(text, date_format))
     if isinstance(to, T.DecimalType):
-        return F.when(~_too_precise(text, to), text.try_cast(to))
+        return F.when(_plain(text, to), text.try_cast(to)).when(~_no_number(text) & ~_too_precise(text, to), text.try_cast(to))
     return text.try_cast(to)
 
 
+# Formats of digits alone, by the pattern of a text whose day does not exist: a 30th of February, a 31st of a short month, a 13th month.
+_NO_SUCH_DAY = {
+    "MMddyyyy": r"^(?:(?:0230|(?:02|04|06|09|11)31)[0-9]{4}|(?:00|1[3-9]|[2-9][0-9])[0-9]{6}|[0-9]{2}(?:00|3[2-9]|[4-9][0-9])[0-9]{4})$",
+    "M/d/yyyy": r"^(?:2/30/[0-9]{4}|(?:2|4|6|9|11)/31/[0-9]{4}|(?:0|1[3-9]|[2-9][0-9])/[0-9]{1,2}/[0-9]{4}"
+                r"|[0-9]{1,2}/(?:0|3[2-9]|[4-9][0-9])/[0-9]{4})$",
+}
+
+
+def _no_such_day(text: Column, date_format: str) -> Column:
+    """True for some of the texts that are no date: those with a letter, or with a day that no year has."""
+    pattern = _NO_SUCH_DAY.get(date_format)
+    return F.coalesce(text.cast("string").rlike(rf"[A-Za-z]|{pattern}"), F.lit(False)) if pattern else F.lit(False)
+
+
+def _plain(text: Column, to: T.DecimalType) -> Column:
+    """True for digits, with no more of them before and after the point than the type has."""
+    return text.cast("string").rlike(rf"^-?[0-9]{{1,{to.precision - to.scale}}}(?:\.[0-9]{{1,{to.scale}}})?$" if to.scale else
+                                     rf"^-?[0-9]{{1,{to.precision}}}$")
+
+
+def _no_number(text: Column) -> Column:
+    """True for some of the texts that are no number: those with a letter that no number has."""
+    shown = text.cast("string")
+    return F.coalesce(shown.rlike("[A-DF-Za-df-z]") & ~shown.isin("true", "false"), F.lit(False))
+
+
 def _too_precise(text: Column, to: T.DecimalType) -> Column:
     """True for a number that the cast would round: other than zero digits beyond the scale."""
     wide = text.try_cast(T.DecimalType(38, 38 - to.precision + to.scale))

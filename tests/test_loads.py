@@ -6,8 +6,10 @@ from types import SimpleNamespace
 
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from helpers import plan_of, rows_of, text_files
+from tallybook.functions.typing import _no_number, _no_such_day, lenient
 from tallybook.operators.load import (
     delimited_files, full_refresh, load_report, match_by_name, match_by_position, parquet_files, skip_bad_files,
     unmatched_names,
@@ -389,6 +391,31 @@ def test_an_amount_that_would_be_rounded_is_a_bad_value(spark, tmp_path, amount)
                                                                   key=str)
 
 
+@pytest.mark.parametrize("date_format", ["MMddyyyy", "M/d/yyyy"])
+def test_days_that_do_not_exist_are_refused_before_they_are_parsed(spark, date_format):
+    """For every month and day: what the guard refuses is no date, and it refuses all days that no year has."""
+    shape = "format_string('%02d%02d%d', m, d, y)" if date_format == "MMddyyyy" else "concat_ws('/', m, d, y)"
+    days = spark.range(14 * 34 * 3).selectExpr("id % 14 AS m", "CAST(id / 14 AS INT) % 34 AS d", "2023 + CAST(id / 476 AS INT) AS y")
+    seen = days.selectExpr("m", "d", f"{shape} AS day").union(spark.sql("SELECT 0, 0, explode(array('2/x/2024', 'none', '', '1/1/24', NULL))"))
+    parsed = F.try_to_date("day", date_format)
+    told = seen.select("m", "d", _no_such_day(F.col("day"), date_format).alias("refused"), parsed.alias("parsed"),
+                       lenient(F.col("day"), T.DateType(), date_format).alias("typed"))
+    assert told.where("NOT typed <=> parsed OR refused AND parsed IS NOT NULL").count() == 0
+    assert told.where("NOT refused AND (m = 13 OR d > 31 OR m = 2 AND d = 30 OR m = 4 AND d = 31)").count() == 0
+
+
+def test_numbers_with_letters_are_refused_before_they_are_parsed(spark):
+    said = ["unknown", "n/a", "1e2", "1E2", "NaN", "12.34", "-5", "+5", " 7 ", ".5", "5.", "true", "", None, "1d", "12345678901234567"]
+    rows = spark.createDataFrame([(v,) for v in said], "v string")
+    amount = T.DecimalType(18, 2)
+    told = rows.select("v", _no_number(F.col("v")).alias("refused"), F.expr("try_cast(v AS decimal(18,2))").alias("cast"),
+                       lenient(F.col("v"), amount).alias("typed"))
+    assert told.where("NOT typed <=> cast").count() == 0
+    assert {r.v for r in told.where("refused").collect()} == {"unknown", "n/a", "NaN", "1d"}
+    yes = spark.createDataFrame([(True,)], "v boolean")
+    assert yes.select(lenient(F.col("v"), amount)).first()[0] == 1
+
+
 def test_landing_files_do_not_grow_with_the_data(spark):
     counts = []
     for sf in ("sf0.001", "sf0.01"):
