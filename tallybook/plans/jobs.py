@@ -3,10 +3,11 @@
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tallybook.functions.typing import cast_to_schema, try_cast_to_schema
 from tallybook.operators.keys import key_audit
 from tallybook.operators.ledger import BEGUN, CURRENT, load_folder, note_load, sweep_loads
 from tallybook.operators.load import (
@@ -14,7 +15,7 @@ from tallybook.operators.load import (
     session_with, skip_bad_files, switch_view, write_load, written,
 )
 from tallybook.schemas import BulkFormat
-from tallybook.sources.delimited import FILE, good_lines, lenient_lines, line_report, read_delimited, rejected_lines
+from tallybook.sources.delimited import FILE, lenient_lines, line_report, rejected_lines, strict_lines, whole_lines
 from tallybook.sources.html import html_code_table
 from tallybook.sources.inventory import inventory, rows_by_kind
 from tallybook.sources.staged import (
@@ -36,23 +37,24 @@ def ingest_bulk(spark: SparkSession, text: str, bulk: BulkFormat, root: str, run
     note_run(spark, root, run_date, STAGING)
     size = stored_bytes(spark, text) if bulk.cluster else 0
     if not bulk.lenient:
-        seen = Observation()
-        rows = read_delimited(spark, text, bulk, header, dictionary)
-        stage_parquet(rows.observe(seen, F.count(F.lit(1)).alias("lines")), root, run_date, bulk.cluster, size)
-        note_run(spark, root, run_date, STAGED, lines=seen.get["lines"], wrong=0, skipped=0)
+        n_rows = stage_parquet(strict_lines(spark, text, bulk, header, dictionary), root, run_date, bulk.cluster, size,
+                               lambda rows: cast_to_schema(rows, bulk.schema, bulk.date_format))
+        note_run(spark, root, run_date, STAGED, lines=n_rows, wrong=0, skipped=0)
         return
     lines = lenient_lines(spark, text, bulk, header, dictionary)
-    written(rejected_lines(lines), side_folder(root, "rejects", run_date), "overwrite")
     report = written(line_report(lines, bulk, tolerated_percent), side_folder(root, "reports", run_date), "overwrite")
     counts = report.agg(F.count("*").alias("files"), F.coalesce(F.sum("n_rows"), F.lit(0)).alias("lines"),
                         F.coalesce(F.sum("n_wrong"), F.lit(0)).alias("wrong"),
                         F.count_if("skipped").alias("skipped")).first().asDict()
+    rejects = rejected_lines(lines)  # without any the text is not read for them
+    written(rejects if counts["wrong"] else rejects.limit(0), side_folder(root, "rejects", run_date), "overwrite")
     if counts["files"] and counts["files"] == counts["skipped"]:
         note_run(spark, root, run_date, REFUSED, **counts)
         raise ValueError(f"{text}: every file was refused, nothing is staged for {run_date}")
     skipped = report.where("skipped").select("file")
     kept = lines.join(skipped, F.col(FILE) == F.col("file"), "left_anti")
-    stage_parquet(good_lines(kept, bulk), root, run_date, bulk.cluster, size)
+    stage_parquet(whole_lines(kept, bulk), root, run_date, bulk.cluster, size,
+                  lambda rows: try_cast_to_schema(rows, bulk.schema, bulk.date_format))
     note_run(spark, root, run_date, STAGED, **counts)
 
 

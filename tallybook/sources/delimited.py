@@ -51,11 +51,17 @@ def read_delimited(spark: SparkSession, path: str, bulk: BulkFormat, header: boo
 
     ``dictionary`` names the dataset's header file, which then gives the column order.
     """
+    return cast_to_schema(strict_lines(spark, path, bulk, header, dictionary), bulk.schema, bulk.date_format)
+
+
+def strict_lines(spark: SparkSession, path: str, bulk: BulkFormat, header: bool = False,
+                 dictionary: str | None = None) -> DataFrame:
+    """All lines of a bulk file as text columns; one with a wrong field count fails the job."""
     names = file_order(spark, dictionary, bulk)
     text = read_text_columns(spark, path, _numbered(bulk, names), header, mode="FAILFAST")
     if bulk.trailing_delimiter:
         text = drop_trailing_column(text)
-    return cast_to_schema(rename_positional(text, names), bulk.schema, bulk.date_format)
+    return rename_positional(text, names)
 
 
 def lenient_lines(spark: SparkSession, path: str, bulk: BulkFormat, header: bool = False,
@@ -68,7 +74,12 @@ def lenient_lines(spark: SparkSession, path: str, bulk: BulkFormat, header: bool
 
 def good_lines(lines: DataFrame, bulk: BulkFormat) -> DataFrame:
     """The lines with the right field count, typed; a value that does not fit turns null."""
-    return try_cast_to_schema(lines.where(F.col(MALFORMED).isNull()), bulk.schema, bulk.date_format)
+    return try_cast_to_schema(whole_lines(lines, bulk), bulk.schema, bulk.date_format)
+
+
+def whole_lines(lines: DataFrame, bulk: BulkFormat) -> DataFrame:
+    """The lines with the right field count, as text columns."""
+    return lines.where(F.col(MALFORMED).isNull()).select(*bulk.names)
 
 
 def rejected_lines(lines: DataFrame) -> DataFrame:
@@ -119,9 +130,9 @@ def header_names(spark: SparkSession, path: str) -> list[str]:
     return spark.read.csv(path, header=True).columns
 
 
-def write_delimited(rows: DataFrame, path: str, header: bool = True, quoted: bool = True) -> None:
+def write_delimited(rows: DataFrame, path: str, header: bool = True, quoted: bool = True, **how) -> None:
     style = QUOTED if quoted else UNQUOTED | {"emptyValue": ""}
-    rows.write.csv(path, header=header, **style, **EXACT)
+    rows.write.options(**how).csv(path, header=header, **style, **EXACT)
 
 
 def _numbered(bulk: BulkFormat, names: list[str]) -> T.StructType:

@@ -1,6 +1,8 @@
 """Staging, matching columns, the tolerance, and refreshing a table."""
 
 import datetime as dt
+import glob
+import os
 from decimal import Decimal
 from types import SimpleNamespace
 
@@ -22,7 +24,7 @@ from tallybook.scratch import scratch_dir
 from tallybook.sources.delimited import read_delimited, read_lenient
 from tallybook.sources.inventory import inventory
 from tallybook.sources.staged import (
-    read_manifest, read_staged_delimited, read_staged_parquet, run_state, stage_delimited, stage_parquet,
+    _packed, read_manifest, read_staged_delimited, read_staged_parquet, run_state, stage_delimited, stage_parquet, stored_bytes,
 )
 from testbed.fixtures import break_inside
 from testbed.queries import orders_in_files
@@ -316,6 +318,21 @@ def test_staged_rows_are_clustered(spark, tmp_path):
     assert rows_of(staged) == rows_of(rows)
 
 
+def test_lines_are_dealt_as_text_and_come_back_as_they_were(spark, tmp_path):
+    """Fields with quotes, blanks and nothing in them; packed files tell their text's size, and each line is counted once."""
+    bulk = BulkFormat(columns("CMTE_ID string, NAME string, DAY date, AMT amount, SUB_ID bigint"), "MMddyyyy", cluster=("CMTE_ID", "DAY", "SUB_ID"))
+    path = text_files(tmp_path / "in", a=[f'C{i % 7}|"a\\" {i % 3} |0131202{i % 4}|{i}.50|{i}' for i in range(900)], b=["||||", "C1| ||-1|"])
+    ingest_bulk(spark, path, bulk, f"{tmp_path}/s", "2024-01-01")
+    staged = read_staged_parquet(spark, f"{tmp_path}/s", "2024-01-01")
+    assert rows_of(staged) == rows_of(read_delimited(spark, path, bulk)) and staged.schema.fields[3].dataType == bulk.schema[3].dataType
+    assert run_state(spark, f"{tmp_path}/s", "2024-01-01").lines == 902
+    spark.read.text(path).write.text(f"{tmp_path}/packed", compression="gzip")
+    packed = sum(os.path.getsize(p) for p in glob.glob(f"{tmp_path}/packed/*.gz"))
+    assert stored_bytes(spark, f"{tmp_path}/packed") == 6 * packed
+    moved = _packed(read_delimited(spark, path, bulk), ("CMTE_ID", "SUB_ID"))
+    assert moved.columns == ["CMTE_ID", "SUB_ID", "_line"]
+
+
 def test_repeated_keys_are_found_and_can_refuse_a_load(spark, tmp_path):
     root, target = f"{tmp_path}/s", columns("ID bigint, PART string")
     rows = spark.range(5000).selectExpr("IF(id % 3 = 0, 7, id) AS ID", "CAST(id % 2 AS STRING) AS PART")
