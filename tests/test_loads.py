@@ -3,6 +3,7 @@
 import datetime as dt
 import glob
 import os
+import re
 from decimal import Decimal
 from types import SimpleNamespace
 
@@ -19,7 +20,7 @@ from tallybook.operators.load import (
 from tallybook.operators.frames import rename_positional
 from tallybook.operators.keys import repeated_keys
 from tallybook.plans.jobs import ingest_bulk, load_bulk, read_key_audit, read_line_report, read_rejects
-from tallybook.schemas import COMPACT_DATE, BulkFormat, columns
+from tallybook.schemas import BULK, COMPACT_DATE, BulkFormat, columns
 from tallybook.scratch import scratch_dir
 from tallybook.sources.delimited import read_delimited, read_lenient
 from tallybook.sources.inventory import inventory
@@ -27,7 +28,7 @@ from tallybook.sources.staged import (
     _packed, read_manifest, read_staged_delimited, read_staged_parquet, run_state, stage_delimited, stage_parquet, stored_bytes,
 )
 from testbed.fixtures import break_inside
-from testbed.queries import orders_in_files
+from testbed.queries import orders_in_files, spoilt_lines
 
 TARGET = columns("id string, n int, day date")
 
@@ -433,6 +434,14 @@ def test_numbers_with_letters_are_refused_before_they_are_parsed(spark):
     assert yes.select(lenient(F.col("v"), amount)).first()[0] == 1
 
 
+def test_spoilt_lines_are_made_after_they_were_dealt(spark, sf_dir):
+    lines = spoilt_lines(spark, sf_dir, BULK["operating_exp"])
+    moved = re.search(r"Exchange\nInput \[\d+\]: \[(.*?)\]", plan_of(lines)).group(1)
+    assert "l_orderkey" in moved and "line#" not in moved
+    tasks = lines.select("file_no", F.spark_partition_id().alias("task")).distinct().collect()
+    assert len(tasks) == len({r.file_no for r in tasks}) == len({r.task for r in tasks}) == 16
+
+
 def test_landing_files_do_not_grow_with_the_data(spark):
     counts = []
     for sf in ("sf0.001", "sf0.01"):
