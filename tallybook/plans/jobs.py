@@ -12,10 +12,13 @@ from tallybook.operators.keys import key_audit
 from tallybook.operators.ledger import BEGUN, CURRENT, load_folder, note_load, sweep_loads
 from tallybook.operators.load import (
     TOLERATED_PERCENT, checked, delimited_files, keep_good, load_report, match_by_name, match_by_position,
-    session_with, skip_bad_files, switch_view, write_load, written,
+    session_with, short_methods, skip_bad_files, switch_view, write_load, written,
 )
 from tallybook.schemas import BulkFormat
-from tallybook.sources.delimited import FILE, lenient_lines, line_report, rejected_lines, strict_lines, whole_lines
+from tallybook.sources.delimited import (
+    FILE, LINE, MALFORMED, file_order, lenient_lines, line_columns, line_field, line_report, rejected_lines, split_lines,
+    strict_lines, whole_lines,
+)
 from tallybook.sources.html import html_code_table
 from tallybook.sources.inventory import inventory, rows_by_kind
 from tallybook.sources.staged import (
@@ -34,6 +37,12 @@ def ingest_bulk(spark: SparkSession, text: str, bulk: BulkFormat, root: str, run
     earlier ingest staged for the date stays, but is not loaded again. The manifest
     (``read_manifest``) tells how each ingest of the run ended.
     """
+    with short_methods(spark):
+        _ingest_bulk(spark, text, bulk, root, run_date, header, dictionary, tolerated_percent)
+
+
+def _ingest_bulk(spark: SparkSession, text: str, bulk: BulkFormat, root: str, run_date: str, header: bool,
+                 dictionary: str | None, tolerated_percent: int) -> None:
     note_run(spark, root, run_date, STAGING)
     size = stored_bytes(spark, text) if bulk.cluster else 0
     if not bulk.lenient:
@@ -41,7 +50,7 @@ def ingest_bulk(spark: SparkSession, text: str, bulk: BulkFormat, root: str, run
                                lambda rows: cast_to_schema(rows, bulk.schema, bulk.date_format))
         note_run(spark, root, run_date, STAGED, lines=n_rows, wrong=0, skipped=0)
         return
-    lines = lenient_lines(spark, text, bulk, header, dictionary)
+    lines = lenient_lines(spark, text, bulk, header, dictionary) if header else split_lines(spark, text, bulk, dictionary)
     report = written(line_report(lines, bulk, tolerated_percent), side_folder(root, "reports", run_date), "overwrite")
     counts = report.agg(F.count("*").alias("files"), F.coalesce(F.sum("n_rows"), F.lit(0)).alias("lines"),
                         F.coalesce(F.sum("n_wrong"), F.lit(0)).alias("wrong"),
@@ -52,9 +61,19 @@ def ingest_bulk(spark: SparkSession, text: str, bulk: BulkFormat, root: str, run
         note_run(spark, root, run_date, REFUSED, **counts)
         raise ValueError(f"{text}: every file was refused, nothing is staged for {run_date}")
     skipped = report.where("skipped").select("file")
-    kept = lines.join(skipped, F.col(FILE) == F.col("file"), "left_anti")
-    stage_parquet(whole_lines(kept, bulk), root, run_date, bulk.cluster, size,
-                  lambda rows: try_cast_to_schema(rows, bulk.schema, bulk.date_format))
+    kept = lines.join(skipped, F.col(FILE) == F.col("file"), "left_anti") if counts["skipped"] else lines
+
+    def typed(rows: DataFrame) -> DataFrame:
+        return try_cast_to_schema(rows, bulk.schema, bulk.date_format)
+
+    if header:
+        stage_parquet(whole_lines(kept, bulk), root, run_date, bulk.cluster, size, typed)
+    else:
+        names = file_order(spark, dictionary, bulk)
+        keys = [line_field(k, bulk, names) for k in (*bulk.cluster[:1], *bulk.cluster[-1:])]
+        whole = kept.where(F.col(MALFORMED).isNull()) if counts["wrong"] else kept  # without wrong lines none is split to tell
+        stage_parquet(whole.select(LINE), root, run_date, bulk.cluster, size,
+                      lambda rows: typed(line_columns(rows, bulk, names)), keys)
     note_run(spark, root, run_date, STAGED, **counts)
 
 
@@ -92,8 +111,9 @@ def load_bulk(spark: SparkSession, root: str, run_date: str, target: T.StructTyp
     nothing = exact.createDataFrame([], T.StructType([*target, T.StructField(FILE, T.StringType())]))
     parts = [checked(match_by_name(rows, target), target) for rows in [nothing, *rows_by_kind(exact, folder, files, target)]]
     report = f"{table}/reports/{load_id}"
-    good = keep_good(reduce(DataFrame.unionByName, parts), target, report, key=key, files=files)
-    return _refreshed(spark, good, report, table, load_id, view, database, min_rows, unique, refuse_repeats)
+    with short_methods(exact):  # whose plans these are
+        good = keep_good(reduce(DataFrame.unionByName, parts), target, report, key=key, files=files)
+        return _refreshed(spark, good, report, table, load_id, view, database, min_rows, unique, refuse_repeats)
 
 
 def read_key_audit(spark: SparkSession, table: str, load_id: str) -> DataFrame:

@@ -1,6 +1,6 @@
 """Pipe-delimited text, read in splits by every executor."""
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -11,6 +11,8 @@ from tallybook.schemas import BulkFormat, as_text
 DELIMITER = "|"
 # Columns beside the data: the file a row came from, and its line if that does not fit.
 FILE, MALFORMED = "_file", "_malformed"
+# A whole line, where lines are moved as they are.
+LINE = "_line"
 # Bulk lines have no quoting: a quote sign is an ordinary character there.
 UNQUOTED = {"sep": DELIMITER, "quote": ""}
 # Code tables are written with a header, and with quotes where a value needs them.
@@ -72,6 +74,43 @@ def lenient_lines(spark: SparkSession, path: str, bulk: BulkFormat, header: bool
     return rename_positional(rows, names).select(*bulk.names, MALFORMED, FILE)
 
 
+def split_lines(spark: SparkSession, path: str, bulk: BulkFormat, dictionary: str | None = None) -> DataFrame:
+    """What ``lenient_lines`` gives of files without a header line, and the line itself, by its delimiters alone.
+
+    Without quotes a line needs no parser, which takes several times as long.
+    """
+    names = file_order(spark, dictionary, bulk)
+    shown = F.col("value").contains(DELIMITER) | F.col("value").rlike(r"[^\x00-\x20]")  # blank lines are no rows
+    lines = spark.read.text(path).where(shown).select(F.make_valid_utf8("value").alias(LINE), F.col("_metadata.file_path").alias(FILE))
+    fields = lines.withColumn("_fields", _fields(F.col(LINE)))
+    malformed = F.when(F.size("_fields") != len(names) + bulk.trailing_delimiter, F.col(LINE))
+    return fields.select(*_by_name(names, bulk), malformed.alias(MALFORMED), FILE, LINE)
+
+
+def line_columns(lines: DataFrame, bulk: BulkFormat, names: list[str]) -> DataFrame:
+    """Whole lines with the right field count as text columns; ``names`` has the order of the fields."""
+    return lines.select(_fields(F.col(LINE)).alias("_fields")).select(*_by_name(names, bulk))
+
+
+def line_field(name: str, bulk: BulkFormat, names: list[str]) -> Column:
+    """One field of a whole line with the right field count, without the others."""
+    before, after = names.index(name), len(names) + bulk.trailing_delimiter - names.index(name)
+    if before < after:
+        field = F.substring_index(F.substring_index(LINE, DELIMITER, before + 1), DELIMITER, -1)
+    else:
+        field = F.substring_index(F.substring_index(LINE, DELIMITER, -after), DELIMITER, 1)
+    return F.nullif(field, F.lit(""))
+
+
+def _fields(line: Column) -> Column:
+    return F.split(line, rf"\{DELIMITER}", -1)
+
+
+def _by_name(names: list[str], bulk: BulkFormat) -> list[Column]:
+    at = {name: i for i, name in enumerate(names)}
+    return [F.nullif(F.get("_fields", F.lit(at[n])), F.lit("")).alias(n) for n in bulk.names]
+
+
 def good_lines(lines: DataFrame, bulk: BulkFormat) -> DataFrame:
     """The lines with the right field count, typed; a value that does not fit turns null."""
     return try_cast_to_schema(whole_lines(lines, bulk), bulk.schema, bulk.date_format)

@@ -4,7 +4,7 @@ from collections.abc import Callable, Sequence
 from datetime import date
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, Observation, Row, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -25,13 +25,13 @@ STAGING, STAGED, REFUSED = "staging", "staged", "refused"
 #: take four times the text in memory; with 512 MB they went to disk.
 TEXT_PER_FILE = 128 << 20
 #: Bytes of text in a byte of a compressed file, by its ending: rather too many, for smaller files.
-UNPACKED = {".gz": 6, ".bz2": 8, ".deflate": 6}
+UNPACKED = {".gz": 6, ".bz2": 8, ".deflate": 6, ".snappy": 4}
 # Marks inside a packed line: no line of text holds either.
 FIELD_END, NULL = "\n", "\r"
 
 
 def stage_parquet(rows: DataFrame, root: str, run_date: str, cluster: Sequence[str] = (), text_bytes: int = 0,
-                  typed: Callable[[DataFrame], DataFrame] | None = None) -> int:
+                  typed: Callable[[DataFrame], DataFrame] | None = None, keys_of_line: Sequence[Column] = ()) -> int:
     """Write one run's rows, also if there are none, and tell how many; staging the same date again replaces only that date.
 
     With ``cluster`` the files hold ranges of the first column, so a reader of one value opens few row groups, and
@@ -39,16 +39,18 @@ def stage_parquet(rows: DataFrame, root: str, run_date: str, cluster: Sequence[s
     many rows is dealt over files by it. There are as many files as the text's bytes ask for, and no fewer than cores.
 
     With ``typed`` the rows are columns of text from lines, and it gives them their types. That is done after they were
-    dealt: text in one column is a good third smaller to move than typed columns.
+    dealt: text in one column is a good third smaller to move than typed columns. Rows that are whole lines come with
+    ``keys_of_line``, the text of the two keys in a line, and are moved as they are.
     """
     if cluster:
         files = max(rows.sparkSession.sparkContext.defaultParallelism, -(-text_bytes // TEXT_PER_FILE))
         keys = [cluster[0], cluster[-1]]
         if typed:
             type_of = typed(rows).schema
-            dealt = _packed(rows, keys).repartitionByRange(
-                files, *(F.col(k).try_cast(type_of[k].dataType) for k in keys))
-            rows = typed(_unpacked(dealt, rows.columns, keys))
+            texts = keys_of_line or [F.col(k) for k in keys]
+            dealt = (rows if keys_of_line else _packed(rows, keys)).repartitionByRange(
+                files, *(text.try_cast(type_of[k].dataType) for text, k in zip(texts, keys)))
+            rows = typed(dealt if keys_of_line else _unpacked(dealt, rows.columns, keys))
         else:
             rows = rows.repartitionByRange(files, *keys)
         rows = rows.sortWithinPartitions(*cluster)

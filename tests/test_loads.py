@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from helpers import plan_of, rows_of, text_files
-from tallybook.functions.typing import _no_number, _no_such_day, lenient
+from tallybook.functions.typing import _no_number, _no_such_day, lenient, unconvertible
 from tallybook.operators.load import (
     delimited_files, full_refresh, load_report, match_by_name, match_by_position, parquet_files, skip_bad_files,
     unmatched_names,
@@ -22,13 +22,13 @@ from tallybook.operators.keys import repeated_keys
 from tallybook.plans.jobs import ingest_bulk, load_bulk, read_key_audit, read_line_report, read_rejects
 from tallybook.schemas import BULK, COMPACT_DATE, BulkFormat, columns
 from tallybook.scratch import scratch_dir
-from tallybook.sources.delimited import read_delimited, read_lenient
+from tallybook.sources.delimited import LINE, lenient_lines, line_columns, line_field, read_delimited, read_lenient, split_lines
 from tallybook.sources.inventory import inventory
 from tallybook.sources.staged import (
     _packed, read_manifest, read_staged_delimited, read_staged_parquet, run_state, stage_delimited, stage_parquet, stored_bytes,
 )
 from testbed.fixtures import break_inside
-from testbed.queries import orders_in_files, spoilt_lines
+from testbed.queries import bulk_text, orders_in_files, spoilt_lines
 
 TARGET = columns("id string, n int, day date")
 
@@ -447,3 +447,67 @@ def test_landing_files_do_not_grow_with_the_data(spark):
     for sf in ("sf0.001", "sf0.01"):
         counts.append(orders_in_files(spark, f"/root/testdata/{sf}").select("file_no").distinct().count())
     assert counts[0] == counts[1] == 16
+
+
+NOTES = BulkFormat(columns("ID bigint, NOTE string, DAY date, AMT amount"), "M/d/yyyy", trailing_delimiter=True, lenient=True,
+                   cluster=("NOTE", "ID"))
+
+
+def test_lines_are_split_without_a_parser_as_the_parser_splits_them(spark, tmp_path):
+    """Lines that are blank, short, long, quoted, without values, of other line ends or of bytes that are no text."""
+    os.makedirs(tmp_path / "in")
+    (tmp_path / "in" / "a.txt").write_bytes(
+        b'1|"a|1/31/2024|1.50|\r\n2||||\n \t \n\n3|  b "c" |2/30/2024|x|\n4|short\n5|long|1/1/2024|1|2|\n6|\xff\xfe|1/1/2024|7|\n||||\n|\n')
+    (tmp_path / "in" / "b.txt").write_bytes("7|é\\|12/9/0999|1e2|\nno delimiter".encode())
+    shown = [*NOTES.names, "_malformed", "_file"]
+    parsed, split = lenient_lines(spark, f"{tmp_path}/in", NOTES), split_lines(spark, f"{tmp_path}/in", NOTES)
+    good = F.col("_malformed").isNull()
+    assert rows_of(split.where(good).select(shown)) == rows_of(parsed.where(good).select(shown))
+    wrong = [rows_of(rows.where(~good).select("_malformed", "_file", F.col("ID").isNull())) for rows in (split, parsed)]
+    assert [row[:2] for row in wrong[0]] == [row[:2] for row in wrong[1]] and len(wrong[0]) == 4
+    assert "Scan csv" not in plan_of(split) and "Scan csv" in plan_of(parsed)
+    whole = split.where(good).select(LINE)
+    assert rows_of(line_columns(whole, NOTES, NOTES.names)) == rows_of(split.where(good).select(NOTES.names))
+    fields = whole.select(*(line_field(n, NOTES, NOTES.names).alias(n) for n in NOTES.names))
+    assert rows_of(fields) == rows_of(split.where(good).select(NOTES.names))
+
+
+def test_lenient_ingest_with_wrong_lines_and_without(spark, tmp_path):
+    """What is staged, by a header file too, is what the parser and the casts gave."""
+    clean = [f"{i}|n{i % 3}|{i % 14}/{i % 32}/2024|{i}.{i % 1000}|" for i in range(200)]
+    some = clean + ["short"] * 4
+    text_files(tmp_path / "names", h=["ID|NOTE|DAY|AMT".replace("|", ",")])
+    for name, files in (("clean", {"a": clean}), ("some", {"a": some, "b": clean}), ("refused", {"a": clean, "b": ["short", "1||||"]})):
+        path = text_files(tmp_path / name, **files)
+        for dictionary in (None, f"{tmp_path}/names"):
+            root = f"{tmp_path}/staged-{name}-{bool(dictionary)}"
+            ingest_bulk(spark, path, NOTES, root, "2024-03-30", dictionary=dictionary)
+            kept = read_lenient(spark, path if name != "refused" else f"{path}/a.txt", NOTES)
+            assert rows_of(read_staged_parquet(spark, root, "2024-03-30")) == rows_of(kept)
+            report = rows_of(read_line_report(spark, root, "2024-03-30").select("n_rows", "n_wrong", "skipped"))
+            assert report == {"clean": [(200, 0, False)], "some": [(200, 0, False), (204, 4, False)],
+                              "refused": [(2, 1, True), (200, 0, False)]}[name]
+
+
+@pytest.mark.parametrize("form", ["M/d/yyyy", "MMddyyyy"])
+def test_days_without_the_parser_are_those_of_the_parser(spark, form):
+    pad = (1, 1) if form == "M/d/yyyy" else (2, 2)
+    cut = "/" if form == "M/d/yyyy" else ""
+    texts = [f"{m:0{pad[0]}d}{cut}{d:0{pad[1]}d}{cut}{y}" for m in range(15) for d in range(34)
+             for y in ("2024", "2023", "1900", "0999", "0000", "24", "12024")]
+    texts += ["", " 1/2/2024", "1/2/2024 ", "01/02/2024", "-1/2/2024", "1//2024", "1/2/2024/", "0102202x"]
+    rows = spark.createDataFrame([(t,) for t in texts], "t string").select(
+        "t", lenient(F.col("t"), T.DateType(), form).alias("day"), F.try_to_date("t", form).alias("parsed"),
+        unconvertible(F.col("t"), T.DateType(), form).alias("bad"))
+    assert rows.where("NOT (day <=> parsed) OR bad != (parsed IS NULL)").collect() == []
+    plain = spark.createDataFrame([("1/2/2024" if cut else "01022024",)], "t string")
+    assert "as date)" in plan_of(plain.select(lenient(F.col("t"), T.DateType(), form)), "extended").split("gettimestamp")[0]
+
+
+def test_packed_bulk_text_has_the_same_lines(spark, tmp_path):
+    rows = spark.createDataFrame([(1, 'a "b" ', dt.date(2024, 1, 31), Decimal("1.50")), (None, None, None, None), (2, "", None, None)],
+                                 NOTES.schema)
+    texts = [bulk_text(rows, NOTES, f"{tmp_path}/{packed}", packed=packed) for packed in (True, False)]
+    assert rows_of(spark.read.text(texts[0])) == rows_of(spark.read.text(texts[1]))
+    assert glob.glob(f"{texts[0]}/*.snappy") and stored_bytes(spark, texts[0]) == 4 * sum(
+        os.path.getsize(p) for p in glob.glob(f"{texts[0]}/*.snappy"))
