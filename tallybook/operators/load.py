@@ -1,7 +1,5 @@
 """Loading staged files into raw tables: column matching, a tolerance for bad rows, full refresh."""
 
-from collections.abc import Iterator
-from contextlib import contextmanager
 from functools import reduce
 from operator import add
 
@@ -114,18 +112,6 @@ def load_report(spark: SparkSession, report_path: str) -> DataFrame:
     return spark.read.schema(REPORT).parquet(report_path)
 
 
-@contextmanager
-def short_methods(spark: SparkSession) -> Iterator[None]:
-    """Inside, Spark makes no method of more than 8000 bytes for a stage, as many columns do: the JVM runs such without compiling it."""
-    name = "spark.sql.codegen.hugeMethodLimit"
-    before = spark.conf.get(name)
-    spark.conf.set(name, "8000")
-    try:
-        yield
-    finally:
-        spark.conf.set(name, before)
-
-
 def session_with(spark: SparkSession, settings: dict[str, str]) -> SparkSession:
     """Another session of the same application and catalog, with this one's settings but for the given ones."""
     other = spark.newSession()
