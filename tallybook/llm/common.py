@@ -110,10 +110,12 @@ def word_hashes(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.n
 
 
 def pack(values: np.ndarray) -> bytes:
-    """Integers as compressed bytes: like bytes of all values stand together, which makes small values cheap."""
+    """Integers as compressed bytes: like bytes of all values stand together, in blocks of their own, which makes small values cheap."""
     values = np.ascontiguousarray(values)
     planes = values.view(np.uint8).reshape(len(values), values.itemsize).T
-    return zstandard.ZstdCompressor(level=1).compress(planes.tobytes())
+    packer = zstandard.ZstdCompressor(level=1).compressobj(size=values.nbytes)
+    blocks = [part for plane in planes for part in (packer.compress(plane.tobytes()), packer.flush(zstandard.COMPRESSOBJ_FLUSH_BLOCK))]
+    return b"".join([*blocks, packer.flush()])
 
 
 def unpack(data: bytes, dtype) -> np.ndarray:

@@ -11,13 +11,19 @@ seen w has P(w | h'). If nothing seen after a history is discounted, one more is
 Each length of n-grams has discounts of its own.
 
 How it runs: documents are gathered into chunks, each a list of its distinct words and a
-stream of their numbers, in a table bucketed by chunk. Chunks ask for the counts of their distinct words, then of their
-distinct pairs, and so on to ``order``, in packed requests dealt by the history's hash; what is asked carries what the
-chunk counted, so the answers are the sums over all. The words of histories that are hot (``hot`` times an even share of all
+stream of their places in it, in a table bucketed by chunk. Chunks ask for the counts of their distinct words, then of their
+distinct pairs, and so on to ``order``, in packed requests; what is asked carries what the
+chunk counted, so the answers are the sums over all. Words are dealt to groups by hash, n-grams by their history. Each group
+numbers what it saw, and from then on a word or an n-gram that is a history goes by its number: sorted numbers of a dense
+range take a few bits each. The words of histories that are hot (``hot`` times an even share of all
 tokens) are dealt by the n-gram, and only their few sums go to every task. A chunk that has everything that was seen after a
-history makes that history's sums itself; the others are told. An n-gram is asked for if both shorter ones in it were
-seen; the answers of one length give the chances that the weights of the next need. The counts of each length stay as a table,
-partitioned by kind and dealt by hash, under ``path``.
+history makes that history's sums itself; the others are told, and only what they divide by if all words that the chunk has
+after the history were seen there, so that none needs its weight. Sums are whole numbers, of counts and of the counts of the
+n-grams without their first word: the chances of these have one divisor for a history, which the chunk knows. An n-gram is asked
+for if both shorter ones in it were seen; the answers of one length give the chances that the weights of the next need. The
+counts of each length stay as a table under ``path``, partitioned by kind, a row a group: the hashes and counts of words, of
+which the k-th has number (k + 1) * groups + group, and the numbers of histories and words, and the counts, of n-grams,
+numbered likewise.
 
 A null text counts as empty and has the end token only. Null ids are learnt from. Each row counts, so repeated rows
 count again, and each input row gives one output row. Words are 64-bit hashes; two words meet with a chance of about 2**-64. Without
@@ -42,7 +48,10 @@ from tallybook.scratch import scratch_dir
 SMALL, CHUNK = 5, 16 << 20
 #: Packed bytes of all chunks to a group of requests, and groups at most, as each chunk sends a row to each group.
 GROUP_BYTES, GROUPS = 16 << 20, 1 << 16
-END, START = np.uint64(1), np.uint64(2)
+END = np.uint64(1)
+#: Numbers of the start mark, which no word has, and of what was not seen.
+START, UNSEEN = 0, np.iinfo(np.int64).max
+TIMES = np.arange(1, SMALL + 1)
 
 ANSWERS = "kind string, bucket int, chunk long, numbers array<binary>, sums array<double>"
 _TYPES = pa.schema([("kind", pa.string()), ("bucket", pa.int32()), ("chunk", pa.int64()),
@@ -137,20 +146,69 @@ def _word_requests(buckets: int):
         for batch in batches:
             for chunk, words, counts in zip(*(batch.column(c).to_pylist() for c in ("chunk", "words", "counts"))):
                 words, counts = unpack(words, np.uint64), unpack(counts, np.int64)
-                for bucket, at in _dealt(words, buckets):
+                for bucket, at in _dealt(_word_bucket(words, buckets), buckets):
                     yield _row(None, bucket, chunk, [pack(words[at]), pack(counts[at])])
 
     return run
 
 
-def _dealt(hashes: np.ndarray, buckets: int) -> Iterator[tuple[int, np.ndarray]]:
-    """(bucket, places in order) for every bucket that some hash falls into."""
-    bucket = (mix(hashes) % np.uint64(buckets)).astype(np.int64)
-    order = np.argsort(bucket, kind="stable")
-    cuts = np.searchsorted(bucket[order], np.arange(buckets + 1))
-    for b in range(buckets):
-        if cuts[b] < cuts[b + 1]:
-            yield b, order[cuts[b]:cuts[b + 1]]
+def _word_bucket(hashes: np.ndarray, buckets: int) -> np.ndarray:
+    return (mix(hashes) % np.uint64(buckets)).astype(np.int64)
+
+
+def _dealt(bucket: np.ndarray, buckets: int) -> Iterator[tuple[int, np.ndarray]]:
+    """(bucket, places in order) for every bucket that something falls into."""
+    order = np.argsort(bucket.astype(np.uint16), kind="stable")  # 16 bits are sorted by their digits
+    cuts = np.concatenate([[0], np.cumsum(np.bincount(bucket, minlength=buckets))])
+    for b in np.flatnonzero(np.diff(cuts)).tolist():
+        yield b, order[cuts[b]:cuts[b + 1]]
+
+
+def distinct(values: np.ndarray) -> np.ndarray:
+    """Each of the sorted values once."""
+    first = np.ones(len(values), dtype=bool)
+    first[1:] = values[1:] != values[:-1]
+    return values[first]
+
+
+def numbered(place: np.ndarray, bucket: int, buckets: int) -> np.ndarray:
+    """Numbers of what stands at these places, from 0, of a bucket."""
+    return (place + 1) * buckets + bucket
+
+
+def next_bucket(numbers: np.ndarray, buckets: int) -> np.ndarray:
+    """Where the n-grams with these histories are counted: a bucket's histories are dealt round."""
+    return numbers // buckets % buckets
+
+
+def pack_numbers(numbers: np.ndarray, buckets: int) -> bytes:
+    """Sorted numbers that have one next bucket, without gaps for those of the others."""
+    return pack_steps(numbers // buckets // buckets * buckets + numbers % buckets)
+
+
+def unpack_numbers(data: bytes, bucket: int, buckets: int) -> np.ndarray:
+    dense = unpack_steps(data)
+    return (dense // buckets * buckets + bucket) * buckets + dense % buckets
+
+
+def pack_steps(numbers: np.ndarray) -> bytes:
+    return pack(np.diff(numbers, prepend=np.int64(0)))
+
+
+def unpack_steps(data: bytes) -> np.ndarray:
+    return np.cumsum(unpack(data, np.int64))
+
+
+def pack_lists(numbers: np.ndarray, owner: np.ndarray) -> bytes:
+    """A sorted list of numbers for each owner, one after the other, as steps within the lists."""
+    steps = numbers.copy()
+    steps[1:] -= np.where(owner[1:] == owner[:-1], numbers[:-1], 0)
+    return pack(steps)
+
+
+def unpack_lists(data: bytes, sizes: np.ndarray) -> np.ndarray:
+    total = np.concatenate([[0], np.cumsum(unpack(data, np.int64))])
+    return total[1:] - np.repeat(total[np.cumsum(sizes) - sizes], sizes)
 
 
 def _row(kind, bucket, chunk, numbers, sums=()) -> pa.RecordBatch:
@@ -158,48 +216,63 @@ def _row(kind, bucket, chunk, numbers, sums=()) -> pa.RecordBatch:
                                         "sums": list(sums)}], schema=_TYPES)
 
 
-def _count_words(table: pa.Table) -> pa.Table:
-    """The sums of one bucket: a table of words, how many were seen how often, and an answer to every chunk."""
-    rows = table.select(["bucket", "chunk", "numbers"]).to_pylist()
-    bucket = rows[0]["bucket"]
-    asked = [unpack(r["numbers"][0], np.uint64) for r in rows]
-    words, at = np.unique(np.concatenate(asked), return_inverse=True)
-    counts = np.bincount(at, np.concatenate([unpack(r["numbers"][1], np.int64) for r in rows]), len(words))
-    counts = np.rint(counts).astype(np.int64)
-    seen = counts > 0
-    out = [_row("words", bucket, None, [pack(words[seen]), pack(counts[seen])]),
-           _row("spectrum", bucket, None, [], [float(counts.sum()), float(seen.sum()), *spectrum(counts)])]
-    cuts = np.cumsum([0, *map(len, asked)])
-    out += [_row("answers", bucket, r["chunk"], [pack(counts[at[a:b]])]) for r, a, b in zip(rows, cuts, cuts[1:])]
-    return pa.Table.from_batches(out)
+def _count_words(buckets: int):
+    def run(table: pa.Table) -> pa.Table:
+        """The sums of one bucket: a table of words, how many were seen how often, and an answer to every chunk."""
+        rows = table.select(["bucket", "chunk", "numbers"]).to_pylist()
+        bucket = rows[0]["bucket"]
+        asked = [unpack(r["numbers"][0], np.uint64) for r in rows]
+        words, at = np.unique(np.concatenate(asked), return_inverse=True)
+        counts = np.bincount(at, np.concatenate([unpack(r["numbers"][1], np.int64) for r in rows]), len(words))
+        counts = np.rint(counts).astype(np.int64)
+        order = np.argsort(-counts, kind="stable")[:np.count_nonzero(counts)]  # frequent words get small numbers
+        number = np.full(len(words), UNSEEN)
+        number[order] = numbered(np.arange(len(order)), bucket, buckets)
+        out = [_row("words", bucket, None, [pack(words[order]), pack(counts[order])]),
+               _row("spectrum", bucket, None, [], [float(counts.sum()), float(len(order)), *spectrum(counts)])]
+        cuts = np.cumsum([0, *map(len, asked)])
+        for r, a, b in zip(rows, cuts, cuts[1:]):
+            mine = counts[at[a:b]]
+            out.append(_row("answers", bucket, r["chunk"], [pack(mine), pack(number[at[a:b]][mine > 0] // buckets)]))
+        return pa.Table.from_batches(out)
+
+    return run
 
 
 @dataclass
 class Level:
-    """The distinct n-grams of one length in a chunk: which one ends at each token (-1: it would begin before the start
-    mark), their hashes, training counts, log10 chances, and what the counts of their history are divided by."""
+    """The distinct n-grams of one length in a chunk, by number: which one ends at each token (-1: it would begin before the
+    start mark), their numbers, training counts, log10 chances, and what the counts of their history are divided by."""
 
     of: np.ndarray
-    hashes: np.ndarray
+    number: np.ndarray
     count: np.ndarray
     chance: np.ndarray
     divisor: np.ndarray
 
+    def by_number(self) -> "Level":
+        order = np.argsort(self.number)
+        place = np.empty(len(order) + 1, dtype=np.int32)
+        place[order], place[-1] = np.arange(len(order)), -1
+        return Level(place[self.of], *(x[order] for x in (self.number, self.count, self.chance, self.divisor)))
+
 
 class Chunk:
     """A chunk with the answers that it got so far."""
 
     def __init__(self, chunk: dict, told: dict[str, dict[int, list[bytes]]], buckets: int, starts: int, single: Unigrams):
-        self.stream, self.sizes = unpack(chunk["stream"], np.int32), unpack(chunk["sizes"], np.int32).astype(np.int64)
+        self.sizes = unpack(chunk["sizes"], np.int32).astype(np.int64)
         self.held = np.array(chunk["held"], dtype=bool)
         self.first = np.cumsum(self.sizes) - self.sizes
-        self.words = unpack(chunk["words"], np.uint64)
-        count = np.zeros(len(self.words) + 1, dtype=np.int64)
-        for bucket, at in _dealt(self.words, buckets):
-            count[at] = unpack(told["words"][bucket][0], np.int64)
-        count[-1] = starts  # the start mark has the next number after the last word
-        self.lowest = Level(self.stream, np.append(self.words, START), count, np.log10(single.chance(count)),
-                            np.full(len(count), float(single.all)))
+        words = unpack(chunk["words"], np.uint64)
+        count, number = np.zeros(len(words) + 1, dtype=np.int64), np.full(len(words) + 1, UNSEEN)
+        for bucket, at in _dealt(_word_bucket(words, buckets), buckets):
+            found = told["words"][bucket]
+            count[at] = unpack(found[0], np.int64)
+            number[at[count[at] > 0]] = unpack(found[1], np.int64) * buckets + bucket
+        count[-1], number[-1] = starts, START
+        self.lowest = Level(unpack(chunk["stream"], np.int32), number, count, np.log10(single.chance(count)),
+                            np.full(len(count), float(single.all))).by_number()
 
 
 class Grams:
@@ -209,69 +282,92 @@ class Grams:
     Asked are those whose two shorter ones were both seen in training.
     """
 
-    def __init__(self, chunk: Chunk, below: Level, hot: float):
-        self.below, self.pairs = below, below is chunk.lowest
+    def __init__(self, chunk: Chunk, below: Level, hot: float, buckets: int):
+        self.below, self.pairs, words = below, below is chunk.lowest, chunk.lowest
         before = np.empty_like(below.of)
         before[1:] = below.of[:-1]
-        before[chunk.first] = len(chunk.words) if self.pairs else -1
+        before[chunk.first] = 0 if self.pairs else -1  # the start mark has the smallest number
         self.valid = before >= 0
-        keys = before[self.valid].astype(np.int64) << 32 | chunk.stream[self.valid]
+        keys = before[self.valid].astype(np.int64) << 32 | words.of[self.valid]
         del before
         keys, of = np.unique(keys, return_inverse=True)
-        self.of = np.full(len(chunk.stream), -1, dtype=np.int32)
+        self.of = np.full(len(words.of), -1, dtype=np.int32)
         self.of[self.valid] = of
         self.history, self.word = (keys >> 32).astype(np.int32), (keys & 0xFFFFFFFF).astype(np.int32)
         self.low = np.empty(len(keys), dtype=np.int32)
         self.low[of] = below.of[self.valid]
-        word_hashes = chunk.words[self.word]
-        self.hashes = mix(below.hashes[self.history] + mix(word_hashes))
-        self.asked = np.flatnonzero((below.count[self.history] > 0) & (below.count[self.low] > 0))
+        asked = (below.count[self.history] > 0) & (below.count[self.low] > 0)
+        self.asked = np.flatnonzero(asked)
+        self.weighed = np.zeros(len(below.count), dtype=bool)  # histories with a word here that was not seen after them
+        self.weighed[self.history[~asked]] = True
         self.hot = below.count > hot
         if self.pairs:
-            self.hot[-1] = True
+            self.hot[0] = True
         h = self.history[self.asked]
-        self.dealt = np.where(self.hot[h], self.hashes[self.asked], below.hashes[h])
-        alone = np.unique(self.history)
+        self.bucket, at = next_bucket(below.number[h], buckets), np.flatnonzero(self.hot[h])
+        gram = mix(below.number[h[at]].view(np.uint64)) + words.number[self.word[self.asked[at]]].view(np.uint64)
+        self.bucket[at] = (mix(gram) % np.uint64(buckets)).astype(np.int64)
+        alone = distinct(self.history)
         self.single = alone[(below.count[alone] > 0) & ~self.hot[alone]]  # histories whose sums are asked
 
     def requests(self, buckets: int) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
-        """(bucket, asked n-grams, their histories and others whose sums are asked) in an order that the answers keep."""
+        """(bucket, asked n-grams, histories whose sums are asked and their hot histories), all by number, as the answers are."""
         none = np.zeros(0, dtype=np.int64)
-        grams, singles = dict(_dealt(self.dealt, buckets)), dict(_dealt(self.below.hashes[self.single], buckets))
+        grams, singles = (dict(_dealt(b, buckets)) for b in (self.bucket, next_bucket(self.below.number[self.single], buckets)))
         for bucket in sorted({*grams, *singles}):
             asked = self.asked[grams.get(bucket, none)]
-            yield bucket, asked, np.union1d(self.history[asked], self.single[singles.get(bucket, none)])
+            hot = self.history[asked]
+            hot = distinct(hot[self.hot[hot]])
+            yield bucket, asked, np.sort(np.concatenate([self.single[singles.get(bucket, none)], hot]))
 
-    def scored(self, back: dict[int, list[bytes]], buckets: int, discount: np.ndarray, hot_sums: dict[int, np.ndarray]) -> Level:
+    def scored(self, back: dict[int, list[bytes]], buckets: int, discount: np.ndarray, low_discount: np.ndarray,
+               hot_sums: dict[int, np.ndarray]) -> Level:
         """These n-grams with their counts and chances, from the answers."""
-        below, times = self.below, np.zeros(len(self.history), dtype=np.int64)
-        sums, told = np.zeros((len(below.count), SMALL + 2)), np.zeros(len(below.count), dtype=bool)
+        below, times, number = self.below, np.zeros(len(self.history), dtype=np.int64), np.full(len(self.history), UNSEEN)
+        total, left, low = np.zeros((3, len(below.count)))
+        told = self.hot.copy()
         for bucket, asked, histories in self.requests(buckets):
             found, mine = back[bucket], histories[~self.hot[histories]]
             times[asked] = unpack(found[0], np.int64)
-            partly = mine[np.unpackbits(unpack(found[1], np.uint8), count=len(mine)).astype(bool)]
-            for i in range(SMALL + 1):
-                sums[partly, i] = unpack(found[2 + i], np.int64)
-            sums[partly, SMALL + 1] = unpack(found[SMALL + 3], np.float64)
+            if found[1]:
+                number[asked[times[asked] > 0]] = unpack_steps(found[1]) * buckets + bucket
+            partly = mine[np.unpackbits(unpack(found[2], np.uint8), count=len(mine)).astype(bool)]
             told[partly] = True
+            self.weighed[self.history[asked[times[asked] == 0]]] = True
+            whole, light = partly[self.weighed[partly]], partly[~self.weighed[partly]]
+            sums = np.column_stack([unpack(x, np.int64) for x in found[5:]])
+            total[whole], left[whole], low[whole] = worth(sums, discount, low_discount)
+            total[light], least = unpack(found[3], np.int64), unpack(found[4], np.int64)
+            left[light] = np.where(least <= SMALL, 1 - discount[np.minimum(least, SMALL)], 0)  # more than nothing, or nothing
         mine = np.flatnonzero((times > 0) & ~told[self.history])  # nothing else was seen after these histories
-        add_sums(sums, self.history[mine], times[mine], 10 ** below.chance[self.low[mine]])
+        owner, n = self.history[mine], len(total)
+        total += np.bincount(owner, times[mine], n)
+        left += np.bincount(owner, times[mine] - taken(times[mine], discount), n)
+        low += np.bincount(owner, taken(below.count[self.low[mine]], low_discount), n)
         for i in np.flatnonzero(self.hot):
-            sums[i] = hot_sums.get(int(below.hashes[i]), np.zeros(SMALL + 2))
-        divisor, weight = backoff(sums, discount)
+            sums = hot_sums.get(int(below.number[i]), np.zeros(2 * SMALL + 2))
+            total[i], left[i], low[i] = (x[0] for x in worth(sums[None], discount, low_discount))
+        low_divisor = np.ones(n)
+        low_divisor[self.history] = below.divisor[self.low]  # the same for all words after a history
+        divisor, weight = backoff(total, left, low / low_divisor)
         divisor = divisor[self.history]
         chance = below.chance[self.low] + np.where(below.count[self.history] > 0, np.log10(weight[self.history]), 0)
         seen = times > 0
         chance[seen] = np.log10(taken(times[seen], discount)) - np.log10(divisor[seen])
-        return Level(self.of, self.hashes, times, chance, divisor)
+        return Level(self.of, number, times, chance, divisor)
+
+
+def tally(owner: np.ndarray, counts: np.ndarray, n: int) -> np.ndarray:
+    """For each of n owners: how many counts are 1 .. SMALL, and the sum of the larger ones."""
+    at = owner * (SMALL + 1) + np.minimum(counts, SMALL + 1) - 1
+    return np.bincount(at, np.where(counts <= SMALL, 1, counts), n * (SMALL + 1)).astype(np.int64).reshape(n, SMALL + 1)
 
 
-def add_sums(sums: np.ndarray, owner: np.ndarray, counts: np.ndarray, chance: np.ndarray) -> None:
-    """Adds to each history's row: how many n-grams were seen 1 .. SMALL times, all counts, the mass of the words seen."""
-    small = counts <= SMALL
-    np.add.at(sums, (owner[small], counts[small] - 1), 1)
-    sums[:, SMALL] += np.bincount(owner, counts, len(sums))
-    sums[:, SMALL + 1] += np.bincount(owner, chance, len(sums))
+def worth(sums: np.ndarray, discount: np.ndarray, low_discount: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(all counts, what discounts take off them, what is left of the counts below) from tallies of both."""
+    counts, low = sums[:, :SMALL + 1], sums[:, SMALL + 1:]
+    return (counts[:, :SMALL] @ TIMES + counts[:, SMALL], counts[:, :SMALL] @ (TIMES * (1 - discount[1:])),
+            low[:, :SMALL] @ (TIMES * low_discount[1:]) + low[:, SMALL])
 
 
 def taken(counts: np.ndarray, discount: np.ndarray) -> np.ndarray:
@@ -296,9 +392,11 @@ class Known:
         for r in answers:
             told.setdefault(r["kind"], {})[r["bucket"]] = r["numbers"]
         whole = Chunk(chunk, told, self.buckets, self.starts, self.single)
-        out = [whole.lowest]
+        out, low_discount = [whole.lowest], self.single.discount
         for n, (discount, hot_sums) in enumerate(zip(self.discount, self.hot_sums), 2):
-            out.append(Grams(whole, out[-1], self.hot).scored(told.get(_kind(n), {}), self.buckets, discount, hot_sums))
+            grams = Grams(whole, out[-1], self.hot, self.buckets)
+            out.append(grams.scored(told.get(_kind(n), {}), self.buckets, discount, low_discount, hot_sums).by_number())
+            low_discount = discount
         return whole, out
 
 
@@ -311,79 +409,93 @@ def _gram_requests(known: Known):
         out, told = [], answers.to_pylist()
         for chunk in chunks.to_pylist():
             whole, levels = known.levels(chunk, told)
-            below = levels[-1]
+            below, words = levels[-1], whole.lowest.number
             del levels
-            grams = Grams(whole, below, known.hot)
+            grams = Grams(whole, below, known.hot, known.buckets)
             trained = np.repeat(~whole.held, whole.sizes) & grams.valid
             times = np.bincount(grams.of[trained], minlength=len(grams.history))
             for bucket, asked, histories in grams.requests(known.buckets):
-                at = np.searchsorted(histories, grams.history[asked])
-                words, place = np.unique(grams.word[asked], return_inverse=True)
-                divisor = np.ones(len(histories))
-                divisor[at] = below.divisor[grams.low[asked]]
-                low = below.count[words] if grams.pairs else below.count[grams.low[asked]]
+                owner, hot = np.searchsorted(histories, grams.history[asked]), grams.hot[histories]
+                number = below.number[histories]
+                low = distinct(np.sort(grams.low[asked])) if grams.pairs else grams.low[asked]  # that of a pair is its word
                 out.append(_row(None, bucket, chunk["chunk"], [
-                    pack(below.hashes[histories]), pack(grams.hot[histories].astype(np.uint8)),
-                    pack(np.bincount(at, minlength=len(histories)).astype(np.int32)), pack(divisor.astype(np.int64)),
-                    pack(whole.words[words]), pack(place.astype(np.int32)), pack(low), pack(times[asked].astype(np.int64))]))
+                    pack_numbers(number[~hot], known.buckets), pack_steps(number[hot]), pack(np.packbits(hot)),
+                    pack(np.packbits(grams.weighed[histories])),
+                    pack(np.bincount(owner, minlength=len(histories))), pack_lists(words[grams.word[asked]], owner),
+                    pack(below.count[low]), pack(times[asked].astype(np.int64))]))
         return pa.Table.from_batches(out, schema=_TYPES)
 
     return run
 
 
-_ASKED = (np.uint64, np.uint8, np.int32, np.int64, np.uint64, np.int32, np.int64, np.int64)
+def _asked(numbers: list[bytes], bucket: int, buckets: int, pairs: bool) -> tuple[np.ndarray, ...]:
+    """(histories, whether they are hot, whether weighed, the place of each n-gram's history, its word, its count without the
+    first word, its count)"""
+    cold, warm = unpack_numbers(numbers[0], bucket, buckets), unpack_steps(numbers[1])
+    hot, weighed = (np.unpackbits(unpack(x, np.uint8), count=len(cold) + len(warm)).astype(bool) for x in numbers[2:4])
+    histories = np.empty(len(hot), dtype=np.int64)
+    histories[~hot], histories[hot] = cold, warm
+    sizes = unpack(numbers[4], np.int64)
+    words, low = unpack_lists(numbers[5], sizes), unpack(numbers[6], np.int64)
+    if pairs:
+        low = low[np.unique(words, return_inverse=True)[1]]
+    return histories, hot, weighed, np.repeat(np.arange(len(hot)), sizes), words, low, unpack(numbers[7], np.int64)
 
 
-def _count_grams(n: int, below: np.ndarray):
-    """Counts of n-grams; ``below`` has the discounts of those that are one word shorter."""
+def _count_grams(n: int, buckets: int, last: bool):
+    """Counts of n-grams; the ``last`` are no histories and need no numbers."""
 
     def run(table: pa.Table) -> pa.Table:
         """The sums of one bucket's n-grams and of its histories."""
         rows = table.select(["bucket", "chunk", "numbers"]).to_pylist()
-        bucket, parts = rows[0]["bucket"], []
-        for r in rows:
-            h, is_hot, many, divisor, w, place, low, times = (unpack(x, t) for x, t in zip(r["numbers"], _ASKED))
-            at = np.repeat(np.arange(len(h)), many)
-            parts.append((h, is_hot.astype(bool), at, w[place], taken(low[place] if n == 2 else low, below) / divisor[at], times))
+        bucket = rows[0]["bucket"]
+        parts = [_asked(r.pop("numbers"), bucket, buckets, n == 2) for r in rows]
         join = lambda i: np.concatenate([p[i] for p in parts])
         histories, place = np.unique(join(0), return_inverse=True)
         cuts = np.cumsum([0, *(len(p[0]) for p in parts)])
-        h = np.concatenate([place[a + p[2]] for a, p in zip(cuts, parts)])
-        words, w = np.unique(join(3), return_inverse=True)
-        keys, first, of = np.unique(h << 32 | w, return_index=True, return_inverse=True)
-        counts = np.rint(np.bincount(of, join(5), len(keys))).astype(np.int64)
+        words = join(4)
+        bits = int(words.max(initial=0)).bit_length()
+        keys = np.concatenate([place[a + p[3]] for a, p in zip(cuts, parts)]) << bits | words
+        del words
+        keys, of = np.unique(keys, return_inverse=True)
+        low = np.empty(len(keys), dtype=np.int64)
+        low[of] = join(5)
+        counts = np.rint(np.bincount(of, join(6), len(keys))).astype(np.int64)
         seen = counts > 0
-        owner, chance = (keys >> 32)[seen], join(4)[first[seen]]
-        sums = np.zeros((len(histories), SMALL + 2))
-        add_sums(sums, owner, counts[seen], chance)
+        local = np.cumsum(seen)  # numbers without the bucket
+        owner, words = (keys >> bits)[seen], (keys & (1 << bits) - 1)[seen]
+        sums = np.hstack([tally(owner, counts[seen], len(histories)), tally(owner, low[seen], len(histories))])
+        total = np.bincount(owner, counts[seen], len(histories)).astype(np.int64)
+        least = np.argmax(sums[:, :SMALL + 1] > 0, axis=1) + 1  # of the counts after a history, SMALL + 1 for larger ones
         hot = np.zeros(len(histories), dtype=bool)
         hot[place[join(1)]] = True
-        out = [_row(_kind(n), bucket, None, [pack(histories[owner]), pack(words[(keys & 0xFFFFFFFF)[seen]]), pack(counts[seen])]),
+        out = [_row(_kind(n), bucket, None, [pack_steps(histories[owner]), pack_lists(words, owner), pack(counts[seen])]),
                _row("spectrum", bucket, None, [], spectrum(counts)),
-               _row("hot", bucket, None, [pack(histories[hot])], sums[hot].ravel())]
+               _row("hot", bucket, None, [pack(histories[hot])], sums[hot].ravel().astype(float))]
         a = 0
         for r, part, start in zip(rows, parts, cuts):
-            b = a + len(part[5])
-            mine = sums[place[start:start + len(part[0])]]
-            partly = np.bincount(part[2], counts[of[a:b]], len(part[0])) < mine[:, SMALL]
-            mine = mine[partly & ~part[1]]
+            b = a + len(part[6])
+            mine, times, cold, weighed = place[start:start + len(part[0])], counts[of[a:b]], ~part[1], part[2]
+            partly = np.bincount(part[3], times, len(mine)) < total[mine]
+            weighed[part[3][times == 0]] = True
+            light = mine[partly & cold & ~weighed]
             out.append(_row("answers", bucket, r["chunk"], [
-                pack(counts[of[a:b]]), pack(np.packbits(partly[~part[1]])), *(pack(mine[:, i].astype(np.int64)) for i in range(SMALL + 1)),
-                pack(np.ascontiguousarray(mine[:, SMALL + 1]))]))
+                pack(times), b"" if last else pack_steps(local[of[a:b]][times > 0]), pack(np.packbits(partly[cold])),
+                pack(total[light]), pack(least[light]), *map(pack, sums[mine[partly & cold & weighed]].T)]))
             a = b
         return pa.Table.from_batches(out, schema=_TYPES)
 
     return run
 
 
-def backoff(sums: np.ndarray, discount: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(divisor, weight) per history from its sums: what counts are divided by, and a(h), which makes the chances of all words one."""
-    times = np.arange(1, SMALL + 1)
-    total = sums[:, SMALL]
-    left = (sums[:, :SMALL] * times * (1 - discount[1:])).sum(axis=1)
+def backoff(total: np.ndarray, left: np.ndarray, mass: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(divisor, weight) per history: what counts are divided by, and a(h), which makes the chances of all words one.
+
+    Given are all counts, what discounts take off them, and the chances without the first word of the words that were seen.
+    """
     none = left <= 0
     left, total = np.where(none, 1.0, left), np.where(none, total + 1, total)
-    return total, left / total / (1 - sums[:, SMALL + 1])
+    return total, left / total / (1 - mass)
 
 
 def _scores(known: Known):
@@ -395,15 +507,15 @@ def _scores(known: Known):
         out, told = [], answers.to_pylist()
         for chunk in chunks.to_pylist():
             whole, levels = known.levels(chunk, told)
-            value = levels[0].chance[whole.stream]
+            value = levels[0].chance[levels[0].of]
             for level in levels[1:]:
                 reached = level.of >= 0
                 value[reached] = level.chance[level.of[reached]]
             n, text = len(whole.sizes), np.repeat(np.arange(len(whole.sizes)), whole.sizes)
-            count = whole.lowest.count
-            base = np.log10((count + 1) / (single.tokens + single.words + 1))[whole.stream]
+            count = whole.lowest.count[whole.lowest.of]
+            base = np.log10((count + 1) / (single.tokens + single.words + 1))
             columns = [pa.array(chunk["ids"], pa.int64()), pa.array(whole.held), pa.array(whole.sizes),
-                       pa.array(np.bincount(text, count[whole.stream] > 0, n).astype(np.int64)),
+                       pa.array(np.bincount(text, count > 0, n).astype(np.int64)),
                        pa.array(np.full(n, single.tokens)), pa.array(np.bincount(text, base, n)),
                        pa.array(np.bincount(text, value, n))]
             out.append(pa.RecordBatch.from_arrays([c.cast(t) for c, t in zip(columns, types)], names))
@@ -437,7 +549,7 @@ def _scored(spark: SparkSession, chunks: DataFrame, slim: DataFrame, path: str,
     buckets = max(2 * partitions, min(GROUPS, int(asked_bytes or 0) // GROUP_BYTES))
 
     asked = chunks.select("chunk", "words", "counts").mapInArrow(_word_requests(buckets), ANSWERS)
-    words = _stored(asked.groupBy("bucket").applyInArrow(_count_words, ANSWERS), f"{path}/words")
+    words = _stored(asked.groupBy("bucket").applyInArrow(_count_words(buckets), ANSWERS), f"{path}/words")
     told = [r[0] for r in _spectrum(words, SMALL + 3)]
     single = Unigrams(int(told[0]), int(told[1]), discounts(np.array(told[2:])), np.array(told[2:]))
     most = single.tokens / (2 * partitions) * hot
@@ -447,14 +559,13 @@ def _scored(spark: SparkSession, chunks: DataFrame, slim: DataFrame, path: str,
     stream = chunks.select("chunk", "ids", "held", "sizes", "words", "stream")
     for n in range(2, order + 1):
         asked = stream.drop("ids").groupBy("chunk").cogroup(answers.groupBy("chunk")).applyInArrow(_gram_requests(known), ANSWERS)
-        below = known.discount[-1] if known.discount else single.discount
-        grams = _stored(asked.groupBy("bucket").applyInArrow(_count_grams(n, below), ANSWERS), f"{path}/{_kind(n)}")
+        grams = _stored(asked.groupBy("bucket").applyInArrow(_count_grams(n, buckets, n == order), ANSWERS), f"{path}/{_kind(n)}")
         discount = discounts(np.array([r[0] for r in _spectrum(grams, SMALL + 1)]))
         # hot histories: at most 2 * partitions / hot n-grams and the start mark, so their sums fit every task
         hot_sums: dict[int, np.ndarray] = {}
         for r in grams.where("kind = 'hot' AND size(sums) > 0").select("numbers", "sums").toLocalIterator():
-            mine = np.array(r["sums"]).reshape(-1, SMALL + 2)
-            for history, sums in zip(unpack(bytes(r["numbers"][0]), np.uint64).tolist(), mine):
+            mine = np.array(r["sums"]).reshape(-1, 2 * SMALL + 2)
+            for history, sums in zip(unpack(bytes(r["numbers"][0]), np.int64).tolist(), mine):
                 hot_sums[history] = hot_sums.get(history, 0) + sums
         known = Known(buckets, known.starts, single, most, [*known.discount, discount], [*known.hot_sums, hot_sums])
         answers = answers.unionByName(_told(grams, n))
