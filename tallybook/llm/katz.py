@@ -23,7 +23,7 @@ n-grams without their first word: the chances of these have one divisor for a hi
 for if both shorter ones in it were seen; the answers of one length give the chances that the weights of the next need. The
 counts of each length stay as a table under ``path``, partitioned by kind, a row a group: the hashes and counts of words, of
 which the k-th has number (k + 1) * groups + group, and the numbers of histories and words, and the counts, of n-grams,
-numbered likewise.
+numbered likewise in the order of ``falling``.
 
 A null text counts as empty and has the end token only. Null ids are learnt from. Each row counts, so repeated rows
 count again, and each input row gives one output row. Words are 64-bit hashes; two words meet with a chance of about 2**-64. Without
@@ -52,6 +52,8 @@ END = np.uint64(1)
 #: Numbers of the start mark, which no word has, and of what was not seen.
 START, UNSEEN = 0, np.iinfo(np.int64).max
 TIMES = np.arange(1, SMALL + 1)
+#: Columns of two tallies side by side: those of small counts, and sums.
+COLUMNS = [i for i in range(2 * SMALL + 2) if i % (SMALL + 1) < SMALL], [SMALL, 2 * SMALL + 1]
 
 ANSWERS = "kind string, bucket int, chunk long, numbers array<binary>, sums array<double>"
 _TYPES = pa.schema([("kind", pa.string()), ("bucket", pa.int32()), ("chunk", pa.int64()),
@@ -164,6 +166,11 @@ def _dealt(bucket: np.ndarray, buckets: int) -> Iterator[tuple[int, np.ndarray]]
         yield b, order[cuts[b]:cuts[b + 1]]
 
 
+def falling(counts: np.ndarray) -> np.ndarray:
+    """The places of counts from large to small; equal ones, and those above 16 bits, stay in order."""
+    return np.argsort((0xFFFF - np.minimum(counts, 0xFFFF)).astype(np.uint16), kind="stable")
+
+
 def distinct(values: np.ndarray) -> np.ndarray:
     """Each of the sorted values once."""
     first = np.ones(len(values), dtype=bool)
@@ -330,12 +337,15 @@ class Grams:
             found, mine = back[bucket], histories[~self.hot[histories]]
             times[asked] = unpack(found[0], np.int64)
             if found[1]:
-                number[asked[times[asked] > 0]] = unpack_steps(found[1]) * buckets + bucket
+                seen = asked[times[asked] > 0]
+                number[seen[falling(times[seen])]] = unpack_steps(found[1]) * buckets + bucket
             partly = mine[np.unpackbits(unpack(found[2], np.uint8), count=len(mine)).astype(bool)]
             told[partly] = True
             self.weighed[self.history[asked[times[asked] == 0]]] = True
             whole, light = partly[self.weighed[partly]], partly[~self.weighed[partly]]
-            sums = np.column_stack([unpack(x, np.int64) for x in found[5:]])
+            sums = np.empty((len(whole), 2 * SMALL + 2), dtype=np.int64)
+            for columns, x in zip(COLUMNS, found[5:]):
+                sums[:, columns] = unpack(x, np.int64).reshape(len(columns), -1).T
             total[whole], left[whole], low[whole] = worth(sums, discount, low_discount)
             total[light], least = unpack(found[3], np.int64), unpack(found[4], np.int64)
             left[light] = np.where(least <= SMALL, 1 - discount[np.minimum(least, SMALL)], 0)  # more than nothing, or nothing
@@ -386,18 +396,21 @@ class Known:
     discount: list[np.ndarray]
     hot_sums: list[dict[int, np.ndarray]]
 
-    def levels(self, chunk: dict, answers: list[dict]) -> tuple[Chunk, list[Level]]:
-        """The chunk's n-grams of every length that has been answered, shortest first."""
+    def levels(self, chunk: dict, answers: list[dict]) -> Iterator[tuple[Chunk, Level]]:
+        """The chunk, with its n-grams of every length that has been answered, shortest first; one length is held at a time."""
         told: dict[str, dict[int, list[bytes]]] = {}
         for r in answers:
             told.setdefault(r["kind"], {})[r["bucket"]] = r["numbers"]
         whole = Chunk(chunk, told, self.buckets, self.starts, self.single)
-        out, low_discount = [whole.lowest], self.single.discount
+        level, low_discount = whole.lowest, self.single.discount
+        yield whole, level
         for n, (discount, hot_sums) in enumerate(zip(self.discount, self.hot_sums), 2):
-            grams = Grams(whole, out[-1], self.hot, self.buckets)
-            out.append(grams.scored(told.get(_kind(n), {}), self.buckets, discount, low_discount, hot_sums).by_number())
+            back = told.pop(_kind(n), {})
+            level = Grams(whole, level, self.hot, self.buckets).scored(back, self.buckets, discount, low_discount, hot_sums)
+            if any(found[1] for found in back.values()):  # the last length has no numbers
+                level = level.by_number()
+            yield whole, level
             low_discount = discount
-        return whole, out
 
 
 def _kind(n: int) -> str:
@@ -408,9 +421,8 @@ def _gram_requests(known: Known):
     def run(chunks: pa.Table, answers: pa.Table) -> pa.Table:
         out, told = [], answers.to_pylist()
         for chunk in chunks.to_pylist():
-            whole, levels = known.levels(chunk, told)
-            below, words = levels[-1], whole.lowest.number
-            del levels
+            for whole, below in known.levels(chunk, told):
+                words = whole.lowest.number
             grams = Grams(whole, below, known.hot, known.buckets)
             trained = np.repeat(~whole.held, whole.sizes) & grams.valid
             times = np.bincount(grams.of[trained], minlength=len(grams.history))
@@ -462,7 +474,8 @@ def _count_grams(n: int, buckets: int, last: bool):
         low[of] = join(5)
         counts = np.rint(np.bincount(of, join(6), len(keys))).astype(np.int64)
         seen = counts > 0
-        local = np.cumsum(seen)  # numbers without the bucket
+        local = np.empty(len(keys), dtype=np.int64)  # numbers without the bucket: what all chunks have stands together
+        local[falling(counts)] = np.arange(1, len(keys) + 1)
         owner, words = (keys >> bits)[seen], (keys & (1 << bits) - 1)[seen]
         sums = np.hstack([tally(owner, counts[seen], len(histories)), tally(owner, low[seen], len(histories))])
         total = np.bincount(owner, counts[seen], len(histories)).astype(np.int64)
@@ -479,9 +492,11 @@ def _count_grams(n: int, buckets: int, last: bool):
             partly = np.bincount(part[3], times, len(mine)) < total[mine]
             weighed[part[3][times == 0]] = True
             light = mine[partly & cold & ~weighed]
+            number = local[of[a:b]][times > 0]
             out.append(_row("answers", bucket, r["chunk"], [
-                pack(times), b"" if last else pack_steps(local[of[a:b]][times > 0]), pack(np.packbits(partly[cold])),
-                pack(total[light]), pack(least[light]), *map(pack, sums[mine[partly & cold & weighed]].T)]))
+                pack(times), b"" if last else pack_steps(number[falling(times[times > 0])]), pack(np.packbits(partly[cold])),
+                pack(total[light]), pack(least[light]),
+                *(pack(sums[mine[partly & cold & weighed]][:, columns].T.ravel()) for columns in COLUMNS)]))
             a = b
         return pa.Table.from_batches(out, schema=_TYPES)
 
@@ -506,11 +521,13 @@ def _scores(known: Known):
     def run(chunks: pa.Table, answers: pa.Table) -> pa.Table:
         out, told = [], answers.to_pylist()
         for chunk in chunks.to_pylist():
-            whole, levels = known.levels(chunk, told)
-            value = levels[0].chance[levels[0].of]
-            for level in levels[1:]:
-                reached = level.of >= 0
-                value[reached] = level.chance[level.of[reached]]
+            for whole, level in known.levels(chunk, told):
+                if level is whole.lowest:
+                    value = level.chance[level.of]
+                else:
+                    reached = level.of >= 0
+                    value[reached] = level.chance[level.of[reached]]
+            del level
             n, text = len(whole.sizes), np.repeat(np.arange(len(whole.sizes)), whole.sizes)
             count = whole.lowest.count[whole.lowest.of]
             base = np.log10((count + 1) / (single.tokens + single.words + 1))

@@ -157,3 +157,26 @@ def test_discounts():
     times = np.arange(1, 6)
     assert (np.array([1000, 400, 200, 120, 80]) * times * (1 - d[1:])).sum() == pytest.approx(1000)  # what singletons had
     assert katz.discounts(np.zeros(6))[1] == 0.5
+
+
+def test_numbers_are_packed_densely():
+    buckets, bucket = 24, 5
+    numbers = katz.numbered(np.arange(24 * 4000), 3, buckets)
+    mine = numbers[katz.next_bucket(numbers, buckets) == bucket]
+    packed = katz.pack_numbers(mine, buckets)
+    assert (katz.unpack_numbers(packed, bucket, buckets) == mine).all()
+    assert len(packed) < len(mine)  # hashes took eight bytes each
+    lists, owner = np.array([3, 9, 9000, 2, 7, 8]), np.array([0, 0, 0, 2, 2, 2])
+    assert katz.unpack_lists(katz.pack_lists(lists, owner), np.array([3, 0, 3])).tolist() == lists.tolist()
+    assert katz.falling(np.array([1, 70_000, 3, 80_000, 1])).tolist() == [1, 3, 2, 0, 4]
+
+
+def test_what_is_asked_and_told_takes_few_bytes(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(katz, "CHUNK", 100_000)
+    rng = random.Random(4)
+    docs = spark.createDataFrame([(i, " ".join(f"w{int(rng.paretovariate(0.6)) % 30_000}" for _ in range(300))) for i in range(600)],
+                                 "doc_id long, text string").repartition(2)
+    katz.train_and_score(docs, str(tmp_path / "m"), order=3)
+    stored = sum(p.stat().st_size for kind in ("pairs", "grams_3") for p in (tmp_path / "m" / kind).rglob("*.parquet"))
+    print("stored", stored)
+    assert stored < 8 * 600 * 300
