@@ -177,4 +177,4 @@ def test_what_is_asked_and_told_takes_few_bytes(spark, tmp_path, monkeypatch):
                                  "doc_id long, text string").repartition(2)
     katz.train_and_score(docs, str(tmp_path / "m"), order=3)
     stored = sum(p.stat().st_size for kind in ("pairs", "grams_3") for p in (tmp_path / "m" / kind).rglob("*.parquet"))
-    assert stored < 8 * 600 * 300
+    assert stored < 3 * 600 * 300
