@@ -34,6 +34,18 @@ def scratch_root(spark: SparkSession) -> str:
     return f"{shared.rstrip('/')}/tallybook"
 
 
+@contextmanager
+def shuffles_removed(spark: SparkSession) -> Iterator[None]:
+    """What a job run inside has shuffled goes from the disks when it ends, and not when the driver next collects its garbage."""
+    name = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(name, "false")
+    spark.conf.set(name, "true")
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 @contextmanager
 def scratch_scope(spark: SparkSession, label: str) -> Iterator[None]:
     """Scratch paths taken inside lie in one folder, which is removed at the end, also after a failure.

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tallybook.schemas import columns
-
+from tallybook.scratch import shuffles_removed
 from tallybook.sources.delimited import EXACT, QUOTED, read_text_columns
 
 RUN_DATE = "run_date"
@@ -57,7 +57,8 @@ def stage_parquet(rows: DataFrame, root: str, run_date: str, cluster: Sequence[s
     elif typed:
         rows = typed(rows)
     seen = Observation()  # behind the shuffle, whose sample of keys would be counted too
-    rows.observe(seen, F.count(F.lit(1)).alias("rows")).write.mode("overwrite").parquet(run_folder(root, run_date), **PARQUET)
+    with shuffles_removed(rows.sparkSession):
+        rows.observe(seen, F.count(F.lit(1)).alias("rows")).write.mode("overwrite").parquet(run_folder(root, run_date), **PARQUET)
     return seen.get["rows"]
 
 

@@ -4,6 +4,7 @@ import datetime as dt
 import glob
 import os
 import re
+import time
 from decimal import Decimal
 from types import SimpleNamespace
 
@@ -21,14 +22,14 @@ from tallybook.operators.frames import rename_positional
 from tallybook.operators.keys import repeated_keys
 from tallybook.plans.jobs import ingest_bulk, load_bulk, read_key_audit, read_line_report, read_rejects
 from tallybook.schemas import BULK, COMPACT_DATE, BulkFormat, columns
-from tallybook.scratch import scratch_dir
+from tallybook.scratch import application_folder, list_folder, scratch_dir
 from tallybook.sources.delimited import LINE, lenient_lines, line_columns, line_field, read_delimited, read_lenient, split_lines
 from tallybook.sources.inventory import inventory
 from tallybook.sources.staged import (
     _packed, read_manifest, read_staged_delimited, read_staged_parquet, run_state, stage_delimited, stage_parquet, stored_bytes,
 )
 from testbed.fixtures import break_inside
-from testbed.queries import bulk_text, orders_in_files, spoilt_lines
+from testbed.queries import QUERIES, bulk_text, orders_in_files, spoilt_lines
 
 TARGET = columns("id string, n int, day date")
 
@@ -511,3 +512,35 @@ def test_packed_bulk_text_has_the_same_lines(spark, tmp_path):
     assert rows_of(spark.read.text(texts[0])) == rows_of(spark.read.text(texts[1]))
     assert glob.glob(f"{texts[0]}/*.snappy") and stored_bytes(spark, texts[0]) == 4 * sum(
         os.path.getsize(p) for p in glob.glob(f"{texts[0]}/*.snappy"))
+
+
+def shuffled(spark) -> set[str]:
+    files = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
+    return {files.apply(i).getName() for i in range(files.size())} if files.size() else set()
+
+
+def test_a_staged_run_leaves_no_shuffle_on_the_disks(spark, tmp_path):
+    """What was moved for a run goes when the run is written, whose files are in order as before."""
+    name, before = "spark.sql.classic.shuffleDependency.fileCleanup.enabled", {f for f in shuffled(spark) if f.startswith("shuffle_")}
+    was = spark.conf.get(name, "false")
+    rows = spark.range(40_000).selectExpr("CONCAT('c', id * 7 % 1999) AS CMTE_ID", "id % 7 AS STATE", "id AS SUB_ID")
+    stage_parquet(rows.repartition(4), f"{tmp_path}/s", "2024-01-01", ("CMTE_ID", "STATE", "SUB_ID"))
+    until = time.time() + 20
+    while (left := {f for f in shuffled(spark) if f.startswith("shuffle_")} - before) and time.time() < until:
+        time.sleep(0.5)
+    assert not left and spark.conf.get(name, "false") == was
+    files = glob.glob(f"{tmp_path}/s/run_date=2024-01-01/*.parquet")
+    assert len(files) == 8
+    for file in files:
+        keys = [tuple(r) for r in spark.read.parquet(file).coalesce(1).collect()]
+        assert keys == sorted(keys)
+    assert rows_of(read_staged_parquet(spark, f"{tmp_path}/s", "2024-01-01")) == rows_of(rows)
+
+
+@pytest.mark.parametrize("query", ["ingest_committee_trans", "ingest_operating_exp_spoilt", "load_after_refused_ingest"])
+def test_made_text_is_gone_once_it_is_staged(spark, sf_dir, query):
+    def texts() -> set[str]:
+        return {n for n, _ in list_folder(spark, application_folder(spark)) if n.startswith("text-")}
+    before = texts()
+    rows = QUERIES[query](spark, sf_dir)
+    assert texts() == before and rows.count() > 0
