@@ -544,3 +544,22 @@ def test_made_text_is_gone_once_it_is_staged(spark, sf_dir, query):
     before = texts()
     rows = QUERIES[query](spark, sf_dir)
     assert texts() == before and rows.count() > 0
+
+
+def test_a_refresh_in_order_takes_less_disk(spark, tmp_path, monkeypatch):
+    """Rows whose ids repeat or are missing, in bounded runs: the same rows, each run in order, in smaller files."""
+    monkeypatch.setattr("tallybook.operators.load.RUN_ROWS", 20_000)
+    rows = spark.range(100_000, numPartitions=2).select(
+        F.when(F.col("id") % 50 != 0, F.pmod(F.xxhash64("id"), F.lit(90_000_000))).alias("SUB_ID"),
+        (F.col("id") % 3).cast("decimal(18,2)").alias("AMT"), F.date_add(F.lit("2024-01-01"), (F.col("id") % 28).cast("int")).alias("DAY"),
+        F.col("id").alias("n")).withColumn("IMAGE", F.concat(F.lit("IMG"), F.col("SUB_ID").cast("string"))).unionAll(
+        spark.sql("SELECT 7L, 1.00BD, DATE'2024-01-01', 1L, 'IMG7' FROM range(3)"))
+    rows = rows.withColumn("AMT", F.col("AMT").cast("decimal(18,2)"))
+    full_refresh(rows, f"{tmp_path}/plain", "a", "unordered_rows")
+    ordered = full_refresh(rows, f"{tmp_path}/ordered", "a", "ordered_rows", order=("SUB_ID",))
+    assert ordered.dtypes == rows.dtypes and rows_of(ordered) == rows_of(rows)
+    size = {k: sum(os.path.getsize(f) for f in glob.glob(f"{tmp_path}/{k}/load_id=a/*.parquet")) for k in ("plain", "ordered")}
+    assert size["ordered"] < 0.9 * size["plain"]
+    ids = [r.SUB_ID for r in spark.read.parquet(max(glob.glob(f"{tmp_path}/ordered/load_id=a/*.parquet"), key=os.path.getsize)).coalesce(1).collect()]
+    falls = sum(b is not None and (a is None or b < a) for a, b in zip(ids, ids[1:]))
+    assert 0 < falls < 6
